@@ -2,33 +2,53 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# The sketch reports at most HOT_LIMIT keys, so the table of hot keys is small whatever the input size.
-HOT_LIMIT = 256
-SKETCH_ITEMS = 20_000
-SLICES = 4096
+# At most HOT_LIMIT keys can hold 1/HOT_LIMIT of the rows each, so the list of hot keys is small whatever the input size.
+HOT_LIMIT = 512
+SKETCH_ITEMS = 4096
+SKETCH_GROUPS = 64
 
 
-def hot_keys(df: DataFrame, key: str, slices: int = SLICES) -> DataFrame:
-    """``(key, _fanout)`` for keys that hold at least 1/HOT_LIMIT of the rows, from one pass with a bounded sketch.
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys to cut, with the number of slices of each; ``null_slices`` is the same for rows without a key."""
 
-    The fan-out is the key's share of ``slices``, so the fan-outs add up to about ``slices`` at most.
+    slices: list[tuple[object, int]]
+    null_slices: int
+
+    @property
+    def balanced(self) -> bool:
+        return not self.slices and self.null_slices <= 1
+
+
+def hot_keys(df: DataFrame, key: str, slices: int) -> HotKeys:
+    """Keys whose rows would exceed one of ``slices`` even partitions, and at least 1/HOT_LIMIT of all rows.
+
+    One pass over the key column with a bounded sketch, merged in two steps so that no task receives a sketch from
+    every other task. Only the choice of slices depends on it, never a result.
     """
-    sketch = df.filter(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k(`{key}`, {HOT_LIMIT}, {SKETCH_ITEMS})").alias("top"),
-        F.count(F.lit(1)).alias("total"),
-    )
-    return (
-        sketch.select("total", F.explode("top").alias("t"))
-        .filter(F.col("t.count") * HOT_LIMIT >= F.col("total"))
-        .select(
-            F.col("t.item").alias(key),
-            F.ceil(F.col("t.count") * slices / F.col("total")).cast("int").alias("_fanout"),
+    sketched = (
+        df.select(F.col(key).alias("k"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"))
+        .groupBy("g").agg(
+            F.expr(f"approx_top_k_accumulate(k, {SKETCH_ITEMS})").alias("sketch"),
+            F.count(F.lit(1)).alias("total"), F.count("k").alias("keyed"),
         )
     )
+    merged = sketched.agg(
+        F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"),
+        F.sum("total").alias("total"), F.sum("keyed").alias("keyed"),
+    ).select(F.expr(f"approx_top_k_estimate(sketch, {HOT_LIMIT})").alias("top"), "total", "keyed").first()
+    if not merged.total:
+        return HotKeys([], 0)
+    share = lambda rows: math.ceil(rows * slices / merged.total)
+    limit = merged.total / min(HOT_LIMIT, slices)
+    hot = [(t["item"], share(t["count"])) for t in merged.top if t["item"] is not None and t["count"] > limit]
+    return HotKeys(hot, share(merged.total - merged.keyed))
 
 
 def spread_lookup(
@@ -38,31 +58,34 @@ def spread_lookup(
     spread_by: Sequence[str],
     how: str = "left",
     detect_in: DataFrame | None = None,
-    slices: int = SLICES,
+    slices: int | None = None,
 ) -> DataFrame:
     """Join on ``key`` with hot keys of ``left`` cut into slices and the matching ``right`` rows repeated per slice.
 
     Same result as ``left.join(right, key, how)`` for ``how`` in left, inner. ``spread_by`` names left columns whose
     hash picks the slice, so a recomputed task sends each row to the same place. Null keys match nothing and are
     spread as well. ``detect_in`` is where hot keys are looked for when ``left`` itself is costly to compute twice.
+    ``slices`` defaults to the session's shuffle partitions. Without hot keys this is the plain join.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be left or inner, not {how!r}")
-    # the hot-key table has at most HOT_LIMIT rows
-    hot = F.broadcast(hot_keys(left if detect_in is None else detect_in, key, slices))
-    slice_of = F.xxhash64(*spread_by)
-    cut = left.join(hot, key, "left").withColumn(
-        "_slice",
-        F.when(F.col(key).isNull(), F.pmod(slice_of, F.lit(slices)))
-        .otherwise(F.pmod(slice_of, F.coalesce("_fanout", F.lit(1))))
-        .cast("int"),
-    )
+    spark = left.sparkSession
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions")) if slices is None else slices
+    hot = hot_keys(left if detect_in is None else detect_in, key, slices)
+    if hot.balanced:
+        return left.join(right, key, how).select(*left.columns, *[c for c in right.columns if c != key])
+
+    schema = T.StructType([T.StructField(key, left.schema[key].dataType), T.StructField("_slices", T.IntegerType())])
+    # at most HOT_LIMIT rows
+    cuts = F.broadcast(spark.createDataFrame(hot.slices, schema))
+    row_hash = F.xxhash64(*spread_by)
+    count = F.when(F.col(key).isNull(), F.lit(max(hot.null_slices, 1))).otherwise(F.coalesce("_slices", F.lit(1)))
+    cut = left.join(cuts, key, "left").withColumn("_slice", F.pmod(row_hash, count).cast("int"))
     repeated = (
-        right.filter(F.col(key).isNotNull())
-        .join(hot, key, "left")
-        .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_fanout", F.lit(1)) - 1)))
+        right.filter(F.col(key).isNotNull()).join(cuts, key, "left")
+        .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)))
     )
-    joined = cut.drop("_fanout").join(repeated.drop("_fanout"), [key, "_slice"], how).drop("_slice")
+    joined = cut.drop("_slices").join(repeated.drop("_slices"), [key, "_slice"], how)
     return joined.select(*left.columns, *[c for c in right.columns if c != key])
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -235,7 +236,4 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     counts = [
         df.agg(_rows().alias("rows")).select(F.lit(name).alias("table"), "rows") for name, df in tables.items()
     ]
-    result = counts[0]
-    for one in counts[1:]:
-        result = result.unionByName(one)
-    return result
+    return reduce(DataFrame.unionByName, counts)

@@ -344,7 +344,7 @@ def spread_lookup_hot(b: Bank) -> DataFrame:
     """Events against a lookup of their few types: every key is hot and is cut into slices."""
     kinds = b.table("events").groupBy("event_type").agg(F.min("event_id").alias("first_id"))
     rows = b.table("events").select("event_id", F.when(F.col("value") >= 1, F.col("event_type")).alias("event_type"))
-    return lookup.spread_lookup(rows, kinds, "event_type", ["event_id"])
+    return lookup.spread_lookup(rows, kinds, "event_type", ["event_id"], slices=64)
 
 
 @query
