@@ -29,26 +29,30 @@ class HotKeys:
 def hot_keys(df: DataFrame, key: str, slices: int) -> HotKeys:
     """Keys whose rows would exceed one of ``slices`` even partitions, and at least 1/HOT_LIMIT of all rows.
 
-    One pass over the key column with a bounded sketch, merged in two steps so that no task receives a sketch from
-    every other task. Only the choice of slices depends on it, never a result.
+    One pass over the key column with bounded sketches. Input partitions are dealt into groups, so no task merges the
+    sketches of all others, and each group reports only its frequent keys. The choice of slices depends on the
+    sketches, never a result.
     """
+    parts = min(HOT_LIMIT, max(slices, 1))
     sketched = (
         df.select(F.col(key).alias("k"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"))
         .groupBy("g").agg(
-            F.expr(f"approx_top_k_accumulate(k, {SKETCH_ITEMS})").alias("sketch"),
+            F.expr(f"approx_top_k(k, {HOT_LIMIT}, {SKETCH_ITEMS})").alias("top"),
             F.count(F.lit(1)).alias("total"), F.count("k").alias("keyed"),
         )
     )
-    merged = sketched.agg(
-        F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"),
-        F.sum("total").alias("total"), F.sum("keyed").alias("keyed"),
-    ).select(F.expr(f"approx_top_k_estimate(sketch, {HOT_LIMIT})").alias("top"), "total", "keyed").first()
-    if not merged.total:
+    frequent = lambda t: t["item"].isNotNull() & (t["count"] * (2 * parts) > F.col("total"))
+    # at most SKETCH_GROUPS rows with a bounded list each
+    groups = sketched.select("total", "keyed", F.filter("top", frequent).alias("top")).collect()
+    total = sum(g.total for g in groups)
+    if not total:
         return HotKeys([], 0)
-    share = lambda rows: math.ceil(rows * slices / merged.total)
-    limit = merged.total / min(HOT_LIMIT, slices)
-    hot = [(t["item"], share(t["count"])) for t in merged.top if t["item"] is not None and t["count"] > limit]
-    return HotKeys(hot, share(merged.total - merged.keyed))
+    counts: dict[object, int] = {}
+    for item in (t for g in groups for t in g.top):
+        counts[item["item"]] = counts.get(item["item"], 0) + item["count"]
+    share = lambda rows: math.ceil(rows * slices / total)
+    hot = [(k, share(n)) for k, n in sorted(counts.items(), key=lambda c: -c[1]) if n * parts > total]
+    return HotKeys(hot[:HOT_LIMIT], share(total - sum(g.keyed for g in groups)))
 
 
 def spread_lookup(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -16,18 +17,15 @@ CORRUPT = "_corrupt_record"
 ROW_ORDER = ("_source_file", "_block_start", "_row_seq")
 
 
-def legacy_files(spark: SparkSession, path: str) -> list[str]:
-    """Files that are not valid UTF-8 and are therefore read as Latin-1. One scan, one row per file."""
+def files_by_encoding(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Files that are valid UTF-8, and the others, which are read as Latin-1. One scan, one row per file."""
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("valid")
     )
-    bad = lines.groupBy("file").agg(F.bool_and("valid").alias("valid")).filter(~F.col("valid"))
-    # file names, which the reader takes on the driver anyway
-    return sorted(row.file for row in bad.select("file").toLocalIterator())
-
-
-def files_of(spark: SparkSession, path: str) -> list[str]:
-    return sorted(spark.read.text(path).inputFiles())
+    # file names, which the reader lists on the driver anyway
+    files = lines.groupBy("file").agg(F.bool_and("valid").alias("valid")).collect()
+    named = lambda valid: sorted(unquote(f.file) for f in files if f.valid == valid)
+    return named(True), named(False)
 
 
 def header_of(spark: SparkSession, path: str | list[str], encoding: str = UTF8) -> list[str]:
@@ -79,11 +77,10 @@ def read_raw(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
     ``_rejected`` marks rows with more fields than the header; shorter rows are kept with nulls. A missing path raises
     here, before anything is written. ``multiline`` allows line breaks inside quotes and reads each file in one task.
     """
-    old = legacy_files(spark, path)
+    new, old = files_by_encoding(spark, path)
     if not old:
         rows = _read_text_columns(spark, path, UTF8, multiline)
     else:
-        new = sorted(set(files_of(spark, path)) - set(old))
         rows = _read_text_columns(spark, old, LEGACY, multiline)
         if new:
             rows = _read_text_columns(spark, new, UTF8, multiline).unionByName(rows, allowMissingColumns=True)
