@@ -60,12 +60,18 @@ def _read_text_columns(
         *[missing_to_null(F.col(f"`{n}`")).alias(n) for n in names],
         CORRUPT,
         (_separators(F.col(CORRUPT)) >= len(names)).alias("_too_wide"),
-        F.col("_metadata.file_name").alias("_source_file"),
+        _plain_name(F.col("_metadata.file_name")).alias("_source_file"),
         F.col("_metadata.file_block_start").alias("_block_start"),
         F.monotonically_increasing_id().alias("_row_seq"),
     )
 
 
+def _plain_name(encoded):
+    # file metadata is percent-encoded, in which a plus sign stands for itself
+    decoded = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    return F.when(encoded.contains("%"), decoded).otherwise(encoded)
+
+
 def _separators(record):
     outside_quotes = F.regexp_replace(record, '"(?:[^"]|"")*"', "")
     return F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","), F.lit("")))

@@ -31,12 +31,12 @@ def test_encodings_keep_accents(spark, tmp_path, encoding):
 
 
 def test_folder_with_mixed_encodings(spark, tmp_path):
-    put(tmp_path / "d/a a.csv", "nome\nTatuapé\n", "latin-1")
+    put(tmp_path / "d/a +a.csv", "nome\nTatuapé\n", "latin-1")
     put(tmp_path / "d/b.csv", "nome\nCerqueira César\n", "utf-8-sig")
     put(tmp_path / "d/c.csv", "nome\nSul\n")
     got = bronze(spark, str(tmp_path / "d"))
     assert sorted((r._source_file, r.nome) for r in got.collect()) == [
-        ("a a.csv", "Tatuapé"), ("b.csv", "Cerqueira César"), ("c.csv", "Sul")]
+        ("a +a.csv", "Tatuapé"), ("b.csv", "Cerqueira César"), ("c.csv", "Sul")]
 
 
 def test_quotes_commas_and_missing_marks(spark, tmp_path):
