@@ -93,10 +93,14 @@ def spread_lookup(
     return joined.select(*left.columns, *[c for c in right.columns if c != key])
 
 
-def null_matching_lookup(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join in which a null key matches a null key, as dataframe libraries merge."""
-    other = right.withColumnRenamed(key, "_other_key")
-    return left.join(other, F.col(key).eqNullSafe(F.col("_other_key")), "left").drop("_other_key")
+def null_matching_lookup(left: DataFrame, right: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:
+    """Left join in which a null key matches a null key, as dataframe libraries merge.
+
+    The key is matched as text in which null has its own value, so a frequent null is sliced like any hot key.
+    """
+    matched = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("null")).alias("_match")
+    others = right.select(matched, *[c for c in right.columns if c != key])
+    return spread_lookup(left.select("*", matched), others, "_match", spread_by).drop("_match")
 
 
 def orphan_rows(child: DataFrame, child_key: Column, parent: DataFrame, parent_key: Column) -> DataFrame:
@@ -105,7 +109,8 @@ def orphan_rows(child: DataFrame, child_key: Column, parent: DataFrame, parent_k
         child.select(child_key.alias("_key")).filter("_key is not null")
         .groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
     )
-    parents = parent.select(parent_key.alias("_key"))
+    # the grouping shuffles by the same key as the join, so a repeated parent key costs no second exchange
+    parents = parent.select(parent_key.alias("_key")).distinct()
     return keys.join(parents, "_key", "left_anti").agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("orphans")
     )

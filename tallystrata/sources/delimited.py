@@ -77,15 +77,16 @@ def _separators(record):
     return F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","), F.lit("")))
 
 
-def read_raw(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, multiline: bool = False, encoding: str | None = None) -> DataFrame:
     """Every row of the file or folder at ``path`` as text columns with lineage.
 
     ``_rejected`` marks rows with more fields than the header; shorter rows are kept with nulls. A missing path raises
     here, before anything is written. ``multiline`` allows line breaks inside quotes and reads each file in one task.
+    Without an ``encoding``, one scan finds out which files are not UTF-8; a known encoding saves that scan.
     """
-    new, old = files_by_encoding(spark, path)
+    new, old = ([], []) if encoding else files_by_encoding(spark, path)
     if not old:
-        rows = _read_text_columns(spark, path, UTF8, multiline)
+        rows = _read_text_columns(spark, path, encoding or UTF8, multiline)
     else:
         rows = _read_text_columns(spark, old, LEGACY, multiline)
         if new:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from .delimited import CORRUPT, with_row_index
@@ -16,6 +17,8 @@ LAYERS = ("bronze", "silver", "gold")
 class Lake:
     spark: SparkSession
     root: str
+    # schemas of tables written through this object, which spares reading file footers again
+    schemas: dict[str, StructType] = field(default_factory=dict, compare=False, repr=False)
 
     def path(self, layer: str, table: str) -> str:
         if layer not in LAYERS:
@@ -27,10 +30,14 @@ class Lake:
         return f"{self.root.rstrip('/')}/report"
 
     def write(self, df: DataFrame, layer: str, table: str) -> None:
-        df.write.mode("overwrite").parquet(self.path(layer, table))
+        path = self.path(layer, table)
+        df.write.mode("overwrite").parquet(path)
+        self.schemas[path] = df.schema
 
     def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, table))
+        path = self.path(layer, table)
+        reader = self.spark.read.schema(self.schemas[path]) if path in self.schemas else self.spark.read
+        return reader.parquet(path)
 
     def exists(self, layer: str, table: str) -> bool:
         try:

@@ -106,7 +106,7 @@ def test_unknown_join_kind(rows):
 def test_null_keys_match_only_on_request(rows):
     left, right = rows("k int", (1,), (None,)), rows("k int, v string", (1, "a"), (None, "n"))
     assert tuples(left.join(right, "k", "left")) == [(1, "a"), (None, None)]
-    assert tuples(lookup.null_matching_lookup(left, right, "k")) == [(1, "a"), (None, "n")]
+    assert tuples(lookup.null_matching_lookup(left, right, "k", ["k"])) == [(1, "a"), (None, "n")]
 
 
 def test_orphans_ignore_null_keys(rows):

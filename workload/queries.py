@@ -351,7 +351,7 @@ def spread_lookup_hot(b: Bank) -> DataFrame:
 def null_matching_join(b: Bank) -> DataFrame:
     left = b.accounts().groupBy("branch_id").agg(F.count(F.lit(1)).alias("accounts"))
     right = b.accounts().groupBy("branch_id").agg(numeric.as_double(numeric.money_sum(F.col("balance"))).alias("balance"))
-    return lookup.null_matching_lookup(left, right, "branch_id")
+    return lookup.null_matching_lookup(left, right, "branch_id", ["accounts"])
 
 
 # --- dimensions ------------------------------------------------------------------------------------------------
