@@ -1,7 +1,8 @@
 """Enrichment joins and the aggregate facts.
 
-Transactions and proposals are joined and aggregated once, into cubes keyed by natural keys; the facts are roll-ups of
-the cubes. Branch and type positions are attached to the cubes, never to the rows.
+Branch positions and age bands are attached to the dimensions, the dimensions are joined to transactions and proposals
+once, and every fact is a roll-up of the placed rows. Rolling up a roll-up gives the same sums, so the batch job
+aggregates the placed rows to a cube and takes the facts from that.
 """
 
 from __future__ import annotations
@@ -11,165 +12,192 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import calendar, labels
-from ..functions.numeric import as_double, money_sum, percent, rate_sum
+from ..functions.numeric import as_double, money_sum, percent
 from ..operators.dedup import keep_first, keep_last
-from ..operators.lookup import spread_lookup
+from ..operators.lookup import hot_keys, spread_lookup
 from ..operators.numbering import dense_index, frequency_index
 
 UNDEFINED_BAND = len(labels.AGE_BANDS)
+FILE_ORDER = ("file_order",)
+RATE = "decimal(12,8)"
 
 
 def branch_positions(branches: DataFrame) -> DataFrame:
     return dense_index(branches.select("branch_id"), "branch_id", "branch_ix")
 
 
-def type_positions(cube: DataFrame) -> DataFrame:
-    """Transaction types by frequency; ``cube`` has ``tx_type`` and ``cnt``."""
-    counts = cube.groupBy("tx_type").agg(F.sum("cnt").alias("cnt"))
+def type_positions(rows: DataFrame) -> DataFrame:
+    """Transaction types by frequency; ``rows`` has ``tx_type`` and ``cnt``."""
+    counts = rows.groupBy("tx_type").agg(F.sum("cnt").alias("cnt"))
     return frequency_index(counts, "tx_type", "cnt", "type_ix").select("tx_type", "type_ix")
 
 
-def _band_ix(column: str = "band_ix") -> Column:
-    return F.coalesce(column, F.lit(UNDEFINED_BAND))
+def _band_ix() -> Column:
+    return labels.age_band_index(F.col("age_band")).alias("band_ix")
 
 
-def client_bands(clients: DataFrame) -> DataFrame:
-    return clients.select("client_id", labels.age_band_index(F.col("age_band")).alias("band_ix"))
+def _known_band() -> Column:
+    return F.coalesce("band_ix", F.lit(UNDEFINED_BAND))
 
 
-def account_dimension(accounts: DataFrame, clients: DataFrame) -> DataFrame:
-    """Account -> branch and age band of its client."""
+def _totals(names: Sequence[str]) -> list[Column]:
+    return [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in names]
+
+
+# --- dimensions ------------------------------------------------------------------------------------------------
+
+def account_dimension(accounts: DataFrame, clients: DataFrame, branch_ix: DataFrame) -> DataFrame:
+    """Account -> branch position and age band of its client."""
     rows = accounts.select("account_id", "client_id", "branch_id")
-    return spread_lookup(rows, client_bands(clients), "client_id", ["account_id"]).drop("client_id")
+    hot = hot_keys(rows, "client_id", "branch_id")
+    rows = spread_lookup(rows, clients.select("client_id", _band_ix()), "client_id", ["account_id"], hot=hot["client_id"])
+    rows = spread_lookup(rows, branch_ix, "branch_id", ["account_id"], hot=hot["branch_id"])
+    return rows.select("account_id", "branch_ix", "band_ix")
 
 
-def primary_accounts(accounts: DataFrame, order: Sequence[str] = ("file_order",)) -> DataFrame:
+def primary_accounts(accounts: DataFrame, order: Sequence[str] = FILE_ORDER) -> DataFrame:
     """First account of each client in file order."""
     rows = accounts.filter(F.col("client_id").isNotNull()).select("client_id", "branch_id", "balance", *order)
     return keep_first(rows, ["client_id"], order).drop(*order)
 
 
-def client_dimension(clients: DataFrame, accounts: DataFrame, order: Sequence[str] = ("file_order",)) -> DataFrame:
-    """Client -> band, join year, branch and balance of the primary account."""
-    rows = clients.select(
-        "client_id",
-        labels.age_band_index(F.col("age_band")).alias("band_ix"),
-        calendar.year(F.col("joined_at")).alias("joined_year"),
-    )
-    return rows.join(primary_accounts(accounts, order), "client_id", "left")
+def client_dimension(
+    clients: DataFrame, accounts: DataFrame, branch_ix: DataFrame, order: Sequence[str] = FILE_ORDER
+) -> DataFrame:
+    """Client -> band, join year, and branch, branch position and balance of the primary account."""
+    rows = clients.select("client_id", _band_ix(), calendar.year(F.col("joined_at")).alias("joined_year"))
+    # one row per client on both sides
+    placed = rows.join(primary_accounts(accounts, order), "client_id", "left")
+    hot = hot_keys(accounts, "branch_id")["branch_id"]
+    return spread_lookup(placed, branch_ix, "branch_id", ["client_id"], hot=hot)
 
 
-def tx_cube(transactions: DataFrame, accounts: DataFrame, clients: DataFrame) -> DataFrame:
-    """Transactions by year, month, branch, band and type: the one join of the transaction table."""
+def employee_branches(employee_branch: DataFrame, order: Sequence[str] = FILE_ORDER) -> DataFrame:
+    """Employee -> branch; the last row of an employee wins."""
+    last = keep_last(employee_branch, ["employee_id"], order)
+    return last.select("employee_id", F.col("branch_id").alias("employee_branch_id"))
+
+
+# --- transactions ----------------------------------------------------------------------------------------------
+
+TX_CUBE = ("year", "month", "branch_ix", "band_ix", "tx_type")
+
+
+def placed_transactions(transactions: DataFrame, account_dim: DataFrame) -> DataFrame:
+    """Transactions with branch position and band: the one join of the transaction table."""
     rows = transactions.select(
-        "account_id", "tx_id", "tx_type", "amount",
+        "account_id", "tx_id", "tx_type",
         calendar.year(F.col("tx_at")).alias("year"), calendar.month(F.col("tx_at")).alias("month"),
+        F.lit(1).cast("bigint").alias("cnt"), F.abs("amount").cast("decimal(14,2)").alias("vol"),
     ).filter("year > 0")
-    joined = spread_lookup(rows, account_dimension(accounts, clients), "account_id", ["tx_id"])
-    return joined.groupBy("year", "month", "branch_id", _band_ix().alias("band_ix"), "tx_type").agg(
-        F.count(F.lit(1)).alias("cnt"), money_sum(F.abs("amount")).alias("vol")
-    )
+    joined = spread_lookup(rows, account_dim, "account_id", ["tx_id"])
+    return joined.select("year", "month", "branch_ix", _known_band().alias("band_ix"), "tx_type", "cnt", "vol")
+
 
+def tx_cube(transactions: DataFrame, accounts: DataFrame, clients: DataFrame, branch_ix: DataFrame) -> DataFrame:
+    placed = placed_transactions(transactions, account_dimension(accounts, clients, branch_ix))
+    return placed.groupBy(*TX_CUBE).agg(*_totals(["cnt", "vol"]))
 
-def _roll_up(cube: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return cube.groupBy(*keys).agg(F.sum("cnt").alias("cnt"), as_double(F.sum("vol")).alias("vol"))
 
+def _tx_fact(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(*_totals(["cnt", "vol"])).withColumn("vol", as_double(F.col("vol")))
 
-def tx_evolution(cube: DataFrame, branch_ix: DataFrame) -> DataFrame:
+
+def tx_evolution(rows: DataFrame) -> DataFrame:
     """Monthly counts and volume; an unknown branch stays as a null position."""
-    return _roll_up(cube.join(branch_ix, "branch_id", "left"), ["year", "month", "branch_ix", "band_ix"])
+    return _tx_fact(rows, ["year", "month", "branch_ix", "band_ix"])
+
 
+def tx_by_type(rows: DataFrame, type_ix: DataFrame) -> DataFrame:
+    """Yearly counts and volume per type; unknown branches and types drop out. Positions are attached to the groups."""
+    known = rows.dropna(subset=["branch_ix", "tx_type"])
+    grouped = known.groupBy("year", "branch_ix", "band_ix", "tx_type").agg(*_totals(["cnt", "vol"]))
+    return grouped.join(type_ix, "tx_type").select(
+        "year", "branch_ix", "band_ix", "type_ix", "cnt", as_double(F.col("vol")).alias("vol")
+    )
 
-def tx_by_type(cube: DataFrame, branch_ix: DataFrame, type_ix: DataFrame) -> DataFrame:
-    """Yearly counts and volume per type; unknown branches and types drop out."""
-    rows = cube.join(branch_ix, "branch_id").join(type_ix, "tx_type")
-    return _roll_up(rows, ["year", "branch_ix", "band_ix", "type_ix"])
 
+def withdrawals(rows: DataFrame, text: str = labels.WITHDRAWAL_TEXT) -> DataFrame:
+    taken = rows.filter(labels.contains_text(F.col("tx_type"), text)).dropna(subset=["branch_ix"])
+    return _tx_fact(taken, ["year", "month", "branch_ix", "band_ix"]).drop("cnt")
 
-def withdrawals(cube: DataFrame, branch_ix: DataFrame, text: str = labels.WITHDRAWAL_TEXT) -> DataFrame:
-    rows = cube.filter(labels.contains_text(F.col("tx_type"), text)).join(branch_ix, "branch_id")
-    return _roll_up(rows, ["year", "month", "branch_ix", "band_ix"]).drop("cnt")
 
+# --- clients ---------------------------------------------------------------------------------------------------
 
 def client_facts(
-    client_dim: DataFrame,
-    branches: DataFrame,
-    branch_ix: DataFrame,
-    states: Sequence[str] = labels.ACTIVE_STATES,
+    client_dim: DataFrame, branches: DataFrame, states: Sequence[str] = labels.ACTIVE_STATES
 ) -> DataFrame:
     """Clients and balance by branch, band, state and join year; states outside the list drop out."""
-    by_branch = client_dim.groupBy("branch_id", "band_ix", "joined_year").agg(
-        F.count(F.lit(1)).alias("cnt"), money_sum(F.col("balance")).alias("balance")
+    by_branch = (
+        client_dim.dropna(subset=["branch_ix", "joined_year"])
+        .groupBy("branch_id", "branch_ix", "band_ix", "joined_year")
+        .agg(F.count(F.lit(1)).alias("cnt"), as_double(money_sum(F.col("balance"))).alias("balance"))
     )
     state_ix = branches.select("branch_id", labels.ordinal(F.col("state"), states).alias("state_ix"))
-    placed = by_branch.join(branch_ix, "branch_id").join(state_ix, "branch_id").dropna(subset=["state_ix", "joined_year"])
-    return placed.groupBy("branch_ix", "band_ix", "state_ix", "joined_year").agg(
-        F.sum("cnt").alias("cnt"), as_double(F.sum("balance")).alias("balance")
+    return by_branch.join(state_ix.dropna(subset=["state_ix"]), "branch_id").select(
+        "branch_ix", "band_ix", "state_ix", "joined_year", "cnt", "balance"
     )
 
 
-def employee_branches(employee_branch: DataFrame, order: Sequence[str] = ("file_order",)) -> DataFrame:
-    """Employee -> branch; the last row of an employee wins."""
-    last = keep_last(employee_branch, ["employee_id"], order)
-    return last.select("employee_id", F.col("branch_id").alias("employee_branch_id"))
+# --- proposals -------------------------------------------------------------------------------------------------
 
+PROPOSAL_SUMS = ("cnt", "proposed", "rate_total", "installments_total", "financed", "down")
+PROPOSAL_CUBE = ("year", "branch_ix", "band_ix", "status_ix", "rate_bin", "installments")
 
-def proposal_cube(
+
+def placed_proposals(
     proposals: DataFrame,
     client_dim: DataFrame,
     employee_branch: DataFrame,
+    branch_ix: DataFrame,
     bin_edges: Sequence[float] = labels.RATE_BIN_EDGES,
-    order: Sequence[str] = ("file_order",),
+    order: Sequence[str] = FILE_ORDER,
 ) -> DataFrame:
-    """Proposals by year, both candidate branches, band, status, rate bin and installments."""
+    """Proposals with band and the position of the client's branch, else of the employee's; without either they drop out."""
     rows = proposals.select(
-        "proposal_id", "client_id", "employee_id", "monthly_rate",
-        "proposed_amount", "financed_amount", "down_payment", "installments",
+        "proposal_id", "client_id", "employee_id", "installments",
         F.coalesce("year", F.lit(0)).alias("year"),
         labels.status_code(F.col("status")).alias("status_ix"),
         labels.bin_index(percent(F.col("monthly_rate")), bin_edges).alias("rate_bin"),
+        F.lit(1).cast("bigint").alias("cnt"),
+        F.col("proposed_amount").alias("proposed"),
+        F.col("monthly_rate").cast(RATE).alias("rate_total"),
+        F.col("installments").cast("bigint").alias("installments_total"),
+        F.col("financed_amount").alias("financed"),
+        F.col("down_payment").alias("down"),
     )
-    placed = spread_lookup(
-        rows, client_dim.select("client_id", "band_ix", "branch_id"), "client_id", ["proposal_id"], detect_in=proposals
+    by_client = client_dim.select("client_id", "band_ix", F.col("branch_ix").alias("_client_ix"))
+    by_employee = (
+        employee_branches(employee_branch, order)
+        .join(branch_ix.toDF("employee_branch_id", "_employee_ix"), "employee_branch_id")
+        .select("employee_id", "_employee_ix")
     )
-    placed = spread_lookup(
-        placed, employee_branches(employee_branch, order), "employee_id", ["proposal_id"], detect_in=proposals
-    )
-    keys = ["year", "branch_id", "employee_branch_id", _band_ix().alias("band_ix"), "status_ix", "rate_bin", "installments"]
-    return placed.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("cnt"),
-        money_sum(F.col("proposed_amount")).alias("proposed"),
-        rate_sum(F.col("monthly_rate")).alias("rate_total"),
-        money_sum(F.col("financed_amount")).alias("financed"),
-        money_sum(F.col("down_payment")).alias("down"),
+    hot = hot_keys(proposals, "client_id", "employee_id")
+    placed = spread_lookup(rows, by_client, "client_id", ["proposal_id"], hot=hot["client_id"])
+    placed = spread_lookup(placed, by_employee, "employee_id", ["proposal_id"], hot=hot["employee_id"])
+    return (
+        placed.withColumn("branch_ix", F.coalesce("_client_ix", "_employee_ix")).dropna(subset=["branch_ix"])
+        .select(*[_known_band().alias("band_ix") if c == "band_ix" else c for c in (*PROPOSAL_CUBE, *PROPOSAL_SUMS)])
     )
 
 
-def _with_proposal_branch(cube: DataFrame, branch_ix: DataFrame) -> DataFrame:
-    """Position of the client's branch, else of the employee's branch; rows with neither drop out."""
-    by_client = branch_ix.withColumnRenamed("branch_ix", "_client_ix")
-    by_employee = branch_ix.toDF("employee_branch_id", "_employee_ix")
-    return (
-        cube.join(by_client, "branch_id", "left").join(by_employee, "employee_branch_id", "left")
-        .withColumn("branch_ix", F.coalesce("_client_ix", "_employee_ix"))
-        .dropna(subset=["branch_ix"])
-    )
+def proposal_cube(placed: DataFrame) -> DataFrame:
+    return placed.groupBy(*PROPOSAL_CUBE).agg(*_totals(PROPOSAL_SUMS))
 
 
-def proposal_facts(cube: DataFrame, branch_ix: DataFrame) -> DataFrame:
+def proposal_facts(rows: DataFrame) -> DataFrame:
     """Counts and sums by year, branch, band and status; rates are summed, so readers divide by ``cnt``."""
-    return _with_proposal_branch(cube, branch_ix).groupBy("year", "branch_ix", "band_ix", "status_ix").agg(
-        F.sum("cnt").alias("cnt"),
-        as_double(F.sum("proposed")).alias("proposed"),
-        as_double(F.sum("rate_total")).alias("rate_total"),
-        F.coalesce(F.sum(F.col("installments") * F.col("cnt")), F.lit(0)).cast("bigint").alias("installments"),
-        as_double(F.sum("financed")).alias("financed"),
-        as_double(F.sum("down")).alias("down"),
+    grouped = rows.groupBy("year", "branch_ix", "band_ix", "status_ix").agg(*_totals(PROPOSAL_SUMS))
+    return grouped.select(
+        "year", "branch_ix", "band_ix", "status_ix", "cnt", as_double(F.col("proposed")).alias("proposed"),
+        as_double(F.col("rate_total")).alias("rate_total"), F.col("installments_total").alias("installments"),
+        as_double(F.col("financed")).alias("financed"), as_double(F.col("down")).alias("down"),
     )
 
 
-def rate_histogram(cube: DataFrame, branch_ix: DataFrame, clamp_to_zero: bool = False) -> DataFrame:
+def rate_histogram(rows: DataFrame, clamp_to_zero: bool = False) -> DataFrame:
     """Proposals per rate bin and installments; rates outside the bins keep a null bin unless clamped into bin 0."""
     rate_bin = F.coalesce("rate_bin", F.lit(0)) if clamp_to_zero else F.col("rate_bin")
-    rows = _with_proposal_branch(cube, branch_ix).withColumn("rate_bin", rate_bin)
-    return rows.groupBy("year", "branch_ix", "band_ix", "rate_bin", "installments").agg(F.sum("cnt").alias("cnt"))
+    return rows.groupBy("year", "branch_ix", "band_ix", rate_bin.alias("rate_bin"), "installments").agg(
+        F.sum("cnt").alias("cnt")
+    )

@@ -50,16 +50,20 @@ def bank(rows):
     }
 
 
-@pytest.fixture
-def cube(bank):
-    return facts.tx_cube(bank["transactions"], bank["accounts"], bank["clients"])
-
-
 @pytest.fixture
 def branch_ix(bank):
     return facts.branch_positions(bank["branches"])
 
 
+@pytest.fixture(params=["rows", "cube"])
+def cube(request, bank, branch_ix):
+    """Facts come out the same from the placed rows and from their roll-up."""
+    if request.param == "cube":
+        return facts.tx_cube(bank["transactions"], bank["accounts"], bank["clients"], branch_ix)
+    dim = facts.account_dimension(bank["accounts"], bank["clients"], branch_ix)
+    return facts.placed_transactions(bank["transactions"], dim)
+
+
 def tuples(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
@@ -68,45 +72,47 @@ def test_branch_positions_follow_the_key(branch_ix):
     assert tuples(branch_ix) == [(3, 0), (5, 1), (7, 2)]
 
 
-def test_monthly_fact_keeps_unknown_branches(cube, branch_ix):
-    assert tuples(facts.tx_evolution(cube, branch_ix)) == sorted([
+def test_monthly_fact_keeps_unknown_branches(cube):
+    assert tuples(facts.tx_evolution(cube)) == sorted([
         (2020, 1, 2, 0, 2, 15.1), (2020, 2, 0, 1, 1, 0.0), (2020, 1, None, 3, 3, 15.0), (2021, 1, 1, 0, 1, 1.0)], key=repr)
 
 
-def test_type_fact_drops_unknown_branch_and_type(cube, branch_ix):
+def test_type_fact_drops_unknown_branch_and_type(cube):
     type_ix = facts.type_positions(cube)
     assert tuples(type_ix) == sorted([("Pix", 0), ("SAQUE B", 1), ("Saque A", 2)])
-    assert tuples(facts.tx_by_type(cube, branch_ix, type_ix)) == [
+    assert tuples(facts.tx_by_type(cube, type_ix)) == [
         (2020, 0, 1, 0, 1, 0.0), (2020, 2, 0, 1, 1, 5.0), (2020, 2, 0, 2, 1, 10.1)]
 
 
-def test_withdrawal_fact(cube, branch_ix):
-    assert tuples(facts.withdrawals(cube, branch_ix)) == [(2020, 1, 2, 0, 15.1)]
+def test_withdrawal_fact(cube):
+    assert tuples(facts.withdrawals(cube)) == [(2020, 1, 2, 0, 15.1)]
 
 
 def test_client_fact(bank, branch_ix):
-    dim = facts.client_dimension(bank["clients"], bank["accounts"])
+    dim = facts.client_dimension(bank["clients"], bank["accounts"], branch_ix)
     assert {r.client_id: r.branch_id for r in dim.collect()} == {1: 7, 2: 3, 3: 7, 4: 7, 5: None}
     # 2 sits in a state outside the list, 3 has no join year, 5 no account; 4 has no balance
-    assert tuples(facts.client_facts(dim, bank["branches"], branch_ix)) == [(2, 0, 0, 2015, 1, 100.5), (2, 1, 0, 2016, 1, 0.0)]
+    assert tuples(facts.client_facts(dim, bank["branches"])) == [(2, 0, 0, 2015, 1, 100.5), (2, 1, 0, 2016, 1, 0.0)]
 
 
-def proposal_cube(bank):
-    dim = facts.client_dimension(bank["clients"], bank["accounts"])
-    return facts.proposal_cube(bank["proposals"], dim, bank["employee_branch"])
+@pytest.fixture(params=["rows", "cube"])
+def placed(request, bank, branch_ix):
+    dim = facts.client_dimension(bank["clients"], bank["accounts"], branch_ix)
+    rows = facts.placed_proposals(bank["proposals"], dim, bank["employee_branch"], branch_ix)
+    return facts.proposal_cube(rows) if request.param == "cube" else rows
 
 
-def test_proposal_fact(bank, branch_ix):
-    assert tuples(facts.proposal_facts(proposal_cube(bank), branch_ix)) == sorted([
+def test_proposal_fact(placed):
+    assert tuples(facts.proposal_facts(placed)) == sorted([
         (2020, 2, 0, 1, 1, 100.0, 0.014, 12, 80.0, 20.0),
         (2020, 1, 3, 3, 1, 50.0, 0.007, 24, 50.0, 0.0),   # last branch of employee 10 is 5
         (0, 2, 1, 0, 1, 9.0, 0.0, 0, 8.0, 1.0)], key=repr)
 
 
-def test_rate_histogram(bank, branch_ix):
-    got = tuples(facts.rate_histogram(proposal_cube(bank), branch_ix))
+def test_rate_histogram(placed):
+    got = tuples(facts.rate_histogram(placed))
     assert got == sorted([(2020, 2, 0, 3, 12, 1), (2020, 1, 3, None, 24, 1), (0, 2, 1, None, None, 1)], key=repr)
-    clamped = facts.rate_histogram(proposal_cube(bank), branch_ix, clamp_to_zero=True)
+    clamped = facts.rate_histogram(placed, clamp_to_zero=True)
     assert sorted(r.rate_bin for r in clamped.collect()) == [0, 0, 3]
 
 
@@ -122,11 +128,11 @@ def test_branch_without_employees_has_zero(rows):
     assert {r.branch_id: r.employees for r in got.collect()} == {1: 1, 2: 0}
 
 
-def test_counts_add_up(bank, cube, branch_ix):
-    evolution = facts.tx_evolution(cube, branch_ix)
+def test_counts_add_up(bank, cube):
+    evolution = facts.tx_evolution(cube)
     gap = quality.totals_gap(bank["transactions"], evolution).first()
     assert (gap.source_rows, gap.fact_rows, gap.passed) == (7, 7, True)
-    by_type = facts.tx_by_type(cube, branch_ix, facts.type_positions(cube))
+    by_type = facts.tx_by_type(cube, facts.type_positions(cube))
     assert by_type.agg(F.sum("cnt")).first()[0] <= gap.fact_rows
 
 
@@ -143,7 +149,7 @@ def test_facts_do_not_depend_on_partitions_or_slices(spark, rows, seed):
     got = []
     for partitions, width in ((1, "8"), (9, "64")):
         spark.conf.set("spark.sql.shuffle.partitions", width)
-        cube = facts.tx_cube(tx.repartition(partitions), accounts.repartition(partitions), clients)
-        got.append(tuples(facts.tx_evolution(cube, branch_ix)))
+        cube = facts.tx_cube(tx.repartition(partitions), accounts.repartition(partitions), clients, branch_ix)
+        got.append(tuples(facts.tx_evolution(cube)))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert got[0] == got[1] and sum(r[4] for r in got[0]) == 900

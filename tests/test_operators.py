@@ -68,14 +68,14 @@ def test_spread_lookup_equals_plain_join(rows, how, slices):
 
 def test_hot_keys_are_found_and_sliced_by_share(rows):
     df = rows("k string", *[("hot",)] * 600, *[(None,)] * 300, *[(f"k{i}",) for i in range(900)])
-    hot = lookup.hot_keys(df, "k", 100)
+    hot = lookup.hot_keys(df, "k", slices=100)["k"]
     assert dict(hot.slices).keys() == {"hot"}
     assert 33 <= dict(hot.slices)["hot"] <= 36 and 16 <= hot.null_slices <= 18
 
 
 def test_even_keys_use_the_plain_join(rows):
     df = rows("k int, i int", *[(i, i) for i in range(100)])
-    assert lookup.hot_keys(df, "k", 8).balanced
+    assert lookup.hot_keys(df, "k", slices=8)["k"].balanced
     plan = lookup.spread_lookup(df, rows("k int, v int", (1, 1)), "k", ["i"], slices=8)._jdf.queryExecution().toString()
     assert "_slice" not in plan
 

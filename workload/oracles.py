@@ -323,6 +323,8 @@ WITH {PLACED}
 SELECT year, branch_ix, band_ix, rate_bin, installments, count(*) AS cnt FROM placed WHERE branch_ix IS NOT NULL GROUP BY ALL
 """
 
+ORACLES["proposal_cube"] = ORACLES["rate_histogram"]
+
 ORACLES["rate_histogram_clamped"] = f"""
 WITH {PLACED}
 SELECT year, branch_ix, band_ix, coalesce(rate_bin, 0) AS rate_bin, installments, count(*) AS cnt
@@ -447,11 +449,12 @@ SELECT l_suppkey AS employee_id, max(l_partkey) AS employee_branch_id FROM (
 # --- joins
 
 ORACLES["account_dimension"] = f"""
-WITH {CLIENTS} SELECT client_id AS account_id, branch_id, band_ix FROM banded
+WITH {CLIENTS} SELECT client_id AS account_id, branch_ix, band_ix FROM banded LEFT JOIN branch_ix USING (branch_id)
 """
 ORACLES["client_dimension"] = f"""
 WITH {CLIENTS}
-SELECT client_id, band_ix, CAST(year(joined) AS INTEGER) AS joined_year, branch_id, c_acctbal + 0.0 AS balance FROM banded
+SELECT client_id, band_ix, CAST(year(joined) AS INTEGER) AS joined_year, branch_id, branch_ix, c_acctbal + 0.0 AS balance
+FROM banded LEFT JOIN branch_ix USING (branch_id)
 """
 ORACLES["spread_lookup_hot"] = """
 SELECT event_id, CASE WHEN value >= 1 THEN e.event_type END AS event_type, CASE WHEN value >= 1 THEN first_id END AS first_id
