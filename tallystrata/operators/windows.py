@@ -17,8 +17,8 @@ def share_of_total(grouped: DataFrame, count: str, out: str, places: int = 2) ->
 
 
 def top_k(df: DataFrame, by: Column, tie: Sequence[str], k: int) -> DataFrame:
-    """Largest ``k`` rows; ties are settled by ``tie`` so that the result does not depend on row order."""
-    return df.orderBy(by.desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie]).limit(k)
+    """Largest ``k`` rows, nulls first; ties are settled by ``tie`` so that the result does not depend on row order."""
+    return df.orderBy(by.desc_nulls_first(), *[F.col(c).asc_nulls_last() for c in tie]).limit(k)
 
 
 def running_sum(calendar_rows: DataFrame, order: str, value: str, out: str) -> DataFrame:

@@ -1,4 +1,7 @@
-"""Customer, credit, index and transaction analyses. Money is summed as decimal and returned as double."""
+"""Customer, credit, index and transaction analyses, with the null rules of SQL.
+
+Money is summed as decimal and returned as double. A sum without any value is null, and rankings put it first.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import calendar, labels
-from ..functions.numeric import as_double, half_up, int_mean, money_mean, money_sum, percent, rate_mean, ratio
+from ..functions.casting import MONEY
+from ..functions.numeric import as_double, half_up, int_mean, money_mean, percent, rate_mean, ratio
 from ..operators.stats import safe_corr
 from ..operators.windows import previous_value, running_compound, running_sum, share_of_total, top_k
 
@@ -17,8 +21,12 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
+def _sum(col: Column) -> Column:
+    return F.sum(col.cast(MONEY))
+
+
 def _money(col: Column) -> Column:
-    return as_double(half_up(money_sum(col), 2))
+    return as_double(_sum(col))
 
 
 # --- customers -------------------------------------------------------------------------------------------------
@@ -54,7 +62,7 @@ def clients_by_age_band(clients: DataFrame, as_of: str, null_label: str | None =
 def client_balances(clients: DataFrame, accounts: DataFrame, k: int = 10) -> DataFrame:
     """Largest balances over all accounts of a client. Accounts are summed per client before the join."""
     sums = accounts.filter(F.col("client_id").isNotNull()).groupBy("client_id").agg(
-        F.sum(F.col("balance").cast("decimal(14,2)")).alias("balance"), F.count("account_id").alias("accounts")
+        _sum(F.col("balance")).alias("balance"), F.count("account_id").alias("accounts")
     )
     named = sums.join(
         clients.select("client_id", labels.full_name(F.col("first_name"), F.col("last_name")).alias("name")), "client_id"
@@ -127,7 +135,7 @@ def monthly_withdrawals(transactions: DataFrame, text: str = labels.WITHDRAWAL_T
     return (
         transactions.filter(labels.contains_text(F.col("tx_type"), text))
         .groupBy(calendar.month_start(F.col("tx_at")).alias("month_start"))
-        .agg(_rows().alias("withdrawals"), money_sum(F.abs("amount")).alias("volume"))
+        .agg(_rows().alias("withdrawals"), _sum(F.abs("amount")).alias("volume"))
     )
 
 
@@ -135,7 +143,7 @@ def monthly_credit(proposals: DataFrame, status: str = labels.APPROVED_STATUS) -
     return (
         proposals.filter(F.col("status") == status)
         .groupBy(calendar.month_start(F.col("submitted_at")).alias("month_start"))
-        .agg(_rows().alias("proposals"), money_sum(F.col("financed_amount")).alias("volume"))
+        .agg(_rows().alias("proposals"), _sum(F.col("financed_amount")).alias("volume"))
     )
 
 
@@ -145,7 +153,7 @@ def against_index(monthly: DataFrame, index: DataFrame) -> DataFrame:
     counts = [c for c in monthly.columns if c not in ("month_start", "volume")]
     return joined.select(
         "month_start", *counts,
-        as_double(half_up(F.col("volume"), 2)).alias("volume"),
+        as_double(F.col("volume")).alias("volume"),
         as_double(half_up(percent(F.col("month_rate")), 2)).alias("index_pct"),
     ).orderBy(F.col("month_start").asc_nulls_last())
 
@@ -213,7 +221,7 @@ def month_profile(transactions: DataFrame) -> DataFrame:
 def annual_change(transactions: DataFrame) -> DataFrame:
     """Yearly volume, the volume of the year row before and the change in percent."""
     annual = transactions.groupBy(calendar.year(F.col("tx_at")).alias("year")).agg(
-        money_sum(F.abs("amount")).alias("volume")
+        _sum(F.abs("amount")).alias("volume")
     )
     with_previous = previous_value(annual, "year", "volume", "previous")
     change = ratio(F.col("volume"), F.col("previous")) - 1

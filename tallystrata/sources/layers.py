@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -54,6 +55,11 @@ class Lake:
     def rejects(self, table: str) -> DataFrame:
         return self.read("bronze", table).filter("_rejected").select(CORRUPT, "_source_file", "_ingestion_ts")
 
+    def create_views(self, layer: str, tables: Iterable[str]) -> None:
+        """Temporary views named after the tables, for ad-hoc SQL."""
+        for table in tables:
+            self.read(layer, table).createOrReplaceTempView(table)
+
     def silver(self, table: str) -> DataFrame:
         return self.read("silver", table)
 

@@ -176,7 +176,7 @@ def test_transaction_analyses(rows):
     kpis = analytics.tx_kpis(data).first()
     assert (kpis.transactions, kpis.volume, kpis.mean_ticket) == (4, 45.01, 15.0)
     assert (kpis.first_at, kpis.last_at) == (dt.datetime(2019, 1, 5), dt.datetime(2021, 1, 7))
-    assert tuples(analytics.tx_by_kind(data)) == [("Pix", 2, 40.0, 50.0), ("Saque", 1, 5.01, 25.0), (None, 1, 0.0, 25.0)]
+    assert tuples(analytics.tx_by_kind(data)) == [("Pix", 2, 40.0, 50.0), ("Saque", 1, 5.01, 25.0), (None, 1, None, 25.0)]
     assert tuples(analytics.month_profile(data)) == [(1, 3, 20.0, 40.0), (2, 1, 5.01, 5.01)]
     assert tuples(analytics.annual_change(data)) == [(2019, 15.01, None, None), (2021, 30.0, 15.01, 99.87)]
     assert tuples(analytics.top_accounts(data, k=1)) == [("B", 2, 35.01)]

@@ -4,7 +4,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tallystrata.plans import job, quality, report
+from tallystrata.plans import analytics, job, quality, report
 from tallystrata.sources.layers import Lake
 from tallystrata.sources.report_store import read_report, report_sections
 from workload import raw
@@ -83,6 +83,16 @@ def test_declared_constraints_hold(finished):
     assert found.filter("constraint = 'references'").count() == 6
 
 
+def test_sql_over_silver_views(spark, finished):
+    _, lake = finished
+    lake.create_views("silver", ["transactions", "accounts"])
+    by_sql = spark.sql("""
+        SELECT year(tx_at) AS year, CAST(sum(abs(amount)) AS double) AS volume FROM transactions
+        JOIN accounts USING (account_id) GROUP BY 1 ORDER BY 1""")
+    by_function = analytics.annual_change(lake.silver("transactions")).select("year", "volume")
+    assert by_sql.collect() == by_function.collect()
+
+
 def test_one_stage_alone(spark, finished):
     _, lake = finished
     outcome = job.run(spark, "unused", lake.root, stages=["validate"])

@@ -139,8 +139,8 @@ def test_share_of_total(rows):
 
 
 def test_top_k_ties_and_nulls(rows):
-    df = rows("k int, v double", (3, 1.0), (2, 1.0), (1, None), (4, 5.0))
-    assert [r.k for r in windows.top_k(df, F.col("v"), ["k"], 3).collect()] == [4, 2, 3]
+    df = rows("k int, v double", (3, 1.0), (2, 1.0), (1, None), (4, 5.0), (5, 0.0))
+    assert [r.k for r in windows.top_k(df, F.col("v"), ["k"], 4).collect()] == [1, 4, 2, 3]
 
 
 def test_running_sum_shares_equal_order_values(rows):

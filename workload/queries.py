@@ -10,6 +10,7 @@ from tallystrata.functions import calendar, casting, labels, numeric
 from tallystrata.operators import dedup, lookup, numbering, stats, windows
 from tallystrata.plans import analytics, dims, facts, quality, temporal
 from tallystrata.session import configure
+from tallystrata.sources.scratch import stored
 from tallystrata.sources.tables import Field, Reference, Table
 
 from . import raw
@@ -383,7 +384,7 @@ def grand_totals(b: Bank) -> DataFrame:
 
 @query
 def dense_index(b: Bank) -> DataFrame:
-    return numbering.dense_index(b.table("part").select("p_name").distinct(), "p_name", "name_ix")
+    return numbering.dense_index(stored(b.table("part").select("p_name").distinct()), "p_name", "name_ix")
 
 
 @query
