@@ -8,10 +8,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .numbering import at_most
+
 # At most HOT_LIMIT keys can hold 1/HOT_LIMIT of the rows each, so the list of hot keys is small whatever the input size.
 HOT_LIMIT = 512
 SKETCH_ITEMS = 4096
 SKETCH_GROUPS = 64
+SMALL_ROWS = 20_000
 
 
 @dataclass(frozen=True)
@@ -26,45 +29,33 @@ class HotKeys:
         return not self.slices and self.null_slices <= 1
 
 
-def shuffle_width(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
+def hot_keys(df: DataFrame, key: str, slices: int) -> HotKeys:
+    """Keys whose rows would exceed one of ``slices`` even partitions, and at least 1/HOT_LIMIT of all rows.
 
-def hot_keys(df: DataFrame, *keys: str, slices: int | None = None) -> dict[str, HotKeys]:
-    """Per key column: keys whose rows would exceed one of ``slices`` even partitions, and 1/HOT_LIMIT of all rows.
-
-    One pass over the key columns with bounded sketches. Input partitions are dealt into groups, so no task merges the
+    One pass over the key column with bounded sketches. Input partitions are dealt into groups, so no task merges the
     sketches of all others, and each group reports only its frequent keys. The choice of slices depends on the
     sketches, never a result.
     """
-    slices = shuffle_width(df) if slices is None else slices
     parts = min(HOT_LIMIT, max(slices, 1))
-    sketches = [
-        measure for key in keys for measure in (
-            F.expr(f"approx_top_k(`{key}`, {HOT_LIMIT}, {SKETCH_ITEMS})").alias(f"top_{key}"),
-            F.count(key).alias(f"keyed_{key}"),
-        )
-    ]
     sketched = (
-        df.select(*keys, F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group"))
-        .groupBy("_group").agg(F.count(F.lit(1)).alias("total"), *sketches)
+        df.select(F.col(key).alias("k"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"))
+        .groupBy("g").agg(
+            F.expr(f"approx_top_k(k, {HOT_LIMIT}, {SKETCH_ITEMS})").alias("top"),
+            F.count(F.lit(1)).alias("total"), F.count("k").alias("keyed"),
+        )
     )
     frequent = lambda t: t["item"].isNotNull() & (t["count"] * (2 * parts) > F.col("total"))
     # at most SKETCH_GROUPS rows with a bounded list each
-    groups = sketched.withColumns({f"top_{k}": F.filter(f"top_{k}", frequent) for k in keys}).collect()
-    total = sum(g["total"] for g in groups)
+    groups = sketched.select("total", "keyed", F.filter("top", frequent).alias("top")).collect()
+    total = sum(g.total for g in groups)
     if not total:
-        return {key: HotKeys([], 0) for key in keys}
+        return HotKeys([], 0)
+    counts: dict[object, int] = {}
+    for item in (t for g in groups for t in g.top):
+        counts[item["item"]] = counts.get(item["item"], 0) + item["count"]
     share = lambda rows: math.ceil(rows * slices / total)
-
-    def of(key: str) -> HotKeys:
-        counts: dict[object, int] = {}
-        for item in (t for g in groups for t in g[f"top_{key}"]):
-            counts[item["item"]] = counts.get(item["item"], 0) + item["count"]
-        hot = [(k, share(n)) for k, n in sorted(counts.items(), key=lambda c: -c[1]) if n * parts > total]
-        return HotKeys(hot[:HOT_LIMIT], share(total - sum(g[f"keyed_{key}"] for g in groups)))
-
-    return {key: of(key) for key in keys}
+    hot = [(k, share(n)) for k, n in sorted(counts.items(), key=lambda c: -c[1]) if n * parts > total]
+    return HotKeys(hot[:HOT_LIMIT], share(total - sum(g.keyed for g in groups)))
 
 
 def spread_lookup(
@@ -73,25 +64,34 @@ def spread_lookup(
     key: str,
     spread_by: Sequence[str],
     how: str = "left",
-    hot: HotKeys | None = None,
+    sized_by: DataFrame | None = None,
+    detect_in: DataFrame | None = None,
     slices: int | None = None,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
-    """Join on ``key`` with hot keys of ``left`` cut into slices and the matching ``right`` rows repeated per slice.
-
-    Same result as ``left.join(right, key, how)`` for ``how`` in left, inner. ``spread_by`` names left columns whose
-    hash picks the slice, so a recomputed task sends each row to the same place. Null keys match nothing and are
-    spread as well. ``hot`` is given when ``left`` itself is costly to compute twice. ``slices`` defaults to the
-    session's shuffle partitions. Without hot keys this is the plain join.
+    """Join on ``key`` that stays balanced. Same result as ``left.join(right, key, how)`` for ``how`` in left, inner.
+
+    A ``right`` of at most ``small_rows`` rows is broadcast. Otherwise hot keys of ``left`` are cut into slices, picked
+    by the hash of the ``spread_by`` columns (a recomputed task sends each row to the same place), and the matching
+    ``right`` rows are repeated per slice; null keys match nothing and are spread as well. Without hot keys this is
+    the plain join. ``sized_by`` and ``detect_in`` stand in for ``right`` and ``left`` where these are costly to
+    compute twice: a table with at least as many rows, and one with similar key frequencies. ``slices`` defaults to
+    the session's shuffle partitions.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be left or inner, not {how!r}")
-    hot = hot_keys(left, key, slices=slices)[key] if hot is None else hot
+    columns = [*left.columns, *[c for c in right.columns if c != key]]
+    if at_most(right if sized_by is None else sized_by, small_rows):
+        return left.join(F.broadcast(right), key, how).select(*columns)
+    spark = left.sparkSession
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions")) if slices is None else slices
+    hot = hot_keys(left if detect_in is None else detect_in, key, slices)
     if hot.balanced:
-        return left.join(right, key, how).select(*left.columns, *[c for c in right.columns if c != key])
+        return left.join(right, key, how).select(*columns)
 
     schema = T.StructType([T.StructField(key, left.schema[key].dataType), T.StructField("_slices", T.IntegerType())])
     # at most HOT_LIMIT rows
-    cuts = F.broadcast(left.sparkSession.createDataFrame(hot.slices, schema))
+    cuts = F.broadcast(spark.createDataFrame(hot.slices, schema))
     row_hash = F.xxhash64(*spread_by)
     count = F.when(F.col(key).isNull(), F.lit(max(hot.null_slices, 1))).otherwise(F.coalesce("_slices", F.lit(1)))
     cut = left.join(cuts, key, "left").withColumn("_slice", F.pmod(row_hash, count).cast("int"))
@@ -99,8 +99,7 @@ def spread_lookup(
         right.filter(F.col(key).isNotNull()).join(cuts, key, "left")
         .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)))
     )
-    joined = cut.drop("_slices").join(repeated.drop("_slices"), [key, "_slice"], how)
-    return joined.select(*left.columns, *[c for c in right.columns if c != key])
+    return cut.drop("_slices").join(repeated.drop("_slices"), [key, "_slice"], how).select(*columns)
 
 
 def null_matching_lookup(left: DataFrame, right: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:
@@ -119,8 +118,8 @@ def orphan_rows(child: DataFrame, child_key: Column, parent: DataFrame, parent_k
         child.select(child_key.alias("_key")).filter("_key is not null")
         .groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
     )
-    # the grouping shuffles by the same key as the join, so a repeated parent key costs no second exchange
-    parents = parent.select(parent_key.alias("_key")).distinct()
-    return keys.join(parents, "_key", "left_anti").agg(
+    # both groupings shuffle by the join key; an anti join would be pushed below them, back onto the rows
+    parents = parent.select(parent_key.alias("_key")).distinct().withColumn("_known", F.lit(True))
+    return keys.join(parents, "_key", "left").filter("_known is null").agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("orphans")
     )

@@ -9,14 +9,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..sources.scratch import stored
 
 # Up to here one task may sort the whole dimension; a larger one is numbered range by range.
-SINGLE_TASK_ROWS = 100_000
+SINGLE_TASK_ROWS = 20_000
+
+
+def at_most(df: DataFrame, rows: int) -> bool:
+    """Size check that stops after ``rows`` + 1 rows; nothing but their number leaves the executors."""
+    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
 
 
 def number_rows(
     df: DataFrame, order: Sequence[Column], out: str, single_task_rows: int = SINGLE_TASK_ROWS
 ) -> DataFrame:
     """Adds ``out`` = 0, 1, 2, ... in a total order. Reads ``df`` once to check its size, so give a stored table."""
-    if df.limit(single_task_rows + 1).count() <= single_task_rows:
+    if at_most(df, single_task_rows):
         return df.withColumn(out, F.row_number().over(Window.orderBy(*order)) - 1)
     return _number_by_ranges(df, order, out)
 

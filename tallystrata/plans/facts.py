@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import calendar, labels
 from ..functions.numeric import as_double, money_sum, percent
 from ..operators.dedup import keep_first, keep_last
-from ..operators.lookup import hot_keys, spread_lookup
+from ..operators.lookup import spread_lookup
 from ..operators.numbering import dense_index, frequency_index
 
 UNDEFINED_BAND = len(labels.AGE_BANDS)
@@ -49,10 +49,9 @@ def _totals(names: Sequence[str]) -> list[Column]:
 def account_dimension(accounts: DataFrame, clients: DataFrame, branch_ix: DataFrame) -> DataFrame:
     """Account -> branch position and age band of its client."""
     rows = accounts.select("account_id", "client_id", "branch_id")
-    hot = hot_keys(rows, "client_id", "branch_id")
-    rows = spread_lookup(rows, clients.select("client_id", _band_ix()), "client_id", ["account_id"], hot=hot["client_id"])
-    rows = spread_lookup(rows, branch_ix, "branch_id", ["account_id"], hot=hot["branch_id"])
-    return rows.select("account_id", "branch_ix", "band_ix")
+    banded = spread_lookup(rows, clients.select("client_id", _band_ix()), "client_id", ["account_id"])
+    placed = spread_lookup(banded, branch_ix, "branch_id", ["account_id"], detect_in=rows)
+    return placed.select("account_id", "branch_ix", "band_ix")
 
 
 def primary_accounts(accounts: DataFrame, order: Sequence[str] = FILE_ORDER) -> DataFrame:
@@ -68,8 +67,7 @@ def client_dimension(
     rows = clients.select("client_id", _band_ix(), calendar.year(F.col("joined_at")).alias("joined_year"))
     # one row per client on both sides
     placed = rows.join(primary_accounts(accounts, order), "client_id", "left")
-    hot = hot_keys(accounts, "branch_id")["branch_id"]
-    return spread_lookup(placed, branch_ix, "branch_id", ["client_id"], hot=hot)
+    return spread_lookup(placed, branch_ix, "branch_id", ["client_id"], detect_in=accounts)
 
 
 def employee_branches(employee_branch: DataFrame, order: Sequence[str] = FILE_ORDER) -> DataFrame:
@@ -83,19 +81,22 @@ def employee_branches(employee_branch: DataFrame, order: Sequence[str] = FILE_OR
 TX_CUBE = ("year", "month", "branch_ix", "band_ix", "tx_type")
 
 
-def placed_transactions(transactions: DataFrame, account_dim: DataFrame) -> DataFrame:
+def placed_transactions(
+    transactions: DataFrame, accounts: DataFrame, clients: DataFrame, branch_ix: DataFrame
+) -> DataFrame:
     """Transactions with branch position and band: the one join of the transaction table."""
     rows = transactions.select(
         "account_id", "tx_id", "tx_type",
         calendar.year(F.col("tx_at")).alias("year"), calendar.month(F.col("tx_at")).alias("month"),
         F.lit(1).cast("bigint").alias("cnt"), F.abs("amount").cast("decimal(14,2)").alias("vol"),
     ).filter("year > 0")
-    joined = spread_lookup(rows, account_dim, "account_id", ["tx_id"])
+    account_dim = account_dimension(accounts, clients, branch_ix)
+    joined = spread_lookup(rows, account_dim, "account_id", ["tx_id"], sized_by=accounts)
     return joined.select("year", "month", "branch_ix", _known_band().alias("band_ix"), "tx_type", "cnt", "vol")
 
 
 def tx_cube(transactions: DataFrame, accounts: DataFrame, clients: DataFrame, branch_ix: DataFrame) -> DataFrame:
-    placed = placed_transactions(transactions, account_dimension(accounts, clients, branch_ix))
+    placed = placed_transactions(transactions, accounts, clients, branch_ix)
     return placed.groupBy(*TX_CUBE).agg(*_totals(["cnt", "vol"]))
 
 
@@ -152,8 +153,12 @@ def placed_proposals(
     branch_ix: DataFrame,
     bin_edges: Sequence[float] = labels.RATE_BIN_EDGES,
     order: Sequence[str] = FILE_ORDER,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Proposals with band and the position of the client's branch, else of the employee's; without either they drop out."""
+    """Proposals with band and the position of the client's branch, else of the employee's; without either they drop out.
+
+    ``sized_by`` is the client table when ``client_dim`` is not stored.
+    """
     rows = proposals.select(
         "proposal_id", "client_id", "employee_id", "installments",
         F.coalesce("year", F.lit(0)).alias("year"),
@@ -172,9 +177,12 @@ def placed_proposals(
         .join(branch_ix.toDF("employee_branch_id", "_employee_ix"), "employee_branch_id")
         .select("employee_id", "_employee_ix")
     )
-    hot = hot_keys(proposals, "client_id", "employee_id")
-    placed = spread_lookup(rows, by_client, "client_id", ["proposal_id"], hot=hot["client_id"])
-    placed = spread_lookup(placed, by_employee, "employee_id", ["proposal_id"], hot=hot["employee_id"])
+    placed = spread_lookup(
+        rows, by_client, "client_id", ["proposal_id"], sized_by=sized_by, detect_in=proposals
+    )
+    placed = spread_lookup(
+        placed, by_employee, "employee_id", ["proposal_id"], sized_by=employee_branch, detect_in=proposals
+    )
     return (
         placed.withColumn("branch_ix", F.coalesce("_client_ix", "_employee_ix")).dropna(subset=["branch_ix"])
         .select(*[_known_band().alias("band_ix") if c == "band_ix" else c for c in (*PROPOSAL_CUBE, *PROPOSAL_SUMS)])

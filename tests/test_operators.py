@@ -54,13 +54,14 @@ def brute(left, right, how):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("slices", [1, 5, 64])
-def test_spread_lookup_equals_plain_join(rows, how, slices):
+@pytest.mark.parametrize("slices, small_rows", [(1, 0), (5, 0), (64, 0), (64, 1000)])
+def test_spread_lookup_equals_plain_join(rows, how, slices, small_rows):
     rng = random.Random(slices)
     left = [(rng.choice([1] * 40 + [None] * 20 + list(range(2, 30))), i) for i in range(400)]
     right = [(k, f"v{k}") for k in range(1, 20)] + [(1, "again"), (None, "never")]
     got = lookup.spread_lookup(
-        rows("k int, i int", *left), rows("k int, v string", *right), "k", ["i"], how, slices=slices
+        rows("k int, i int", *left), rows("k int, v string", *right), "k", ["i"], how, slices=slices,
+        small_rows=small_rows,
     )
     assert got.columns == ["k", "i", "v"]
     assert tuples(got) == brute(left, right, how)
@@ -68,16 +69,17 @@ def test_spread_lookup_equals_plain_join(rows, how, slices):
 
 def test_hot_keys_are_found_and_sliced_by_share(rows):
     df = rows("k string", *[("hot",)] * 600, *[(None,)] * 300, *[(f"k{i}",) for i in range(900)])
-    hot = lookup.hot_keys(df, "k", slices=100)["k"]
+    hot = lookup.hot_keys(df, "k", 100)
     assert dict(hot.slices).keys() == {"hot"}
     assert 33 <= dict(hot.slices)["hot"] <= 36 and 16 <= hot.null_slices <= 18
 
 
 def test_even_keys_use_the_plain_join(rows):
     df = rows("k int, i int", *[(i, i) for i in range(100)])
-    assert lookup.hot_keys(df, "k", slices=8)["k"].balanced
-    plan = lookup.spread_lookup(df, rows("k int, v int", (1, 1)), "k", ["i"], slices=8)._jdf.queryExecution().toString()
-    assert "_slice" not in plan
+    assert lookup.hot_keys(df, "k", 8).balanced
+    plan = lambda small: lookup.spread_lookup(
+        df, rows("k int, v int", (1, 1)), "k", ["i"], slices=8, small_rows=small)._jdf.queryExecution().toString()
+    assert "_slice" not in plan(0) and "SortMergeJoin" in plan(0) and "BroadcastHashJoin" in plan(1)
 
 
 def test_hot_rows_spread_over_tasks(spark, rows):
@@ -85,7 +87,7 @@ def test_hot_rows_spread_over_tasks(spark, rows):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         df = spark.range(2000).select(F.when(F.col("id") < 1500, 1).otherwise(F.col("id")).cast("int").alias("k"), "id")
-        joined = lookup.spread_lookup(df, rows("k int, v int", (1, 1)), "k", ["id"], slices=64)
+        joined = lookup.spread_lookup(df, rows("k int, v int", (1, 1)), "k", ["id"], slices=64, small_rows=0)
         sizes = [r.n for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
         assert len(sizes) == 8 and max(sizes) < 1000
     finally:
@@ -94,7 +96,7 @@ def test_hot_rows_spread_over_tasks(spark, rows):
 
 
 def test_empty_left_side(rows):
-    got = lookup.spread_lookup(rows("k int, i int"), rows("k int, v int", (1, 1)), "k", ["i"])
+    got = lookup.spread_lookup(rows("k int, i int"), rows("k int, v int", (1, 1)), "k", ["i"], small_rows=0)
     assert got.collect() == []
 
 
@@ -115,8 +117,20 @@ def test_orphans_ignore_null_keys(rows):
     assert lookup.orphan_rows(child.filter("c = 1"), F.col("c"), parent, F.col("p")).first().orphans == 0
 
 
+def test_orphans_are_counted_before_the_join(rows):
+    child, parent = rows("c int", (1,)), rows("p int", (1,))
+    plan = lookup.orphan_rows(child, F.col("c"), parent, F.col("p"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate [_key")
+
+
 # --- numbering
 
+@pytest.mark.parametrize("rows_in, limit, small", [(5, 5, True), (6, 5, False), (0, 0, True)])
+def test_size_check(spark, rows_in, limit, small):
+    assert numbering.at_most(spark.range(rows_in), limit) is small
+
+
+
 @pytest.mark.parametrize("limit", [1000, 3])
 def test_dense_index(rows, limit):
     df = rows("k string", *[(f"n{i:03}",) for i in random.Random(7).sample(range(200), 200)])

@@ -175,9 +175,7 @@ def index_slice(b: Bank) -> DataFrame:
 
 def _placed(b: Bank) -> DataFrame:
     branch_ix = facts.branch_positions(b.branches())
-    return facts.placed_transactions(
-        b.transactions(), facts.account_dimension(b.accounts(), b.silver_clients(), branch_ix)
-    )
+    return facts.placed_transactions(b.transactions(), b.accounts(), b.silver_clients(), branch_ix)
 
 
 @query
@@ -205,7 +203,9 @@ def fact_clients(b: Bank) -> DataFrame:
 def _placed_proposals(b: Bank) -> DataFrame:
     branch_ix = facts.branch_positions(b.branches())
     dim = facts.client_dimension(b.silver_clients(), b.accounts(), branch_ix)
-    return facts.placed_proposals(b.proposals(with_client=True), dim, b.employee_branch(), branch_ix)
+    return facts.placed_proposals(
+        b.proposals(with_client=True), dim, b.employee_branch(), branch_ix, sized_by=b.clients()
+    )
 
 
 @query
@@ -354,7 +354,7 @@ def spread_lookup_hot(b: Bank) -> DataFrame:
     """Events against a lookup of their few types: every key is hot and is cut into slices."""
     kinds = b.table("events").groupBy("event_type").agg(F.min("event_id").alias("first_id"))
     rows = b.table("events").select("event_id", F.when(F.col("value") >= 1, F.col("event_type")).alias("event_type"))
-    return lookup.spread_lookup(rows, kinds, "event_type", ["event_id"], slices=64)
+    return lookup.spread_lookup(rows, kinds, "event_type", ["event_id"], slices=64, small_rows=1)
 
 
 @query
