@@ -98,10 +98,10 @@ def bin_index(value: Column, edges: Sequence[float], clamp_to_zero: bool = False
 
 
 def without(col: Column, pieces: Sequence[str]) -> Column:
-    """Literal pieces removed, then trimmed."""
+    """Literal pieces removed, then white space at both ends."""
     for piece in pieces:
         col = F.replace(col, F.lit(piece), F.lit(""))
-    return F.trim(col)
+    return F.trim(col, F.lit(" \t\r\n"))
 
 
 def last_part(col: Column, separator: str, trimmed: bool = False) -> Column:

@@ -15,6 +15,7 @@ class Field:
     type: str           # type of the typed bulk load
     required: bool = False   # NOT NULL
     optional: bool = False   # the raw file may lack the column
+    length: int | None = None   # longest text allowed
 
 
 @dataclass(frozen=True)
@@ -57,45 +58,45 @@ def unique_names(names: list[str]) -> list[str]:
 TABLES: tuple[Table, ...] = (
     Table("branches", "agencias.csv", (
         Field("cod_agencia", "branch_id", "bigint", required=True),
-        Field("nome", "branch_name", "string", required=True),
-        Field("endereco", "address", "string"),
-        Field("cidade", "city", "string"),
-        Field("uf", "state", "string"),
+        Field("nome", "branch_name", "string", required=True, length=120),
+        Field("endereco", "address", "string", length=200),
+        Field("cidade", "city", "string", length=80),
+        Field("uf", "state", "string", length=2),
         Field("data_abertura", "opened_on", "date"),
-        Field("tipo_agencia", "branch_kind", "string"),
+        Field("tipo_agencia", "branch_kind", "string", length=40),
     ), key="branch_id"),
     Table("clients", "clientes.csv", (
         Field("cod_cliente", "client_id", "bigint", required=True),
-        Field("primeiro_nome", "first_name", "string", optional=True),
-        Field("ultimo_nome", "last_name", "string", optional=True),
-        Field("email", "email", "string", optional=True),
-        Field("tipo_cliente", "client_kind", "string", required=True, optional=True),
+        Field("primeiro_nome", "first_name", "string", optional=True, length=60),
+        Field("ultimo_nome", "last_name", "string", optional=True, length=80),
+        Field("email", "email", "string", optional=True, length=120),
+        Field("tipo_cliente", "client_kind", "string", required=True, optional=True, length=15),
         Field("data_nascimento", "birth_date", "date"),
-        Field("cpfcnpj", "tax_id", "string", optional=True),
-        Field("endereco", "address", "string", optional=True),
-        Field("cep", "postcode", "string", optional=True),
+        Field("cpfcnpj", "tax_id", "string", optional=True, length=20),
+        Field("endereco", "address", "string", optional=True, length=200),
+        Field("cep", "postcode", "string", optional=True, length=15),
         Field("data_inclusao", "joined_at", "timestamp"),
     ), key="client_id"),
     Table("employees", "colaboradores.csv", (
         Field("cod_colaborador", "employee_id", "bigint", required=True),
-        Field("primeiro_nome", "first_name", "string", optional=True),
-        Field("ultimo_nome", "last_name", "string", optional=True),
+        Field("primeiro_nome", "first_name", "string", optional=True, length=60),
+        Field("ultimo_nome", "last_name", "string", optional=True, length=80),
         Field("email", "email", "string", optional=True),
         Field("cpf", "tax_id", "string", optional=True),
         Field("data_nascimento", "birth_date", "date", optional=True),
         Field("endereco", "address", "string", optional=True),
         Field("cep", "postcode", "string", optional=True),
-        Field("cargo", "role", "string", optional=True),
+        Field("cargo", "role", "string", optional=True, length=80),
     ), key="employee_id"),
     Table("employee_branch", "colaborador_agencia.csv", (
         Field("cod_colaborador", "employee_id", "bigint", required=True),
         Field("cod_agencia", "branch_id", "bigint", required=True),
     )),
     Table("accounts", "contas.csv", (
-        Field("num_conta", "account_id", "string", required=True),
+        Field("num_conta", "account_id", "string", required=True, length=20),
         Field("cod_cliente", "client_id", "bigint"),
         Field("cod_agencia", "branch_id", "bigint"),
-        Field("tipo_conta", "account_kind", "string", optional=True),
+        Field("tipo_conta", "account_kind", "string", optional=True, length=40),
         Field("data_abertura", "opened_on", "date"),
         Field("saldo_total", "balance", "decimal(14,2)"),
         Field("saldo_disponivel", "available_balance", "decimal(14,2)", optional=True),
@@ -112,13 +113,13 @@ TABLES: tuple[Table, ...] = (
         Field("valor_prestacao", "installment_amount", "decimal(14,2)", optional=True),
         Field("quantidade_parcelas", "installments", "int"),
         Field("carencia", "grace_months", "int", optional=True),
-        Field("status_proposta", "status", "string"),
+        Field("status_proposta", "status", "string", length=40),
     ), key="proposal_id"),
     Table("transactions", "transacoes.csv", (
         Field("cod_transacao", "tx_id", "bigint", required=True),
-        Field("num_conta", "account_id", "string"),
+        Field("num_conta", "account_id", "string", length=20),
         Field("data_transacao", "tx_at", "timestamp", required=True),
-        Field("nome_transacao", "tx_type", "string"),
+        Field("nome_transacao", "tx_type", "string", length=80),
         Field("valor_transacao", "amount", "decimal(14,2)"),
     ), key="tx_id"),
     Table("price_index", "ipca.csv", (

@@ -30,6 +30,12 @@ def test_int_from_text(spark, given, expected):
     assert value(spark, casting.to_int(text(given))) == expected
 
 
+def test_whole_number_keys(spark):
+    assert value(spark, casting.to_key(text(" 12.0 "))) == 12
+    assert value(spark, casting.to_key(text(None))) is None
+    assert value(spark, casting.to_key(text(" 007-X "), "string")) == "007-X"
+
+
 def test_invalid_key_fails(spark):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         value(spark, casting.to_key(text("12a")))
@@ -124,7 +130,7 @@ def test_status(spark, status, code):
 
 def test_text_helpers(spark):
     assert value(spark, labels.without(text(" Agência Sul "), labels.BRANCH_NAME_NOISE)) == "Sul"
-    assert value(spark, labels.without(text("Agencia Norte"), labels.BRANCH_NAME_NOISE)) == "Norte"
+    assert value(spark, labels.without(text("Agencia Norte\t"), labels.BRANCH_NAME_NOISE)) == "Norte"
     assert value(spark, labels.without(text(None), labels.BRANCH_NAME_NOISE)) is None
     assert value(spark, labels.last_part(text("Rua A / PE"), "/")) == " PE"
     assert value(spark, labels.last_part(text("Rua A / PE"), "/", trimmed=True)) == "PE"

@@ -7,7 +7,7 @@ from tallystrata.sources.delimited import (
 )
 from tallystrata.sources.layers import Lake, without_lineage
 from tallystrata.sources.scratch import stored
-from tallystrata.sources.tables import BY_NAME, unique_names
+from tallystrata.sources.tables import BY_NAME, INDEX_SERIES, unique_names
 
 
 def put(path, text, encoding="utf-8"):
@@ -126,6 +126,17 @@ def test_typed_load(spark, tmp_path):
     assert float(df.first().amount) == -10.5 and df.first().account_id == "007"
 
 
+def test_typed_load_of_the_index_series(spark, tmp_path):
+    path = put(tmp_path / "i.csv", "mes_referencia,variacao_mensal,acumulado_12m\n2020-01-01,0.0021,0.0419\n")
+    row = read_typed(spark, path, INDEX_SERIES).first()
+    assert (str(row.month_start), float(row.month_rate), float(row.rate_12m)) == ("2020-01-01", 0.0021, 0.0419)
+
+
+def test_known_encoding_needs_no_scan(spark, tmp_path):
+    path = put(tmp_path / "t.csv", "nome\nTatuapé\n", "latin-1")
+    assert [r.nome for r in read_raw(spark, path, encoding="ISO-8859-1").collect()] == ["Tatuapé"]
+
+
 def test_typed_load_stops_at_bad_values_and_headers(spark, tmp_path):
     bad = put(tmp_path / "bad.csv", TX + "1,007,someday,Saque,1\n")
     with pytest.raises(Exception):

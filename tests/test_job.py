@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallystrata.plans import analytics, job, quality, report
 from tallystrata.sources.layers import Lake
 from tallystrata.sources.report_store import read_report, report_sections
+from tallystrata.sources.tables import Field, Table
 from workload import raw
 from workload.bank import Bank
 
@@ -83,6 +84,20 @@ def test_declared_constraints_hold(finished):
     assert found.filter("constraint = 'references'").count() == 6
 
 
+def test_constraints_find_violations(rows):
+    table = Table("t", "", (Field("k", "k", "int", required=True), Field("s", "s", "string", length=2)), "k")
+    frames = {"t": rows("k int, s string", (1, "ab"), (1, "abc"), (None, None)), "u": rows("k int", (2,))}
+    found = quality.constraint_violations(frames, [table], [quality.Reference("t", "k", "u", "k")])
+    assert {(r.constraint, r.column): r.violations for r in found.collect()} == {
+        ("not_null", "k"): 1, ("max_length", "s"): 1, ("unique", "k"): 1, ("references", "k"): 2}
+
+
+def test_without_ingest(spark, finished):
+    first, lake = finished
+    outcome = job.run(spark, "unused", lake.root, stages=["silver", "gold"])
+    assert outcome.rows["gold"] == first.rows["gold"] and "bronze" not in outcome.rows
+
+
 def test_sql_over_silver_views(spark, finished):
     _, lake = finished
     lake.create_views("silver", ["transactions", "accounts"])

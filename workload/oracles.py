@@ -582,6 +582,9 @@ UNION ALL SELECT 'orders', 'not_null', 'o_custkey', count(*) - count(o_custkey)
 UNION ALL SELECT 'orders', 'unique', 'o_orderkey', count(*) - count(DISTINCT o_orderkey) FROM orders
 UNION ALL SELECT 'lineitem', 'not_null', 'l_orderkey', count(*) - count(l_orderkey) FROM lineitem
 UNION ALL SELECT 'lineitem', 'unique', 'l_orderkey', count(*) - count(DISTINCT l_orderkey) FROM lineitem
+UNION ALL SELECT 'lineitem', 'max_length', 'l_returnflag', count(*) FILTER (WHERE length(l_returnflag) > 1) FROM lineitem
+UNION ALL SELECT 'documents', 'max_length', 'text', count(*) FILTER (WHERE length(text) > 1000) FROM documents
+UNION ALL SELECT 'documents', 'unique', 'doc_id', count(*) - count(DISTINCT doc_id) FROM documents
 UNION ALL SELECT 'customer', 'references', 'c_nationkey', count(*) FROM customer
   WHERE c_acctbal >= 500 AND c_nationkey NOT IN (SELECT n_nationkey FROM nation)
 UNION ALL SELECT 'orders', 'references', 'o_custkey', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)

@@ -536,7 +536,8 @@ def dq_constraints(b: Bank) -> DataFrame:
         Table("nation", "", (key("n_nationkey"),), "n_nationkey"),
         Table("customer", "", (key("c_custkey"), key("c_nationkey")), "c_custkey"),
         Table("orders", "", (key("o_orderkey"), key("o_custkey")), "o_orderkey"),
-        Table("lineitem", "", (key("l_orderkey"),), "l_orderkey"),
+        Table("lineitem", "", (key("l_orderkey"), Field("", "l_returnflag", "string", length=1)), "l_orderkey"),
+        Table("documents", "", (Field("", "text", "string", length=1000),), "doc_id"),
     ]
     references = [
         Reference("customer", "c_nationkey", "nation", "n_nationkey"),
