@@ -614,6 +614,53 @@ SELECT o_orderkey AS tx_id, CAST(o_custkey AS VARCHAR) AS account_id, o_orderdat
        CAST(month(o_orderdate) AS INTEGER) AS month, CAST(isodow(o_orderdate) - 1 AS INTEGER) AS weekday
 FROM orders WHERE day(o_orderdate) < 31
 """
+ORACLES["silver_branches"] = """
+SELECT CAST(n_nationkey AS BIGINT) AS branch_id, 'Agência ' || replace(n_name, 'NATION_', '') AS branch_name,
+       replace(n_name, 'NATION_', '') AS short_name, 'Rua, ' || n_nationkey || ' - Sé' AS address, n_name AS city,
+       CASE n_regionkey WHEN 0 THEN 'SP' WHEN 1 THEN 'RJ' WHEN 2 THEN 'RS' WHEN 3 THEN 'SC' ELSE 'MG' END AS state,
+       DATE '2010-01-01' AS opened_on, CASE WHEN n_nationkey = 0 THEN 'Digital' ELSE 'Física' END AS branch_kind
+FROM nation
+"""
+ORACLES["silver_clients"] = f"""
+WITH {CLIENTS}
+SELECT client_id, split_part(c_name, '#', 1) AS first_name, split_part(c_name, '#', 2) AS last_name,
+       split_part(c_name, '#', 2) || '@example.org' AS email, 'PF' AS client_kind, birth AS birth_date, '000' AS tax_id,
+       'Rua A / SP' AS address, '01310-916' AS postcode, joined + INTERVAL 10 HOUR AS joined_at, age_years,
+       CASE band_ix WHEN 0 THEN 'Jovem (<25)' WHEN 1 THEN 'Adulto (25-59)' WHEN 2 THEN 'Idoso (60+)' ELSE 'Indefinida' END AS age_band
+FROM banded
+"""
+ORACLES["silver_accounts"] = f"""
+WITH {CLIENTS}
+SELECT CAST(client_id AS VARCHAR) AS account_id, client_id, branch_id, 'PF' AS account_kind, DATE '2015-05-05' AS opened_on,
+       c_acctbal + 0.0 AS balance, c_acctbal + 0.0 AS available_balance
+FROM clients
+"""
+ORACLES["silver_proposals"] = f"""
+WITH {PROPOSALS}
+SELECT o_custkey AS client_id, employee_id, CASE WHEN day(l_shipdate) < 31 AND day(l_shipdate) % 6 <> 5 THEN l_shipdate END AS submitted_at,
+       rate + 0.0 AS monthly_rate, l_extendedprice AS proposed_amount, l_extendedprice AS financed_amount,
+       l_quantity AS down_payment, CAST(1 AS DOUBLE) AS installment_amount, installments, 0 AS grace_months, status,
+       CAST(CASE WHEN day(l_shipdate) < 31 AND day(l_shipdate) % 6 <> 5 THEN year(l_shipdate) ELSE 0 END AS INTEGER) AS year
+FROM proposals LEFT JOIN orders ON l_orderkey = o_orderkey
+"""
+ORACLES["silver_employees"] = """
+SELECT s_suppkey AS employee_id, split_part(s_name, '#', 1) AS first_name, split_part(s_name, '#', 2) AS last_name,
+       'x@example.org' AS email, '000' AS tax_id, DATE '1980-02-29' AS birth_date, 'Rua B / RJ' AS address,
+       '20000-000' AS postcode, CAST(NULL AS VARCHAR) AS role
+FROM supplier
+"""
+ORACLES["silver_employee_branch"] = """
+SELECT DISTINCT s_suppkey AS employee_id, CAST(s_nationkey AS BIGINT) AS branch_id FROM supplier
+"""
+ORACLES["silver_price_index"] = f"""
+WITH {INDEX}
+SELECT CAST(year(month_start) AS INTEGER) AS year, CAST(month(month_start) AS INTEGER) AS month,
+       ['JAN', 'FEV', 'MAR', 'ABR', 'MAI', 'JUN', 'JUL', 'AGO', 'SET', 'OUT', 'NOV', 'DEZ'][month(month_start)] AS month_name,
+       CAST(100 AS DOUBLE) AS index_level, CAST((micro + 50) // 100 AS DOUBLE) / 100.0 AS month_pct,
+       CAST(0 AS DOUBLE) AS pct_3m, CAST(0 AS DOUBLE) AS pct_6m, CAST(0 AS DOUBLE) AS pct_ytd,
+       CAST((micro * 12 + 50) // 100 AS DOUBLE) / 100.0 AS pct_12m
+FROM monthly_index
+"""
 ORACLES["typed_load"] = """
 SELECT o_orderkey AS tx_id, CAST(o_custkey AS VARCHAR) AS account_id, o_orderdate AS tx_at, o_orderpriority AS tx_type,
        o_totalprice AS amount FROM orders
@@ -638,3 +685,21 @@ UNION ALL SELECT 'propFact', count(*) FROM (SELECT DISTINCT year, branch_ix, ban
 UNION ALL SELECT 'propRaw', count(*) FROM (SELECT DISTINCT year, branch_ix, band_ix, rate_bin, installments FROM dated)
 UNION ALL SELECT 'ipcaSer', CAST(0 AS BIGINT)
 """
+
+ORACLES["job_fact_totals"] = f"""
+WITH {TX}, kept AS (SELECT * FROM tx WHERE day < 31),
+{PLACED.replace(CLIENTS + ',', '')},
+dated AS (SELECT * REPLACE (CASE WHEN day = 31 OR day % 6 = 5 THEN 0 ELSE year END AS year) FROM placed WHERE branch_ix IS NOT NULL),
+placed_clients AS (
+  SELECT branch_ix, band_ix, year(joined) AS joined_year, c_acctbal FROM banded JOIN branch_ix USING (branch_id)
+  JOIN nation ON n_nationkey = branch_id WHERE n_regionkey < 4
+)
+SELECT 'fact_tx_evolucao' AS fact, count(DISTINCT (year, month, branch_ix, band_ix)) AS groups, count(*) AS cnt, {_money('o_totalprice')} AS amount
+FROM kept
+UNION ALL SELECT 'fact_tx_tipo', count(DISTINCT (year, branch_ix, band_ix, tx_type)), count(*), {_money('o_totalprice')}
+FROM kept WHERE branch_ix IS NOT NULL
+UNION ALL SELECT 'fact_saques', count(DISTINCT (year, month, branch_ix, band_ix)), NULL, {_money('o_totalprice')}
+FROM kept WHERE branch_ix IS NOT NULL AND tx_type = '5-LOW'
+UNION ALL SELECT 'fact_clientes', count(DISTINCT (branch_ix, band_ix, joined_year)), count(*), {_money('c_acctbal')} FROM placed_clients
+UNION ALL SELECT 'fact_propostas', count(DISTINCT (year, branch_ix, band_ix, status_ix)), count(*), {_money('l_extendedprice')} FROM dated
+"""

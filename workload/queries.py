@@ -565,7 +565,42 @@ def bronze_transactions(b: Bank) -> DataFrame:
 
 @query
 def silver_transactions(b: Bank) -> DataFrame:
-    return raw.silver_transactions(b)
+    return raw.silver_table(b, "transactions")
+
+
+@query
+def silver_branches(b: Bank) -> DataFrame:
+    return raw.silver_table(b, "branches")
+
+
+@query
+def silver_clients(b: Bank) -> DataFrame:
+    return raw.silver_table(b, "clients")
+
+
+@query
+def silver_accounts(b: Bank) -> DataFrame:
+    return raw.silver_table(b, "accounts", "file_order")
+
+
+@query
+def silver_proposals(b: Bank) -> DataFrame:
+    return raw.silver_table(b, "proposals", "proposal_id")
+
+
+@query
+def silver_employees(b: Bank) -> DataFrame:
+    return raw.silver_table(b, "employees")
+
+
+@query
+def silver_employee_branch(b: Bank) -> DataFrame:
+    return raw.silver_table(b, "employee_branch", "file_order")
+
+
+@query
+def silver_price_index(b: Bank) -> DataFrame:
+    return raw.silver_table(b, "price_index")
 
 
 @query
@@ -579,6 +614,12 @@ def job_tx_evolution(b: Bank) -> DataFrame:
     return raw.job(b).gold("fact_tx_evolucao")
 
 
+@query
+def job_fact_totals(b: Bank) -> DataFrame:
+    """The whole job from raw files; returns rows, counts and amounts of the five published facts."""
+    return raw.fact_totals(raw.job(b))
+
+
 @query
 def job_report(b: Bank) -> DataFrame:
     """The whole job from raw files; returns the size of each section of the published report."""

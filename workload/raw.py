@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallystrata.functions import calendar, numeric
@@ -41,48 +44,56 @@ def _choice(col: Column, pairs: dict[str, str]) -> Column:
     return result
 
 
-def raw_frames(b: Bank) -> dict[str, DataFrame]:
-    """The eight sources as text, under their raw header names."""
+def raw_frames(b: Bank) -> dict[str, Callable[[], DataFrame]]:
+    """Makers of the eight sources as text, columns in the order of their raw header."""
     state = _choice(F.col("state"), {"AFRICA": "SP", "AMERICA": "RJ", "ASIA": "RS", "EUROPE": "SC", "MIDDLE EAST": "MG"})
     kind = _choice(F.col("tx_type"), {
         "1-URGENT": "Compra Crédito", "2-HIGH": "Pix", "3-MEDIUM": "Boleto Pago", "4-NOT SPECIFIED": "Depósito",
         "5-LOW": "Saque Eletrônico",
     })
     day = lambda c: F.date_format(c, "yyyy-MM-dd")
-    tx = b.transactions()
-    index = b.index().withColumn("pct", F.col("month_rate") * 100)
-    frames = {
-        "branches": b.branches().select(
+
+    def transactions() -> DataFrame:
+        # the first of every month comes in twice: exact copies
+        tx = b.transactions()
+        return tx.unionByName(tx.filter(F.dayofmonth("tx_at") == 1)).select(
+            "tx_id", "account_id", timestamp_text(F.col("tx_at")), kind, "amount"
+        )
+
+    def price_index() -> DataFrame:
+        index, at = b.index().withColumn("pct", F.col("month_rate") * 100), F.col("month_start")
+        return index.select(
+            calendar.year(at), F.element_at(F.array(*map(F.lit, MONTHS)), calendar.month(at)), F.lit("100.0"),
+            F.round("pct", 2), F.lit("0"), F.lit("0"), F.lit("0"), F.round(F.col("pct") * 12, 2),
+        )
+
+    makers = {
+        "branches": lambda: b.branches().select(
             "branch_id", F.concat(F.lit("Agência "), "short_name"), F.concat(F.lit("Rua, "), "branch_id", F.lit(" - Sé")),
             "branch_name", state, F.lit("2010-01-01"), "branch_kind",
         ),
-        "clients": b.clients().select(
+        "clients": lambda: b.clients().select(
             "client_id", "first_name", "last_name", F.concat("last_name", F.lit("@example.org")), F.lit("PF"),
             day("birth_date"), F.lit("000"), F.lit("Rua A / SP"), F.lit("01310-916"),
             F.concat(day("joined_at"), F.lit(" 10:00:00 UTC")),
         ),
-        "employees": b.employees().select(
+        "employees": lambda: b.employees().select(
             "employee_id", "first_name", "last_name", F.lit("x@example.org"), F.lit("000"), F.lit("1980-02-29"),
             F.lit("Rua B / RJ"), F.lit("20000-000"),
         ),
-        "employee_branch": b.employee_branch().select("employee_id", "branch_id"),
-        "accounts": b.accounts().select(
+        "employee_branch": lambda: b.employee_branch().select("employee_id", "branch_id"),
+        "accounts": lambda: b.accounts().select(
             "account_id", "client_id", "branch_id", F.lit("PF"), F.lit("2015-05-05"), "balance", "balance"
         ),
-        "proposals": b.proposals(with_client=True).select(
-            F.shiftrightunsigned("proposal_id", 1), "client_id", "employee_id", timestamp_text(F.col("submitted_at")), "monthly_rate",
-            "proposed_amount", "financed_amount", "down_payment", F.lit("1.00"), "installments", F.lit(0), "status",
-        ),
-        # the first of every month comes in twice: exact copies
-        "transactions": tx.unionByName(tx.filter(F.dayofmonth("tx_at") == 1)).select(
-            "tx_id", "account_id", timestamp_text(F.col("tx_at")), kind, "amount"
-        ),
-        "price_index": index.select(
-            calendar.year(F.col("month_start")), F.element_at(F.array(*map(F.lit, MONTHS)), calendar.month(F.col("month_start"))),
-            F.lit("100.0"), F.round("pct", 2), F.lit("0"), F.lit("0"), F.lit("0"), F.round(F.col("pct") * 12, 2),
+        "proposals": lambda: b.proposals(with_client=True).select(
+            F.shiftrightunsigned("proposal_id", 1), "client_id", "employee_id", timestamp_text(F.col("submitted_at")),
+            "monthly_rate", "proposed_amount", "financed_amount", "down_payment", F.lit("1.00"), "installments",
+            F.lit(0), "status",
         ),
+        "transactions": transactions,
+        "price_index": price_index,
     }
-    return {name: _text(frame, name) for name, frame in frames.items()}
+    return {name: lambda n=name, make=make: _text(make(), n) for name, make in makers.items()}
 
 
 def _text(frame: DataFrame, table: str) -> DataFrame:
@@ -92,8 +103,9 @@ def _text(frame: DataFrame, table: str) -> DataFrame:
 
 
 def write_raw(b: Bank, root: str, tables: tuple[str, ...] | None = None) -> str:
-    for name, frame in raw_frames(b).items():
+    for name, make in raw_frames(b).items():
         if tables is None or name in tables:
+            frame = make()
             header = [f.raw for f in BY_NAME[name].fields][: len(frame.columns)]
             write_csv(frame, f"{root}/{BY_NAME[name].file}", header)
     return root
@@ -111,11 +123,7 @@ def write_csv(frame: DataFrame, path: str, header: list[str]) -> None:
 
 
 def bronze_transactions(b: Bank) -> DataFrame:
-    spark = b.spark
-    root = scratch_path(spark, "raw")
-    write_raw(b, root, ("transactions",))
-    lake = Lake(spark, scratch_path(spark, "lake"))
-    lake.write(read_raw(spark, f"{root}/{BY_NAME['transactions'].file}"), "bronze", "transactions")
+    lake = bronze(b, "transactions")
     rows = lake.bronze("transactions", row_index=True)
     per_file = rows.groupBy("_source_file").agg(
         F.count(F.lit(1)).alias("n"), F.max("_row_idx").alias("last"), F.min("_row_idx").alias("first"),
@@ -128,18 +136,23 @@ def bronze_transactions(b: Bank) -> DataFrame:
     ).withColumn("rejected", lake.rejects("transactions").agg(F.count(F.lit(1)).alias("n")).scalar())
 
 
-def silver_transactions(b: Bank) -> DataFrame:
-    spark = b.spark
-    root = scratch_path(spark, "raw")
-    write_raw(b, root, ("transactions",))
-    lake = Lake(spark, scratch_path(spark, "lake"))
-    lake.write(read_raw(spark, f"{root}/{BY_NAME['transactions'].file}"), "bronze", "transactions")
-    rows = silver.transactions(lake.bronze("transactions"))
-    return rows.select(
-        "tx_id", "account_id", F.col("tx_at").cast("timestamp_ntz").alias("tx_at"), "tx_type",
-        numeric.as_double(F.col("amount")).alias("amount"), numeric.as_double(F.col("amount_abs")).alias("amount_abs"),
-        "year", "month", "weekday",
-    )
+def bronze(b: Bank, table: str) -> Lake:
+    """One table written as raw text and ingested."""
+    root = write_raw(b, scratch_path(b.spark, "raw"), (table,))
+    lake = Lake(b.spark, scratch_path(b.spark, "lake"))
+    lake.write(read_raw(b.spark, f"{root}/{BY_NAME[table].file}"), "bronze", table)
+    return lake
+
+
+def silver_table(b: Bank, table: str, *dropped: str) -> DataFrame:
+    """The silver table of one raw source, with decimals as doubles and timestamps without a zone."""
+    rows = silver.TRANSFORMS[table](bronze(b, table).bronze(table)).drop(*dropped)
+
+    def shown(name: str, kind: str):
+        if kind.startswith("decimal") or kind == "double":
+            return numeric.as_double(F.col(name)).alias(name)
+        return F.col(name).cast("timestamp_ntz").alias(name) if kind == "timestamp" else F.col(name)
+    return rows.select(*[shown(name, kind) for name, kind in rows.dtypes])
 
 
 def typed_transactions(b: Bank) -> DataFrame:
@@ -170,3 +183,17 @@ def report_sizes(lake: Lake) -> DataFrame:
         F.struct(F.lit(name).alias("section"), F.size(name).cast("bigint").alias("rows")) for name in sorted(ROW_SECTIONS)
     ])
     return report.select(F.explode(sizes).alias("s")).select("s.section", "s.rows")
+
+
+def fact_totals(lake: Lake) -> DataFrame:
+    """Rows, counted rows and amount of each published fact."""
+    amounts = {"fact_tx_evolucao": "vol", "fact_tx_tipo": "vol", "fact_clientes": "saldo", "fact_propostas": "val", "fact_saques": "vol"}
+
+    def of(table: str, amount: str) -> DataFrame:
+        fact = lake.gold(table)
+        counted = F.sum("cnt") if "cnt" in fact.columns else F.lit(None)
+        return fact.agg(
+            F.count(F.lit(1)).alias("groups"), counted.cast("bigint").alias("cnt"),
+            numeric.as_double(numeric.money_sum(F.col(amount))).alias("amount"),
+        ).withColumn("fact", F.lit(table))
+    return reduce(DataFrame.unionByName, [of(t, a) for t, a in amounts.items()])
