@@ -9,9 +9,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.numeric import half_up, percent, ratio
 
 
-def share_of_total(grouped: DataFrame, count: str, out: str, places: int = 2) -> DataFrame:
-    """100 * count / sum(count); the total is a scalar subquery, so the groups stay distributed."""
-    total = grouped.agg(F.sum(count).alias("total")).scalar()
+def share_of_total(
+    grouped: DataFrame, count: str, out: str, places: int = 2, counted: DataFrame | None = None
+) -> DataFrame:
+    """100 * count / sum(count); the total is a scalar subquery, so the groups stay distributed.
+
+    ``counted`` is the frame whose rows the counts stand for: counting it directly reads no column of a Parquet table.
+    """
+    totals = grouped.agg(F.sum(count).alias("total")) if counted is None else counted.agg(F.count(F.lit(1)).alias("total"))
+    total = totals.scalar()
     share = ratio(percent(F.col(count)).cast("decimal(20,0)"), total.cast("decimal(16,0)"))
     return grouped.withColumn(out, half_up(share, places).cast("double"))
 

@@ -84,7 +84,9 @@ def credit_kpis(proposals: DataFrame) -> DataFrame:
 
 def status_share(proposals: DataFrame) -> DataFrame:
     counts = proposals.groupBy("status").agg(_rows().alias("proposals"))
-    return share_of_total(counts, "proposals", "share_pct").orderBy(F.col("proposals").desc(), F.col("status").asc_nulls_last())
+    return share_of_total(counts, "proposals", "share_pct", counted=proposals).orderBy(
+        F.col("proposals").desc(), F.col("status").asc_nulls_last()
+    )
 
 
 def rate_by_tenor(proposals: DataFrame) -> DataFrame:
@@ -200,7 +202,7 @@ def tx_kpis(transactions: DataFrame) -> DataFrame:
 
 def tx_by_kind(transactions: DataFrame) -> DataFrame:
     counts = transactions.groupBy("tx_type").agg(_rows().alias("transactions"), _money(F.abs("amount")).alias("volume"))
-    return share_of_total(counts, "transactions", "share_pct").orderBy(
+    return share_of_total(counts, "transactions", "share_pct", counted=transactions).orderBy(
         F.col("transactions").desc(), F.col("tx_type").asc_nulls_last()
     )
 

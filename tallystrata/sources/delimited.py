@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.casting import missing_to_null, optional
 from .tables import Table, unique_names
@@ -44,7 +44,7 @@ def _reader(spark: SparkSession, encoding: str, multiline: bool):
 
 
 def _read_text_columns(
-    spark: SparkSession, path: str | list[str], encoding: str, multiline: bool
+    spark: SparkSession, path: str | list[str], root: str, encoding: str, multiline: bool
 ) -> DataFrame:
     header = header_of(spark, path, encoding)
     names = unique_names(header)
@@ -60,19 +60,24 @@ def _read_text_columns(
         *[missing_to_null(F.col(f"`{n}`")).alias(n) for n in names],
         CORRUPT,
         (_separators(F.col(CORRUPT)) >= len(names)).alias("_too_wide"),
-        _plain_name(F.col("_metadata.file_name")).alias("_source_file"),
+        _source_name(root).alias("_source_file"),
         F.col("_metadata.file_block_start").alias("_block_start"),
         F.monotonically_increasing_id().alias("_row_seq"),
     )
 
 
-def _plain_name(encoded):
+def _source_name(root: str) -> Column:
+    """File name, or for files in a folder the path below it: part files of subfolders share their names."""
+    path = F.col("_metadata.file_path")
     # file metadata is percent-encoded, in which a plus sign stands for itself
-    decoded = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
-    return F.when(encoded.contains("%"), decoded).otherwise(encoded)
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    plain = F.when(path.contains("%"), decoded).otherwise(path)
+    folder = f"/{root.rstrip('/').rsplit('/', 1)[-1]}/"
+    below = F.substr(plain, F.locate(folder, plain) + F.lit(len(folder)))
+    return F.when(plain.contains(folder), below).otherwise(F.substring_index(plain, "/", -1))
 
 
-def _separators(record):
+def _separators(record: Column) -> Column:
     outside_quotes = F.regexp_replace(record, '"(?:[^"]|"")*"', "")
     return F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","), F.lit("")))
 
@@ -86,11 +91,11 @@ def read_raw(spark: SparkSession, path: str, multiline: bool = False, encoding:
     """
     new, old = ([], []) if encoding else files_by_encoding(spark, path)
     if not old:
-        rows = _read_text_columns(spark, path, encoding or UTF8, multiline)
+        rows = _read_text_columns(spark, path, path, encoding or UTF8, multiline)
     else:
-        rows = _read_text_columns(spark, old, LEGACY, multiline)
+        rows = _read_text_columns(spark, old, path, LEGACY, multiline)
         if new:
-            rows = _read_text_columns(spark, new, UTF8, multiline).unionByName(rows, allowMissingColumns=True)
+            rows = _read_text_columns(spark, new, path, UTF8, multiline).unionByName(rows, allowMissingColumns=True)
     return (
         rows.withColumn("_rejected", F.coalesce("_too_wide", F.lit(False)))
         .withColumn(CORRUPT, F.when(F.col("_rejected"), F.col(CORRUPT)))

@@ -39,6 +39,14 @@ def test_folder_with_mixed_encodings(spark, tmp_path):
         ("a +a.csv", "Tatuapé"), ("b.csv", "Cerqueira César"), ("c.csv", "Sul")]
 
 
+def test_part_files_of_subfolders_stay_apart(spark, tmp_path):
+    put(tmp_path / "d/p=1/part-0.csv", "n\n0\n1\n")
+    put(tmp_path / "d/p=2/part-0.csv", "n\n0\n1\n2\n")
+    got = with_row_index(bronze(spark, str(tmp_path / "d")))
+    assert sorted((r._source_file, r.n, r._row_idx) for r in got.collect()) == [
+        *[("p=1/part-0.csv", str(i), i) for i in range(2)], *[("p=2/part-0.csv", str(i), i) for i in range(3)]]
+
+
 def test_quotes_commas_and_missing_marks(spark, tmp_path):
     path = put(tmp_path / "t.csv", 'a,b,c\n1,"Av. Paulista, 1436 - ""Bela"" Vista",NA\n2,,x\n')
     assert [tuple(r)[:3] for r in bronze(spark, path).orderBy("a").collect()] == [

@@ -140,7 +140,7 @@ def credit_vs_index(b: Bank) -> DataFrame:
 
 @query
 def index_withdrawal_pairs(b: Bank) -> DataFrame:
-    # the first six months have no urgent order of this kind on purpose: months without rows stay, with a null
+    # orders before July 1996 get no type: their index months stay, with a null volume
     late = b.transactions().withColumn("tx_type", F.when(F.col("tx_at") >= F.lit("1996-07-01").cast("date"), F.col("tx_type")))
     pairs = analytics.index_withdrawal_pairs(late, b.index(), FIRST, LAST, WITHDRAWAL)
     return pairs.select(
