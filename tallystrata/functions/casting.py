@@ -56,7 +56,7 @@ def to_utc_timestamp_mixed(col: Column, formats: tuple[str, ...] = EXTRA_TIMESTA
 
 def to_key(col: Column, kind: str = "bigint") -> Column:
     """Keys must parse: a null key would merge unrelated rows in the deduplication. "12.0" counts as 12."""
-    text = F.trim(col)
+    text = missing_to_null(F.trim(col))
     if kind == "string":
         return text
     return F.coalesce(text.try_cast(kind), F.regexp_replace(text, r"\.0+$", "").cast(kind))

@@ -20,12 +20,18 @@ AS_OF = "2024-01-01"   # fixed value: reference date of the decimal age
 
 
 def _renamed(raw: DataFrame, table: str) -> DataFrame:
-    """Raw names to canonical names; optional columns the file lacks become nulls, extra columns stay as they came."""
+    """Raw names to canonical names; optional columns the file lacks become nulls, extra columns stay as they came.
+
+    Text that marks a missing value becomes null; in typed columns the casts do that.
+    """
     definition = BY_NAME[table]
     renames = definition.renames()
     absent = [f.name for r, f in zip(renames, definition.fields) if r not in raw.columns and f.optional]
     result = raw.withColumnsRenamed({r: n for r, n in renames.items() if r in raw.columns})
-    return result.withColumns({n: F.lit(None).cast("string") for n in absent}) if absent else result
+    texts = [f.name for f in definition.fields if f.type == "string" and f.name in result.columns]
+    return result.withColumns({
+        **{n: F.lit(None).cast("string") for n in absent}, **{n: casting.missing_to_null(F.col(n)) for n in texts}
+    })
 
 
 def _typed(df: DataFrame, columns: dict[str, Callable[[Column], Column]]) -> DataFrame:

@@ -7,7 +7,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from ..functions.casting import missing_to_null, optional
+from ..functions.casting import optional
 from .tables import Table, unique_names
 
 UTF8, LEGACY = "UTF-8", "ISO-8859-1"
@@ -17,15 +17,17 @@ CORRUPT = "_corrupt_record"
 ROW_ORDER = ("_source_file", "_block_start", "_row_seq")
 
 
-def files_by_encoding(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """Files that are valid UTF-8, and the others, which are read as Latin-1. One scan, one row per file."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("valid")
-    )
+def legacy_files(spark: SparkSession, path: str) -> list[str]:
+    """Files that are not valid UTF-8 and are therefore read as Latin-1. One scan; only invalid lines leave it."""
+    invalid = spark.read.text(path).filter(~F.is_valid_utf8("value"))
     # file names, which the reader lists on the driver anyway
-    files = lines.groupBy("file").agg(F.bool_and("valid").alias("valid")).collect()
-    named = lambda valid: sorted(unquote(f.file) for f in files if f.valid == valid)
-    return named(True), named(False)
+    files = invalid.select(F.col("_metadata.file_path").alias("file")).distinct().collect()
+    return sorted(unquote(f.file) for f in files)
+
+
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """All files of a source, without reading them."""
+    return sorted(f.path for f in spark.read.format("binaryFile").load(path).select("path").collect())
 
 
 def header_of(spark: SparkSession, path: str | list[str], encoding: str = UTF8) -> list[str]:
@@ -56,18 +58,21 @@ def _read_text_columns(
         # with distinct names every file's header must agree with the first one's
         .option("enforceSchema", len(set(header)) != len(header))
     )
-    return reader.csv(path).select(
-        *[missing_to_null(F.col(f"`{n}`")).alias(n) for n in names],
+    rows = reader.csv(path)
+    return rows.select(
+        *[F.col(f"`{n}`") for n in names],
         CORRUPT,
         (_separators(F.col(CORRUPT)) >= len(names)).alias("_too_wide"),
-        _source_name(root).alias("_source_file"),
+        _source_name(rows.inputFiles(), root).alias("_source_file"),
         F.col("_metadata.file_block_start").alias("_block_start"),
         F.monotonically_increasing_id().alias("_row_seq"),
     )
 
 
-def _source_name(root: str) -> Column:
-    """File name, or for files in a folder the path below it: part files of subfolders share their names."""
+def _source_name(files: list[str], root: str) -> Column:
+    """File name, or the path below the source folder when it has subfolders, whose part files may share names."""
+    if len({f.rsplit("/", 1)[0] for f in files}) <= 1 and not any("%" in f for f in files):
+        return F.col("_metadata.file_name")
     path = F.col("_metadata.file_path")
     # file metadata is percent-encoded, in which a plus sign stands for itself
     decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
@@ -89,10 +94,11 @@ def read_raw(spark: SparkSession, path: str, multiline: bool = False, encoding:
     here, before anything is written. ``multiline`` allows line breaks inside quotes and reads each file in one task.
     Without an ``encoding``, one scan finds out which files are not UTF-8; a known encoding saves that scan.
     """
-    new, old = ([], []) if encoding else files_by_encoding(spark, path)
+    old = [] if encoding else legacy_files(spark, path)
     if not old:
         rows = _read_text_columns(spark, path, path, encoding or UTF8, multiline)
     else:
+        new = sorted(set(files_below(spark, path)) - set(old))
         rows = _read_text_columns(spark, old, path, LEGACY, multiline)
         if new:
             rows = _read_text_columns(spark, new, path, UTF8, multiline).unionByName(rows, allowMissingColumns=True)

@@ -4,7 +4,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tallystrata.plans import analytics, job, quality, report
+from tallystrata.plans import analytics, job, quality, report, suite
 from tallystrata.sources.layers import Lake
 from tallystrata.sources.report_store import read_report, report_sections
 from tallystrata.sources.tables import Field, Table
@@ -108,6 +108,17 @@ def test_sql_over_silver_views(spark, finished):
     assert by_sql.collect() == by_function.collect()
 
 
+def test_all_analyses_run_on_silver(finished):
+    _, lake = finished
+    results = {name: df.collect() for name, df in suite.analyses(lake, "2024-01-01", ("1996-01-01", "2000-12-31")).items()}
+    assert len(results) == 17 and all(results.values())
+    size = lake.silver("transactions").count()
+    assert results["tx_kpis"][0].transactions == size == sum(r.transactions for r in results["tx_by_kind"])
+    assert sum(r.share_pct for r in results["status_share"]) == pytest.approx(100, abs=0.05)
+    assert len(results["index_running"]) == 60 and results["index_withdrawal_corr"][0].correlation is not None
+    assert sum(r.clients for r in results["clients_by_age_band"]) == results["client_kpis"][0].clients
+
+
 def test_one_stage_alone(spark, finished):
     _, lake = finished
     outcome = job.run(spark, "unused", lake.root, stages=["validate"])

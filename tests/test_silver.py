@@ -75,6 +75,13 @@ def test_employees_and_bridge(rows):
     assert sorted((r.employee_id, r.branch_id) for r in got.collect()) == [(1, 5), (1, 6), (2, 5)]
 
 
+def test_marks_of_missing_values(rows):
+    df = raw(rows, ["cod_colaborador", "primeiro_nome", "data_nascimento"], ("1", "NA", "NaT"), ("None", "Bia", "N/A"), ("2", "nan", "2000-01-01"))
+    got = silver.employees(df, POS).collect()
+    assert sorted(((r.employee_id, r.first_name, r.birth_date) for r in got), key=repr) == sorted(
+        [(1, None, None), (None, "Bia", None), (2, None, dt.date(2000, 1, 1))], key=repr)
+
+
 def test_index_series(rows):
     df = rows("year int, month int, month_pct double, pct_12m double", (2020, 3, 0.07, 3.3), (2020, 4, None, None))
     got = {r.month_start: r for r in silver.index_series(df).collect()}
