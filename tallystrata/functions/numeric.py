@@ -6,6 +6,8 @@ from pyspark.sql import Column, functions as F
 
 from .casting import MONEY
 
+RATE = "decimal(18,8)"
+
 
 def half_up(col: Column, places: int) -> Column:
     return F.round(col, places)
@@ -38,13 +40,14 @@ def int_mean(col: Column) -> Column:
     return mean_of(F.sum(col.cast("bigint")), F.count(col))
 
 
-def rate_sum(col: Column) -> Column:
-    return F.coalesce(F.sum(col.cast("decimal(12,8)")), F.lit(0).cast("decimal(12,8)"))
+def exact_rate(col: Column) -> Column:
+    """Rate as decimal, so that sums do not depend on row order; out of range gives null."""
+    return col.try_cast(RATE)
 
 
 def rate_mean(col: Column) -> Column:
-    total = F.sum(col.cast("decimal(12,8)"))
-    return F.try_divide(total.cast("decimal(22,8)"), F.count(col).cast("decimal(16,0)"))
+    rate = exact_rate(col)
+    return F.try_divide(F.sum(rate), F.count(rate).cast("decimal(16,0)"))
 
 
 def percent(col: Column) -> Column:

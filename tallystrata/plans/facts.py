@@ -12,14 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import calendar, labels
-from ..functions.numeric import as_double, money_sum, percent
+from ..functions.numeric import as_double, exact_rate, money_sum, percent
 from ..operators.dedup import keep_first, keep_last
 from ..operators.lookup import spread_lookup
 from ..operators.numbering import dense_index, frequency_index
 
 UNDEFINED_BAND = len(labels.AGE_BANDS)
 FILE_ORDER = ("file_order",)
-RATE = "decimal(12,8)"
 
 
 def branch_positions(branches: DataFrame) -> DataFrame:
@@ -166,7 +165,7 @@ def placed_proposals(
         labels.bin_index(percent(F.col("monthly_rate")), bin_edges).alias("rate_bin"),
         F.lit(1).cast("bigint").alias("cnt"),
         F.col("proposed_amount").alias("proposed"),
-        F.col("monthly_rate").cast(RATE).alias("rate_total"),
+        exact_rate(F.col("monthly_rate")).alias("rate_total"),
         F.col("installments").cast("bigint").alias("installments_total"),
         F.col("financed_amount").alias("financed"),
         F.col("down_payment").alias("down"),

@@ -167,5 +167,10 @@ def test_mean_ties_are_exact(rows):
     assert float(df.agg(numeric.half_up(numeric.money_mean(F.col("x")), 2).alias("m")).first().m) == 1.02
 
 
+def test_rates_out_of_range_do_not_stop_a_mean(rows):
+    df = rows("x double", (0.01,), (0.02,), (1e300,), (None,))
+    assert float(df.agg(numeric.rate_mean(F.col("x")).alias("m")).first().m) == 0.015
+
+
 def test_guarded_ratio(spark):
     assert value(spark, numeric.ratio(F.lit(1.0), F.lit(0.0))) is None

@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from tallystrata.plans import silver
 
 POS = ("_pos",)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallystrata.functions import calendar, casting, labels, numeric
-from tallystrata.operators import dedup, lookup, numbering, stats, windows
+from tallystrata.operators import dedup, lookup, numbering, stats
 from tallystrata.plans import analytics, dims, facts, quality, temporal
 from tallystrata.session import configure
 from tallystrata.sources.scratch import stored
