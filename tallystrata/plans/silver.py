@@ -128,7 +128,7 @@ def price_index(raw: DataFrame) -> DataFrame:
 
 def index_series(price_index: DataFrame) -> DataFrame:
     """Monthly index as fractions with the first day of the month, the form the analyses use."""
-    fraction = lambda c: (F.col(c).cast("decimal(10,4)") / 100).cast("decimal(10,6)")
+    fraction = lambda c: (F.col(c).try_cast("decimal(10,4)") / 100).cast("decimal(10,6)")
     return price_index.select(
         F.make_date("year", "month", F.lit(1)).alias("month_start"),
         fraction("month_pct").alias("month_rate"),

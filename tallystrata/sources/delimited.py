@@ -34,7 +34,7 @@ def header_of(spark: SparkSession, path: str | list[str], encoding: str = UTF8)
     line = spark.read.text(path).select(F.col("value").cast("binary").alias("raw")).first()
     if line is None:
         raise ValueError(f"no header line in {path}")
-    text = bytes(line.raw).decode("utf-8-sig" if encoding == UTF8 else "latin-1")
+    text = bytes(line.raw).decode("utf-8-sig" if encoding == UTF8 else encoding)
     return next(csv.reader([text.rstrip("\r")]))
 
 
@@ -46,7 +46,7 @@ def _reader(spark: SparkSession, encoding: str, multiline: bool):
 
 
 def _read_text_columns(
-    spark: SparkSession, path: str | list[str], root: str, encoding: str, multiline: bool
+    spark: SparkSession, path: str | list[str], source: Column, encoding: str, multiline: bool
 ) -> DataFrame:
     header = header_of(spark, path, encoding)
     names = unique_names(header)
@@ -58,19 +58,19 @@ def _read_text_columns(
         # with distinct names every file's header must agree with the first one's
         .option("enforceSchema", len(set(header)) != len(header))
     )
-    rows = reader.csv(path)
-    return rows.select(
+    return reader.csv(path).select(
         *[F.col(f"`{n}`") for n in names],
         CORRUPT,
         (_separators(F.col(CORRUPT)) >= len(names)).alias("_too_wide"),
-        _source_name(rows.inputFiles(), root).alias("_source_file"),
+        source.alias("_source_file"),
         F.col("_metadata.file_block_start").alias("_block_start"),
         F.monotonically_increasing_id().alias("_row_seq"),
     )
 
 
-def _source_name(files: list[str], root: str) -> Column:
+def _source_name(spark: SparkSession, root: str) -> Column:
     """File name, or the path below the source folder when it has subfolders, whose part files may share names."""
+    files = spark.read.text(root).inputFiles()
     if len({f.rsplit("/", 1)[0] for f in files}) <= 1 and not any("%" in f for f in files):
         return F.col("_metadata.file_name")
     path = F.col("_metadata.file_path")
@@ -94,14 +94,15 @@ def read_raw(spark: SparkSession, path: str, multiline: bool = False, encoding:
     here, before anything is written. ``multiline`` allows line breaks inside quotes and reads each file in one task.
     Without an ``encoding``, one scan finds out which files are not UTF-8; a known encoding saves that scan.
     """
+    source = _source_name(spark, path)
     old = [] if encoding else legacy_files(spark, path)
     if not old:
-        rows = _read_text_columns(spark, path, path, encoding or UTF8, multiline)
+        rows = _read_text_columns(spark, path, source, encoding or UTF8, multiline)
     else:
         new = sorted(set(files_below(spark, path)) - set(old))
-        rows = _read_text_columns(spark, old, path, LEGACY, multiline)
+        rows = _read_text_columns(spark, old, source, LEGACY, multiline)
         if new:
-            rows = _read_text_columns(spark, new, path, UTF8, multiline).unionByName(rows, allowMissingColumns=True)
+            rows = _read_text_columns(spark, new, source, UTF8, multiline).unionByName(rows, allowMissingColumns=True)
     return (
         rows.withColumn("_rejected", F.coalesce("_too_wide", F.lit(False)))
         .withColumn(CORRUPT, F.when(F.col("_rejected"), F.col(CORRUPT)))

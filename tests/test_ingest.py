@@ -42,9 +42,11 @@ def test_folder_with_mixed_encodings(spark, tmp_path):
 def test_part_files_of_subfolders_stay_apart(spark, tmp_path):
     put(tmp_path / "d/p=1/part-0.csv", "n\n0\n1\n")
     put(tmp_path / "d/p=2/part-0.csv", "n\n0\n1\n2\n")
+    put(tmp_path / "d/p=3/part-0.csv", "n\né\n", "latin-1")
     got = with_row_index(bronze(spark, str(tmp_path / "d")))
     assert sorted((r._source_file, r.n, r._row_idx) for r in got.collect()) == [
-        *[("p=1/part-0.csv", str(i), i) for i in range(2)], *[("p=2/part-0.csv", str(i), i) for i in range(3)]]
+        *[("p=1/part-0.csv", str(i), i) for i in range(2)], *[("p=2/part-0.csv", str(i), i) for i in range(3)],
+        ("p=3/part-0.csv", "é", 0)]
 
 
 def test_quotes_and_commas(spark, tmp_path):
