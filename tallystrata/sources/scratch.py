@@ -8,13 +8,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="tallystrata-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_roots.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="tallystrata-")
+        _local_roots[context.applicationId] = root
     return root.rstrip("/")
 
 
