@@ -32,4 +32,4 @@ def test_stored_rows_are_cut_from_their_source(spark, rows):
     cut = stored(df)
     assert sorted(map(tuple, cut.collect())) == [(1, "x"), (2, None)] and cut.dtypes == df.dtypes
     plan = cut._jdf.queryExecution().toString()
-    assert "FileScan parquet" in plan and "Filter" not in plan
+    assert "FileScan parquet" in plan and "ExistingRDD" not in plan
