@@ -145,6 +145,17 @@ def test_frequency_index_breaks_ties_by_name(rows, limit):
     assert tuples(got.select("t", "ix")) == [("a", 1), ("b", 2), ("c", 0)]
 
 
+def test_size_check_starts_few_tasks(spark):
+    spark.sparkContext.setJobGroup("size", "size")
+    try:
+        assert not numbering.at_most(spark.range(0, 400_000, numPartitions=400), 1000)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("size") for s in tracker.getJobInfo(j).stageIds]
+    assert sum(tracker.getStageInfo(s).numTasks for s in stages) < 20
+
+
 # --- windows
 
 def test_share_of_total(rows):
