@@ -23,10 +23,10 @@ GROUP BY page_id
 
 OP5 = rf"""
 WITH RECURSIVE words AS (
-    SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\x20\x09-\x0D]+'), w -> w <> '') AS w FROM documents
+    SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
 ), shingles AS (
     SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
-        ELSE list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) END) AS s
+        ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
     FROM words
 ), sizes AS (
     SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
@@ -48,12 +48,12 @@ WITH doc_words AS (
     SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '(?:[A-Za-z0-9]|[^\x00-\x7F])+') AS w FROM benchmark
 ), item_shingles AS (
     SELECT DISTINCT item_id, least(len(w), 5) AS k, unnest(list_transform(range(1, len(w) - least(len(w), 5) + 2),
-        i -> array_to_string(w[i:i + least(len(w), 5) - 1], ' '))) AS s
+        lambda i: array_to_string(w[i:i + least(len(w), 5) - 1], ' '))) AS s
     FROM item_words WHERE len(w) > 0
 ), item_sizes AS (
     SELECT item_id, count(*) AS n FROM item_shingles GROUP BY item_id
 ), doc_shingles AS (
-    SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, greatest(len(w) - k + 2, 1)), i -> array_to_string(w[i:i + k - 1], ' '))) AS s
+    SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, greatest(len(w) - k + 2, 1)), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s
     FROM doc_words, (SELECT DISTINCT k FROM item_shingles)
 ), found AS (
     SELECT doc_id, item_id, count(*) AS c FROM doc_shingles JOIN item_shingles USING (k, s) GROUP BY 1, 2
