@@ -37,7 +37,7 @@ def rows_of(names, rows):
 
 def kinds(df):
     alias = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
-             "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+             "date": "DATE", "timestamp_ntz": "TIMESTAMP", "array<bigint>": "BIGINT[]"}
     return {name: alias.get(kind, kind) for name, kind in df.dtypes}
 
 
