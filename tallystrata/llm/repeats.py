@@ -20,8 +20,9 @@ from tallystrata.llm import bloom, text as tx
 from tallystrata.sources.scratch import stored
 
 LENGTH = 200
-#: Different segments of one fingerprint that are sorted together, and segments of one task.
-CROWD, TASK = 64, 2048
+#: Different segments of one fingerprint that are sorted together, and segments of an average task. A task sorts at most
+#: about CROWD + TASK segments of some 50 suffixes of LENGTH bytes, some 60 MB, and holds three arrays of that size.
+CROWD, TASK = 4096, 2048
 #: Starts handled at once within a long text.
 PIECE = 1 << 21
 _POS = np.uint64(24)
