@@ -1,0 +1,365 @@
+"""Operators against brute force on small tables: nulls, empty and long texts, ties, repeated rows, empty tables, extra columns."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallystrata.llm import contamination, exact, language, mixing, near, pii, pitman_yor, repeats, text, tokens, urls
+from tallystrata.llm.components import components
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def low(s):
+    return re.sub("[A-Z]", lambda m: m.group().lower(), s or "")
+
+
+def corpus(seed=1, n=160, letters="abcdefghij"):
+    """Texts that share passages, with copies and edited copies, a null, empty ones, and a long one."""
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choices(letters, k=rng.randint(1, 6))) for _ in range(300)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randint(1, 60))) for _ in range(n // 2)]
+    while len(texts) < n:
+        words = rng.choice(texts).split()
+        for _ in range(rng.choice((0, 0, 1, 2))):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        texts.append(" ".join(words) if rng.random() < 0.8 else " ".join(words).upper())
+    texts += [None, "", "  \n", "é", " ".join(rng.choices(vocabulary, k=20_000)), texts[0], texts[0]]
+    return list(enumerate(texts))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(corpus(), "doc_id long, text string").cache()
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], "doc_id long, text string, lang string, source string")
+
+
+def by_id(df, key="doc_id"):
+    return {r[key]: r for r in df.collect()}
+
+
+def brute_components(sets, percent=80):
+    parent = {k: k for k in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {k: find(k) for k in sets}
+
+
+def shingle_sets(rows, size):
+    out = {}
+    for i, t in rows:
+        w = WORD.findall(low(t))
+        out[i] = frozenset(tuple(w[k : k + size]) for k in range(len(w) - size + 1)) if len(w) >= size else frozenset([tuple(w)] if w else [])
+    return out
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_near_duplicates(docs, size):
+    sets = shingle_sets(corpus(), size)
+    expected = brute_components(sets)
+    found = by_id(near.near_duplicates(docs, size=size))
+    assert {k: (r.n_shingles, r.component_id, r.kept) for k, r in found.items()} == {
+        k: (len(sets[k]), expected[k], expected[k] == k) for k in sets
+    }
+
+
+def test_near_duplicates_of_nothing(nothing):
+    assert near.near_duplicates(nothing).collect() == []
+
+
+def test_components_of_long_chains_and_hubs(spark):
+    edges = [(k, k + 1) for k in range(1, 60)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
+    found = {r.id: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {k: 1 for k in range(1, 61)} | {k: 100 for k in range(100, 140)}
+
+
+def test_exact_classes(docs):
+    groups = collections.defaultdict(list)
+    for i, t in corpus():
+        groups[low(t)].append(i)
+    expected = {
+        i: (max(g), len(g), i == max(g), hashlib.sha256(t.encode()).hexdigest()) for t, g in groups.items() for i in g
+    }
+    assert {k: tuple(r)[1:] for k, r in by_id(exact.classes(docs)).items()} == expected
+
+
+def test_exact_ties_nulls_and_extra_columns(spark, nothing):
+    rows = [(1, "A", "x"), (1, "a", "y"), (None, None, "z"), (None, "", "z"), (5, "b", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept string")
+    assert sorted(r.text or "" for r in exact.drop_duplicates(df).collect()) in (["", "A", "b"], ["", "a", "b"])
+    assert exact.drop_duplicates(df).columns == df.columns
+    assert exact.classes(nothing).collect() == [] and exact.drop_duplicates(nothing).collect() == []
+
+
+def brute_repeats(rows, length, keep):
+    seen, gone = collections.defaultdict(list), {}
+    raw = {i: (t or "").encode() for i, t in rows}
+    for i in sorted(raw):
+        gone[i] = bytearray(len(raw[i]))
+        for q in range(len(raw[i]) - length + 1):
+            seen[raw[i][q : q + length]].append((i, q))
+    for places in seen.values():
+        if len(places) > 1:
+            for i, q in places if keep == "none" else places[1:]:
+                gone[i][q : q + length] = b"\1" * length
+    return {
+        i: (len(b), sum(gone[i]), len([x for x in bytes(gone[i]).split(b"\0") if x]), bytes(x for x, g in zip(b, gone[i]) if not g))
+        for i, b in raw.items()
+    }
+
+
+@pytest.mark.parametrize("keep", ["none", "first"])
+@pytest.mark.parametrize("crowd", [2, 4096])
+def test_repeats(spark, monkeypatch, keep, crowd):
+    monkeypatch.setattr(repeats, "CROWD", crowd)
+    rng = random.Random(3)
+    base = ["".join(rng.choices("ab", k=60)) for _ in range(6)]
+    rows = [(i, "".join(rng.choice(base)[rng.randrange(20) : rng.randrange(30, 60)] for _ in range(rng.randrange(8)))) for i in range(120)]
+    rows += [(201, None), (202, ""), (203, "a" * 500), (204, "é" * 40), (205, "a" * 20), (206, base[0])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = by_id(repeats.remove_repeats(df, length=20, keep=keep))
+    assert {k: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for k, r in found.items()} == brute_repeats(rows, 20, keep)
+
+
+def test_longest_previous_factors():
+    rng = np.random.default_rng(1)
+    s = bytes(rng.integers(97, 99, 80).tolist())
+    order = sorted(range(len(s)), key=lambda i: s[i:])
+    match = lambda i, j: next((k for k in range(len(s)) if i + k >= len(s) or j + k >= len(s) or s[i + k] != s[j + k]))
+    lcp = np.array([0] + [match(a, b) for a, b in zip(order, order[1:])])
+    found = repeats.longest_previous(lcp, np.array(order), 1)
+    assert found.tolist() == [max([match(i, j) for j in range(i)], default=0) for i in order]
+
+
+def test_contamination(spark, docs):
+    items = [(1, corpus()[3][1]), (2, corpus()[3][1]), (3, "a"), (4, None), (5, "zz yy"), (6, corpus()[5][1].upper().replace(" ", ", "))]
+    words = lambda s: re.findall(r"(?:[A-Za-z0-9]|[^\x00-\x7f])+", (s or "").lower())
+    grams = lambda w, k: {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
+    expected = {}
+    for i, t in corpus():
+        expected[i] = [
+            k for k, s in items if words(s)
+            for n in [min(5, len(words(s)))]
+            if 100 * len(grams(words(s), n) & grams(words(t), n)) >= 80 * len(grams(words(s), n))
+        ]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = by_id(contamination.contamination(docs, table))
+    assert {k: list(r.item_ids) for k, r in found.items()} == expected
+    assert any(expected.values()) and all(r.contaminated == bool(r.item_ids) for r in found.values())
+    kept = {r.doc_id for r in contamination.drop_contaminated(docs, table).collect()}
+    assert kept == {k for k, v in expected.items() if not v}
+    assert contamination.contamination(docs, table.filter("false")).filter("contaminated").isEmpty()
+
+
+def test_sketches_cannot_miss():
+    for n in range(1, 300):
+        assert contamination.sketch_length(n) >= min(n, n - -(-n * 80 // 100) + 1)
+
+
+def test_language_model(spark, docs):
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    found = by_id(pitman_yor.score(docs, ~held, head=20, samples=2, burn_in=1))
+    count = collections.Counter()
+    for i, t in corpus():
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            count.update([*WORD.findall(low(t)), None])
+    total, kinds = sum(count.values()), len(count)
+    for i, t in corpus():
+        w = [*WORD.findall(low(t)), None]
+        r = found[i]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(count[x] > 0 for x in w), total)
+        assert r.base_score == pytest.approx(sum(math.log10((count[x] + 1) / (total + kinds + 1)) for x in w))
+        assert r.score < 0 and math.isfinite(r.score)
+
+
+def test_language_model_is_a_distribution(docs):
+    model, _ = pitman_yor.train(docs, head=20, samples=2, burn_in=1)
+    assert np.allclose((10.0 ** model.log_table).sum(axis=1), 1, atol=1e-4)
+    tail = ~np.isin(model.near, model.head)
+    known = 10 ** pitman_yor.tail_log(model.near_count[tail], model, 0.6, 1.0)
+    assert known.sum() + 10 ** pitman_yor.tail_log(np.array([0]), model, 0.6, 1.0)[0] == pytest.approx(1)
+
+
+def test_seating_follows_the_restaurant_rule():
+    rng = np.random.default_rng(0)
+    n, zero = np.full(4000, 6), np.zeros(4000)
+    tables = pitman_yor.seat(n, zero, np.ones(4000), 0.5, 1.0, rng)
+    expected = 1.0
+    dist = {1: 1.0}
+    for seated in range(1, 6):
+        step = collections.Counter()
+        for t, p in dist.items():
+            new = (1 + 0.5 * t) / (1 + 0.5 * t + seated - 0.5 * t)
+            step[t + 1] += p * new
+            step[t] += p * (1 - new)
+        dist = step
+    expected = sum(t * p for t, p in dist.items())
+    assert tables.mean() == pytest.approx(expected, rel=0.03) and tables.min() >= 1 and tables.max() <= 6
+
+
+def test_language_model_without_training(spark, docs, nothing):
+    r = pitman_yor.score(docs.limit(3), F.lit(False)).collect()
+    assert len(r) == 3 and all(x.n_known == 0 and x.train_tokens == 0 and x.base_score == 0 for x in r)
+    assert pitman_yor.score(nothing, F.lit(True)).collect() == []
+
+
+def test_language_identification(spark, nothing):
+    rng = random.Random(4)
+    rows = []
+    for i in range(400):
+        lang, letters = rng.choice([("aa", "abcdeé"), ("bb", "pqrstü")])
+        rows.append((i, " ".join("".join(rng.choices(letters, k=5)) for _ in range(rng.randint(1, 20))), lang, "clash"))
+    rows += [(900, None, "aa", ""), (901, "12 34 !", "bb", ""), (902, "abc", None, ""), (903, "", None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string")
+    found = by_id(language.identify(df, F.col("doc_id") % 3 != 1))
+    held = [i for i, _, k, _ in rows[:400] if i % 3 == 1]
+    assert sum(found[i].lang_pred == rows[i][2] for i in held) >= 0.97 * len(held)
+    assert all(0 <= r.score <= 1 for r in found.values()) and len(found) == len(rows)
+    assert {found[i].lang_pred for i in (900, 901, 903)} == {"und"} and found[902].lang_pred == "aa"
+    assert by_id(language.identify(df, F.lit(False)))[0].lang_pred == "und"
+    assert language.identify(nothing, F.lit(True)).collect() == []
+
+
+def test_temperature_lowers_overconfidence():
+    rng = np.random.default_rng(2)
+    labels = rng.integers(0, 2, 500)
+    scores = np.zeros((500, 2))
+    scores[np.arange(500), np.where(rng.random(500) < 0.8, labels, 1 - labels)] = 10
+    assert language.temperature(scores, labels) > 4
+
+
+def greedy(word, first, later):
+    n, pieces = 0, first
+    while word:
+        k = next((k for k in range(len(word), 0, -1) if word[:k] in pieces), 0)
+        if not k:
+            return 1
+        word, pieces, n = word[k:], later, n + 1
+    return n
+
+
+def test_longest_match_automaton():
+    rng = random.Random(6)
+    for _ in range(200):
+        first, later = ({"".join(rng.choices("abc", k=rng.randint(1, 4))).encode() for _ in range(rng.randint(1, 8))} for _ in range(2))
+        for a, b in ((first, later), (first, first)):
+            automaton = tokens.build(a, b)
+            for _ in range(30):
+                word = "".join(rng.choices("abc", k=rng.randint(0, 9))).encode()
+                assert tokens.count(word, automaton) == greedy(word, a, b), (word, a, b)
+
+
+def test_token_counts(docs, nothing):
+    first = {bytes([k]) for k in range(256)} | {b"ab", b"abc", b" ", b" a"}
+    found = by_id(tokens.token_counts(docs, first, prefix=b" "))
+    for i, t in corpus():
+        w = (t or "").encode().split()
+        assert (found[i].n_words, found[i].n_tokens) == (len(w), sum(greedy(b" " + x, first, first) for x in w))
+    assert tokens.token_counts(nothing, first).collect() == []
+
+
+def test_url_rules(spark):
+    rows = [
+        "https://WWW.Example.com/en/1?x=/en/", "http://example.com/en/", "http://a.example.com/en", "http://example.com", "http://b.net/fr/x#y",
+        "http://net/es/", "http://anet/es/", "ftp://x.org/", "no url", "", None, "http://://com/", "http://com:80/", "x://com?://y.net/es/",
+    ] * 2
+    df = spark.createDataFrame([(i % 20, u, "clash") for i, u in enumerate(rows)], "page_id long, url string, rule string")
+
+    def expected(url):
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+        host, path = (low(m[1]), m[2]) if m else ("", "")
+        fits = [(len(h + p), v, h + p) for v, h, p in urls.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        best = max(fits, default=(0, "allow", None))
+        return host, path, best[2], best[1]
+
+    found = urls.judge(df, urls.rules_table(spark)).collect()
+    assert sorted(repr(tuple(r)) for r in found) == sorted(repr((i % 20, *expected(u))) for i, u in enumerate(rows))
+    assert {r.verdict for r in urls.judge(df, urls.rules_table(spark, ())).collect()} == {"allow"}
+
+
+def test_surrogates(spark, nothing):
+    value = "Mail a.b@c.de or +1 (612) 555-5827, card 4111 1111 1111 1111, 9.8.7.6. Mrs. Anna Schmidt met Herr Weber; a.b@c.de again."
+    rows = [(1, value, "x"), (2, value, "y"), (3, "Nothing here", "z"), (4, None, "z"), (5, "", "z"), (6, "a.b@c.de", "w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, surrogate string")
+    found = by_id(pii.pseudonymise(df, "key"))
+    one = found[1].text
+    assert found[2].text == one and found[3].text == "Nothing here" and found[4].text is None and found[5].text == ""
+    assert [found[k].n_entities for k in range(1, 7)] == [7, 7, 0, 0, 0, 1]
+    mail = found[6].text
+    assert one.count(mail) == 2 and re.fullmatch(r"[a-z]\.[a-z]@\S+", mail)
+    card = re.search(r"\d{4} \d{4} \d{4} \d{4}", one)[0].replace(" ", "")
+    assert sum(int(c) if k % 2 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(card)) % 10 == 0
+    assert re.search(r"\+1 \(\d{3}\) \d{3}-\d{4}", one) and re.search(r"Mrs\. \w+ \w+ met Herr \w+;", one)
+    for gone in ("a.b@", "612", "4111", "9.8.7.6", "Schmidt", "Weber"):
+        assert gone not in one
+    assert by_id(pii.pseudonymise(df, "other"))[6].text != mail
+    assert pii.pseudonymise(nothing, "key").collect() == []
+
+
+def test_surrogates_stay_distinct(spark):
+    entities = spark.range(3000).select(F.format_string("x%d@y.zz", F.col("id") % 100).alias("entity")).union(
+        spark.range(900).select(F.format_string("%03d-11-2222", "id").alias("entity"))
+    )
+    found = pii.surrogates(entities, "key").collect()
+    assert len(found) == 1000 == len({r.surrogate for r in found}) and not {r.surrogate for r in found} & {r.entity for r in found}
+
+
+def test_mixing_is_pfair(spark, nothing):
+    rng = random.Random(8)
+    sizes = {"a": 700, "b": 90, "c": 33, None: 5, "d": 1}
+    rows = [(k, s) for k, s in enumerate(x for x, n in sizes.items() for _ in range(n))]
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(i, s, 7) for i, s in rows], "doc_id long, source string, position int")
+    weights = spark.createDataFrame([("a", 5.0), ("b", 3.0), ("c", 2.0), (None, 1.0)], "source string, weight double")
+    found = mixing.mix(df, weights, block=4, period=11).collect()
+    assert sorted(r.doc_id for r in found) == sorted(i for i, _ in rows)
+    blocks = collections.defaultdict(set)
+    members = collections.Counter()
+    for r in found:
+        blocks[r.position].add((r.source, r.block, r.period))
+        members[r.source, r.block] += 1
+    assert all(len(b) == 1 for b in blocks.values()) and sorted(blocks) == list(range(len(blocks)))
+    assert all(n == 4 or b == (sizes[s] - 1) // 4 for (s, b), n in members.items())
+    by_period = collections.defaultdict(list)
+    for position in sorted(blocks):
+        (source, _, period), = blocks[position]
+        by_period[period].append(source)
+    for order in by_period.values():
+        quota = collections.Counter(order)
+        given = collections.Counter()
+        for t, source in enumerate(order, 1):
+            given[source] += 1
+            assert all(abs(given[s] - t * quota[s] / len(order)) < 1 for s in quota)
+    assert mixing.mix(nothing, weights).collect() == []
+
+
+def test_word_hashes_do_not_depend_on_the_slice():
+    import pyarrow as pa
+    column = pa.array([t for _, t in corpus()], pa.string())
+    for size in (2, 5):
+        whole, parts = [], []
+        for most, out in ((1 << 24, whole), (64, parts)):
+            for _, _, raw, offsets in text.slices(column, most):
+                hashes, bounds = text.shingles(text.words(raw, offsets), size)
+                out += [hashes[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+        assert whole == parts
