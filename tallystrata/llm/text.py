@@ -104,7 +104,7 @@ def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     total = np.zeros(n, dtype=np.uint64)
     for k in range(size):
         step = mix(np.array([k + 1], dtype=np.uint64))[0] | _U(1)
-        total[: n - k] += w.hash[k:] * step
+        total[: max(n - k, 0)] += w.hash[k:] * step
     hashed = mix(total)
     bounds = np.zeros(docs + 1, dtype=np.int64)
     parts = []
