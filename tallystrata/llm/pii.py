@@ -43,6 +43,8 @@ NAMES = {
 SURNAME = r"\p{Lu}[\p{L}'-]+"
 NAME = r"\b(?:" + "|".join(t for group in TITLES.values() for t in group) + r")\.? " + SURNAME + "(?: " + SURNAME + ")?"
 KINDS = {"email": EMAIL, "iban": IBAN, "ip": IP, "card": CARD, "ssn": SSN, "phone": PHONE, "name": NAME}
+#: What every entity has; texts without it need no further search.
+HINT = r"[0-9@]|\b(?:" + "|".join(t for group in TITLES.values() for t in group) + r")\.? "
 ENTITY = "|".join(f"(?:{p})" for p in KINDS.values())
 
 
@@ -181,7 +183,7 @@ def pseudonymise(docs: DataFrame, secret: str, text: str = "text") -> DataFrame:
     docs = docs.drop("n_entities")
     columns = [c for c in docs.columns]
     found = F.regexp_extract_all(F.col(text), F.lit(ENTITY), F.lit(0))
-    marked = docs.withColumn("_found", F.coalesce(found, F.array().cast("array<string>")))
+    marked = docs.withColumn("_found", F.coalesce(F.when(F.col(text).rlike(HINT), found), F.array().cast("array<string>")))
     plain = marked.filter(F.size("_found") == 0).select(*columns, F.lit(0).cast("bigint").alias("n_entities"))
     held = marked.filter(F.size("_found") > 0).withColumn("_key", F.sha2(text, 256))
     listed = held.select("_key", F.explode(F.array_distinct("_found")).alias("entity")).distinct()
