@@ -316,6 +316,24 @@ def test_surrogates(spark, nothing):
     assert pii.pseudonymise(nothing, "key").collect() == []
 
 
+def test_surrogates_search(spark):
+    """Entities that touch, texts that hold the mark, and clashing column names; the pieces are those of a plain search."""
+    texts = [
+        "(612) 555-5827a.b@c.de", "abc9.8.7.6 x", "é@ö.de", "a\uffffb", "a\uffffb c@d.de\uffff 123-45-6789", "x" * 5000 + "@y.zz", "Mr. Adam", "1.2.3.4 5.6.7.8",
+        "_Mrs. Berg", "no.mail@ here, a+b@c-d.e.fr.", "12345678901234567890", "",
+    ]
+    df = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "_key long, text string, _pieces long")
+    plain = "|".join(f"(?:{p})" for p in (pii.KINDS | {"email": r"[\p{L}0-9._%+-]+@[\p{L}0-9-]+(?:\.[\p{L}0-9-]+)+"}).values())
+    want = df.select("_key", F.regexp_extract_all("text", F.lit(plain), F.lit(0)).alias("found"))
+    cut = df.select("_key", "text", pii._pieces(F.col("text")).alias("cut")).join(want, "_key").collect()
+    assert len(cut) == len(texts)
+    for r in cut:
+        assert "".join(r.cut) == r.text and [p for p in r.cut[1::2] if p] == r.found
+    found = {r["_key"]: r for r in pii.pseudonymise(df, "key").collect()}
+    assert len(found) == len(texts) and all(r["_pieces"] == k for k, r in found.items())
+    assert found[3].text == texts[3] and found[4].n_entities == 2 and found[4].text.count("\uffff") == 2
+
+
 def test_surrogates_stay_distinct(spark):
     entities = spark.range(3000).select(F.format_string("x%d@y.zz", F.col("id") % 100).alias("entity")).union(
         spark.range(900).select(F.format_string("%03d-11-2222", "id").alias("entity"))
