@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -17,12 +18,24 @@ CORRUPT = "_corrupt_record"
 ROW_ORDER = ("_source_file", "_block_start", "_row_seq")
 
 
-def legacy_files(spark: SparkSession, path: str) -> list[str]:
-    """Files that are not valid UTF-8 and are therefore read as Latin-1. One scan; only invalid lines leave it."""
-    invalid = spark.read.text(path).filter(~F.is_valid_utf8("value"))
+def unusual_files(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Files that are not valid UTF-8, and files with a line break inside quotes: some line has an odd number of them.
+
+    One scan; a row for each file that is either leaves it.
+    """
+    line = F.col("value")
+    quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), (~F.is_valid_utf8(line)).alias("legacy"), (quotes % 2 == 1).alias("broken")
+    )
     # file names, which the reader lists on the driver anyway
-    files = invalid.select(F.col("_metadata.file_path").alias("file")).distinct().collect()
-    return sorted(unquote(f.file) for f in files)
+    files = lines.filter("legacy or broken").groupBy("file").agg(F.max("legacy").alias("legacy"), F.max("broken").alias("broken")).collect()
+    return sorted(unquote(f.file) for f in files if f.legacy), sorted(unquote(f.file) for f in files if f.broken)
+
+
+def legacy_files(spark: SparkSession, path: str) -> list[str]:
+    """Files that are not valid UTF-8 and are therefore read as Latin-1."""
+    return unusual_files(spark, path)[0]
 
 
 def files_below(spark: SparkSession, path: str) -> list[str]:
@@ -91,18 +104,28 @@ def read_raw(spark: SparkSession, path: str, multiline: bool = False, encoding:
     """Every row of the file or folder at ``path`` as text columns with lineage.
 
     ``_rejected`` marks rows with more fields than the header; shorter rows are kept with nulls. A missing path raises
-    here, before anything is written. ``multiline`` allows line breaks inside quotes and reads each file in one task.
-    Without an ``encoding``, one scan finds out which files are not UTF-8; a known encoding saves that scan.
+    here, before anything is written. One scan finds out which files are not UTF-8 and which have line breaks inside
+    quotes; only the latter are read by one task each. ``encoding`` and ``multiline`` decide for all files; the scan is
+    saved only where both do.
     """
     source = _source_name(spark, path)
-    old = [] if encoding else legacy_files(spark, path)
-    if not old:
+    old, broken = ([], []) if encoding and multiline else unusual_files(spark, path)
+    old = [] if encoding else old
+    broken = [] if multiline else broken
+    if not old and not broken:
         rows = _read_text_columns(spark, path, source, encoding or UTF8, multiline)
     else:
-        new = sorted(set(files_below(spark, path)) - set(old))
-        rows = _read_text_columns(spark, old, source, LEGACY, multiline)
-        if new:
-            rows = _read_text_columns(spark, new, source, UTF8, multiline).unionByName(rows, allowMissingColumns=True)
+        groups: dict[tuple[bool, bool], list[str]] = {}
+        legacy, split_lines = set(old), set(broken)
+        for file in files_below(spark, path):
+            groups.setdefault((file in legacy, file in split_lines), []).append(file)
+        rows = reduce(
+            lambda x, y: x.unionByName(y, allowMissingColumns=True),
+            [
+                _read_text_columns(spark, files, source, encoding or (LEGACY if is_old else UTF8), multiline or is_broken)
+                for (is_old, is_broken), files in sorted(groups.items())
+            ],
+        )
     return (
         rows.withColumn("_rejected", F.coalesce("_too_wide", F.lit(False)))
         .withColumn(CORRUPT, F.when(F.col("_rejected"), F.col(CORRUPT)))

@@ -69,6 +69,20 @@ def test_line_breaks_inside_quotes(spark, tmp_path):
     assert [(r.a, r.b, r._row_idx) for r in got.collect()] == [("1", "two\nlines", 0), ("2", "x", 1)]
 
 
+@pytest.mark.parametrize("options", [{}, {"encoding": "utf-8"}])
+def test_line_breaks_are_found_by_file(spark, tmp_path, options):
+    put(tmp_path / "d/a.csv", 'a,b,c\n1,"two\nlines",-100.00\n2,"x ""y"" z",5\n', "utf-8-sig")
+    put(tmp_path / "d/b.csv", "a,b,c\n3,z,6\n4,w,7\n")
+    if not options:
+        put(tmp_path / "d/c.csv", 'a,b,c\n5,"é\n\n, ü",8\n', "latin-1")
+        put(tmp_path / "d/e.csv", "a,b,c\n6,é,9\n", "latin-1")
+    got = with_row_index(bronze(spark, str(tmp_path / "d"), **options)).orderBy("a").collect()
+    want = [("1", "two\nlines", "-100.00", 0), ("2", 'x "y" z', "5", 1), ("3", "z", "6", 0), ("4", "w", "7", 1)]
+    assert [(r.a, r.b, r.c, r._row_idx) for r in got] == want + ([] if options else [
+        ("5", "é\n\n, ü", "8", 0), ("6", "é", "9", 0)])
+    assert not any(r._rejected for r in got)
+
+
 def test_missing_source(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_raw(spark, str(tmp_path / "none.csv"))
