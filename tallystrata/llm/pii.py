@@ -159,7 +159,9 @@ def surrogates(entities: DataFrame, secret: str, rounds: int = 20) -> DataFrame:
     Each round checks all of them: of those that share one the smallest entity keeps it, the others and whatever equals an
     entity draw anew. Raises if ``rounds`` do not suffice, which means that a format has fewer values than entities.
     """
-    table = entities.select("entity").distinct().withColumns({"kind": kind(F.col("entity")), "turn": F.lit(0)})
+    # Drawing costs far more than the few bytes of an entity suggest, so the number of tasks is not left to their size.
+    tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    table = entities.select("entity").distinct().repartition(tasks, "entity").withColumns({"kind": kind(F.col("entity")), "turn": F.lit(0)})
     table = stored(table.withColumn("surrogate", surrogate(secret, F.col("entity"), F.col("kind"), F.col("turn"))), "surrogates")
     for _ in range(rounds):
         owner = table.groupBy("surrogate").agg(F.min("entity").alias("owner"), F.count("*").alias("n"))
