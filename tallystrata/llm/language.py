@@ -159,11 +159,12 @@ def identify(docs: DataFrame, learn_from: Column, id_column: str = "doc_id", tex
     docs = docs.drop("lang_pred", "score")
     if model is None:
         return docs.withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0)})
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Broadcasts travel by reference to their classes, which executors may not have: plain values only.
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
     at = docs.columns.index(text)
 
     def predict(batches):
-        m = shared.value
+        m = Model(*shared.value)
         for batch in batches:
             names, scores = [], []
             for value in batch.column(at):
