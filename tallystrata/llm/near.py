@@ -182,9 +182,10 @@ def _blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(``id, n, set_id`` of all documents, ``id, label`` of the linked representatives)."""
     sketched = stored(_sketches(docs, size), "sketch")
-    heads = sketched.filter("n > 0").groupBy("set_id").agg(F.min("id").alias("id"))
-    # Rows that repeat an id and its text have equal bands; one of them is enough.
-    heads = sketched.join(heads, ["set_id", "id"], "left_semi").dropDuplicates(["id", "set_id"])
+    # Equal sets have equal sizes and bands.
+    heads = sketched.filter("n > 0").groupBy("set_id").agg(
+        F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")
+    )
     buckets = heads.select("id", "n", F.explode("bands").alias("band"))
     crowd = buckets.groupBy("band").agg(F.count("*").alias("crowd")).filter("crowd > 1")
     shared = stored(buckets.join(crowd, "band"), "shared")
@@ -199,23 +200,20 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
     sets = stored(_sets(docs, size, shared.select("id").distinct()), "sets")
     near_size = "100 * least(na, nb) >= {0} * greatest(na, nb)".format(percent)
     direct = stored(_verified(stars.filter(near_size).select("a", "b"), sets, percent), "direct")
-    first = stored(components(direct), "first")
-    clusters = components(stars).withColumnRenamed("label", "cluster")
-    members = (
-        clusters.join(heads.select("id", "n"), "id").join(first, "id", "left")
-        .withColumn("label", F.coalesce("label", "id"))
-    )
+    labels, clusters = components(direct, stars.select("a", "b"))
+    first = stored(labels, "first")
+    members = clusters.withColumnRenamed("label", "cluster").join(first, "id", "left").withColumn("label", F.coalesce("label", "id"))
     by_label = members.groupBy("cluster", "label").agg(F.count("*").alias("many"))
     main = by_label.groupBy("cluster").agg(
         F.max_by("label", F.struct(F.col("many"), F.col("label"))).alias("main"), F.count("*").alias("labels")
     ).filter("labels > 1")
     open_members = stored(
-        members.join(main, "cluster").select("id", "n", "label", "cluster", (F.col("label") != F.col("main")).alias("odd")), "open"
+        members.join(main, "cluster").join(shared.select("id", "n").distinct(), "id").select("id", "n", "label", "cluster", (F.col("label") != F.col("main")).alias("odd")), "open"
     )
     more = stored(_blocks(open_members, sets, percent), "more")
     if more.isEmpty():
         return sketched, first
-    return sketched, components(direct.unionByName(more))
+    return sketched, components(direct.unionByName(more))[0]
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:

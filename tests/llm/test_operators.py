@@ -89,8 +89,14 @@ def test_near_duplicates_of_nothing(nothing):
 
 def test_components_of_long_chains_and_hubs(spark):
     edges = [(k, k + 1) for k in range(1, 60)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
-    found = {r.id: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert found == {k: 1 for k in range(1, 61)} | {k: 100 for k in range(100, 140)}
+    other = [("b", "c"), ("é", "b"), ("x", "y")]
+    shape = "a long, b long"
+    one, none, half = components(spark.createDataFrame(edges, shape), spark.createDataFrame([], shape), spark.createDataFrame(edges[:30], shape))
+    assert {r.id: r.label for r in one.collect()} == {k: 1 for k in range(1, 61)} | {k: 100 for k in range(100, 140)}
+    assert none.collect() == []
+    assert {r.id: r.label for r in half.collect()} == {k: 1 for k in range(1, 32)}
+    texts = components(spark.createDataFrame(other, "a string, b string"))[0]
+    assert {r.id: r.label for r in texts.collect()} == {"b": "b", "c": "b", "é": "b", "x": "x", "y": "x"}
 
 
 def test_exact_classes(docs):
