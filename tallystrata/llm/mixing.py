@@ -1,19 +1,27 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Native functions only. A source's weight is a whole number of blocks in each period. Within a period its block i gets the
-release time floor(i * A / q) and the deadline ceil((i + 1) * A / q), for A slots in the period and q of them its own; each
-slot goes to the released block with the earliest deadline. Such a schedule meets all deadlines, so after any number of
-slots each source is less than one block away from its share. Periods are alike until a source runs out: those in which
-sources end have a schedule of their own for what they have left, and later ones share the slots among the rest. There
-are at most two schedules for each source, and every block's place follows from its number alone.
+Native functions only. Think of all sources as flowing at once, each at the rate of its weight among the sources that are not
+used up. Block i of a source with weight w flows between the rounds i / w and (i + 1) / w, and by round v there have been
+T(v) = sum of min(w * v, blocks) slots. Its release is floor(T(i / w)), its deadline ceil(T((i + 1) / w)), and each slot goes
+to the released block with the earliest deadline. Such a schedule meets all deadlines, so after any number of slots each
+source is less than one block away from what has flowed: w * t / (sum of w) until the first source ends, and the same from
+there on among the rest. Weights are used as they are given; nothing is rounded to periods.
+
+The slots are found without going from one to the next. Blocks of earlier deadline do not wait for later ones, so the slots
+that the earlier half of a group uses follow from releases alone (running maximum), the later half has the others, and both
+halves go on in the same way: as many rounds as the number of blocks has bits, whatever the number of sources.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: Rows of a block, and blocks of all sources in the first period.
+from tallystrata.sources.scratch import stored
+
+#: Rows of a block, and the former length of a period.
 BLOCK, PERIOD = 64, 200
+#: Slots this near to a whole number count as whole, as rounds and weights are doubles.
+NEAR = 1e-6
 #: Rows of a hash range that is numbered by one task, and ranges whose counts are added up by one task.
 RANGE, RANGES = 500, 1000
 _HASHES = 1 << 32
@@ -51,83 +59,85 @@ def numbered(docs: DataFrame, id_column: str, source: str) -> DataFrame:
     )
 
 
-def quotas(sizes: DataFrame, weights: DataFrame, period: int = PERIOD) -> DataFrame:
-    """``source, blocks, quota``: blocks in each period, at least one, by weight. ``sizes``: source, blocks; ``weights``: source, weight.
+def weighted(sizes: DataFrame, weights: DataFrame) -> DataFrame:
+    """``source, blocks, weight``. ``sizes``: source, blocks; ``weights``: source, weight.
 
-    A source without a weight, or with one that is null or not above 0, has the smallest quota.
+    A source without a weight, or with one that is null, not above 0 or not finite, has the smallest of the others.
     """
-    total = weights.filter("weight > 0").agg(F.sum("weight")).scalar()
-    matched = sizes.join(weights.withColumnRenamed("source", "_w"), F.col("source").eqNullSafe(F.col("_w")), "left")
-    share = F.round(F.lit(period) * F.col("weight") / total).cast("bigint")
-    return matched.select("source", "blocks", F.greatest(F.lit(1).cast("bigint"), F.coalesce(F.when(F.col("weight") > 0, share), F.lit(1).cast("bigint"))).alias("quota"))
+    usable = weights.filter((F.col("weight") > 0) & (F.col("weight") < float("inf")))
+    usable = usable.select(F.col("source").alias("_w"), F.col("weight").cast("double").alias("weight"))
+    matched = sizes.join(usable, F.col("source").eqNullSafe(F.col("_w")), "left")
+    return matched.select("source", "blocks", F.coalesce("weight", usable.agg(F.min("weight")).scalar(), F.lit(1.0)).alias("weight"))
+
+
+def windows(planned: DataFrame) -> DataFrame:
+    """``source, i, release, deadline`` of every block. ``planned``: source, blocks, weight; one row for each source."""
+    # One row for each round in which a block begins or its source ends.
+    rounds = planned.select("source", "blocks", "weight", F.explode(F.sequence(F.lit(0).cast("bigint"), "blocks")).alias("i"))
+    rounds = rounds.withColumn("v", F.col("i") / F.col("weight")).withColumn("last", F.col("i") == F.col("blocks"))
+    order = Window.orderBy("v", "source", "i")
+    back = Window.orderBy(F.desc("v"), F.desc("source"), F.desc("i"))
+    before = F.sum(F.when(F.col("last"), F.col("blocks")).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    # Added up from the end, so that small weights keep their digits beside large ones that have ended.
+    active = F.coalesce(F.sum(F.when(F.col("last"), F.col("weight")).otherwise(0.0)).over(back.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    flowed = rounds.withColumn("before", before).withColumn("t", F.col("before") + F.col("v") * active)
+    ends = F.lead("t").over(Window.partitionBy("source").orderBy("i"))
+    return flowed.withColumn("end", ends).filter(~F.col("last")).select(
+        "source", "i", F.floor(F.col("t") + NEAR).alias("release"), F.ceil(F.col("end") - NEAR).alias("deadline")
+    )
 
 
-def schedules(planned: DataFrame) -> DataFrame:
-    """``source, quota, first_period, last_period, slots, start, i, slot``: the slot of block i of a source within a period.
+def earliest_first(jobs: DataFrame, n: int) -> DataFrame:
+    """``rank, slot``: each slot from 0 goes to the released job of the lowest rank.
 
-    ``planned``: source, blocks, quota; one row for each source.
-    """
-    ends = planned.withColumn("periods", F.ceil(F.col("blocks") / F.col("quota")))
-    last = ends.select(F.explode(F.array(F.col("periods") - 2, F.col("periods") - 1)).alias("last_period")).filter("last_period >= 0").distinct()
-    spans = last.select(
-        F.expr("coalesce(lag(last_period) OVER (ORDER BY last_period) + 1, 0)").alias("first_period"), "last_period"
-    )
-    active = spans.join(ends, F.col("periods") > F.col("last_period")).withColumn(
-        "q", F.when(F.col("last_period") == F.col("periods") - 1, F.col("blocks") - F.col("quota") * (F.col("periods") - 1)).otherwise(F.col("quota"))
-    )
-    phases = active.groupBy("first_period", "last_period").agg(
-        F.sum("q").alias("slots"), F.array_sort(F.collect_list(F.struct("source", "q"))).alias("sources")
-    )
-    phases = phases.withColumn(
-        "start",
-        F.expr("coalesce(sum(slots * (last_period - first_period + 1)) OVER (ORDER BY first_period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"),
-    )
-    # One slot after the other: of the sources whose next block is released, the earliest deadline, then the first in order.
-    # The state has the blocks that each source was given and the order so far.
-    candidate = """
-        struct(((state.given[k] + 1) * slots + s.q - 1) div s.q AS deadline, k,
-               state.given[k] < s.q AND (state.given[k] * slots) div s.q <= t AS released)
-    """
-    chosen = f"array_min(filter(transform(sources, (s, k) -> {candidate}), x -> x.released)).k"
-    fold = f"""
-        aggregate(
-            sequence(0L, slots - 1),
-            struct(transform(sources, s -> 0L) AS given, cast(array() AS array<int>) AS order),
-            (state, t) -> transform(array({chosen}), n -> struct(
-                transform(state.given, (g, k) -> g + if(k = n, 1L, 0L)) AS given, concat(state.order, array(n)) AS order))[0],
-            state -> state.order)
+    ``jobs``: rank (0 to n - 1), release. No slot may be idle, which the caller has to see to.
     """
-    laid = phases.withColumn("order", F.expr(fold)).select(
-        "first_period", "last_period", "slots", "start", "sources", F.posexplode("order").alias("slot", "k")
-    )
-    return laid.select(
-        F.expr("sources[k].source").alias("source"), "first_period", "last_period", "slots", "start", "slot",
-        F.expr("row_number() OVER (PARTITION BY first_period, k ORDER BY slot) - 1").alias("i"),
-    )
+    slots = jobs.sparkSession.range(n).select(F.lit(0).cast("bigint").alias("node"), F.lit(None).cast("bigint").alias("rank"), F.col("id").alias("slot"), F.col("id").alias("pos"))
+    rows = slots.unionByName(jobs.select(F.lit(0).cast("bigint").alias("node"), "rank", F.lit(None).cast("bigint").alias("slot"), F.col("release").alias("pos")))
+    # A node has the jobs whose ranks agree in their upper bits and as many slots, numbered from 0; ``pos`` is a slot's number
+    # or the first slot of the node in which the job is released.
+    for half in reversed(range((n - 1).bit_length() if n else 0)):
+        bit = F.shiftright("rank", half).bitwiseAND(F.lit(1).cast("bigint"))
+        rows = rows.repartition("node").withColumn("early", F.coalesce(bit == 0, F.lit(False)))
+        queue = Window.partitionBy("node", "early").orderBy("pos", "rank", "slot")
+        rows = rows.withColumn("k", F.row_number().over(queue) - 1)
+        rows = rows.withColumn("used", F.col("k") + F.max(F.col("pos") - F.col("k")).over(queue.rowsBetween(Window.unboundedPreceding, 0)))
+        # Each early job adds a mark at a slot that the early jobs use.
+        at = lambda place, mark: F.struct(F.col(place).cast("bigint").alias("pos"), F.lit(mark).alias("mark"))
+        marked = rows.select("node", "rank", "slot", F.explode(F.when(F.col("early"), F.array(at("pos", 0), at("used", 1))).otherwise(F.array(at("pos", 0)))).alias("x"))
+        line = Window.partitionBy("node").orderBy("pos")
+        marked = marked.select("node", "rank", "slot", "x.pos", "x.mark").withColumn(
+            "before", F.coalesce(F.sum("mark").over(line.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        ).withColumn("upto", F.sum("mark").over(line.rangeBetween(Window.unboundedPreceding, 0)))
+        later = F.when(F.col("slot").isNull(), bit).otherwise((F.col("upto") == F.col("before")).cast("bigint"))
+        rows = marked.filter("mark = 0").withColumn("later", later).select(
+            (F.col("node") * 2 + F.col("later")).alias("node"), "rank", "slot",
+            F.when(F.col("later") == 0, F.col("before")).otherwise(F.col("pos") - F.col("before")).alias("pos"),
+        )
+    return rows.filter("slot IS NOT NULL").select(F.col("node").alias("rank"), "slot")
+
+
+def schedule(planned: DataFrame) -> DataFrame:
+    """``source, i, slot``: the slot of every block in the whole mix. ``planned``: source, blocks, weight."""
+    ranked = windows(planned).withColumn("rank", F.row_number().over(Window.orderBy("deadline", "release", "source", "i")).cast("bigint") - 1)
+    ranked = stored(ranked, "blocks")
+    return ranked.join(earliest_first(ranked.select("rank", "release"), ranked.count()), "rank").select("source", "i", "slot")
 
 
 def mix(
     docs: DataFrame, weights: DataFrame, id_column: str = "doc_id", source: str = "source", block: int = BLOCK, period: int = PERIOD
 ) -> DataFrame:
-    """``docs`` with ``block`` (its number within the source), ``period`` and ``position`` (the block's slot in the whole mix).
+    """``docs`` with ``block`` (its number within the source), ``position`` (the block's slot in the whole mix) and ``period``.
 
-    No row is dropped or repeated. ``weights`` has ``source`` (each once) and ``weight``; their number is what the schedules
-    grow with, not the rows. Null is a source of its own. Blocks have ``block`` rows but for each source's last one, rows
-    in the order of a hash of the id. Columns of ``docs`` that have the new names are replaced.
+    No row is dropped or repeated. ``weights`` has ``source`` (each once) and ``weight``. Null is a source of its own. Blocks
+    have ``block`` rows but for each source's last one, rows in the order of a hash of the id. The schedule has no periods
+    that repeat: the column ``period`` is the position, each slot one of its own, and the parameter has no effect; both
+    are kept for callers. Columns of ``docs`` that have the new names are replaced.
     """
     docs = docs.drop("block", "period", "position")
     sizes = docs.groupBy(F.col(source).alias("source")).agg(F.ceil(F.count("*") / block).alias("blocks"))
-    planned = quotas(sizes, weights, period)
-    plan = schedules(planned).select(
-        F.col("source").alias("_s"), "first_period", "last_period", "slots", "start", "slot", F.col("i").cast("bigint").alias("_i")
-    )
-    own = planned.select(F.col("source").alias("_q"), F.col("quota").alias("_quota"))
+    plan = schedule(weighted(sizes, weights)).select(F.col("source").alias("_s"), F.col("i").alias("_i"), F.col("slot").alias("position"))
     rows = numbered(docs, id_column, source).withColumn("block", F.floor(F.col("_row") / block))
-    rows = rows.join(own, rows[source].eqNullSafe(own["_q"])).withColumn("period", F.floor(F.col("block") / F.col("_quota"))).withColumn(
-        "_i", F.col("block") % F.col("_quota")
-    )
-    meets = rows[source].eqNullSafe(plan["_s"]) & (rows["_i"] == plan["_i"]) & rows["period"].between(plan["first_period"], plan["last_period"])
-    return rows.join(plan, meets).select(
-        *docs.columns, rows["block"], rows["period"],
-        (F.col("start") + (F.col("period") - F.col("first_period")) * F.col("slots") + F.col("slot")).cast("bigint").alias("position"),
+    return rows.join(plan, rows[source].eqNullSafe(plan["_s"]) & (rows["block"] == plan["_i"])).select(
+        *docs.columns, "block", F.col("position").alias("period"), "position"
     )

@@ -6,6 +6,7 @@ import math
 import random
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -377,6 +378,44 @@ def test_mixing_is_pfair(spark, nothing):
     assert mixing.mix(nothing, weights).collect() == []
 
 
+def flowed(sizes, weights):
+    """What has flowed of each source after each slot, in exact fractions."""
+    done, given = dict.fromkeys(sizes, Fraction(0)), []
+    for _ in range(sum(sizes.values())):
+        left = Fraction(1)
+        while left:
+            active = [s for s in sizes if done[s] < sizes[s]]
+            total = sum(weights[s] for s in active)
+            step = min(left, min((sizes[s] - done[s]) * total / weights[s] for s in active))
+            for s in active:
+                done[s] += step * weights[s] / total
+            left -= step
+        given.append(dict(done))
+    return given
+
+
+@pytest.mark.parametrize("case", ["many small", "unequal", "roots"])
+def test_mixing_follows_the_given_weights(spark, case):
+    rng = random.Random(5)
+    small = [f"s{k:03d}" for k in range(120)]
+    if case == "many small":
+        sizes, weights = {"big": 500, **dict.fromkeys(small, 3)}, {"big": 0.9, **dict.fromkeys(small, 0.1 / 120)}
+    elif case == "unequal":
+        sizes, weights = {s: rng.randint(1, 20) for s in small[:50]}, {s: float(rng.choice((1, 1, 2, 30, 700))) for s in small}
+    else:
+        sizes = {"a": 300, "b": 200, "c": 31, "d": 17, "e": 11, "f": 6}
+        weights = {s: math.sqrt(n) for s, n in zip(sizes, (300_000, 200_000, 1000, 300, 120, 40))}
+    df = spark.createDataFrame([(f"{s}/{k}", s) for s, n in sizes.items() for k in range(n)], "doc_id string, source string")
+    found = mixing.mix(df, spark.createDataFrame(list(weights.items()), "source string, weight double"), block=1).collect()
+    order = sorted(found, key=lambda r: r.position)
+    assert [r.position for r in order] == list(range(sum(sizes.values())))
+    given = collections.Counter()
+    for r, target in zip(order, flowed(sizes, {s: Fraction(w) for s, w in weights.items()})):
+        assert r.block == given[r.source]
+        given[r.source] += 1
+        assert all(abs(given[s] - target[s]) < 1 + 1e-6 for s in sizes)
+
+
 def test_word_hashes_do_not_depend_on_the_slice():
     import pyarrow as pa
     column = pa.array([t for _, t in corpus()], pa.string())
