@@ -416,6 +416,12 @@ def test_mixing_follows_the_given_weights(spark, case):
         assert all(abs(given[s] - target[s]) < 1 + 1e-6 for s in sizes)
 
 
+def test_mixing_of_many_sources(spark):
+    df = spark.range(6000).select(F.col("id").alias("doc_id"), (F.col("id") % 3000).cast("string").alias("source"))
+    weights = df.groupBy("source").agg(F.count("*").alias("weight"))
+    assert sorted(r.position for r in mixing.mix(df, weights, block=1).collect()) == list(range(6000))
+
+
 def test_word_hashes_do_not_depend_on_the_slice():
     import pyarrow as pa
     column = pa.array([t for _, t in corpus()], pa.string())
