@@ -147,6 +147,17 @@ def test_report_in_sections(spark, finished, tmp_path):
     assert job.build(copy) == "document" and document(copy) == doc
 
 
+def test_report_sizes_do_not_depend_on_the_form(spark, finished, tmp_path):
+    _, lake = finished
+    copy = Lake(spark, str(tmp_path / "lake"))
+    for table in ("branches", "clients", "accounts", "transactions", "proposals", "employees", "employee_branch", "price_index"):
+        copy.write(lake.silver(table), "silver", table)
+    assert job.build(copy, document_rows=10) == "sections"
+    sizes = {r.section: r.rows for r in raw.report_sizes(copy).collect()}
+    doc = document(lake)
+    assert sizes == {r.section: r.rows for r in raw.report_sizes(lake).collect()} == {n: len(doc[n]) for n in report.ROW_SECTIONS}
+
+
 def test_missing_source_leaves_bronze(spark, finished, tmp_path):
     _, lake = finished
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):

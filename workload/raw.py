@@ -12,7 +12,7 @@ from tallystrata.plans import job as batch, silver
 from tallystrata.plans.report import ROW_SECTIONS
 from tallystrata.sources.delimited import read_raw, read_typed
 from tallystrata.sources.layers import Lake
-from tallystrata.sources.report_store import read_report
+from tallystrata.sources.report_store import section_sizes
 from tallystrata.sources.scratch import scratch_path
 from tallystrata.sources.tables import BY_NAME
 
@@ -177,12 +177,8 @@ def job(b: Bank) -> Lake:
 
 
 def report_sizes(lake: Lake) -> DataFrame:
-    """Rows of each list section of the published report."""
-    report = read_report(lake.spark, lake.report_path)
-    sizes = F.array(*[
-        F.struct(F.lit(name).alias("section"), F.size(name).cast("bigint").alias("rows")) for name in sorted(ROW_SECTIONS)
-    ])
-    return report.select(F.explode(sizes).alias("s")).select("s.section", "s.rows")
+    """Rows of each list section of the published report, in either of its forms."""
+    return section_sizes(lake.spark, lake.report_path, sorted(ROW_SECTIONS))
 
 
 def fact_totals(lake: Lake) -> DataFrame:
