@@ -110,8 +110,8 @@ def _choose(names: tuple[str, ...], stream: Column, at: int) -> Column:
     return F.element_at(F.array(*map(F.lit, names)), (_number(stream, at, len(names)) + 1).cast("int"))
 
 
-def _name(value: Column, stream: Column) -> Column:
-    """Title kept; as many names as there were, of the title's gender and the name's script."""
+def _name(value: Column, stream: Column, turn: Column) -> Column:
+    """Title kept; as many names as there were, of the title's gender and the name's script; longer with each turn."""
     title = F.regexp_extract(value, r"^(\S+) ", 1)
     names = F.split(F.regexp_extract(value, r"^\S+ (.*)$", 1), " ")
     bare = F.regexp_replace(title, r"\.$", "")
@@ -125,13 +125,17 @@ def _name(value: Column, stream: Column) -> Column:
                 out = F.when((script == s) & (F.lit(True) if g == "family" else gender == g), _choose(names_of, stream, 0 if g == "family" else 1)).otherwise(out)
         return out
 
-    # Family names get two further syllables of the stream, as a list of names alone could not keep many entities apart.
+    # Family names get three further syllables of the stream, as a list of names alone could not keep many entities apart, and
+    # one more with each turn, so that there are sixteen times as many for those that still share theirs.
     syllables = ("ber", "den", "lis", "mor", "nav", "ros", "tal", "ven", "kor", "zan", "del", "fin", "gar", "hol", "jas", "wen")
     cyrillic = ("бер", "ден", "лис", "мор", "нав", "рос", "тал", "вен", "кор", "зан", "дел", "фин", "гар", "хол", "яс", "вил")
     greek = ("βερ", "δεν", "λισ", "μορ", "ναβ", "ροσ", "ταλ", "βεν", "κορ", "ζαν", "δελ", "φιν", "γαρ", "χολ", "ιασ", "βιλ")
     tails = {"latin": syllables, "cyrillic": cyrillic, "greek": greek}
+    more = lambda s: F.array_join(
+        F.transform(F.sequence(F.lit(0), turn), lambda k: F.when(k == 0, "").otherwise(_choose(tails[s], F.sha2(F.concat_ws("\n", stream, k.cast("string")), 256), 0))), ""
+    )
     tail = reduce(
-        lambda rest, s: F.when(script == s, F.concat(*[_choose(tails[s], stream, k) for k in (2, 3, 4)])).otherwise(rest), tails, F.lit("")
+        lambda rest, s: F.when(script == s, F.concat(*[_choose(tails[s], stream, k) for k in (2, 3, 4)], more(s))).otherwise(rest), tails, F.lit("")
     )
     family = F.concat(pick("family"), tail)
     return F.concat_ws(" ", title, F.when(F.size(names) > 1, F.concat_ws(" ", pick("given"), family)).otherwise(family))
@@ -149,7 +153,7 @@ def surrogate(secret: str, entity: Column, entity_kind: Column, turn: Column) ->
     phone = F.concat(F.regexp_extract(entity, r"^(\+[0-9]{1,3})?", 0), _shaped(F.regexp_replace(entity, r"^\+[0-9]{1,3}", ""), stream))
     return (
         F.when(entity_kind == "email", email).when(entity_kind == "ip", octets).when(entity_kind == "card", _card(entity, shaped))
-        .when(entity_kind == "iban", iban).when(entity_kind == "phone", phone).when(entity_kind == "name", _name(entity, stream)).otherwise(shaped)
+        .when(entity_kind == "iban", iban).when(entity_kind == "phone", phone).when(entity_kind == "name", _name(entity, stream, turn)).otherwise(shaped)
     )
 
 
@@ -157,7 +161,8 @@ def surrogates(entities: DataFrame, secret: str, rounds: int = 20) -> DataFrame:
     """``entity, kind, surrogate`` for distinct ``entity`` values: no two share a surrogate, and none is an entity itself.
 
     Each round checks all of them: of those that share one the smallest entity keeps it, the others and whatever equals an
-    entity draw anew. Raises if ``rounds`` do not suffice, which means that a format has fewer values than entities.
+    entity draw anew, names from a space that grows with each round. Raises if ``rounds`` do not suffice, which means that a
+    format of fixed length has fewer values than entities.
     """
     # Drawing costs far more than the few bytes of an entity suggest, so the number of tasks is not left to their size.
     tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))

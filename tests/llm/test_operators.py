@@ -349,6 +349,14 @@ def test_surrogates_stay_distinct(spark):
     assert len(found) == 1000 == len({r.surrogate for r in found}) and not {r.surrogate for r in found} & {r.entity for r in found}
 
 
+def test_surrogates_of_more_names_than_short_ones(spark):
+    """There are 40,960 surrogates of a title and one name without further syllables."""
+    letters = F.translate(F.format_string("%05d", F.col("id")), "0123456789", "abcdefghij")
+    found = pii.surrogates(spark.range(60_000).select(F.concat(F.lit("Mr X"), letters).alias("entity")), "key")
+    total, distinct, names = found.agg(F.count("*"), F.countDistinct("surrogate"), F.count_if(F.col("surrogate").rlike(f"^(?:{pii.NAME})$"))).first()
+    assert total == distinct == names == 60_000 and found.join(found.select(F.col("entity").alias("surrogate")), "surrogate").isEmpty()
+
+
 def test_mixing_is_pfair(spark, nothing):
     rng = random.Random(8)
     sizes = {"a": 700, "b": 90, "c": 33, None: 5, "d": 1}
