@@ -33,9 +33,17 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The order of training: each document's block and the block's position; texts stay where they are."""
+    """The training set: whole rows with their block and its position, in ranges of positions and sorted within them.
+
+    The order is found without the texts, which then move twice: to their places and into the ranges.
+    """
     weights = docs.groupBy("source").agg(F.sqrt(F.count("*")).alias("weight"))
-    return mixing.mix(docs.select("doc_id", "lang", "source", "n_chars"), weights)
+    # Ids may be null or recur; texts differ after the deduplication.
+    keys = docs.select(F.col("doc_id").alias("_id"), "source", F.xxhash64("text").alias("_text"))
+    order = mixing.mix(keys, weights, id_column="_id").drop("source")
+    rows = docs.drop("block", "period", "position")
+    placed = rows.join(order, rows["doc_id"].eqNullSafe(order["_id"]) & (F.xxhash64(rows["text"]) == order["_text"])).drop("_id", "_text")
+    return placed.repartitionByRange("position").sortWithinPartitions("position")
 
 
 STAGES = [

@@ -3,10 +3,12 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 import compare
 import corpus_pipeline
+from tallystrata.llm import exact
 from tallystrata.llm.oracles import ORACLES
 from tallystrata.llm.queries import QUERIES
 
@@ -36,3 +38,14 @@ def test_pipeline(spark):
     mixed = corpus_pipeline.STAGES[-1][1](spark, kept, SF).collect()
     assert {r.doc_id for r in mixed} == set(after)
     assert {r.doc_id for r in corpus_pipeline.run(spark, SF).collect()} == set(after)
+
+
+def test_mixed_rows_are_whole(spark):
+    """Texts come in the order of training, also with ids that are null or recur."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = exact.drop_duplicates(docs).withColumn("doc_id", F.expr("if(doc_id % 7 = 0, null, doc_id)")).cache()
+    mixed = corpus_pipeline.mix_sources(spark, docs, SF)
+    assert mixed.columns == [*docs.columns, "block", "period", "position"]
+    assert sorted(map(repr, mixed.select(*docs.columns).collect())) == sorted(map(repr, docs.collect()))
+    positions = [r.position for r in mixed.collect()]
+    assert positions == sorted(positions)
