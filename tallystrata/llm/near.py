@@ -3,9 +3,11 @@
 Two permutations of the 32-bit numbers make the whole signature: the first one scatters the shingles, the second one is
 shifted by one place for each further coordinate, and the smallest value is kept.
 
-Only one document of each different shingle set goes on. In each bucket of equal bands the document that shares most
-buckets is the centre; the others are verified against it. What a bucket leaves unconnected is compared within its
-cluster of buckets in blocks, of which only links come out, so no list of all pairs of a group ever exists.
+Each different shingle set is one vertex, whatever the ids of its documents. In each bucket of equal bands the vertex that
+shares most buckets is the centre. Every vertex is first verified against its best centre only, which joins a group of
+copies to one component; of the other centres only those of another component are verified after that. What a bucket still
+leaves unconnected is compared within its cluster of buckets in blocks, of which only links come out, so no list of all
+pairs of a group ever exists.
 
 With 28 bands of 4 rows a pair at the threshold of 0.8 shares no band with a probability below one in two million.
 """
@@ -59,8 +61,19 @@ def band_keys(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return key
 
 
+def _with_marks(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """``_id, _text, _h, _k``: two 64-bit hashes tell the texts of an id, or of no id, apart."""
+    value = F.col(text)
+    return docs.select(F.col(id_column).alias("_id"), value.alias("_text"), *_marks(value))
+
+
+def _marks(value) -> tuple:
+    return F.xxhash64(value).alias("_h"), F.xxhash64(F.lit("second"), value).alias("_k")
+
+
 def _sketches(docs: DataFrame, size: int) -> DataFrame:
-    """``id, n, set_id, bands``: number of shingles, digest of the set, band keys (null without shingles)."""
+    """``id, h, k, n, set_id, bands``: hashes of the text, number of shingles, digest of the set, band keys (null without
+    shingles)."""
 
     def sketch(batches):
         for batch in batches:
@@ -75,47 +88,52 @@ def _sketches(docs: DataFrame, size: int) -> DataFrame:
                     for a, b in zip(bounds[:-1], bounds[1:])
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(counts), pa.array(digests, pa.binary()),
-                     tx.lists(tx.signed(keys.reshape(-1)), lists)],
-                    names=["id", "n", "set_id", "bands"],
+                    [batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), batch.column(3).slice(i, j - i),
+                     pa.array(counts), pa.array(digests, pa.binary()), tx.lists(tx.signed(keys.reshape(-1)), lists)],
+                    names=["id", "h", "k", "n", "set_id", "bands"],
                 )
 
-    return docs.select(F.col("_id").alias("id"), "_text").mapInArrow(
-        sketch, f"id {docs.schema['_id'].dataType.simpleString()}, n bigint, set_id binary, bands array<bigint>"
+    return docs.mapInArrow(
+        sketch, f"id {docs.schema['_id'].dataType.simpleString()}, h bigint, k bigint, n bigint, set_id binary, bands array<bigint>"
     )
 
 
 def _sets(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
-    """``id, set``: full sorted shingle sets of the documents in ``wanted`` (column id, distinct)."""
-    keyed = docs.withColumn("_key", F.xxhash64("_id"))
-    passing = docs.sparkSession.sparkContext.broadcast(bloom.bitmap(wanted.select(F.xxhash64("id").alias("key")), "key"))
+    """``v, set``: full sorted shingle sets of the vertices in ``wanted`` (v, and h, k of a text that has the set)."""
+    passing = docs.sparkSession.sparkContext.broadcast(bloom.bitmap(wanted.select("h"), "h"))
 
     def sets(batches):
         for batch in batches:
-            near = bloom.hits(passing.value, batch.column(2).to_numpy(zero_copy_only=False))
-            batch = batch.filter(pa.array(near))
-            for i, j, raw, offsets in tx.slices(batch.column(1)):
+            key = np.stack([column.to_numpy(zero_copy_only=False) for column in batch.columns[1:]], axis=1)
+            # of equal texts one in each batch goes on
+            once = np.zeros(len(key), dtype=bool)
+            once[np.unique(key, axis=0, return_index=True)[1]] = True
+            batch = batch.filter(pa.array(bloom.hits(passing.value, key[:, 0].copy()) & once))
+            for i, j, raw, offsets in tx.slices(batch.column(0)):
                 hashes, bounds = tx.shingles(tx.words(raw, offsets), size)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), tx.lists(tx.signed(hashes), bounds)], names=["id", "set"]
+                    [batch.column(1).slice(i, j - i), batch.column(2).slice(i, j - i), tx.lists(tx.signed(hashes), bounds)],
+                    names=["h", "k", "set"],
                 )
 
-    found = keyed.mapInArrow(sets, f"id {docs.schema['_id'].dataType.simpleString()}, set array<bigint>")
-    return found.join(wanted.select("id"), "id", "left_semi")
+    found = docs.select("_text", "_h", "_k").mapInArrow(sets, "h bigint, k bigint, set array<bigint>")
+    # Grouped by the keys of the join, which needs no further exchange.
+    return found.join(wanted, ["h", "k"]).groupBy("h", "k", "v").agg(F.first("set").alias("set")).select("v", "set")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    sized = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a")
-    both = sized.join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
+    """The pairs (a, b) whose full sets are similar enough; sizes ``na, nb`` rule out most of the others beforehand."""
+    near_size = "100 * least(na, nb) >= {0} * greatest(na, nb)".format(percent)
+    sized = pairs.filter(near_size).join(sets.select(F.col("v").alias("a"), F.col("set").alias("x")), "a")
+    both = sized.join(sets.select(F.col("v").alias("b"), F.col("set").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
-    return both.filter(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b")
+    return both.filter(100 * common >= percent * (F.size("x") + F.size("y") - common)).select(*pairs.columns)
 
 
 def _blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links that the stars missed.
+    """Links that the stars missed, between labels.
 
-    ``members``: id, n, label, cluster, odd (not of the cluster's main label). Every odd document meets the whole cluster as
+    ``members``: v, n, label, cluster, odd (not of the cluster's main label). Every odd document meets the whole cluster as
     far as the set sizes allow: sizes fall into classes a factor ``100 / percent`` wide, and only the own and the
     neighbouring classes can hold partners. Both sides are cut into blocks of about BLOCK documents.
     """
@@ -131,19 +149,18 @@ def _blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     grid = per.drop("odds").join(reach, ["cluster", "kind"]).select(
         "cluster", "kind", "blocks", F.ceil(F.col("odds") / BLOCK).cast("bigint").alias("odd_blocks")
     )
-    place = F.pmod(F.xxhash64("id"), F.lit(1 << 40))
+    place = F.pmod(F.xxhash64("v"), F.lit(1 << 40))
     left = rows.join(grid, ["cluster", "kind"]).select(
         "cluster", "kind", (place % F.col("blocks")).alias("block"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("odd_blocks") - 1)).alias("odd_block"), "id", "label", F.lit(False).alias("odd"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("odd_blocks") - 1)).alias("odd_block"), "v", "label", F.lit(False).alias("odd"),
     )
     right = rows.filter("odd").withColumn("kind", F.explode(F.array(F.col("kind") - 1, F.col("kind"), F.col("kind") + 1))).join(
         grid, ["cluster", "kind"]
     ).select(
         "cluster", "kind", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"),
-        (place % F.col("odd_blocks")).alias("odd_block"), "id", "label", F.lit(True).alias("odd"),
+        (place % F.col("odd_blocks")).alias("odd_block"), "v", "label", F.lit(True).alias("odd"),
     )
-    shipped = left.unionByName(right).join(sets, "id")
-    id_type = members.schema["id"].dataType.simpleString()
+    shipped = left.unionByName(right).join(sets, "v")
 
     def compare(table: pa.Table) -> pa.Table:
         odd = table["odd"].to_numpy(zero_copy_only=False)
@@ -151,7 +168,7 @@ def _blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         flat = values.flatten().to_numpy(zero_copy_only=False)
         ends = np.cumsum(np.diff(values.offsets.to_numpy()))
         begins = np.concatenate([[0], ends[:-1]])
-        ids, labels = table["id"].to_pylist(), table["label"].to_pylist()
+        labels = table["label"].to_pylist()
         _, codes = np.unique(flat, return_inverse=True)
         ours = np.flatnonzero(~odd)
         out_a, out_b = [], []
@@ -171,49 +188,77 @@ def _blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     # One link to each component is enough to join it.
                     if labels[i] != labels[u] and labels[i] not in told:
                         told.add(labels[i])
-                        out_a.append(ids[u])
-                        out_b.append(ids[i])
-        kind = table.schema.field("id").type
-        return pa.table({"a": pa.array(out_a, kind), "b": pa.array(out_b, kind)})
+                        out_a.append(labels[u])
+                        out_b.append(labels[i])
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+
+    return shipped.groupBy("cluster", "kind", "block", "odd_block").applyInArrow(compare, "a bigint, b bigint")
+
 
-    return shipped.groupBy("cluster", "kind", "block", "odd_block").applyInArrow(compare, f"a {id_type}, b {id_type}")
+def _relabelled(pairs: DataFrame, labels: DataFrame, column: str, out: str) -> DataFrame:
+    """Adds the label of a vertex as ``out``; a vertex without one is its own."""
+    known = labels.select(F.col("id").alias(column), F.col("label").alias(out))
+    return pairs.join(known, column, "left").withColumn(out, F.coalesce(out, column))
 
 
 def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(``id, n, set_id`` of all documents, ``id, label`` of the linked representatives)."""
+    """(the sketches of all rows, ``set_id, head, label`` of each set: its first row, and the number of its component)."""
     sketched = stored(_sketches(docs, size), "sketch")
-    # Equal sets have equal sizes and bands.
-    heads = sketched.filter("n > 0").groupBy("set_id").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")
+    # Equal sets have equal sizes and bands. Rows without an id come last. The numbers hold because they are written.
+    heads = stored(
+        sketched.filter("n > 0").groupBy("set_id").agg(
+            F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "h", "k")).alias("head"),
+            F.first("n").alias("n"), F.first("bands").alias("bands"),
+        ).withColumn("v", F.monotonically_increasing_id()), "heads",
     )
-    buckets = heads.select("id", "n", F.explode("bands").alias("band"))
+    buckets = heads.select("v", "n", F.explode("bands").alias("band"))
     crowd = buckets.groupBy("band").agg(F.count("*").alias("crowd")).filter("crowd > 1")
     shared = stored(buckets.join(crowd, "band"), "shared")
-    fame = shared.groupBy("id").agg(F.sum("crowd").alias("fame"))
-    famed = shared.join(fame, "id")
-    centre = famed.groupBy("band").agg(F.max_by(F.struct("id", "n"), F.struct(F.col("fame"), F.col("id"))).alias("centre"))
+    fame = shared.groupBy("v").agg(F.sum("crowd").alias("fame"))
+    famed = shared.join(fame, "v")
+    centre = famed.groupBy("band").agg(F.max(F.struct("fame", "v", "n")).alias("c"))
     stars = stored(
-        shared.join(centre, "band").filter("id != centre.id")
-        .select(F.col("id").alias("a"), F.col("centre.id").alias("b"), F.col("n").alias("na"), F.col("centre.n").alias("nb")).distinct(),
-        "stars",
+        shared.join(centre, "band").filter("v != c.v").select(
+            F.col("v").alias("a"), F.col("c.v").alias("b"), F.col("n").alias("na"), F.col("c.n").alias("nb"), F.col("c.fame").alias("fame")
+        ).distinct(), "stars",
     )
-    sets = stored(_sets(docs, size, shared.select("id").distinct()), "sets")
-    near_size = "100 * least(na, nb) >= {0} * greatest(na, nb)".format(percent)
-    direct = stored(_verified(stars.filter(near_size).select("a", "b"), sets, percent), "direct")
-    labels, clusters = components(direct, stars.select("a", "b"))
-    first = stored(labels, "first")
-    members = clusters.withColumnRenamed("label", "cluster").join(first, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    wanted = heads.select("v", "head.h", "head.k").join(shared.select("v").distinct(), "v", "left_semi")
+    sets = stored(_sets(docs, size, wanted), "sets")
+    best = stars.groupBy("a").agg(F.max(F.struct("fame", "b", "na", "nb")).alias("best")).select("a", "best.b", "best.na", "best.nb")
+    first = stored(components(_verified(best, sets, percent).select("a", "b"))[0], "first")
+    # A group of copies is one vertex from here on.
+    apart = _relabelled(_relabelled(stars.drop("fame"), first, "a", "la"), first, "b", "lb").filter("la != lb")
+    apart = stored(apart, "apart")
+    classes = _relabelled(heads.select("set_id", "head", "n", "v"), first, "v", "label")
+    if apart.isEmpty():
+        return sketched, classes.select("set_id", "head", "label")
+    close = _verified(apart, sets, percent).select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()
+    close = stored(close, "close")
+    candidates = apart.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()
+    labels, clusters = (stored(found, "second") for found in components(close, candidates))
+    members = classes.join(clusters.select(F.col("id").alias("label"), F.col("label").alias("cluster")), "label").select(
+        "v", "n", "cluster", "label"
+    )
+    members = _relabelled(members, labels, "label", "now").drop("label").withColumnRenamed("now", "label")
     by_label = members.groupBy("cluster", "label").agg(F.count("*").alias("many"))
     main = by_label.groupBy("cluster").agg(
         F.max_by("label", F.struct(F.col("many"), F.col("label"))).alias("main"), F.count("*").alias("labels")
     ).filter("labels > 1")
     open_members = stored(
-        members.join(main, "cluster").join(shared.select("id", "n").distinct(), "id").select("id", "n", "label", "cluster", (F.col("label") != F.col("main")).alias("odd")), "open"
+        members.join(main, "cluster").select("v", "n", "label", "cluster", (F.col("label") != F.col("main")).alias("odd")), "open"
     )
-    more = stored(_blocks(open_members, sets, percent), "more")
-    if more.isEmpty():
-        return sketched, first
-    return sketched, components(direct.unionByName(more))[0]
+    more = stored(_blocks(open_members, sets, percent).distinct(), "more")
+    last = stored(components(more)[0], "third")
+    classes = _relabelled(classes, labels, "label", "second")
+    return sketched, _relabelled(classes, last, "second", "third").select("set_id", "head", F.col("third").alias("label"))
+
+
+def _found(docs: DataFrame, id_column: str, text: str, size: int, percent: int) -> DataFrame:
+    """Every row's ``id, h, k, n`` and the first row of its component, ``top`` (no_id, id, h, k; null without shingles)."""
+    sketched, classes = links(_with_marks(docs, id_column, text), size, percent)
+    tops = classes.groupBy("label").agg(F.min("head").alias("top"))
+    by_set = classes.select("set_id", "label").join(tops, "label").select("set_id", "top")
+    return sketched.select("id", "h", "k", "n", "set_id").join(by_set, "set_id", "left").drop("set_id")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -221,24 +266,36 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
     Words are runs without ASCII white space, A-Z lowered; a text with fewer than ``size`` words has its whole sequence as
     its only shingle; a text without words (or null) has none and is linked with nothing. Sets are linked when their
-    Jaccard similarity is at least ``percent`` / 100; ``component_id`` is the smallest id reachable. Ids are expected to be
-    unique and not null; rows that repeat an id share the smallest component of that id's texts.
+    Jaccard similarity is at least ``percent`` / 100; ``component_id`` is the smallest id reachable, where a null id comes
+    last, and ``kept`` says whether the row has that id. Rows that repeat an id are judged by their own texts; all rows of a
+    component that share its smallest id are marked kept. Other columns are not read.
     """
-    plain = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_text"))
-    sketched, linked = links(plain, size, percent)
-    # A class of equal sets may have its smallest id as representative only, so its label stands for all of it.
-    heads = sketched.filter("n > 0").groupBy("set_id").agg(F.min("id").alias("head"))
-    labels = heads.join(linked.select(F.col("id").alias("head"), "label"), "head", "left").select(
-        "set_id", F.coalesce("label", "head").alias("label")
-    )
-    found = F.coalesce("label", "id")
-    return sketched.drop("bands").join(labels, "set_id", "left").select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), found.alias("component_id"), (F.col("id") == found).alias("kept")
+    found = _found(docs, id_column, text, size, percent)
+    component = F.when(F.col("top").isNull(), F.col("id")).otherwise(F.col("top.id"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
     )
 
 
 def keep_first(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` but for near duplicates of a row with a smaller id."""
-    found = near_duplicates(docs, id_column, text, size, percent)
-    dropped = found.filter("not kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs[id_column] == dropped["_dropped"], "left_anti")
+    """The rows of ``docs`` that stay, with its columns: all without words, and one row of each component.
+
+    That is the row with the smallest id (null ids come last; of different texts under that id, one). Rows that repeat both
+    id and text count as one, of which any stays. A text is dropped only for a similar one, never for its id.
+    """
+    found = _found(docs, id_column, text, size, percent).filter("n > 0")
+    first = F.struct(F.col("id").isNull().alias("no_id"), "id", "h", "k").eqNullSafe(F.col("top"))
+    rows = found.select("id", "h", "k", first.alias("first")).groupBy("id", "h", "k").agg(F.max("first").alias("first"), F.count("*").alias("many"))
+    # ``many``: 0 for rows that go
+    told = stored(
+        rows.filter("not first or many > 1").select(
+            F.col("id").alias("_id"), F.col("h").alias("_h"), F.col("k").alias("_k"), F.col("first").alias("_first")
+        ), "told",
+    )
+    h, k = _marks(docs[text])
+    same = docs[id_column].eqNullSafe(told["_id"]) & (h == told["_h"]) & (k == told["_k"])
+    passing = docs.join(told, same, "left_anti")
+    repeated = told.filter("_first")
+    if repeated.isEmpty():
+        return passing
+    return passing.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates([id_column, text]))

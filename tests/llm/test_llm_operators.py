@@ -84,6 +84,29 @@ def test_near_duplicates(docs, size):
     }
 
 
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    words = [f"w{k}" for k in range(40)]
+    a, b, near_a = " ".join(words), " ".join(reversed(words)), " ".join(words[:-1] + ["x"])
+    rows = [(1, a), (2, a), (2, b), (None, near_a), (None, "only under no id, and long enough"), (None, None), (3, ""), (3, ""), (4, a), (4, a)]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, n int")
+    found = near.near_duplicates(docs, size=2)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found.collect()), key=repr) == sorted(
+        [(1, 39, 1, True), (2, 39, 1, False), (2, 39, 2, True), (None, 39, 1, False), (None, 6, None, True), (None, 0, None, True),
+         (3, 0, 3, True), (3, 0, 3, True), (4, 39, 1, False), (4, 39, 1, False)], key=repr)
+    kept = near.keep_first(docs, size=2)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(
+        [(1, a), (2, b), (None, "only under no id, and long enough"), (None, None), (3, ""), (3, "")], key=repr)
+
+
+def test_keep_first_keeps_one_of_repeated_rows(spark):
+    words = " ".join(f"w{k}" for k in range(40))
+    same_set = words.replace(" ", "  ")
+    rows = [(5, words), (5, words), (5, same_set), (None, "no id here"), (None, "no id here"), (9, words + " y")]
+    kept = near.keep_first(spark.createDataFrame(rows, "doc_id long, text string"), size=2).collect()
+    assert sorted(r.doc_id or 0 for r in kept) == [0, 5] and {r.text for r in kept if r.doc_id} <= {words, same_set}
+
+
 def test_near_duplicates_of_nothing(nothing):
     assert near.near_duplicates(nothing).collect() == []
 
