@@ -55,13 +55,26 @@ def to_utc_timestamp_mixed(col: Column, formats: tuple[str, ...] = EXTRA_TIMESTA
 
 
 def to_key(col: Column, kind: str = "bigint") -> Column:
-    """Keys must parse: a null key would merge unrelated rows in the deduplication. "12.0" counts as 12."""
+    """A key that must parse, or the query stops. "12.0" counts as 12."""
     text = missing_to_null(F.trim(col))
     if kind == "string":
         return text
     return F.coalesce(text.try_cast(kind), F.regexp_replace(text, r"\.0+$", "").cast(kind))
 
 
+def try_key(col: Column, kind: str = "bigint") -> Column:
+    """A key, null where it is missing or does not parse."""
+    text = missing_to_null(F.trim(col))
+    if kind == "string":
+        return text
+    return F.coalesce(text.try_cast(kind), F.regexp_replace(text, r"\.0+$", "").try_cast(kind))
+
+
+def is_bad_key(col: Column, kind: str = "bigint") -> Column:
+    """Whether there is a key that does not parse. Such rows are set aside: as null keys they would merge."""
+    return missing_to_null(F.trim(col)).isNotNull() & try_key(col, kind).isNull()
+
+
 def optional(df: DataFrame, name: str, kind: str = "string") -> Column:
     """The column when the table has it, otherwise a typed null."""
     return F.col(f"`{name}`") if name in df.columns else F.lit(None).cast(kind)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DecimalType
 
 from .casting import MONEY
 
@@ -27,6 +28,21 @@ def money_sum(col: Column) -> Column:
     return F.coalesce(F.sum(col.cast(MONEY)), F.lit(0).cast(MONEY))
 
 
+def amount(df: DataFrame, name: str) -> Column:
+    """A column to be summed exactly: a decimal as it is, anything else as a plain amount."""
+    exact = isinstance(df.schema[name].dataType, DecimalType)
+    return F.col(name) if exact else F.col(name).cast(MONEY)
+
+
+def exact_sum(col: Column) -> Column:
+    """Sum of decimals in a type that ten more digits widen; all-null groups give 0."""
+    return F.coalesce(F.sum(col), F.lit(0))
+
+
+def exact_mean(col: Column) -> Column:
+    return F.try_divide(F.sum(col), F.count(col).cast("decimal(20,0)"))
+
+
 def mean_of(total: Column, count: Column) -> Column:
     """Exact decimal quotient, null for an empty group."""
     return F.try_divide(total.cast("decimal(24,2)"), count.cast("decimal(20,0)"))

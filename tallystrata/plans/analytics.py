@@ -11,8 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import calendar, labels
-from ..functions.casting import MONEY
-from ..functions.numeric import as_double, half_up, int_mean, money_mean, percent, rate_mean, ratio
+from ..functions.numeric import amount, as_double, exact_mean, half_up, int_mean, percent, rate_mean, ratio
 from ..operators.stats import safe_corr
 from ..operators.windows import previous_value, running_compound, running_sum, share_of_total, top_k
 
@@ -22,7 +21,7 @@ def _rows() -> Column:
 
 
 def _sum(col: Column) -> Column:
-    return F.sum(col.cast(MONEY))
+    return F.sum(col)
 
 
 def _money(col: Column) -> Column:
@@ -62,7 +61,7 @@ def clients_by_age_band(clients: DataFrame, as_of: str, null_label: str | None =
 def client_balances(clients: DataFrame, accounts: DataFrame, k: int = 10) -> DataFrame:
     """Largest balances over all accounts of a client. Accounts are summed per client before the join."""
     sums = accounts.filter(F.col("client_id").isNotNull()).groupBy("client_id").agg(
-        _sum(F.col("balance")).alias("balance"), F.count("account_id").alias("accounts")
+        _sum(amount(accounts, "balance")).alias("balance"), F.count("account_id").alias("accounts")
     )
     named = sums.join(
         clients.select("client_id", labels.full_name(F.col("first_name"), F.col("last_name")).alias("name")), "client_id"
@@ -78,7 +77,7 @@ def credit_kpis(proposals: DataFrame) -> DataFrame:
         _rows().alias("proposals"),
         half_up(percent(rate_mean(F.col("monthly_rate"))), 2).cast("double").alias("mean_rate_pct"),
         half_up(int_mean(F.col("installments")), 0).cast("double").alias("mean_installments"),
-        half_up(money_mean(F.col("financed_amount")), 2).cast("double").alias("mean_financed"),
+        half_up(exact_mean(amount(proposals, "financed_amount")), 2).cast("double").alias("mean_financed"),
     )
 
 
@@ -106,7 +105,7 @@ def top_employees(
     """Employees by approved volume. Proposals are summed per employee before the join."""
     sums = (
         proposals.filter((F.col("status") == status) & F.col("employee_id").isNotNull())
-        .groupBy("employee_id").agg(_rows().alias("proposals"), _money(F.col("financed_amount")).alias("financed"))
+        .groupBy("employee_id").agg(_rows().alias("proposals"), _money(amount(proposals, "financed_amount")).alias("financed"))
     )
     role = ["role"] if "role" in employees.columns else []
     names = employees.select(
@@ -137,7 +136,7 @@ def monthly_withdrawals(transactions: DataFrame, text: str = labels.WITHDRAWAL_T
     return (
         transactions.filter(labels.contains_text(F.col("tx_type"), text))
         .groupBy(calendar.month_start(F.col("tx_at")).alias("month_start"))
-        .agg(_rows().alias("withdrawals"), _sum(F.abs("amount")).alias("volume"))
+        .agg(_rows().alias("withdrawals"), _sum(F.abs(amount(transactions, "amount"))).alias("volume"))
     )
 
 
@@ -145,7 +144,7 @@ def monthly_credit(proposals: DataFrame, status: str = labels.APPROVED_STATUS) -
     return (
         proposals.filter(F.col("status") == status)
         .groupBy(calendar.month_start(F.col("submitted_at")).alias("month_start"))
-        .agg(_rows().alias("proposals"), _sum(F.col("financed_amount")).alias("volume"))
+        .agg(_rows().alias("proposals"), _sum(amount(proposals, "financed_amount")).alias("volume"))
     )
 
 
@@ -190,30 +189,30 @@ def index_withdrawal_corr(
 # --- transactions ----------------------------------------------------------------------------------------------
 
 def tx_kpis(transactions: DataFrame) -> DataFrame:
-    size = F.abs("amount")
+    size = F.abs(amount(transactions, "amount"))
     return transactions.agg(
         _rows().alias("transactions"),
         _money(size).alias("volume"),
-        half_up(money_mean(size), 2).cast("double").alias("mean_ticket"),
+        half_up(exact_mean(size), 2).cast("double").alias("mean_ticket"),
         F.min("tx_at").alias("first_at"),
         F.max("tx_at").alias("last_at"),
     )
 
 
 def tx_by_kind(transactions: DataFrame) -> DataFrame:
-    counts = transactions.groupBy("tx_type").agg(_rows().alias("transactions"), _money(F.abs("amount")).alias("volume"))
+    counts = transactions.groupBy("tx_type").agg(_rows().alias("transactions"), _money(F.abs(amount(transactions, "amount"))).alias("volume"))
     return share_of_total(counts, "transactions", "share_pct", counted=transactions).orderBy(
         F.col("transactions").desc(), F.col("tx_type").asc_nulls_last()
     )
 
 
 def month_profile(transactions: DataFrame) -> DataFrame:
-    size = F.abs("amount")
+    size = F.abs(amount(transactions, "amount"))
     return (
         transactions.groupBy(calendar.month(F.col("tx_at")).alias("month"))
         .agg(
             _rows().alias("transactions"),
-            half_up(money_mean(size), 2).cast("double").alias("mean_ticket"),
+            half_up(exact_mean(size), 2).cast("double").alias("mean_ticket"),
             _money(size).alias("volume"),
         )
         .orderBy(F.col("month").asc_nulls_last())
@@ -223,7 +222,7 @@ def month_profile(transactions: DataFrame) -> DataFrame:
 def annual_change(transactions: DataFrame) -> DataFrame:
     """Yearly volume, the volume of the year row before and the change in percent."""
     annual = transactions.groupBy(calendar.year(F.col("tx_at")).alias("year")).agg(
-        _sum(F.abs("amount")).alias("volume")
+        _sum(F.abs(amount(transactions, "amount"))).alias("volume")
     )
     with_previous = previous_value(annual, "year", "volume", "previous")
     change = ratio(F.col("volume"), F.col("previous")) - 1
@@ -237,7 +236,7 @@ def annual_change(transactions: DataFrame) -> DataFrame:
 
 def top_accounts(transactions: DataFrame, k: int = 10) -> DataFrame:
     sums = transactions.groupBy("account_id").agg(
-        _rows().alias("transactions"), _money(F.abs("amount")).alias("volume")
+        _rows().alias("transactions"), _money(F.abs(amount(transactions, "amount"))).alias("volume")
     )
     return top_k(sums, F.col("volume"), ["account_id"], k)
 

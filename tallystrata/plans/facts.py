@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import calendar, labels
-from ..functions.numeric import as_double, exact_rate, money_sum, percent
+from ..functions.numeric import amount, as_double, exact_rate, exact_sum, percent
 from ..operators.dedup import keep_first, keep_last
 from ..operators.lookup import spread_lookup
 from ..operators.numbering import dense_index, frequency_index
@@ -87,7 +87,7 @@ def placed_transactions(
     rows = transactions.select(
         "account_id", "tx_id", "tx_type",
         calendar.year(F.col("tx_at")).alias("year"), calendar.month(F.col("tx_at")).alias("month"),
-        F.lit(1).cast("bigint").alias("cnt"), F.abs("amount").cast("decimal(14,2)").alias("vol"),
+        F.lit(1).cast("bigint").alias("cnt"), F.abs(amount(transactions, "amount")).alias("vol"),
     ).filter("year > 0")
     account_dim = account_dimension(accounts, clients, branch_ix)
     joined = spread_lookup(rows, account_dim, "account_id", ["tx_id"], sized_by=accounts)
@@ -131,7 +131,7 @@ def client_facts(
     by_branch = (
         client_dim.dropna(subset=["branch_ix", "joined_year"])
         .groupBy("branch_id", "branch_ix", "band_ix", "joined_year")
-        .agg(F.count(F.lit(1)).alias("cnt"), as_double(money_sum(F.col("balance"))).alias("balance"))
+        .agg(F.count(F.lit(1)).alias("cnt"), as_double(exact_sum(amount(client_dim, "balance"))).alias("balance"))
     )
     state_ix = branches.select("branch_id", labels.ordinal(F.col("state"), states).alias("state_ix"))
     return by_branch.join(state_ix.dropna(subset=["state_ix"]), "branch_id").select(

@@ -1,16 +1,19 @@
 """Bronze -> silver: canonical names, types, derived columns, first row per key.
 
 Each function takes text columns under their raw names. ``order`` names the columns that give the row order; bronze
-tables carry them as lineage.
+tables carry them as lineage. Dates are read in the layout that most values of their column have, amounts get the decimal
+type that holds all of their column (``money`` gives the types where they are known). A row whose key does not parse is
+left out, as bronze sets it aside; a reference that does not parse is null.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import calendar, casting, labels
+from ..functions import calendar, casting, labels, layouts
 from ..operators.dedup import keep_first
 from ..sources.delimited import ROW_ORDER
 from ..sources.layers import without_lineage
@@ -18,6 +21,43 @@ from ..sources.tables import BY_NAME
 
 AS_OF = "2024-01-01"   # fixed value: reference date of the decimal age
 
+#: How each typed column is read.
+KEY, TEXT_KEY, DATE, TIMESTAMP, MIXED, MONEY, RATE, INT, SMALL_KEY = (
+    "key", "text key", "date", "timestamp", "timestamp in any layout", "money", "rate", "int", "int key"
+)
+TYPED: dict[str, dict[str, str]] = {
+    "branches": {"branch_id": KEY, "opened_on": DATE},
+    "clients": {"client_id": KEY, "birth_date": DATE, "joined_at": TIMESTAMP},
+    "accounts": {
+        "account_id": TEXT_KEY, "client_id": KEY, "branch_id": KEY, "balance": MONEY, "available_balance": MONEY, "opened_on": DATE,
+    },
+    "transactions": {"tx_id": KEY, "account_id": TEXT_KEY, "tx_at": MIXED, "amount": MONEY},
+    "proposals": {
+        "proposal_id": KEY, "client_id": KEY, "employee_id": KEY, "submitted_at": TIMESTAMP, "monthly_rate": RATE,
+        "proposed_amount": MONEY, "financed_amount": MONEY, "down_payment": MONEY, "installment_amount": MONEY,
+        "installments": INT, "grace_months": INT,
+    },
+    "employees": {"employee_id": KEY, "birth_date": DATE},
+    "employee_branch": {"employee_id": KEY, "branch_id": KEY},
+    "price_index": {
+        "year": SMALL_KEY, **{c: RATE for c in ("index_level", "month_pct", "pct_3m", "pct_6m", "pct_ytd", "pct_12m")}
+    },
+}
+_CASTS: dict[str, Callable[[Column], Column]] = {
+    KEY: casting.try_key,
+    SMALL_KEY: lambda c: casting.try_key(c, "int"),
+    TEXT_KEY: lambda c: casting.try_key(c, "string"),
+    MIXED: casting.to_utc_timestamp_mixed,
+    RATE: casting.to_rate,
+    INT: casting.to_int,
+}
+
+
+def money_columns(table: str) -> dict[str, str]:
+    """Raw names of a table's amounts and their canonical names."""
+    kinds = TYPED[table]
+    return {raw: name for raw, name in BY_NAME[table].renames().items() if kinds.get(name) == MONEY}
+
 
 def _renamed(raw: DataFrame, table: str) -> DataFrame:
     """Raw names to canonical names; optional columns the file lacks become nulls, extra columns stay as they came.
@@ -34,8 +74,48 @@ def _renamed(raw: DataFrame, table: str) -> DataFrame:
     })
 
 
-def _typed(df: DataFrame, columns: dict[str, Callable[[Column], Column]]) -> DataFrame:
-    return df.withColumns({name: cast(F.col(name)) for name, cast in columns.items()})
+def _readable(text: DataFrame, table: str) -> DataFrame:
+    """Rows whose key is missing or parses."""
+    key = BY_NAME[table].key
+    return text if key is None else text.filter(~casting.is_bad_key(F.col(key), _key_type(table)))
+
+
+def _key_type(table: str) -> str:
+    return next(f.type for f in BY_NAME[table].fields if f.name == BY_NAME[table].key)
+
+
+def _typed(text: DataFrame, table: str, money: Mapping[str, str] | None) -> DataFrame:
+    kinds = {name: kind for name, kind in TYPED[table].items() if name in text.columns}
+    amounts = [name for name, kind in kinds.items() if kind == MONEY]
+    types = layouts.money_types(text, amounts) if money is None else {a: money.get(a, casting.MONEY) for a in amounts}
+    df = layouts.dated(text, {name: kind for name, kind in kinds.items() if kind in (DATE, TIMESTAMP)})
+    plain = {name: _CASTS[kind](F.col(name)) for name, kind in kinds.items() if kind in _CASTS}
+    return df.withColumns({**plain, **{name: F.col(name).try_cast(kind) for name, kind in types.items()}})
+
+
+def _cleaned(raw: DataFrame, table: str, money: Mapping[str, str] | None = None) -> DataFrame:
+    return _typed(_readable(_renamed(raw, table), table), table, money)
+
+
+def lost_values(raw: DataFrame, table: str, money: Mapping[str, str] | None = None) -> DataFrame:
+    """``table, column, lost``: values that are there but cannot be read, for each typed column. Rows with a key that cannot
+    be read count under the key alone."""
+    text = _renamed(raw, table)
+    names = [n for n in TYPED[table] if n in text.columns]
+    key = BY_NAME[table].key
+    kept = _readable(text, table).withColumns({f"_text_{n}": F.col(n) for n in names})
+    lost = [
+        F.count_if(casting.missing_to_null(F.trim(f"_text_{n}")).isNotNull() & F.col(n).isNull()).alias(n) for n in names if n != key
+    ]
+    parts = [_typed(kept, table, money).agg(*lost)] if lost else []
+    if key is not None:
+        parts.append(text.agg(F.count_if(casting.is_bad_key(F.col(key), _key_type(table))).alias(key)))
+    rows = [
+        part.select(F.explode(F.array(*[
+            F.struct(F.lit(table).alias("table"), F.lit(c).alias("column"), F.col(c).alias("lost")) for c in part.columns
+        ])).alias("x")).select("x.*") for part in parts
+    ]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def _unique(df: DataFrame, table: str, order: Sequence[str]) -> DataFrame:
@@ -43,42 +123,23 @@ def _unique(df: DataFrame, table: str, order: Sequence[str]) -> DataFrame:
 
 
 def branches(raw: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
-    df = _typed(_renamed(raw, "branches"), {"branch_id": casting.to_key, "opened_on": casting.to_date})
+    df = _cleaned(raw, "branches")
     df = df.withColumn("short_name", labels.without(F.col("branch_name"), labels.BRANCH_NAME_NOISE))
     return _unique(df, "branches", order)
 
 
 def clients(raw: DataFrame, order: Sequence[str] = ROW_ORDER, as_of: str = AS_OF) -> DataFrame:
-    df = _typed(_renamed(raw, "clients"), {
-        "client_id": casting.to_key,
-        "birth_date": casting.to_date,
-        "joined_at": casting.to_utc_timestamp,
-    })
-    df = df.withColumn("age_years", calendar.decimal_age(F.col("birth_date"), as_of))
+    df = _cleaned(raw, "clients").withColumn("age_years", calendar.decimal_age(F.col("birth_date"), as_of))
     return _unique(df.withColumn("age_band", labels.age_band(F.col("age_years"))), "clients", order)
 
 
-def accounts(raw: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
+def accounts(raw: DataFrame, order: Sequence[str] = ROW_ORDER, money: Mapping[str, str] | None = None) -> DataFrame:
     """Keeps the file position as ``file_order``: a client's primary account is the first one in the file."""
-    df = _typed(_renamed(raw, "accounts"), {
-        "account_id": lambda c: casting.to_key(c, "string"),
-        "client_id": casting.to_key,
-        "branch_id": casting.to_key,
-        "balance": casting.to_money,
-        "available_balance": casting.to_money,
-        "opened_on": casting.to_date,
-    }).withColumn("file_order", F.struct(*order))
-    return _unique(df, "accounts", order)
-
-
-def transactions(raw: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
-    df = _typed(_renamed(raw, "transactions"), {"tx_at": casting.to_utc_timestamp_mixed})
-    df = _typed(df.dropna(subset=["tx_at"]), {
-        "tx_id": casting.to_key,
-        "account_id": lambda c: casting.to_key(c, "string"),
-        "amount": casting.to_money,
-    })
-    kept = _unique(df, "transactions", order)
+    return _unique(_cleaned(raw, "accounts", money).withColumn("file_order", F.struct(*order)), "accounts", order)
+
+
+def transactions(raw: DataFrame, order: Sequence[str] = ROW_ORDER, money: Mapping[str, str] | None = None) -> DataFrame:
+    kept = _unique(_cleaned(raw, "transactions", money).dropna(subset=["tx_at"]), "transactions", order)
     return kept.withColumns({
         "amount_abs": F.abs("amount"),
         "year": calendar.year(F.col("tx_at")),
@@ -87,43 +148,25 @@ def transactions(raw: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
     })
 
 
-def proposals(raw: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
-    df = _typed(_renamed(raw, "proposals"), {
-        "proposal_id": casting.to_key,
-        "client_id": casting.to_key,
-        "employee_id": casting.to_key,
-        "submitted_at": casting.to_utc_timestamp,
-        "monthly_rate": casting.to_rate,
-        "proposed_amount": casting.to_money,
-        "financed_amount": casting.to_money,
-        "down_payment": casting.to_money,
-        "installment_amount": casting.to_money,
-        "installments": casting.to_int,
-        "grace_months": casting.to_int,
-    })
-    df = df.withColumn("year", F.coalesce(calendar.year(F.col("submitted_at")), F.lit(0)))
+def proposals(raw: DataFrame, order: Sequence[str] = ROW_ORDER, money: Mapping[str, str] | None = None) -> DataFrame:
+    df = _cleaned(raw, "proposals", money).withColumn("year", F.coalesce(calendar.year(F.col("submitted_at")), F.lit(0)))
     return _unique(df, "proposals", order)
 
 
 def employees(raw: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
-    df = _typed(_renamed(raw, "employees"), {"employee_id": casting.to_key, "birth_date": casting.to_date})
-    return _unique(df, "employees", order)
+    return _unique(_cleaned(raw, "employees"), "employees", order)
 
 
 def employee_branch(raw: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
     """Distinct pairs, each with the position of its first row: the last branch of an employee wins later on."""
-    df = _typed(_renamed(raw, "employee_branch"), {"employee_id": casting.to_key, "branch_id": casting.to_key})
+    df = _cleaned(raw, "employee_branch")
     pair = [c for c in df.columns if not c.startswith("_") and c not in order]
     return df.groupBy(*pair).agg(F.min(F.struct(*order)).alias("file_order"))
 
 
 def price_index(raw: DataFrame) -> DataFrame:
-    df = _renamed(raw, "price_index").withColumn("month", labels.month_number(F.col("month_name")))
-    df = _typed(df.dropna(subset=["month"]), {
-        "year": lambda c: casting.to_key(c, "int"),
-        **{c: casting.to_rate for c in ("index_level", "month_pct", "pct_3m", "pct_6m", "pct_ytd", "pct_12m")},
-    })
-    return without_lineage(df)
+    df = _cleaned(raw, "price_index").withColumn("month", labels.month_number(F.col("month_name")))
+    return without_lineage(df.dropna(subset=["month"]))
 
 
 def index_series(price_index: DataFrame) -> DataFrame:
@@ -136,7 +179,7 @@ def index_series(price_index: DataFrame) -> DataFrame:
     )
 
 
-TRANSFORMS: dict[str, Callable[[DataFrame], DataFrame]] = {
+TRANSFORMS: dict[str, Callable[..., DataFrame]] = {
     "branches": branches,
     "clients": clients,
     "accounts": accounts,

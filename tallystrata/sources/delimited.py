@@ -3,89 +3,106 @@
 from __future__ import annotations
 
 import csv
-from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from ..functions.casting import optional
+from ..functions.casting import is_bad_key, optional
+from . import records
+from .scratch import stored
 from .tables import Table, unique_names
 
 UTF8, LEGACY = "UTF-8", "ISO-8859-1"
 CORRUPT = "_corrupt_record"
+#: Why a row is set aside; rows that are taken have none.
+REASON = "_reason"
+OPEN_QUOTE, TOO_WIDE, TOO_SHORT, BAD_KEY = records.OPEN_QUOTE, "too many fields", "too few fields", "bad key"
+REASONS = (OPEN_QUOTE, TOO_WIDE, TOO_SHORT, BAD_KEY)
+
+#: Blocks with a verdict that are broadcast; more of them meet their lines in a shuffle.
+SMALL_BLOCKS = 20_000
 
 # Position of a row in its file: rows of one block have ascending _row_seq.
 ROW_ORDER = ("_source_file", "_block_start", "_row_seq")
+_MARK = "\ufeff"   # byte order mark
 
 
-def unusual_files(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """Files that are not valid UTF-8, and files with a line break inside quotes: some line has an odd number of them.
+def header_of(spark: SparkSession, path: str, encoding: str | None = UTF8) -> list[str]:
+    """Column names in the first line; without ``encoding`` it is UTF-8 if it can be."""
+    return next(csv.reader([_header_line(spark, path, encoding)]))
 
-    One scan; a row for each file that is either leaves it.
-    """
-    line = F.col("value")
-    quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), (~F.is_valid_utf8(line)).alias("legacy"), (quotes % 2 == 1).alias("broken")
-    )
-    # file names, which the reader lists on the driver anyway
-    files = lines.filter("legacy or broken").groupBy("file").agg(F.max("legacy").alias("legacy"), F.max("broken").alias("broken")).collect()
-    return sorted(unquote(f.file) for f in files if f.legacy), sorted(unquote(f.file) for f in files if f.broken)
 
+def _header_line(spark: SparkSession, path: str, encoding: str | None) -> str:
+    line = spark.read.text(path).select(F.col("value").cast("binary").alias("raw")).first()
+    if line is None:
+        raise ValueError(f"no header line in {path}")
+    raw = bytes(line.raw)
+    if encoding is None:
+        try:
+            return raw.decode("utf-8-sig").rstrip("\r")
+        except UnicodeDecodeError:
+            encoding = LEGACY
+    return raw.decode("utf-8-sig" if encoding == UTF8 else encoding).rstrip("\r")
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines as they came (``_raw``), with their position. Every use of this frame numbers the lines alike."""
+    return spark.read.text(path).select(
+        F.col("value").alias("_raw"),
+        _source_name(path).alias("_source_file"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block_start"),
+        F.monotonically_increasing_id().alias("_row_seq"),
+    )
 
-def legacy_files(spark: SparkSession, path: str) -> list[str]:
-    """Files that are not valid UTF-8 and are therefore read as Latin-1."""
-    return unusual_files(spark, path)[0]
 
+def _decoded(raw: Column, encoding: str) -> Column:
+    if encoding == UTF8:
+        return F.make_valid_utf8(raw)
+    return F.decode(raw.cast("binary"), encoding)
 
-def files_below(spark: SparkSession, path: str) -> list[str]:
-    """All files of a source, without reading them."""
-    return sorted(f.path for f in spark.read.format("binaryFile").load(path).select("path").collect())
 
+def _unmarked(text: Column) -> Column:
+    """The text without a byte order mark before the first line of a file."""
+    marked = (F.col("_block_start") == 0) & text.startswith(_MARK)
+    return F.when(marked, F.substr(text, F.lit(2))).otherwise(text)
 
-def header_of(spark: SparkSession, path: str | list[str], encoding: str = UTF8) -> list[str]:
-    line = spark.read.text(path).select(F.col("value").cast("binary").alias("raw")).first()
-    if line is None:
-        raise ValueError(f"no header line in {path}")
-    text = bytes(line.raw).decode("utf-8-sig" if encoding == UTF8 else encoding)
-    return next(csv.reader([text.rstrip("\r")]))
 
+def _same_header(text: Column, header: str) -> Column:
+    """Quotes around names do not matter."""
+    return F.replace(text, F.lit('"'), F.lit("")) == header.replace('"', "")
 
-def _reader(spark: SparkSession, encoding: str, multiline: bool):
-    return (
-        spark.read.option("header", True).option("encoding", encoding)
-        .option("quote", '"').option("escape", '"').option("multiLine", multiline)
-    )
 
+def block_verdicts(lines: DataFrame, header: str, encoding: str | None = None) -> DataFrame:
+    """What sets blocks apart: ``_legacy`` (the file is not UTF-8), ``_touched`` (by a record over several lines), ``_odd``
+    (the file has another header), ``_first`` (the block's first line). Blocks without any of it have no row.
 
-def _read_text_columns(
-    spark: SparkSession, path: str | list[str], source: Column, encoding: str, multiline: bool
-) -> DataFrame:
-    header = header_of(spark, path, encoding)
-    names = unique_names(header)
-    fields = [T.StructField(n, T.StringType()) for n in names]
-    reader = (
-        _reader(spark, encoding, multiline)
-        .schema(T.StructType([*fields, T.StructField(CORRUPT, T.StringType())]))
-        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        # with distinct names every file's header must agree with the first one's
-        .option("enforceSchema", len(set(header)) != len(header))
+    One scan leaves one row for each block.
+    """
+    raw, at_top = F.col("_raw"), F.col("_block_start") == 0
+    # quotes, commas and line ends are the same bytes in both encodings
+    bytewise = F.when(raw.contains('"'), F.decode(raw.cast("binary"), LEGACY)).otherwise("")
+    blocks = records.block_rows(
+        lines, bytewise,
+        F.max(F.lit(False) if encoding else ~F.is_valid_utf8(raw)).alias("_legacy"), F.min("_row_seq").alias("_first"),
+        F.min_by(F.when(at_top, raw), "_row_seq").alias("_head"), F.count_if(at_top & _same_header(_unmarked(raw), header)).alias("_headers"),
     )
-    return reader.csv(path).select(
-        *[F.col(f"`{n}`") for n in names],
-        CORRUPT,
-        (_separators(F.col(CORRUPT)) >= len(names)).alias("_too_wide"),
-        source.alias("_source_file"),
-        F.col("_metadata.file_block_start").alias("_block_start"),
-        F.monotonically_increasing_id().alias("_row_seq"),
+    told = records.touched(blocks).withColumn("_legacy", F.max("_legacy").over(Window.partitionBy("_file")))
+    head = F.col("_head")
+    text = _decoded(head, encoding) if encoding else F.when(F.col("_legacy"), _decoded(head, LEGACY)).otherwise(head)
+    odd = F.coalesce(~_same_header(_unmarked(text), header), F.lit(False))
+    return told.withColumn("_odd", odd).filter("_legacy or _touched or _odd or _headers > 1").select(
+        *records.BLOCK, "_legacy", "_touched", "_odd", "_first"
     )
 
 
-def _source_name(spark: SparkSession, root: str) -> Column:
-    """File name, or the path below the source folder when it has subfolders, whose part files may share names."""
-    files = spark.read.text(root).inputFiles()
-    if len({f.rsplit("/", 1)[0] for f in files}) <= 1 and not any("%" in f for f in files):
-        return F.col("_metadata.file_name")
+def file_encodings(spark: SparkSession, path: str) -> DataFrame:
+    """``file, encoding`` of each file: UTF-8 where all its lines are, Latin-1 otherwise."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("fits"))
+    return lines.groupBy("file").agg(F.when(F.min("fits"), UTF8).otherwise(LEGACY).alias("encoding"))
+
+
+def _source_name(root: str) -> Column:
+    """The path below the source folder, whose part files in subfolders may share names, or the name of a single file."""
     path = F.col("_metadata.file_path")
     # file metadata is percent-encoded, in which a plus sign stands for itself
     decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
@@ -95,59 +112,89 @@ def _source_name(spark: SparkSession, root: str) -> Column:
     return F.when(plain.contains(folder), below).otherwise(F.substring_index(plain, "/", -1))
 
 
-def _separators(record: Column) -> Column:
-    outside_quotes = F.regexp_replace(record, '"(?:[^"]|"")*"', "")
-    return F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","), F.lit("")))
-
+def read_raw(
+    spark: SparkSession, path: str, encoding: str | None = None, table: Table | None = None, short_rows: str = "keep"
+) -> DataFrame:
+    """Every record of the file or folder at ``path`` as text columns with lineage.
 
-def read_raw(spark: SparkSession, path: str, multiline: bool = False, encoding: str | None = None) -> DataFrame:
-    """Every row of the file or folder at ``path`` as text columns with lineage.
+    Files that are not UTF-8 are read as Latin-1 (``encoding`` decides for all files instead). Quoted fields may hold line
+    breaks wherever a file is split. A row with more fields than the header, one with an opening quote that ends nowhere,
+    with ``short_rows="reject"`` one with fewer fields (otherwise the rest is null), and with a ``table`` one whose key does
+    not parse are set aside: ``_rejected`` is true, ``_reason`` says why, and ``_corrupt_record`` has the text. Blank lines
+    are skipped. A missing path, or another header in one of the files, raises here.
 
-    ``_rejected`` marks rows with more fields than the header; shorter rows are kept with nulls. A missing path raises
-    here, before anything is written. One scan finds out which files are not UTF-8 and which have line breaks inside
-    quotes; only the latter are read by one task each. ``encoding`` and ``multiline`` decide for all files; the scan is
-    saved only where both do.
+    A first pass over the lines stores a row for each block that needs more than parsing, usually none.
     """
-    source = _source_name(spark, path)
-    old, broken = ([], []) if encoding and multiline else unusual_files(spark, path)
-    old = [] if encoding else old
-    broken = [] if multiline else broken
-    if not old and not broken:
-        rows = _read_text_columns(spark, path, source, encoding or UTF8, multiline)
+    if short_rows not in ("keep", "reject"):
+        raise ValueError(f"short_rows must be keep or reject, not {short_rows!r}")
+    header = _header_line(spark, path, encoding)
+    names = unique_names(next(csv.reader([header])))
+    width = len(names)
+    lines = _lines(spark, path)
+    verdicts = stored(block_verdicts(lines, header, encoding), "blocks")
+    found = verdicts.agg(
+        F.count("*").alias("blocks"), F.count_if("_touched").alias("touched"), F.max(F.when(F.col("_odd"), F.col("_file"))).alias("odd")
+    ).first()
+    if found.odd is not None:
+        raise ValueError(f"{found.odd} has another header than {header!r}")
+    at_top, raw = F.col("_block_start") == 0, F.col("_raw")
+    if not found.blocks:
+        text = _unmarked(_decoded(raw, encoding) if encoding else raw)
+        rows = lines.withColumn("_text", text).filter(~(at_top & _same_header(F.col("_text"), header))).withColumn("_stray", F.lit(False))
     else:
-        groups: dict[tuple[bool, bool], list[str]] = {}
-        legacy, split_lines = set(old), set(broken)
-        for file in files_below(spark, path):
-            groups.setdefault((file in legacy, file in split_lines), []).append(file)
-        rows = reduce(
-            lambda x, y: x.unionByName(y, allowMissingColumns=True),
-            [
-                _read_text_columns(spark, files, source, encoding or (LEGACY if is_old else UTF8), multiline or is_broken)
-                for (is_old, is_broken), files in sorted(groups.items())
-            ],
+        told = F.broadcast(verdicts) if found.blocks <= SMALL_BLOCKS else verdicts
+        legacy = F.coalesce(F.col("_legacy"), F.lit(False))
+        text = _decoded(raw, encoding) if encoding else F.when(legacy, _decoded(raw, LEGACY)).otherwise(raw)
+        first_line = at_top & (F.coalesce("_first", F.col("_row_seq")) == F.col("_row_seq"))
+        decoded = (
+            lines.join(told, list(records.BLOCK), "left").withColumn("_text", _unmarked(text))
+            .filter(~(first_line & _same_header(F.col("_text"), header))).drop("_raw", "_legacy", "_odd", "_first")
         )
-    return (
-        rows.withColumn("_rejected", F.coalesce("_too_wide", F.lit(False)))
-        .withColumn(CORRUPT, F.when(F.col("_rejected"), F.col(CORRUPT)))
-        .withColumn("_ingestion_ts", F.current_timestamp())
-        .drop("_too_wide")
+        rows = decoded.filter(~F.coalesce("_touched", F.lit(False))).drop("_touched").withColumn("_stray", F.lit(False))
+        if found.touched:
+            rows = rows.unionByName(records.assemble(decoded.filter("_touched").drop("_touched"), width))
+    rows = rows.filter(F.trim("_text") != "")
+
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    fields = F.col("_fields")
+    reason = (
+        F.when(F.col("_stray"), OPEN_QUOTE).when(fields > width, TOO_WIDE)
+        .when(F.lit(short_rows == "reject") & (fields < width), TOO_SHORT)
+    )
+    parsed = rows.withColumn("_fields", records.separators(F.col("_text")) + 1).withColumn("_row", F.from_csv("_text", schema, options))
+    columns = [F.col("_row").getField(n).alias(n) for n in names]
+    if table is not None and table.key is not None:
+        field = next(f for f in table.fields if f.name == table.key)
+        if field.raw in names:
+            reason = reason.when(is_bad_key(F.col("_row").getField(field.raw), field.type), BAD_KEY)
+    return parsed.withColumn(REASON, reason).select(
+        *columns, F.when(F.col(REASON).isNotNull(), F.col("_text")).alias(CORRUPT), "_source_file", "_block_start", "_row_seq",
+        F.col(REASON).isNotNull().alias("_rejected"), REASON, F.current_timestamp().alias("_ingestion_ts"),
     )
 
 
 def with_row_index(bronze: DataFrame) -> DataFrame:
     """Adds ``_row_idx``, the dense 0-based ordinal of a row in its source file.
 
-    Needs stored bronze rows: block sizes are counted in one pass and joined back in another.
+    Needs stored bronze rows: block sizes are counted in one pass and joined back in another. Only blocks with gaps between
+    their line numbers (records over several lines, blank lines, rows set aside) are sorted for it.
     """
     block = ["_source_file", "_block_start"]
-    sizes = bronze.groupBy(*block).agg(F.min("_row_seq").alias("_first"), F.count(F.lit(1)).alias("_size"))
+    sizes = bronze.groupBy(*block).agg(
+        F.min("_row_seq").alias("_first"), F.max("_row_seq").alias("_last"), F.count(F.lit(1)).alias("_size")
+    )
     before = Window.partitionBy("_source_file").orderBy("_block_start").rowsBetween(Window.unboundedPreceding, -1)
     # one row per file block
     starts = sizes.select(
-        *block, "_first", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
+        *block, "_first", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"),
+        (F.col("_last") - F.col("_first") + 1 == F.col("_size")).alias("_dense"),
     )
-    index = (F.col("_start") + F.col("_row_seq") - F.col("_first")).alias("_row_idx")
-    return bronze.join(starts, block).select(*bronze.columns, index)
+    placed = bronze.join(starts, block)
+    in_block = Window.partitionBy(*block).orderBy("_row_seq")
+    dense = (F.col("_start") + F.col("_row_seq") - F.col("_first")).alias("_row_idx")
+    ranked = (F.col("_start") + F.row_number().over(in_block) - 1).alias("_row_idx")
+    return placed.filter("_dense").select(*bronze.columns, dense).unionByName(placed.filter("not _dense").select(*bronze.columns, ranked))
 
 
 def read_typed(spark: SparkSession, path: str, table: Table, encoding: str = UTF8) -> DataFrame:
@@ -161,7 +208,8 @@ def read_typed(spark: SparkSession, path: str, table: Table, encoding: str = UTF
     types = {field.name: field.dataType for field in table.schema()}
     schema = T.StructType([T.StructField(n, types[f.name]) for n, f in zip(names, present)])
     rows = (
-        _reader(spark, encoding, False).schema(schema).option("mode", "FAILFAST")
+        spark.read.option("header", True).option("encoding", encoding).option("quote", '"').option("escape", '"')
+        .schema(schema).option("mode", "FAILFAST")
         .option("enforceSchema", len(set(header)) != len(header)).csv(path)
         .toDF(*[f.name for f in present])
     )

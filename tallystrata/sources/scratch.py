@@ -4,17 +4,40 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import files
 
 _local_roots: dict[str, str] = {}
+#: Folders that a running job lends, by application.
+_lent: dict[str, list[str]] = {}
+
+
+@contextmanager
+def lent(spark: SparkSession, folder: str) -> Iterator[None]:
+    """Uses ``folder`` where the session names none, and removes it afterwards."""
+    if spark.conf.get("spark.checkpoint.dir", None) is not None:
+        yield
+        return
+    own = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    stack = _lent.setdefault(spark.sparkContext.applicationId, [])
+    stack.append(own)
+    try:
+        yield
+    finally:
+        stack.remove(own)
+        files.remove(spark, own)
 
 
 def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         context = spark.sparkContext
+        if _lent.get(context.applicationId):
+            return _lent[context.applicationId][-1]
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = _local_roots.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="tallystrata-")

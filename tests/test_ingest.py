@@ -1,9 +1,13 @@
+import csv
+import io
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallystrata.plans import silver
 from tallystrata.sources.delimited import (
-    CORRUPT, files_below, header_of, legacy_files, read_raw, read_typed, with_row_index,
+    BAD_KEY, CORRUPT, OPEN_QUOTE, REASON, TOO_SHORT, TOO_WIDE, file_encodings, header_of, read_raw, read_typed, with_row_index,
 )
 from tallystrata.sources.layers import Lake, without_lineage
 from tallystrata.sources.scratch import stored
@@ -23,8 +27,7 @@ def bronze(spark, path, **options):
 @pytest.mark.parametrize("encoding", ["utf-8", "utf-8-sig", "latin-1"])
 def test_encodings_keep_accents(spark, tmp_path, encoding):
     path = put(tmp_path / "a b.csv", "nome,uf\nTatuapé,SP\nFísica,RJ\n", encoding)
-    old = legacy_files(spark, path)
-    assert old == (files_below(spark, path) if encoding == "latin-1" else [])
+    assert [r.encoding for r in file_encodings(spark, path).collect()] == ["ISO-8859-1" if encoding == "latin-1" else "UTF-8"]
     df = bronze(spark, path)
     assert df.columns[:2] == ["nome", "uf"]
     assert sorted(r.nome for r in df.collect()) == ["Física", "Tatuapé"]
@@ -65,7 +68,7 @@ def test_wide_rows_are_set_aside_and_short_rows_kept(spark, tmp_path):
 
 def test_line_breaks_inside_quotes(spark, tmp_path):
     path = put(tmp_path / "t.csv", 'a,b\n1,"two\nlines"\n2,x\n')
-    got = with_row_index(bronze(spark, path, multiline=True)).orderBy("_row_idx")
+    got = with_row_index(bronze(spark, path)).orderBy("_row_idx")
     assert [(r.a, r.b, r._row_idx) for r in got.collect()] == [("1", "two\nlines", 0), ("2", "x", 1)]
 
 
@@ -83,6 +86,86 @@ def test_line_breaks_are_found_by_file(spark, tmp_path, options):
     assert not any(r._rejected for r in got)
 
 
+def whole_and_split(spark, path, block, **options):
+    """The same source read by one task, and in blocks of a few bytes."""
+    whole = read_raw(spark, path, **options).collect()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        parts = bronze(spark, path, **options)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    return whole, parts
+
+
+def values(rows, *names):
+    return sorted(tuple(r[n] for n in names) for r in rows)
+
+
+@pytest.mark.parametrize("block", [40, 97, 300])
+def test_records_over_several_lines_in_many_blocks(spark, tmp_path, block):
+    """Breaks, doubled quotes, blank lines and separators inside quotes, cut at any place, as the csv module reads them."""
+    rng = random.Random(block)
+    rows = []
+    for k in range(150):
+        kind = rng.randrange(6)
+        note = {0: "plain", 1: 'two\nlines, "quoted"', 2: "\n\nblank\n", 3: ",", 4: 'ends with "', 5: "long\n" * 12}[kind] + f" {k}"
+        rows.append((str(k), note if kind != 4 else note + '"', str(k * 7)))
+    buffer = io.StringIO()
+    writer = csv.writer(buffer, lineterminator="\n")
+    writer.writerow(["a", "b", "c"])
+    writer.writerows(rows)
+    whole, parts = whole_and_split(spark, put(tmp_path / "t.csv", buffer.getvalue()), block)
+    assert values(whole, "a", "b", "c") == values(parts.collect(), "a", "b", "c") == sorted(rows)
+    assert parts.select("_block_start").distinct().count() > 5 and not any(r._rejected for r in whole)
+    order = with_row_index(parts).orderBy("_row_idx").collect()
+    assert [(r.a, r._row_idx) for r in order] == [(str(k), k) for k in range(150)]
+
+
+@pytest.mark.parametrize("block", [30, 64, 10_000])
+def test_stray_quotes_are_set_aside_alone(spark, tmp_path, block):
+    lines = ["a,b,c"]
+    for k in range(60):
+        lines.append(f'{k},"stray {k},x' if k in (3, 30, 59) else f'{k},"break {k}\nand, more",{k}' if k % 7 == 5 else f"{k},good,{k}")
+    whole, parts = whole_and_split(spark, put(tmp_path / "t.csv", "\n".join(lines)), block)
+    for rows in (whole, parts.collect()):
+        taken = [r for r in rows if not r._rejected]
+        assert sorted(int(r.a) for r in taken) == [k for k in range(60) if k not in (3, 30, 59)]
+        assert {r.b for r in taken} == {"good"} | {f"break {k}\nand, more" for k in range(60) if k % 7 == 5}
+        assert values([r for r in rows if r._rejected], CORRUPT, REASON) == sorted((f'{k},"stray {k},x', OPEN_QUOTE) for k in (3, 30, 59))
+
+
+@pytest.mark.parametrize("block", [25, 10_000])
+def test_a_stray_quote_does_not_pair_with_a_later_record(spark, tmp_path, block):
+    text = 'a,b,c,d,e\n1,"stray,x,y,z\n2,3,4,5,6\n7,"8","9","two\nlines","10"\n11,12,13,14,15\n16,"x\n",17,18,19\n'
+    whole, parts = whole_and_split(spark, put(tmp_path / "t.csv", text), block, short_rows="reject")
+    for rows in (whole, parts.collect()):
+        assert values([r for r in rows if r._rejected], CORRUPT, REASON) == [('1,"stray,x,y,z', OPEN_QUOTE)]
+        assert values([r for r in rows if not r._rejected], "a", "b", "d") == sorted(
+            [("2", "3", "5"), ("7", "8", "two\nlines"), ("11", "12", "14"), ("16", "x\n", "18")])
+
+
+def test_reasons(spark, tmp_path):
+    header = "cod_agencia,nome,endereco,cidade,uf,data_abertura,tipo_agencia\n"
+    good = "1,A,R,C,SP,2020-01-01,x\n2.0,A,R,C,SP,2020-01-01,x\n,A,R,C,SP,2020-01-01,x\n"
+    path = put(tmp_path / "t.csv", header + good + 'x1,A,R,C,SP,2020-01-01,x\n3,A\n4,A,R,C,SP,2020-01-01,x,y\n5,"A,R,C,SP,2020-01-01,x\n')
+    rows = read_raw(spark, path, table=BY_NAME["branches"], short_rows="reject").collect()
+    assert values([r for r in rows if r._rejected], REASON, CORRUPT) == sorted([
+        (BAD_KEY, "x1,A,R,C,SP,2020-01-01,x"), (TOO_SHORT, "3,A"), (TOO_WIDE, "4,A,R,C,SP,2020-01-01,x,y"),
+        (OPEN_QUOTE, '5,"A,R,C,SP,2020-01-01,x')])
+    assert sorted(r.cod_agencia or "" for r in rows if not r._rejected) == ["", "1", "2.0"]
+    with pytest.raises(ValueError):
+        read_raw(spark, path, short_rows="drop")
+
+
+def test_a_header_line_counts_once_and_marks_are_dropped(spark, tmp_path):
+    put(tmp_path / "d/a.csv", "a,b\n1,2\na,b\n3,4\n", "utf-8-sig")
+    put(tmp_path / "d/b.csv", '"a","b"\n5,é\n', "latin-1")
+    put(tmp_path / "d/empty.csv", "")
+    assert values(read_raw(spark, str(tmp_path / "d")).collect(), "a", "b") == sorted([("1", "2"), ("a", "b"), ("3", "4"), ("5", "é")])
+
+
 def test_missing_source(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_raw(spark, str(tmp_path / "none.csv"))

@@ -1,12 +1,14 @@
 import json
+import shutil
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallystrata.plans import analytics, job, quality, report, suite
-from tallystrata.sources.layers import Lake
-from tallystrata.sources.report_store import read_report, report_sections
+from tallystrata.plans import analytics, job, quality, report, silver, suite
+from tallystrata.sources import files
+from tallystrata.sources.layers import LAYERS, Lake
+from tallystrata.sources.report_store import manifest, read_section
 from tallystrata.sources.tables import Field, Table
 from workload import raw
 from workload.bank import Bank
@@ -26,43 +28,63 @@ def finished(spark, raw_root, tmp_path_factory):
     return job.run(spark, raw_root, root), Lake(spark, root)
 
 
-def document(lake):
-    part, = Path(lake.report_path).glob("part-*.json")
-    return json.loads(part.read_text())
+def section(lake, name):
+    """Rows of a section as they lie in its files, in file order."""
+    parts = sorted(Path(lake.report_path, name).glob("part-*.json"))
+    return [json.loads(line) for part in parts for line in part.read_text().splitlines()]
 
 
 def test_all_checks_pass(finished, spark):
     outcome, lake = finished
-    assert [(c.name, c.message) for c in outcome.checks if not c.passed] == []
-    assert outcome.failed == 0 and len(outcome.checks) == 8 and outcome.report == "document"
+    assert [c for c in outcome.checks if not c.passed] == []
+    assert outcome.failed == 0 and len(outcome.checks) == 8 and outcome.rejected == {}
     assert quality.results_frame(spark, outcome.checks).filter("passed").count() == 8
     assert outcome.rows["bronze"]["transactions"] >= outcome.rows["silver"]["transactions"]
+    measures = {c.name: c.measures for c in outcome.checks}
+    assert measures["silver.dates"] == {"transactions.undated": 0}
+    size = lake.silver("transactions").count()
+    assert measures["gold.totals_match"] == {"transactions.dated": size, "fact_tx_evolucao.counted": size}
+    assert measures["bronze.files"] == {f"{n}.rows": lake.bronze(n).count() for n in outcome.rows["bronze"]}
+
+
+def test_observed_counts_are_those_of_the_tables(finished):
+    outcome, lake = finished
+    for layer, tables in outcome.rows.items():
+        read = lake.bronze if layer == "bronze" else lambda n, layer=layer: lake.read(layer, n)
+        assert tables == {n: read(n).count() for n in tables}
+    assert outcome.report == {s.name: read_section(lake.spark, lake.report_path, s).count() for s in report.SECTIONS}
 
 
-def test_report_document(finished):
+def test_report_sections(finished, spark):
     _, lake = finished
-    doc = document(lake)
-    assert tuple(doc) == quality.REPORT_SECTIONS
-    assert sorted(doc["tempo"]["byYear"]) == ["2020", "2021", "2022", "all"]
-    assert doc["tempo"]["byYear"]["2020"] is None   # no rows in that year
-    block = doc["tempo"]["byYear"]["all"]
-    assert [q["q"] for q in block["tri"]] == [1, 2, 3, 4] and [d["d"] for d in block["wd"]] == list(range(7))
-    assert 0 <= block["rmonths"]["p"] <= 1 and set(block["parimpar"]) == {"par", "impar", "p"}
-    assert doc["dims"]["faixas"][0] == "Jovem (<25)" and len(doc["dims"]["jurosBins"]) == 8
-    assert [a["i"] for a in doc["dims"]["agencias"]] == list(range(25))
-    assert doc["txEvo"] == sorted(doc["txEvo"], key=lambda r: [(v is not None, v) for v in r])
-    assert all(len(r) == 6 for r in doc["txEvo"]) and all(len(r) == 10 for r in doc["propFact"])
+    listed = manifest(spark, lake.report_path).orderBy("position").collect()
+    assert tuple(r.section for r in listed) == quality.REPORT_SECTIONS == tuple(s.name for s in report.SECTIONS)
+    for entry in listed:
+        rows = section(lake, entry.section)
+        assert len(rows) == entry.rows and all(list(r) == entry.columns for r in rows)
+        keys = [tuple((r[k] is not None, r[k]) for k in report.BY_SECTION[entry.section].keys) for r in rows]
+        assert keys == sorted(keys)
+    tempo = section(lake, "tempo")
+    of = lambda part: [r for r in tempo if r["part"] == part]
+    assert {r["scope"]: r["c"] for r in of("byYear")} == {"all": 1.0, "2020": 0.0, "2021": 0.0, "2022": 0.0}   # no rows in those years
+    assert [r["i"] for r in of("tri")] == [1, 2, 3, 4] and [r["i"] for r in of("wd")] == list(range(7))
+    assert 0 <= of("rmonths")[0]["p"] <= 1 and len(of("parimpar")) == 1
+    dims = section(lake, "dims")
+    assert [r["nome"] for r in dims if r["part"] == "faixas"][0] == "Jovem (<25)"
+    assert len([r for r in dims if r["part"] == "jurosBins"]) == 8
+    assert [r["i"] for r in dims if r["part"] == "agencias"] == list(range(25))
 
 
 def test_report_agrees_with_facts(finished):
     _, lake = finished
-    doc, tempo = document(lake), document(lake)["tempo"]
+    rows = {s.name: section(lake, s.name) for s in report.SECTIONS}
+    tempo = {r["part"]: r["c"] for r in rows["tempo"] if r["scope"] is None}
     total = lake.gold("fact_tx_evolucao").agg(F.sum("cnt")).first()[0]
-    assert sum(r[4] for r in doc["txEvo"]) == total == tempo["txTotal"] == lake.silver("transactions").count()
-    assert sum(r[4] for r in doc["txType"]) <= total
+    assert sum(r["cnt"] for r in rows["txEvo"]) == total == tempo["txTotal"] == lake.silver("transactions").count()
+    assert sum(r["cnt"] for r in rows["txType"]) <= total
     assert tempo["txClean"] + sum(
         r.cnt for r in lake.gold("daily_series").filter("cnt > 200").collect()) == tempo["txTotal"]
-    assert sum(r[5] for r in doc["propRaw"]) == sum(r[4] for r in doc["propFact"])
+    assert sum(r["cnt"] for r in rows["propRaw"]) == sum(r["cnt"] for r in rows["propFact"])
 
 
 def test_published_columns(finished):
@@ -127,35 +149,12 @@ def test_one_stage_alone(spark, finished):
 
 def test_second_run_replaces_the_first(spark, raw_root, finished):
     first, lake = finished
-    before = document(lake)
+    before, old = {s.name: section(lake, s.name) for s in report.SECTIONS}, lake.path("silver", "clients")
     again = job.run(spark, raw_root, lake.root)
-    assert again.rows == first.rows and document(lake) == before
-
-
-def test_report_in_sections(spark, finished, tmp_path):
-    _, lake = finished
-    copy = Lake(spark, str(tmp_path / "lake"))
-    for table in ("branches", "clients", "accounts", "transactions", "proposals", "employees", "employee_branch", "price_index"):
-        copy.write(lake.silver(table), "silver", table)
-    assert job.build(copy, document_rows=10) == "sections"
-    assert sorted(report_sections(spark, copy.report_path)) == sorted(quality.REPORT_SECTIONS)
-    lines = read_report(spark, copy.report_path)
-    sizes = {r.section: r["count"] for r in lines.filter("row is not null").groupBy("section").count().collect()}
-    doc = document(lake)
-    assert {n: sizes.get(n, 0) for n in report.ROW_SECTIONS if doc[n]} == {n: len(doc[n]) for n in report.ROW_SECTIONS if doc[n]}
-    # a later document replaces the sections
-    assert job.build(copy) == "document" and document(copy) == doc
-
-
-def test_report_sizes_do_not_depend_on_the_form(spark, finished, tmp_path):
-    _, lake = finished
-    copy = Lake(spark, str(tmp_path / "lake"))
-    for table in ("branches", "clients", "accounts", "transactions", "proposals", "employees", "employee_branch", "price_index"):
-        copy.write(lake.silver(table), "silver", table)
-    assert job.build(copy, document_rows=10) == "sections"
-    sizes = {r.section: r.rows for r in raw.report_sizes(copy).collect()}
-    doc = document(lake)
-    assert sizes == {r.section: r.rows for r in raw.report_sizes(lake).collect()} == {n: len(doc[n]) for n in report.ROW_SECTIONS}
+    assert again.rows == first.rows and {s.name: section(lake, s.name) for s in report.SECTIONS} == before
+    assert lake.path("silver", "clients") != old and not Path(old).exists()
+    for layer in LAYERS:
+        assert files.names(spark, f"{lake.root}/{layer}") == files.names(spark, f"{lake.root}/_published/{layer}") == [lake.run_of(layer)]
 
 
 def test_missing_source_leaves_bronze(spark, finished, tmp_path):
@@ -165,11 +164,64 @@ def test_missing_source_leaves_bronze(spark, finished, tmp_path):
     assert lake.bronze("transactions").count() > 0
 
 
-def test_checks_report_failures(spark, tmp_path):
+def test_a_stage_that_fails_leaves_nothing_behind(spark, finished, monkeypatch):
+    _, lake = finished
+    present = lambda: sorted(str(p) for p in Path(lake.root).rglob("*") if p.is_file())
+    before, report_rows = present(), section(lake, "txEvo")
+
+    def fail(*_):
+        raise RuntimeError("half way")
+
+    monkeypatch.setattr(job.facts, "rate_histogram", fail)
+    with pytest.raises(RuntimeError, match="half way"):
+        job.run(spark, "unused", lake.root, stages=["gold"])
+    assert present() == before and section(lake, "txEvo") == report_rows
+    assert not list(Path(lake.root, "_scratch").glob("*")) if Path(lake.root, "_scratch").exists() else True
+
+
+def test_checks_find_a_half_lake(spark, raw_root, tmp_path):
     results = {c.name: c for c in quality.run_checks(Lake(spark, str(tmp_path)))}
-    assert not results["bronze.files"].passed and "transactions" in results["bronze.files"].message
-    assert results["silver.pks"].message.startswith("exception:")
-    assert quality.failed(results.values()) >= 6
+    assert not results["bronze.files"].passed and results["bronze.files"].measures["transactions.rows"] is None
+    assert results["bronze.non_empty"].passed and results["silver.saldos"].passed
+    assert quality.failed(results.values()) == 6
+    outcome = job.run(spark, raw_root, str(tmp_path / "half"), stages=["bronze", "silver", "validate"])
+    assert {c.name for c in outcome.checks if not c.passed} == {"gold.facts", "gold.totals_match", "gold.json_keys"}
+
+
+def test_checks_fail_on_bad_measures(spark):
+    good = {("silver", t.name, "duplicates"): 0 for t in quality.TABLES if t.key}
+    good |= {(layer, table, measure): 7 for name, layer, table, measure, _ in quality.CHECKS if name not in ("silver.pks", "silver.dates")}
+    good[("silver", "transactions", "undated")] = 0
+
+    def failing(**changes):
+        rows = good | {tuple(k.split("__")): v for k, v in changes.items()}
+        frame = spark.createDataFrame([(*k, v) for k, v in rows.items() if v is not None], "layer string, table string, measure string, value bigint")
+        return {r.name for r in quality.check_results(spark, frame).filter("not passed").collect()}
+
+    assert failing() == set()
+    assert failing(bronze__clients__rows=0) == {"bronze.non_empty"}
+    assert failing(bronze__clients__rows=None) == {"bronze.files"}
+    assert failing(silver__accounts__duplicates=1) == {"silver.pks"}
+    assert failing(silver__transactions__undated=2) == {"silver.dates"}
+    assert failing(silver__accounts__negative=99) == set()
+    assert failing(silver__transactions__dated=12) == set() and failing(silver__transactions__dated=13) == {"gold.totals_match"}
+    assert failing(gold__fact_saques__rows=None) == {"gold.facts"} and failing(report__dims__rows=None) == {"gold.json_keys"}
+
+
+def test_amounts_keep_all_their_digits(spark, raw_root, tmp_path):
+    """A balance beyond twelve digits and one with four places go through all layers."""
+    source = tmp_path / "raw"
+    shutil.copytree(raw_root, source)
+    extra = "num_conta,cod_cliente,cod_agencia,tipo_conta,data_abertura,saldo_total,saldo_disponivel\n"
+    (source / "contas.csv" / "extra.csv").write_text(extra + "x1,1,1,PF,2015-05-05,1234567890123456.7891,0\nx2,1,1,PF,2015-05-05,x,0\n")
+    job.run(spark, str(source), str(tmp_path / "lake"))
+    lake = Lake(spark, str(tmp_path / "lake"))
+    accounts = lake.silver("accounts")
+    assert dict(accounts.dtypes)["balance"] == "decimal(20,4)"
+    assert {str(r.balance) for r in accounts.filter("account_id in ('x1', 'x2')").collect()} == {"1234567890123456.7891", "None"}
+    assert lake.gold("totals").first().balance == pytest.approx(float(accounts.agg(F.sum("balance")).first()[0]))
+    lost = {(r.table, r.column): r.lost for r in silver.lost_values(lake.bronze("accounts"), "accounts").collect()}
+    assert lost[("accounts", "balance")] == 1 and lost[("accounts", "opened_on")] == 0
 
 
 def test_unknown_stage(spark, tmp_path):

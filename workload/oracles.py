@@ -703,3 +703,172 @@ FROM kept WHERE branch_ix IS NOT NULL AND tx_type = '5-LOW'
 UNION ALL SELECT 'fact_clientes', count(DISTINCT (branch_ix, band_ix, joined_year)), count(*), {_money('c_acctbal')} FROM placed_clients
 UNION ALL SELECT 'fact_propostas', count(DISTINCT (year, branch_ix, band_ix, status_ix)), count(*), {_money('l_extendedprice')} FROM dated
 """
+
+NOTE = """CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority || ',' || chr(10) || '"' || o_orderkey || '"' || chr(10) || chr(10) || 'end'
+  ELSE o_orderpriority END"""
+ORACLES["bronze_line_breaks"] = f"""
+SELECT o_orderkey AS tx_id, {NOTE} AS tx_type, o_totalprice AS amount FROM orders
+"""
+ORACLES["bronze_rejects"] = """
+SELECT CASE WHEN o_orderkey % 11 = 0 THEN 'too few fields' WHEN o_orderkey % 13 = 0 THEN 'too many fields'
+            WHEN o_orderkey % 17 = 0 THEN 'open quote' WHEN o_orderkey % 19 = 0 THEN 'bad key' ELSE 'taken' END AS reason,
+       count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys
+FROM orders GROUP BY 1
+"""
+ORACLES["bronze_latin1"] = """
+SELECT c_custkey AS employee_id, 'João Ñ ' || c_name AS first_name,
+       ['as=utf8', 'as=latin1', 'as=marked'][1 + c_custkey % 3] AS folder
+FROM customer
+"""
+ORACLES["typed_dates"] = f"""
+WITH {CLIENTS}
+SELECT client_id, birth AS day_first, birth AS year_first, CASE WHEN client_id % 4 <> 0 THEN birth END AS mixed FROM clients
+"""
+ORACLES["typed_dates_lost"] = f"""
+WITH {CLIENTS}
+SELECT 'clients' AS "table", 'client_id' AS "column", count(*) FILTER (WHERE client_id % 10 = 0) AS lost FROM clients
+UNION ALL SELECT 'clients', 'birth_date', count(*) FILTER (WHERE client_id % 10 <> 0 AND client_id % 4 = 0 AND birth IS NOT NULL) FROM clients
+UNION ALL SELECT 'clients', 'joined_at', CAST(0 AS BIGINT)
+"""
+ORACLES["typed_money_wide"] = """
+WITH wide AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS account_id, CASE WHEN o_orderkey % 2 = 0 THEN -1 ELSE 1 END
+         * CAST(CAST(1000000000000000 + o_orderkey AS VARCHAR) || '.' || lpad(CAST(o_orderkey % 10000 AS VARCHAR), 4, '0') AS DECIMAL(28,4)) AS balance
+  FROM orders
+)
+SELECT account_id, CAST(balance AS VARCHAR) AS balance, CAST((SELECT sum(balance) FROM wide) AS VARCHAR) AS total FROM wide
+"""
+
+_LAKE = f"""
+WITH {TX}, kept AS (SELECT * FROM tx WHERE day < 31),
+{PLACED.replace(CLIENTS + ',', '')},
+dated AS (SELECT * REPLACE (CASE WHEN day = 31 OR day % 6 = 5 THEN 0 ELSE year END AS year) FROM placed WHERE branch_ix IS NOT NULL),
+kept_ix AS (
+  SELECT tx_type, name, CAST(row_number() OVER (ORDER BY n DESC, name) - 1 AS INTEGER) AS type_ix
+  FROM (SELECT tx_type, {TYPE_NAMES.replace('o_orderpriority', 'tx_type')} AS name, count(*) AS n FROM kept GROUP BY 1)
+),
+state_names AS (SELECT * FROM (VALUES (0, 'SP'), (1, 'RJ'), (2, 'RS'), (3, 'SC'), (4, 'MG')) AS s(region, uf)),
+placed_clients AS (
+  SELECT branch_ix, band_ix, CAST(n_regionkey AS INTEGER) AS state_ix, CAST(year(joined) AS INTEGER) AS joined_year, c_acctbal
+  FROM banded JOIN branch_ix USING (branch_id) JOIN nation ON n_nationkey = branch_id WHERE n_regionkey < 4
+)"""
+
+
+def _rowed(section: str, source: str, keys: list[str], fields: dict[str, str], kind: str = "number") -> str:
+    """Long form of a grouped section: one row for each group and field."""
+    row = "concat_ws('|', " + ", ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in keys) + ")"
+    return " UNION ALL ".join(
+        f"SELECT '{section}' AS section, {row} AS row, '{name}' AS field, CAST({value} AS DOUBLE) AS number, CAST(NULL AS VARCHAR) AS text "
+        f"FROM {source} GROUP BY {', '.join(keys)}" for name, value in fields.items()
+    )
+
+
+def _whole(column: str) -> str:
+    return _even(f"sum({_cents(column)})", "1", 2, 0)
+
+
+def _plain(section: str, row: str, field: str, number: str, text: str, source: str) -> str:
+    return f"""SELECT '{section}' AS section, {row} AS row, '{field}' AS field, CAST({number} AS DOUBLE) AS number, CAST({text} AS VARCHAR) AS text {source}"""
+
+
+def _dims() -> str:
+    def item(part: str, i: str, nome: str, source: str, uf: str = "NULL", tipo: str = "NULL", valor: str = "NULL") -> str:
+        row = f"concat_ws('|', '{part}', coalesce(CAST({i} AS VARCHAR), '-'), {nome})"
+        return " UNION ALL ".join([
+            _plain("dims", row, "uf", "NULL", uf, source), _plain("dims", row, "tipo", "NULL", tipo, source), _plain("dims", row, "valor", valor, "NULL", source),
+        ])
+
+    listed = lambda part, values: item(
+        part, "i", "nome", "FROM (VALUES " + ", ".join(f"({i}, '{v}')" for i, v in enumerate(values)) + ") AS v(i, nome)"
+    )
+    totals = {
+        "clientes": "(SELECT count(*) FROM customer)", "contas": "(SELECT count(*) FROM customer)", "colaboradores": "(SELECT count(*) FROM supplier)",
+        "agencias": "(SELECT count(*) FROM nation)", "saldoTotal": f"(SELECT {_whole('c_acctbal')} FROM customer)",
+    }
+    return " UNION ALL ".join([
+        item(
+            "agencias", "branch_ix", "replace(n_name, 'NATION_', '')", "FROM nation JOIN branch_ix ON branch_id = n_nationkey JOIN state_names ON region = n_regionkey",
+            "uf", "CASE WHEN n_nationkey = 0 THEN 'Digital' ELSE 'Física' END", "(SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey)",
+        ),
+        item("tipos", "type_ix", "name", "FROM kept_ix"),
+        listed("faixas", ["Jovem (<25)", "Adulto (25-59)", "Idoso (60+)"]), listed("estados", ["SP", "RJ", "RS", "SC", "PE"]),
+        listed("jurosBins", ["0,8-1,0", "1,0-1,2", "1,2-1,4", "1,4-1,6", "1,6-1,8", "1,8-2,0", "2,0-2,2", "2,2-2,5"]),
+        *[item("totals", "NULL", f"'{n}'", "FROM (SELECT 1)", valor=v) for n, v in totals.items()],
+    ])
+
+
+# the job's daily series: dated transactions, its own threshold and years
+_JOB_DAILY = (
+    DAILY.replace("FROM orders GROUP BY 1", "FROM orders WHERE day(o_orderdate) < 31 GROUP BY 1")
+    .replace("SELECT sum(cnt) * 3 // (count(*) * 2) AS threshold FROM daily", "SELECT 200 AS threshold").replace("(1998, 1999, 2000)", "(2020, 2021, 2022)")
+)
+
+
+def _tempo() -> str:
+    """Long form of the section's rows, each from the query of its own analysis."""
+    def part(name: str, query: str, i: str, values: dict[str, str]) -> str:
+        fields = {"c": "NULL", "v": "NULL", "p": "NULL"} | values
+        row = f"concat_ws('|', '{name}', scope, coalesce(CAST({i} AS VARCHAR), '-'))"
+        numbers = [_plain("tempo", row, f, v, "NULL", f"FROM ({query.replace(DAILY, _JOB_DAILY)})") for f, v in fields.items()]
+        return " UNION ALL ".join([*numbers, _plain("tempo", row, "at", "NULL", "NULL", f"FROM ({query.replace(DAILY, _JOB_DAILY)})")])
+
+    summary = f"WITH {_JOB_DAILY} SELECT '-' AS scope, "
+    has = f"WITH {_JOB_DAILY} SELECT s.scope, CAST(count(d.scope) > 0 AS INTEGER) AS has FROM (VALUES ('all'), ('2020'), ('2021'), ('2022')) AS s(scope) LEFT JOIN (SELECT DISTINCT scope FROM scoped) d USING (scope) GROUP BY 1"
+    burst = f"WITH {_JOB_DAILY} SELECT '-' AS scope, row_number() OVER (ORDER BY date) - 1 AS i, CAST(date AS VARCHAR) AS stamp FROM daily WHERE cnt > 200"
+    row = "concat_ws('|', 'dumpList', scope, i)"
+    return " UNION ALL ".join([
+        part("tri", ORACLES["seasonality_quarter"], "quarter", {"c": "mean_cnt", "v": "mean_vol"}),
+        part("wd", ORACLES["seasonality_weekday"], "weekday", {"c": "mean_cnt", "v": "mean_vol"}),
+        part("rmonths", ORACLES["welch_month_flag"], "NULL", {"c": "mean_in", "v": "mean_out", "p": "p"}),
+        part("parimpar", ORACLES["welch_parity"], "NULL", {"c": "mean_in", "v": "mean_out", "p": "p"}),
+        part("byYear", has, "NULL", {"c": "has"}),
+        part("dumpDays", summary + "count(*) FILTER (WHERE cnt > 200) AS n FROM daily", "NULL", {"c": "n"}),
+        part("txClean", summary + "coalesce(sum(cnt) FILTER (WHERE cnt <= 200), 0) AS n FROM daily", "NULL", {"c": "n"}),
+        part("txTotal", summary + "coalesce(sum(cnt), 0) AS n FROM daily", "NULL", {"c": "n"}),
+        *[_plain("tempo", row, f, "NULL", "NULL", f"FROM ({burst})") for f in ("c", "v", "p")], _plain("tempo", row, "at", "NULL", "stamp", f"FROM ({burst})"),
+    ])
+
+
+_PLACED_FIELDS = {
+    "cnt": "count(*)", "proposed": _whole("l_extendedprice"), "rate_total": "CAST(sum(discount_pct) * 25 AS BIGINT) / 10000.0",
+    "installments": "sum(installments)", "financed": _whole("l_extendedprice"), "down": _whole("l_quantity"),
+}
+ORACLES["job_report_values"] = _LAKE + " UNION ALL ".join(["\n" + _rowed(
+    "txEvo", "kept", ["year", "month", "branch_ix", "band_ix"], {"cnt": "count(*)", "vol": _whole("o_totalprice")}),
+    _rowed("txType", "(SELECT * FROM kept JOIN kept_ix USING (tx_type) WHERE branch_ix IS NOT NULL)", ["year", "branch_ix", "band_ix", "type_ix"],
+           {"cnt": "count(*)", "vol": _whole("o_totalprice")}),
+    _rowed("saqueFact", "(SELECT * FROM kept WHERE branch_ix IS NOT NULL AND tx_type = '5-LOW')", ["year", "month", "branch_ix", "band_ix"],
+           {"vol": _whole("o_totalprice")}),
+    _rowed("cliFact", "placed_clients", ["branch_ix", "band_ix", "state_ix", "joined_year"], {"cnt": "count(*)", "balance": _whole("c_acctbal")}),
+    _rowed("propFact", "dated", ["year", "branch_ix", "band_ix", "status_ix"], _PLACED_FIELDS),
+    _rowed("propRaw", "dated", ["year", "branch_ix", "band_ix", "rate_bin", "installments"], {"cnt": "count(*)"}),
+    _dims(), _tempo(),
+])
+
+_BRONZE = """(SELECT count(*) FROM nation) + 2 * (SELECT count(*) FROM customer) + (SELECT count(*) FROM supplier)
+  + (SELECT count(*) FROM supplier) + (SELECT count(*) FROM lineitem)
+  + (SELECT count(*) + count(*) FILTER (WHERE day(o_orderdate) = 1) FROM orders)
+  + (SELECT count(DISTINCT date_trunc('month', l_shipdate)) FROM lineitem)"""
+_KEPT = "(SELECT count(*) FROM orders WHERE day(o_orderdate) < 31)"
+
+
+def _checks() -> str:
+    # (name, measures, total of the whole lake, passes on the half one, its total)
+    facts = f"(SELECT sum(groups) FROM ({ORACLES['job_fact_totals']}))"
+    sections = " + ".join([
+        f"(SELECT sum(rows) FROM ({ORACLES['job_report']}))", f"(SELECT count(*) // 3 FROM ({ORACLES['job_report_values']}) WHERE section = 'dims')",
+        f"(SELECT count(*) // 4 FROM ({ORACLES['job_report_values']}) WHERE section = 'tempo')",
+    ])
+    rows = [
+        ("bronze.files", 8, _BRONZE, True, _BRONZE), ("bronze.non_empty", 8, _BRONZE, True, _BRONZE), ("silver.pks", 6, "0", True, "0"),
+        ("silver.dates", 1, "0", True, "0"), ("silver.saldos", 2, "(SELECT count(*) FROM customer WHERE c_acctbal < 0)", True, "(SELECT count(*) FROM customer WHERE c_acctbal < 0)"),
+        ("gold.facts", 5, facts, False, "0"), ("gold.totals_match", 2, f"2 * {_KEPT}", False, _KEPT), ("gold.json_keys", 9, sections, False, "0"),
+    ]
+    parts = []
+    for name, size, whole, passes, half in rows:
+        parts.append(f"SELECT 'whole' AS lake, '{name}' AS name, true AS passed, {size} AS measures, CAST({whole} AS BIGINT) AS total")
+        parts.append(f"SELECT 'half', '{name}', {str(passes).lower()}, {size}, CAST({half} AS BIGINT)")
+    return " UNION ALL ".join(parts)
+
+
+ORACLES["job_checks"] = _checks()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallystrata.functions import calendar, casting, labels, numeric
+from tallystrata.functions import calendar, casting, labels, layouts, numeric
 from tallystrata.operators import dedup, lookup, numbering, stats
 from tallystrata.plans import analytics, dims, facts, quality, temporal
 from tallystrata.session import configure
@@ -624,3 +624,46 @@ def job_fact_totals(b: Bank) -> DataFrame:
 def job_report(b: Bank) -> DataFrame:
     """The whole job from raw files; returns the size of each section of the published report."""
     return raw.report_sizes(raw.job(b))
+
+
+@query
+def job_report_values(b: Bank) -> DataFrame:
+    """The whole job from raw files; returns every value of the nine sections of the published report."""
+    return raw.report_values(raw.job(b))
+
+
+@query
+def job_checks(b: Bank) -> DataFrame:
+    """The checks, from what the writes of the whole job observed, and of a job that stops before its last layer."""
+    return raw.checked(b)
+
+
+@query
+def bronze_line_breaks(b: Bank) -> DataFrame:
+    return raw.line_breaks(b)
+
+
+@query
+def bronze_rejects(b: Bank) -> DataFrame:
+    return raw.rejects(b)
+
+
+@query
+def bronze_latin1(b: Bank) -> DataFrame:
+    return raw.mixed_encodings(b)
+
+
+@query
+def typed_dates(b: Bank) -> DataFrame:
+    """Dates in the layout that most values of their column have."""
+    return layouts.dated(raw.spelled_dates(b), {c: "date" for c in ("day_first", "year_first", "mixed")})
+
+
+@query
+def typed_dates_lost(b: Bank) -> DataFrame:
+    return raw.lost_dates(b)
+
+
+@query
+def typed_money_wide(b: Bank) -> DataFrame:
+    return raw.wide_amounts(b)

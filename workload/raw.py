@@ -8,12 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallystrata.functions import calendar, numeric
-from tallystrata.plans import job as batch, silver
-from tallystrata.plans.report import ROW_SECTIONS
-from tallystrata.sources.delimited import read_raw, read_typed
+from tallystrata.plans import job as batch, quality, silver
+from tallystrata.plans.report import BY_SECTION, ROW_SECTIONS, SECTIONS
+from tallystrata.sources.delimited import CORRUPT, REASON, read_raw, read_typed
 from tallystrata.sources.layers import Lake
-from tallystrata.sources.report_store import section_sizes
-from tallystrata.sources.scratch import scratch_path
+from tallystrata.sources.report_store import section_sizes, section_values
+from tallystrata.sources.scratch import scratch_path, stored
 from tallystrata.sources.tables import BY_NAME
 
 from .bank import Bank
@@ -144,6 +144,110 @@ def bronze(b: Bank, table: str) -> Lake:
     return lake
 
 
+def line_breaks(b: Bank) -> DataFrame:
+    """Orders in one file whose type text spans lines, read back."""
+    text = F.concat(F.col("o_orderpriority"), F.lit(',\n"'), F.col("o_orderkey").cast("string"), F.lit('"\n\nend'))
+    note = F.when(F.col("o_orderkey") % 3 == 0, text).otherwise(F.col("o_orderpriority"))
+    frame = b.table("orders").select("o_orderkey", "o_custkey", "o_orderdate", note.alias("note"), "o_totalprice")
+    path = f"{scratch_path(b.spark, 'raw')}/{BY_NAME['transactions'].file}"
+    write_csv(_text(frame, "transactions").coalesce(1), path, [f.raw for f in BY_NAME["transactions"].fields])
+    rows = read_raw(b.spark, path, table=BY_NAME["transactions"], short_rows="reject").filter("not _rejected")
+    return rows.select(
+        F.col("cod_transacao").cast("bigint").alias("tx_id"), F.col("nome_transacao").alias("tx_type"),
+        F.col("valor_transacao").cast("double").alias("amount"),
+    )
+
+
+def rejects(b: Bank) -> DataFrame:
+    """Rows taken and set aside by reason, with the sum of their order keys, of orders with planted faults."""
+    key = F.col("o_orderkey").cast("string")
+    rest = ("o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
+    fields = F.concat_ws(",", *[F.col(c).cast("string") for c in rest])
+    line = (
+        F.when(F.col("o_orderkey") % 11 == 0, F.concat(key, F.lit(",short")))
+        .when(F.col("o_orderkey") % 13 == 0, F.concat(key, F.lit(","), fields, F.lit(",more")))
+        .when(F.col("o_orderkey") % 17 == 0, F.concat(key, F.lit(',"'), fields))
+        .when(F.col("o_orderkey") % 19 == 0, F.concat(key, F.lit("x,"), fields))
+        .when(F.col("o_orderkey") % 23 == 0, F.concat(key, F.lit(',"1","2020-01-01","two\nlines","5"')))
+        .otherwise(F.concat(key, F.lit(","), fields))
+    )
+    path = f"{scratch_path(b.spark, 'raw')}/{BY_NAME['transactions'].file}"
+    header = b.spark.range(1).select(F.lit(-1).cast("bigint").alias("at"), F.lit(",".join(f.raw for f in BY_NAME["transactions"].fields)).alias("value"))
+    # every part file needs its header, so there is one file
+    lines = header.unionByName(b.table("orders").select(F.col("o_orderkey").alias("at"), line.alias("value")))
+    lines.coalesce(1).sortWithinPartitions("at").select("value").write.text(path)
+    rows = read_raw(b.spark, path, table=BY_NAME["transactions"], short_rows="reject")
+    first = F.coalesce(F.col(CORRUPT), F.col("cod_transacao"))
+    return rows.groupBy(F.coalesce(F.col(REASON), F.lit("taken")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.regexp_extract(first, r"^(\d+)", 1).cast("bigint")).alias("keys")
+    )
+
+
+def mixed_encodings(b: Bank) -> DataFrame:
+    """Customers with accented names, a third each in UTF-8, in UTF-8 with a byte order mark, and in Latin-1."""
+    root = f"{scratch_path(b.spark, 'raw')}/colaboradores.csv"
+    name = F.concat(F.lit("João Ñ "), F.col("c_name"))
+    people = b.table("customer").select(F.col("c_custkey").cast("string").alias("cod_colaborador"), name.alias("primeiro_nome"), (F.col("c_custkey") % 3).alias("k"))
+    part = lambda k: people.filter(F.col("k") == k).drop("k")
+    part(0).write.option("header", True).csv(f"{root}/as=utf8")
+    part(1).write.option("header", True).option("encoding", "ISO-8859-1").csv(f"{root}/as=latin1")
+    marked = part(2).select(F.lit(1).alias("at"), F.concat_ws(",", "cod_colaborador", "primeiro_nome").alias("value"))
+    top = b.spark.createDataFrame([(0, "\ufeffcod_colaborador,primeiro_nome")], "at int, value string")
+    top.unionByName(marked).coalesce(1).sortWithinPartitions("at").select("value").write.text(f"{root}/as=marked")
+    rows = read_raw(b.spark, root).filter("not _rejected")
+    return rows.select(
+        F.col("cod_colaborador").cast("bigint").alias("employee_id"), F.col("primeiro_nome").alias("first_name"),
+        F.split_part("_source_file", F.lit("/"), F.lit(1)).alias("folder"),
+    )
+
+
+def spelled_dates(b: Bank) -> DataFrame:
+    """Birth dates of customers as text: day first, year first with slashes, and a fourth of them in another layout than the rest."""
+    spelled = lambda layout: F.date_format("birth_date", layout)
+    return b.clients().select(
+        "client_id", spelled("dd/MM/yyyy").alias("day_first"), spelled("yyyy/MM/dd").alias("year_first"),
+        F.when(F.col("client_id") % 4 == 0, spelled("dd/MM/yyyy")).otherwise(spelled("yyyy-MM-dd")).alias("mixed"),
+    )
+
+
+def lost_dates(b: Bank) -> DataFrame:
+    """Values of raw clients that cannot be read, by column: the birth dates have two layouts, the keys some letters."""
+    key = F.when(F.col("client_id") % 10 == 0, F.concat(F.lit("k"), F.col("client_id"))).otherwise(F.col("client_id").cast("string"))
+    clients = spelled_dates(b).select(
+        key.alias("cod_cliente"), F.col("mixed").alias("data_nascimento"), F.lit("2020-01-01 10:00:00").alias("data_inclusao")
+    )
+    return silver.lost_values(clients, "clients")
+
+
+def wide_amounts(b: Bank) -> DataFrame:
+    """Silver accounts with balances of sixteen digits and four places, and their exact total."""
+    key = F.col("o_orderkey")
+    text = F.concat((F.lit(10**15) + key).cast("string"), F.lit("."), F.lpad((key % 10000).cast("string"), 4, "0"))
+    raw = b.table("orders").select(
+        key.cast("string").alias("num_conta"), F.col("o_custkey").cast("string").alias("cod_cliente"), F.lit("1").alias("cod_agencia"),
+        F.when(key % 2 == 0, F.concat(F.lit("-"), text)).otherwise(text).alias("saldo_total"),
+        F.lit("2015-05-05").alias("data_abertura"), key.alias("_pos"),
+    )
+    accounts = stored(silver.accounts(raw, ("_pos",)), "wide")
+    total = accounts.agg(numeric.exact_sum(F.col("balance")).cast("string").alias("t")).scalar()
+    return accounts.select("account_id", F.col("balance").cast("string").alias("balance"), total.alias("total"))
+
+
+def checked(b: Bank) -> DataFrame:
+    """The checks on a whole lake, and on one that never got to its last layer."""
+    def results(name: str, lake: Lake) -> DataFrame:
+        measures = lake.measures().unionByName(quality.key_measures(lake))
+        told = quality.check_results(b.spark, measures)
+        known = F.filter(F.map_values("measures"), lambda v: v.isNotNull())
+        total = F.aggregate(known, F.lit(0).cast("bigint"), lambda x, y: x + y)
+        return told.select(F.lit(name).alias("lake"), "name", "passed", F.size("measures").alias("measures"), total.alias("total"))
+
+    whole = job(b)
+    half = Lake(b.spark, scratch_path(b.spark, "lake"))
+    batch.run(b.spark, write_raw(b, scratch_path(b.spark, "raw")), half.root, ["bronze", "silver"])
+    return results("whole", whole).unionByName(results("half", half))
+
+
 def silver_table(b: Bank, table: str, *dropped: str) -> DataFrame:
     """The silver table of one raw source, with decimals as doubles and timestamps without a zone."""
     rows = silver.TRANSFORMS[table](bronze(b, table).bronze(table)).drop(*dropped)
@@ -177,8 +281,13 @@ def job(b: Bank) -> Lake:
 
 
 def report_sizes(lake: Lake) -> DataFrame:
-    """Rows of each list section of the published report, in either of its forms."""
-    return section_sizes(lake.spark, lake.report_path, sorted(ROW_SECTIONS))
+    """Rows of each list section of the published report."""
+    return section_sizes(lake.spark, lake.report_path, [BY_SECTION[n] for n in sorted(ROW_SECTIONS)])
+
+
+def report_values(lake: Lake) -> DataFrame:
+    """Every value of all nine sections of the published report."""
+    return section_values(lake.spark, lake.report_path, SECTIONS)
 
 
 def fact_totals(lake: Lake) -> DataFrame:
