@@ -22,7 +22,8 @@ EXTRA_TIMESTAMP_FORMATS = (
 
 
 def missing_to_null(col: Column) -> Column:
-    return F.when(~col.isin(*MISSING_MARKS), col)
+    # one literal in place of many: plans of wide tables are built faster
+    return F.when(F.find_in_set(col, F.lit(",".join(MISSING_MARKS))) == 0, col)
 
 
 def to_money(col: Column) -> Column:

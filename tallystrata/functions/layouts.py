@@ -10,23 +10,31 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .casting import missing_to_null
-
-# Day layouts beside the ISO family, in the order that settles equal votes.
-DAY_LAYOUTS = ("yyyy/M/d", "M/d/yyyy", "d/M/yyyy", "M-d-yyyy", "d-M-yyyy", "M.d.yyyy", "d.M.yyyy", "yyyyMMdd")
-TIMES = (" H:mm:ss", " H:mm")
+# Day layouts beside the ISO family, in the order that settles equal votes, and the shape of their texts.
+_YEAR_FIRST, _PACKED = r"^\d{4}/\d{1,2}/\d{1,2}(?: |$)", r"^\d{8}(?: |$)"
+DAY_LAYOUTS = {
+    "yyyy/M/d": _YEAR_FIRST,
+    "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}(?: |$)", "d/M/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}(?: |$)",
+    "M-d-yyyy": r"^\d{1,2}-\d{1,2}-\d{4}(?: |$)", "d-M-yyyy": r"^\d{1,2}-\d{1,2}-\d{4}(?: |$)",
+    "M.d.yyyy": r"^\d{1,2}\.\d{1,2}\.\d{4}(?: |$)", "d.M.yyyy": r"^\d{1,2}\.\d{1,2}\.\d{4}(?: |$)",
+    "yyyyMMdd": _PACKED,
+}
+TIME = "[ H:mm[:ss]]"
 
 #: Decimal digits that a type can have, and those of a plain amount.
 MOST_DIGITS, PLAIN_DIGITS, PLAIN_PLACES = 38, 14, 2
 
 
 def _readings(text: Column, kind: str) -> list[Column]:
-    """The value in each layout, ISO first; null where the text has another one."""
-    value = missing_to_null(F.trim(text))
+    """The value in each layout, ISO first; null where the text has another one.
+
+    A text is parsed only in layouts whose shape it has, as a failed attempt costs far more than a look at the shape.
+    """
+    # marks of missing values have no layout at all
+    value = F.trim(text)
     readings = [value.try_cast(kind)]
-    for day in DAY_LAYOUTS:
-        at = F.coalesce(*[F.try_to_timestamp(value, F.lit(day + time)) for time in ("", *TIMES)])
-        readings.append(at.cast(kind))
+    for day, shape in DAY_LAYOUTS.items():
+        readings.append(F.when(value.rlike(shape), F.try_to_timestamp(value, F.lit(day + TIME)).cast(kind)))
     return readings
 
 
@@ -63,19 +71,28 @@ def dated(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 
 # --- digits ----------------------------------------------------------------------------------------------------
 
-NUMBER = r"^\s*[+-]?0*(\d*)(?:\.(\d*?)0*)?(?:[eE]([+-]?\d{1,4}))?\s*$"
+NUMBER = r"^\s*[+-]?(\d*)(?:\.(\d*))?(?:[eE]([+-]?\d{1,4}))?\s*$"
 
 
 def digit_measures(columns: Iterable[str]) -> dict[str, Column]:
-    """Aggregates ``digits:<column>`` and ``places:<column>``: the most digits before and after the point."""
+    """Aggregates ``digits:<column>`` and ``places:<column>``: no number has more digits before and after the point.
+
+    Signs and zeros at the ends may count, which makes a type wider than it need be; text that is no number does not count.
+    """
     measures = {}
     for name in columns:
-        text = F.col(f"`{name}`")
-        number = F.when(text.rlike(NUMBER) & text.rlike(r"\d"), text)
-        part = lambda k: F.regexp_extract(number, NUMBER, k)  # noqa: B023, E731
+        text = F.trim(f"`{name}`")
+        part = lambda k: F.regexp_extract(text, NUMBER, k)  # noqa: B023, E731
         shift = F.coalesce(part(3).try_cast("int"), F.lit(0))
-        measures[f"digits:{name}"] = F.coalesce(F.max(F.greatest(F.length(part(1)) + shift, F.lit(0))), F.lit(0)).cast("bigint")
-        measures[f"places:{name}"] = F.coalesce(F.max(F.greatest(F.length(part(2)) - shift, F.lit(0))), F.lit(0)).cast("bigint")
+        scientific = F.lower(text).contains("e")
+        plain_digits = F.length(F.substring_index(text, ".", 1))
+        digits = F.when(scientific, F.greatest(F.length(part(1)) + shift, F.lit(0))).otherwise(plain_digits)
+        places = F.when(scientific, F.greatest(F.length(part(2)) - shift, F.lit(0))).when(
+            text.contains("."), F.length(text) - plain_digits - 1
+        ).otherwise(0)
+        is_number = text.try_cast("double").isNotNull()
+        for kind, count in (("digits", digits), ("places", places)):
+            measures[f"{kind}:{name}"] = F.coalesce(F.max(F.when(is_number, count)), F.lit(0)).cast("bigint")
     return measures
 
 

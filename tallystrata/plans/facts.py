@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import calendar, labels
 from ..functions.numeric import amount, as_double, exact_rate, exact_sum, percent
 from ..operators.dedup import keep_first, keep_last
-from ..operators.lookup import spread_lookup
+from ..operators.lookup import Known, spread_lookup
 from ..operators.numbering import dense_index, frequency_index
 
+NOTHING_KNOWN = Known()
 UNDEFINED_BAND = len(labels.AGE_BANDS)
 FILE_ORDER = ("file_order",)
 
@@ -45,11 +46,17 @@ def _totals(names: Sequence[str]) -> list[Column]:
 
 # --- dimensions ------------------------------------------------------------------------------------------------
 
-def account_dimension(accounts: DataFrame, clients: DataFrame, branch_ix: DataFrame) -> DataFrame:
+def account_dimension(
+    accounts: DataFrame, clients: DataFrame, branch_ix: DataFrame, known: Known = NOTHING_KNOWN
+) -> DataFrame:
     """Account -> branch position and age band of its client."""
     rows = accounts.select("account_id", "client_id", "branch_id")
-    banded = spread_lookup(rows, clients.select("client_id", _band_ix()), "client_id", ["account_id"])
-    placed = spread_lookup(banded, branch_ix, "branch_id", ["account_id"], detect_in=rows)
+    banded = spread_lookup(
+        rows, clients.select("client_id", _band_ix()), "client_id", ["account_id"], **known.about("clients", ("accounts", "client_id"))
+    )
+    placed = spread_lookup(
+        banded, branch_ix, "branch_id", ["account_id"], detect_in=rows, **known.about("branches", ("accounts", "branch_id"))
+    )
     return placed.select("account_id", "branch_ix", "band_ix")
 
 
@@ -60,13 +67,15 @@ def primary_accounts(accounts: DataFrame, order: Sequence[str] = FILE_ORDER) ->
 
 
 def client_dimension(
-    clients: DataFrame, accounts: DataFrame, branch_ix: DataFrame, order: Sequence[str] = FILE_ORDER
+    clients: DataFrame, accounts: DataFrame, branch_ix: DataFrame, order: Sequence[str] = FILE_ORDER, known: Known = NOTHING_KNOWN
 ) -> DataFrame:
     """Client -> band, join year, and branch, branch position and balance of the primary account."""
     rows = clients.select("client_id", _band_ix(), calendar.year(F.col("joined_at")).alias("joined_year"))
     # one row per client on both sides
     placed = rows.join(primary_accounts(accounts, order), "client_id", "left")
-    return spread_lookup(placed, branch_ix, "branch_id", ["client_id"], detect_in=accounts)
+    return spread_lookup(
+        placed, branch_ix, "branch_id", ["client_id"], detect_in=accounts, **known.about("branches", ("accounts", "branch_id"))
+    )
 
 
 def employee_branches(employee_branch: DataFrame, order: Sequence[str] = FILE_ORDER) -> DataFrame:
@@ -81,7 +90,7 @@ TX_CUBE = ("year", "month", "branch_ix", "band_ix", "tx_type")
 
 
 def placed_transactions(
-    transactions: DataFrame, accounts: DataFrame, clients: DataFrame, branch_ix: DataFrame
+    transactions: DataFrame, accounts: DataFrame, clients: DataFrame, branch_ix: DataFrame, known: Known = NOTHING_KNOWN
 ) -> DataFrame:
     """Transactions with branch position and band: the one join of the transaction table."""
     rows = transactions.select(
@@ -89,13 +98,17 @@ def placed_transactions(
         calendar.year(F.col("tx_at")).alias("year"), calendar.month(F.col("tx_at")).alias("month"),
         F.lit(1).cast("bigint").alias("cnt"), F.abs(amount(transactions, "amount")).alias("vol"),
     ).filter("year > 0")
-    account_dim = account_dimension(accounts, clients, branch_ix)
-    joined = spread_lookup(rows, account_dim, "account_id", ["tx_id"], sized_by=accounts)
+    account_dim = account_dimension(accounts, clients, branch_ix, known)
+    joined = spread_lookup(
+        rows, account_dim, "account_id", ["tx_id"], sized_by=accounts, **known.about("accounts", ("transactions", "account_id"))
+    )
     return joined.select("year", "month", "branch_ix", _known_band().alias("band_ix"), "tx_type", "cnt", "vol")
 
 
-def tx_cube(transactions: DataFrame, accounts: DataFrame, clients: DataFrame, branch_ix: DataFrame) -> DataFrame:
-    placed = placed_transactions(transactions, accounts, clients, branch_ix)
+def tx_cube(
+    transactions: DataFrame, accounts: DataFrame, clients: DataFrame, branch_ix: DataFrame, known: Known = NOTHING_KNOWN
+) -> DataFrame:
+    placed = placed_transactions(transactions, accounts, clients, branch_ix, known)
     return placed.groupBy(*TX_CUBE).agg(*_totals(["cnt", "vol"]))
 
 
@@ -153,6 +166,7 @@ def placed_proposals(
     bin_edges: Sequence[float] = labels.RATE_BIN_EDGES,
     order: Sequence[str] = FILE_ORDER,
     sized_by: DataFrame | None = None,
+    known: Known = NOTHING_KNOWN,
 ) -> DataFrame:
     """Proposals with band and the position of the client's branch, else of the employee's; without either they drop out.
 
@@ -177,10 +191,12 @@ def placed_proposals(
         .select("employee_id", "_employee_ix")
     )
     placed = spread_lookup(
-        rows, by_client, "client_id", ["proposal_id"], sized_by=sized_by, detect_in=proposals
+        rows, by_client, "client_id", ["proposal_id"], sized_by=sized_by, detect_in=proposals,
+        **known.about("clients", ("proposals", "client_id")),
     )
     placed = spread_lookup(
-        placed, by_employee, "employee_id", ["proposal_id"], sized_by=employee_branch, detect_in=proposals
+        placed, by_employee, "employee_id", ["proposal_id"], sized_by=employee_branch, detect_in=proposals,
+        **known.about("employee_branch", ("proposals", "employee_id")),
     )
     return (
         placed.withColumn("branch_ix", F.coalesce("_client_ix", "_employee_ix")).dropna(subset=["branch_ix"])

@@ -72,20 +72,28 @@ def _same_header(text: Column, header: str) -> Column:
     return F.replace(text, F.lit('"'), F.lit("")) == header.replace('"', "")
 
 
-def block_verdicts(lines: DataFrame, header: str, encoding: str | None = None) -> DataFrame:
-    """What sets blocks apart: ``_legacy`` (the file is not UTF-8), ``_touched`` (by a record over several lines), ``_odd``
-    (the file has another header), ``_first`` (the block's first line). Blocks without any of it have no row.
-
-    One scan leaves one row for each block.
-    """
+def _blocks(lines: DataFrame, header: str, encoding: str | None) -> DataFrame:
+    """One scan leaves one row for each block: quotes left open, bytes that are not UTF-8, first line, header lines."""
     raw, at_top = F.col("_raw"), F.col("_block_start") == 0
     # quotes, commas and line ends are the same bytes in both encodings
     bytewise = F.when(raw.contains('"'), F.decode(raw.cast("binary"), LEGACY)).otherwise("")
-    blocks = records.block_rows(
+    return records.block_rows(
         lines, bytewise,
         F.max(F.lit(False) if encoding else ~F.is_valid_utf8(raw)).alias("_legacy"), F.min("_row_seq").alias("_first"),
         F.min_by(F.when(at_top, raw), "_row_seq").alias("_head"), F.count_if(at_top & _same_header(_unmarked(raw), header)).alias("_headers"),
     )
+
+
+def _all_plain(blocks: DataFrame) -> bool:
+    """Whether all blocks are UTF-8 without open quotes, and every file has the header once."""
+    top = F.col("_head").isNotNull()
+    found = blocks.agg(F.max(F.col("_opens") | F.col("_legacy") | (top & (F.col("_headers") != 1))).alias("odd")).first()
+    return not found.odd
+
+
+def block_verdicts(blocks: DataFrame, header: str, encoding: str | None = None) -> DataFrame:
+    """What sets blocks apart: ``_legacy`` (the file is not UTF-8), ``_touched`` (by a record over several lines), ``_odd``
+    (the file has another header), ``_first`` (the block's first line). Blocks without any of it have no row."""
     told = records.touched(blocks).withColumn("_legacy", F.max("_legacy").over(Window.partitionBy("_file")))
     head = F.col("_head")
     text = _decoded(head, encoding) if encoding else F.when(F.col("_legacy"), _decoded(head, LEGACY)).otherwise(head)
@@ -112,6 +120,28 @@ def _source_name(root: str) -> Column:
     return F.when(plain.contains(folder), below).otherwise(F.substring_index(plain, "/", -1))
 
 
+def _told_apart(lines: DataFrame, verdicts: DataFrame, header: str, width: int, encoding: str | None) -> DataFrame:
+    """Decoded lines and records where some blocks need more than that."""
+    found = verdicts.agg(
+        F.count("*").alias("blocks"), F.count_if("_touched").alias("touched"), F.max(F.when(F.col("_odd"), F.col("_file"))).alias("odd")
+    ).first()
+    if found.odd is not None:
+        raise ValueError(f"{found.odd} has another header than {header!r}")
+    at_top, raw = F.col("_block_start") == 0, F.col("_raw")
+    told = F.broadcast(verdicts) if found.blocks <= SMALL_BLOCKS else verdicts
+    legacy = F.coalesce(F.col("_legacy"), F.lit(False))
+    text = _decoded(raw, encoding) if encoding else F.when(legacy, _decoded(raw, LEGACY)).otherwise(raw)
+    first_line = at_top & (F.coalesce("_first", F.col("_row_seq")) == F.col("_row_seq"))
+    decoded = (
+        lines.join(told, list(records.BLOCK), "left").withColumn("_text", _unmarked(text))
+        .filter(~(first_line & _same_header(F.col("_text"), header))).drop("_raw", "_legacy", "_odd", "_first")
+    )
+    rows = decoded.filter(~F.coalesce("_touched", F.lit(False))).drop("_touched").withColumn("_stray", F.lit(False))
+    if found.touched:
+        rows = rows.unionByName(records.assemble(decoded.filter("_touched").drop("_touched"), width))
+    return rows
+
+
 def read_raw(
     spark: SparkSession, path: str, encoding: str | None = None, table: Table | None = None, short_rows: str = "keep"
 ) -> DataFrame:
@@ -123,7 +153,8 @@ def read_raw(
     not parse are set aside: ``_rejected`` is true, ``_reason`` says why, and ``_corrupt_record`` has the text. Blank lines
     are skipped. A missing path, or another header in one of the files, raises here.
 
-    A first pass over the lines stores a row for each block that needs more than parsing, usually none.
+    A first pass over the lines finds out whether any block needs more than parsing. If so, a second one stores a row for
+    each of those blocks.
     """
     if short_rows not in ("keep", "reject"):
         raise ValueError(f"short_rows must be keep or reject, not {short_rows!r}")
@@ -131,28 +162,13 @@ def read_raw(
     names = unique_names(next(csv.reader([header])))
     width = len(names)
     lines = _lines(spark, path)
-    verdicts = stored(block_verdicts(lines, header, encoding), "blocks")
-    found = verdicts.agg(
-        F.count("*").alias("blocks"), F.count_if("_touched").alias("touched"), F.max(F.when(F.col("_odd"), F.col("_file"))).alias("odd")
-    ).first()
-    if found.odd is not None:
-        raise ValueError(f"{found.odd} has another header than {header!r}")
+    blocks = _blocks(lines, header, encoding)
     at_top, raw = F.col("_block_start") == 0, F.col("_raw")
-    if not found.blocks:
+    if _all_plain(blocks):
         text = _unmarked(_decoded(raw, encoding) if encoding else raw)
         rows = lines.withColumn("_text", text).filter(~(at_top & _same_header(F.col("_text"), header))).withColumn("_stray", F.lit(False))
     else:
-        told = F.broadcast(verdicts) if found.blocks <= SMALL_BLOCKS else verdicts
-        legacy = F.coalesce(F.col("_legacy"), F.lit(False))
-        text = _decoded(raw, encoding) if encoding else F.when(legacy, _decoded(raw, LEGACY)).otherwise(raw)
-        first_line = at_top & (F.coalesce("_first", F.col("_row_seq")) == F.col("_row_seq"))
-        decoded = (
-            lines.join(told, list(records.BLOCK), "left").withColumn("_text", _unmarked(text))
-            .filter(~(first_line & _same_header(F.col("_text"), header))).drop("_raw", "_legacy", "_odd", "_first")
-        )
-        rows = decoded.filter(~F.coalesce("_touched", F.lit(False))).drop("_touched").withColumn("_stray", F.lit(False))
-        if found.touched:
-            rows = rows.unionByName(records.assemble(decoded.filter("_touched").drop("_touched"), width))
+        rows = _told_apart(lines, stored(block_verdicts(blocks, header, encoding), "blocks"), header, width, encoding)
     rows = rows.filter(F.trim("_text") != "")
 
     schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)

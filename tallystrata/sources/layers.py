@@ -20,7 +20,10 @@ from pyspark.sql.utils import AnalysisException
 from . import files
 from .delimited import CORRUPT, REASON, with_row_index
 
-LAYERS = ("bronze", "silver", "gold")
+STAGING = "staging"   # of the typed bulk load
+LAYERS = ("bronze", "silver", "gold", STAGING)
+#: An item of a list is frequent with more than one in so many rows.
+FREQUENT = 4096
 MEASURES = "layer string, table string, measure string, value bigint"
 
 
@@ -89,8 +92,16 @@ class Lake:
         if observation:
             self.record(layer, table, observation.get)
 
-    def record(self, layer: str, table: str, values: Mapping[str, int]) -> None:
-        self.observed[layer, table] = dict(values)
+    def record(self, layer: str, table: str, values: Mapping[str, object]) -> None:
+        """Keeps numbers as they are; a list of frequent items (item, count) as one number for each of the frequent ones."""
+        kept: dict[str, int] = {}
+        rows = values.get("rows", 0)
+        for name, value in values.items():
+            if isinstance(value, list):
+                kept |= {f"{name}: {i['item']}": i["count"] for i in value if i["item"] is not None and i["count"] * FREQUENT > rows}
+            else:
+                kept[name] = value
+        self.observed[layer, table] = kept
 
     def _keep_measures(self, layer: str) -> None:
         rows = [

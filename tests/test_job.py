@@ -5,9 +5,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tallystrata.plans import analytics, job, quality, report, silver, suite
+from tallystrata.operators import lookup
+from tallystrata.plans import analytics, facts, job, quality, report, silver, suite
 from tallystrata.sources import files
-from tallystrata.sources.layers import LAYERS, Lake
+from tallystrata.sources.layers import Lake
 from tallystrata.sources.report_store import manifest, read_section
 from tallystrata.sources.tables import Field, Table
 from workload import raw
@@ -153,7 +154,7 @@ def test_second_run_replaces_the_first(spark, raw_root, finished):
     again = job.run(spark, raw_root, lake.root)
     assert again.rows == first.rows and {s.name: section(lake, s.name) for s in report.SECTIONS} == before
     assert lake.path("silver", "clients") != old and not Path(old).exists()
-    for layer in LAYERS:
+    for layer in ("bronze", "silver", "gold"):
         assert files.names(spark, f"{lake.root}/{layer}") == files.names(spark, f"{lake.root}/_published/{layer}") == [lake.run_of(layer)]
 
 
@@ -179,6 +180,34 @@ def test_a_stage_that_fails_leaves_nothing_behind(spark, finished, monkeypatch):
     assert not list(Path(lake.root, "_scratch").glob("*")) if Path(lake.root, "_scratch").exists() else True
 
 
+def test_facts_are_planned_without_a_job(spark, finished, monkeypatch):
+    """With what the silver writes observed, lookups start no job while the plan is made, and find the same hot keys."""
+    _, lake = finished
+    known = quality.known_tables(lake.measured("silver"))
+    tables = [lake.silver(n) for n in ("transactions", "accounts", "clients")]
+    branch_ix, client_dim = lake.gold("branch_positions"), lake.gold("client_dimension")
+    proposals, bridge = lake.silver("proposals"), lake.silver("employee_branch")
+    monkeypatch.setattr(lookup, "at_most", lambda *_: pytest.fail("a size was counted"))
+    monkeypatch.setattr(lookup, "key_counts", lambda *_: pytest.fail("keys were counted"))
+    for small in (0, lookup.SMALL_ROWS):
+        defaults = lookup.spread_lookup.__defaults__
+        monkeypatch.setattr(lookup.spread_lookup, "__defaults__", (*defaults[:-1], small))
+        cube = facts.tx_cube(*tables, branch_ix, known)
+        assert sorted(map(repr, cube.collect())) == sorted(map(repr, lake.gold("tx_cube").collect()))
+        placed = facts.placed_proposals(proposals, client_dim, bridge, branch_ix, known=known)
+        assert sorted(map(repr, facts.proposal_cube(placed).collect())) == sorted(map(repr, lake.gold("proposal_cube").collect()))
+    monkeypatch.undo()
+    for (table, column), counts in known.keys.items():
+        exact = {str(r[0]): r[1] for r in lake.silver(table).dropna(subset=[column]).groupBy(column).count().collect()}
+        assert counts.rows == lake.silver(table).count() and counts.keyed == sum(exact.values())
+        assert {k: n for k, n in counts.frequent if n * 50 > counts.rows} == {k: n for k, n in exact.items() if n * 50 > counts.rows}
+
+
+def test_a_key_with_a_six_hundredth_of_the_rows_is_cut():
+    counts = lookup.KeyCounts(6_000_000, 6_000_000, (("a", 10_000), ("b", 1_400)))
+    assert dict(counts.hot(4_000).slices) == {"a": 7} and counts.hot(8).balanced
+
+
 def test_checks_find_a_half_lake(spark, raw_root, tmp_path):
     results = {c.name: c for c in quality.run_checks(Lake(spark, str(tmp_path)))}
     assert not results["bronze.files"].passed and results["bronze.files"].measures["transactions.rows"] is None

@@ -436,7 +436,7 @@ SELECT * EXCLUDE (place) FROM (
 
 ORACLES["dedup_keep_first"] = _survivor("ASC")
 ORACLES["dedup_keep_last"] = _survivor("DESC")
-ORACLES["distinct_rows"] = "SELECT DISTINCT l_suppkey, l_returnflag, l_linestatus, l_quantity FROM lineitem"
+ORACLES["distinct_rows"] = "SELECT DISTINCT * FROM lineitem"
 ORACLES["first_tx_per_account"] = """
 SELECT o_custkey AS client_id, min(o_orderkey) AS branch_id, arg_min(o_totalprice, o_orderkey) AS balance FROM orders GROUP BY 1
 """
@@ -872,3 +872,10 @@ def _checks() -> str:
 
 
 ORACLES["job_checks"] = _checks()
+ORACLES["typed_load_counts"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS \"table\", count(*) AS rows FROM {table}"
+    for name, table in {
+        "branches": "nation", "clients": "customer", "employees": "supplier", "accounts": "customer", "proposals": "lineitem",
+        "transactions": "orders", "index_series": "(SELECT DISTINCT date_trunc('month', l_shipdate) FROM lineitem)",
+    }.items()
+)

@@ -312,7 +312,7 @@ def dedup_keep_last(b: Bank) -> DataFrame:
 
 @query
 def distinct_rows(b: Bank) -> DataFrame:
-    return dedup.distinct_rows(b.table("lineitem").select("l_suppkey", "l_returnflag", "l_linestatus", "l_quantity"))
+    return dedup.distinct_rows(b.table("lineitem"))
 
 
 @query
@@ -667,3 +667,8 @@ def typed_dates_lost(b: Bank) -> DataFrame:
 @query
 def typed_money_wide(b: Bank) -> DataFrame:
     return raw.wide_amounts(b)
+
+
+@query
+def typed_load_counts(b: Bank) -> DataFrame:
+    return raw.typed_tables(b)

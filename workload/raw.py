@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallystrata.functions import calendar, numeric
-from tallystrata.plans import job as batch, quality, silver
+from tallystrata.plans import job as batch, load, quality, silver
 from tallystrata.plans.report import BY_SECTION, ROW_SECTIONS, SECTIONS
 from tallystrata.sources.delimited import CORRUPT, REASON, read_raw, read_typed
 from tallystrata.sources.layers import Lake
@@ -271,6 +271,26 @@ def typed_transactions(b: Bank) -> DataFrame:
     )
 
 
+def typed_tables(b: Bank) -> DataFrame:
+    """Row counts of a bulk load of seven tables from clean text."""
+    root, at = scratch_path(b.spark, "typed"), "yyyy-MM-dd HH:mm:ss"
+    frames = raw_frames(b)
+    clean = {
+        "transactions": lambda: _text(b.transactions().withColumn("tx_at", F.date_format("tx_at", at)), "transactions"),
+        "proposals": lambda: frames["proposals"]().withColumns({
+            "data_entrada_proposta": F.lit("2020-01-01 10:00:00"), "taxa_juros_mensal": F.lit("0.0150"),
+        }),
+        "clients": lambda: frames["clients"]().withColumn("data_inclusao", F.lit("2020-01-01 10:00:00")),
+        "index_series": lambda: b.index().select(
+            F.col("month_start").cast("string"), F.col("month_rate").cast("string"), F.lit("0.0419")
+        ),
+    }
+    for table in load.LOADED:
+        frame = clean.get(table.name, frames.get(table.name))()
+        write_csv(frame, f"{root}/{table.file}", [f.raw for f in table.fields][: len(frame.columns)])
+    return load.load_counts(load.load(b.spark, root, scratch_path(b.spark, "lake")))
+
+
 def job(b: Bank) -> Lake:
     root = write_raw(b, scratch_path(b.spark, "raw"))
     lake = Lake(b.spark, scratch_path(b.spark, "lake"))
