@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tallystrata.llm import bloom
+from tallystrata.llm import bloom, text as tx
 
 #: Slots per row; the filter never has more than ``bloom.BITS`` of them.
 SLOTS_PER_ROW = 16
@@ -46,25 +46,27 @@ def repeated_slots(docs: DataFrame, text: str = "text") -> np.ndarray:
     return bloom.words_to_bits(hit.filter("n > 1").select("slot"), bits)
 
 
-def digested(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``_sha`` (of the normalised text) and ``_maybe`` (false: certainly the only one with its text)."""
+def digested(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str, str]:
+    """``docs`` with two more columns, and their names: the digest of the normalised text, and whether another document may
+    have the same one (false: certainly none has)."""
     seen = docs.sparkSession.sparkContext.broadcast(repeated_slots(docs, text))
-    schema = T.StructType(docs.schema.fields + [T.StructField("_sha", T.BinaryType()), T.StructField("_maybe", T.BooleanType())])
-    at = docs.columns.index(text)
+    sha, maybe = tx.free_name(docs.columns, "_sha"), tx.free_name(docs.columns, "_maybe")
+    schema = T.StructType(docs.schema.fields + [T.StructField(sha, T.BinaryType()), T.StructField(maybe, T.BooleanType())])
+    at, names = docs.columns.index(text), [*docs.columns, sha, maybe]
 
     def add(batches):
         for batch in batches:
             digests = _digests(batch.column(at))
-            maybe = bloom.hits(seen.value, _keys(digests)) if digests else np.zeros(0, bool)
+            hit = bloom.hits(seen.value, _keys(digests)) if digests else np.zeros(0, bool)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(digests, pa.binary()), pa.array(maybe)], names=[*batch.schema.names, "_sha", "_maybe"]
+                [*batch.columns, pa.array(digests, pa.binary()), pa.array(hit)], names=names
             )
 
-    return docs.mapInArrow(add, schema)
+    return tx.numbered_columns(docs).mapInArrow(add, schema), sha, maybe
 
 
-def _groups(maybe: DataFrame, id_column: str) -> DataFrame:
-    return maybe.groupBy("_sha").agg(F.max(id_column).alias("_keep"), F.count("*").alias("_size"))
+def _groups(maybe: DataFrame, id_column: str, sha: str) -> DataFrame:
+    return maybe.groupBy(F.col(sha).alias("_digest")).agg(F.max(id_column).alias("_keep"), F.count("*").alias("_size"))
 
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -73,13 +75,13 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> D
     Texts are equal when they are after lower-casing A-Z only; null counts as empty. Of rows that share both text and the
     largest id all are marked kept. A null id is smaller than any other; a group with null ids only keeps them.
     """
-    d = digested(docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_text")), "_text").drop("_text")
+    d = digested(docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_text")), "_text")[0].drop("_text")
     sha = F.lower(F.hex("_sha")).alias("text_sha256")
     alone = d.filter("not _maybe").select(
         F.col("_id").alias("doc_id"), F.col("_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"), sha
     )
     maybe = d.filter("_maybe").drop("_maybe")
-    grouped = maybe.join(_groups(maybe, "_id"), "_sha").select(
+    grouped = maybe.join(_groups(maybe, "_id", "_sha").withColumnRenamed("_digest", "_sha"), "_sha").select(
         F.col("_id").alias("doc_id"), F.col("_keep").alias("keep_id"), F.col("_size").alias("group_size"),
         F.col("_id").eqNullSafe(F.col("_keep")).alias("kept"), sha,
     )
@@ -87,11 +89,13 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> D
 
 
 def drop_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with the columns of ``docs``; of rows equal in text and id one stays."""
-    d = digested(docs, text)
-    maybe = d.filter("_maybe")
-    keep = _groups(maybe, id_column)
+    """The rows that stay, with the columns of ``docs``: of equal texts the row with the largest id (null ids come last), of
+    rows equal in text and id any one. Null counts as empty."""
+    d, sha, seen = digested(docs, text)
+    maybe = d.filter(F.col(seen))
+    keep = _groups(maybe, id_column, sha)
     # Both columns are join keys, so a large group is spread by its ids, and only the row that stays finds a partner.
-    stay = maybe.join(keep, (maybe["_sha"] == keep["_sha"]) & maybe[id_column].eqNullSafe(keep["_keep"]), "left_semi")
-    single = stay.dropDuplicates(["_sha", id_column])
-    return d.filter("not _maybe").select(*docs.columns).unionByName(single.select(*docs.columns))
+    stay = maybe.join(keep, (maybe[sha] == keep["_digest"]) & maybe[id_column].eqNullSafe(keep["_keep"]), "left_semi")
+    single = stay.dropDuplicates([sha, id_column])
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return d.filter(~F.col(seen)).select(*own).unionByName(single.select(*own))

@@ -8,18 +8,18 @@ instead, which turns the scores into probabilities.
 
 from __future__ import annotations
 
-import re
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallystrata.llm.text import numbered_columns
+
 BUCKET_BITS, NGRAM = 15, 3
 SAMPLE_PER_LANGUAGE = 600
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.5, 1.0, 0.005, 0.01
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
 
 
 class Model(NamedTuple):
@@ -151,7 +151,7 @@ def identify(docs: DataFrame, learn_from: Column, id_column: str = "doc_id", tex
     """``docs`` with ``lang_pred`` and ``score``, the calibrated probability of the prediction.
 
     ``learn_from`` picks training rows, of which those without text or label are ignored. A null text or one without a
-    letter is ``und`` with score 0; so is every text when there is nothing to learn from. Columns of ``docs`` that have the
+    letter (Unicode categories L*: neither digits nor fractions or Roman numerals) is ``und`` with score 0; so is every text when there is nothing to learn from. Columns of ``docs`` that have the
     new names are replaced.
     """
     usable = learn_from & F.col(text).isNotNull() & F.col(label).isNotNull()
@@ -161,7 +161,7 @@ def identify(docs: DataFrame, learn_from: Column, id_column: str = "doc_id", tex
         return docs.withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0)})
     # Broadcasts travel by reference to their classes, which executors may not have: plain values only.
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
-    at = docs.columns.index(text)
+    at, columns = docs.columns.index(text), [*docs.columns, "lang_pred", "score"]
 
     def predict(batches):
         m = Model(*shared.value)
@@ -169,7 +169,7 @@ def identify(docs: DataFrame, learn_from: Column, id_column: str = "doc_id", tex
             names, scores = [], []
             for value in batch.column(at):
                 value = value.as_py()
-                if value is None or not LETTER.search(value):
+                if value is None or not any(map(str.isalpha, value)):
                     names.append(UNDETERMINED)
                     scores.append(0.0)
                 else:
@@ -178,8 +178,8 @@ def identify(docs: DataFrame, learn_from: Column, id_column: str = "doc_id", tex
                     names.append(m.languages[best])
                     scores.append(float(p[best]))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "score"]
+                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=columns
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(predict, f"{schema}, lang_pred string, score double")
+    return numbered_columns(docs).mapInArrow(predict, f"{schema}, lang_pred string, score double")

@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallystrata.sources.scratch import stored
 
-#: Rows of a block, and the former length of a period.
-BLOCK, PERIOD = 64, 200
+#: Rows of a block.
+BLOCK = 64
 #: Slots this near to a whole number count as whole, as rounds and weights are doubles.
 NEAR = 1e-6
 #: Rows of a hash range that is numbered by one task, and ranges whose counts are added up by one task.
@@ -124,20 +124,21 @@ def schedule(planned: DataFrame) -> DataFrame:
     return ranked.join(earliest_first(ranked.select("rank", "release"), ranked.count()), "rank").select("source", "i", "slot")
 
 
-def mix(
-    docs: DataFrame, weights: DataFrame, id_column: str = "doc_id", source: str = "source", block: int = BLOCK, period: int = PERIOD
-) -> DataFrame:
-    """``docs`` with ``block`` (its number within the source), ``position`` (the block's slot in the whole mix) and ``period``.
+def mix(docs: DataFrame, weights: DataFrame, id_column: str = "doc_id", source: str = "source", block: int = BLOCK) -> DataFrame:
+    """``docs`` with ``block`` (its number within the source) and ``position`` (the block's slot in the whole mix).
 
-    No row is dropped or repeated. ``weights`` has ``source`` (each once) and ``weight``. Null is a source of its own. Blocks
-    have ``block`` rows but for each source's last one, rows in the order of a hash of the id. The schedule has no periods
-    that repeat: the column ``period`` is the position, each slot one of its own, and the parameter has no effect; both
-    are kept for callers. Columns of ``docs`` that have the new names are replaced.
+    No row is dropped or repeated. ``weights`` has ``source`` and ``weight``; of a source that it lists twice the largest
+    weight counts. Null is a source of its own. Blocks have ``block`` rows but for each source's last one, rows in the order
+    of a hash of the id; ids may be null or recur. Columns of ``docs`` that have the new names are replaced.
     """
-    docs = docs.drop("block", "period", "position")
-    sizes = docs.groupBy(F.col(source).alias("source")).agg(F.ceil(F.count("*") / block).alias("blocks"))
-    plan = schedule(weighted(sizes, weights)).select(F.col("source").alias("_s"), F.col("i").alias("_i"), F.col("slot").alias("position"))
-    rows = numbered(docs, id_column, source).withColumn("block", F.floor(F.col("_row") / block))
-    return rows.join(plan, rows[source].eqNullSafe(plan["_s"]) & (rows["block"] == plan["_i"])).select(
-        *docs.columns, "block", F.col("position").alias("period"), "position"
+    docs = docs.drop("block", "position")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    # whole rows travel in one column, so that none of theirs meets a name of the schedule
+    packed = docs.select(F.struct(*own).alias("_doc"), F.col(id_column).alias("_id"), F.col(source).alias("_source"))
+    sizes = packed.groupBy(F.col("_source").alias("source")).agg(F.ceil(F.count("*") / block).alias("blocks"))
+    weights = weights.groupBy("source").agg(F.max("weight").alias("weight"))
+    plan = schedule(weighted(sizes, weights)).select(F.col("source").alias("_s"), F.col("i").alias("_i"), F.col("slot").alias("_slot"))
+    rows = numbered(packed, "_id", "_source").withColumn("_block", F.floor(F.col("_row") / block))
+    return rows.join(plan, rows["_source"].eqNullSafe(plan["_s"]) & (rows["_block"] == plan["_i"])).select(
+        "_doc.*", F.col("_block").alias("block"), F.col("_slot").alias("position")
     )

@@ -137,3 +137,16 @@ def signed(x: np.ndarray) -> np.ndarray:
 def lists(values: np.ndarray, bounds: np.ndarray, kind=None) -> pa.ListArray:
     """An Arrow list column; ``bounds`` has one entry more than there are lists."""
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values, type=kind))
+
+
+def free_name(taken: list[str], wish: str) -> str:
+    """``wish``, with underscores behind it until no column has that name, whatever its case."""
+    lowered = {name.lower() for name in taken}
+    while wish.lower() in lowered:
+        wish += "_"
+    return wish
+
+
+def numbered_columns(docs):
+    """``docs`` with columns named by position, as Arrow functions take no names with dots."""
+    return docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])

@@ -380,6 +380,30 @@ def test_surrogates_of_more_names_than_short_ones(spark):
     assert total == distinct == names == 60_000 and found.join(found.select(F.col("entity").alias("surrogate")), "surrogate").isEmpty()
 
 
+def test_clashing_names_and_repeated_weights(spark):
+    names = ["_row", "_rows", "_s", "_i", "_start", "_in", "_range", "_place", "_sha", "_maybe", "_keep", "_digest", "_SHA_", "a.b", "_doc", "_id"]
+    shape = "doc_id long, text string, source string, " + ", ".join(f"`{n}` int" for n in names)
+    rows = [(k, f"text {k % 7}", "ab"[k % 2], *range(len(names))) for k in range(40)]
+    docs = spark.createDataFrame(rows, shape)
+    weights = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 2.0)], "source string, weight double")
+    mixed = mixing.mix(docs, weights, block=2)
+    assert mixed.columns == [*docs.columns, "block", "position"]
+    assert sorted(tuple(r)[:-2] for r in mixed.collect()) == rows
+    kept = exact.drop_duplicates(docs)
+    assert kept.columns == docs.columns and sorted(tuple(r) for r in kept.collect()) == rows[-7:]
+    near_kept = near.keep_first(docs, size=1)
+    assert near_kept.columns == docs.columns and sorted(tuple(r) for r in near_kept.collect()) == rows[:7]
+
+
+def test_what_is_no_letter(spark):
+    rows = [(k, "some words here" if k % 2 else "andere wörter da", "en" if k % 2 else "de") for k in range(40)]
+    odd = ["½", "²", "Ⅷ", "42 _ 7", "", None]
+    docs = spark.createDataFrame(rows + [(100 + k, t, None) for k, t in enumerate(odd)], "doc_id long, text string, lang string")
+    found = by_id(language.identify(docs, F.lit(True)))
+    assert all(found[100 + k].lang_pred == "und" and found[100 + k].score == 0 for k in range(len(odd)))
+    assert all(found[k].lang_pred == rows[k][2] for k in range(40))
+
+
 def test_mixing_is_pfair(spark, nothing):
     rng = random.Random(8)
     sizes = {"a": 700, "b": 90, "c": 33, None: 5, "d": 1}
@@ -387,25 +411,15 @@ def test_mixing_is_pfair(spark, nothing):
     rng.shuffle(rows)
     df = spark.createDataFrame([(i, s, 7) for i, s in rows], "doc_id long, source string, position int")
     weights = spark.createDataFrame([("a", 5.0), ("b", 3.0), ("c", 2.0), (None, 1.0)], "source string, weight double")
-    found = mixing.mix(df, weights, block=4, period=11).collect()
+    found = mixing.mix(df, weights, block=4).collect()
     assert sorted(r.doc_id for r in found) == sorted(i for i, _ in rows)
     blocks = collections.defaultdict(set)
     members = collections.Counter()
     for r in found:
-        blocks[r.position].add((r.source, r.block, r.period))
+        blocks[r.position].add((r.source, r.block))
         members[r.source, r.block] += 1
     assert all(len(b) == 1 for b in blocks.values()) and sorted(blocks) == list(range(len(blocks)))
     assert all(n == 4 or b == (sizes[s] - 1) // 4 for (s, b), n in members.items())
-    by_period = collections.defaultdict(list)
-    for position in sorted(blocks):
-        (source, _, period), = blocks[position]
-        by_period[period].append(source)
-    for order in by_period.values():
-        quota = collections.Counter(order)
-        given = collections.Counter()
-        for t, source in enumerate(order, 1):
-            given[source] += 1
-            assert all(abs(given[s] - t * quota[s] / len(order)) < 1 for s in quota)
     assert mixing.mix(nothing, weights).collect() == []
 
 

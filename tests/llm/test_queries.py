@@ -45,7 +45,7 @@ def test_mixed_rows_are_whole(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     docs = exact.drop_duplicates(docs).withColumn("doc_id", F.expr("if(doc_id % 7 = 0, null, doc_id)")).cache()
     mixed = corpus_pipeline.mix_sources(spark, docs, SF)
-    assert mixed.columns == [*docs.columns, "block", "period", "position"]
+    assert mixed.columns == [*docs.columns, "block", "position"]
     assert sorted(map(repr, mixed.select(*docs.columns).collect())) == sorted(map(repr, docs.collect()))
     positions = [r.position for r in mixed.collect()]
     assert positions == sorted(positions)
