@@ -14,6 +14,16 @@ def positions(column: Column, bits: int) -> tuple[Column, Column]:
     return column.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(column, 32).bitwiseAND(F.lit(bits - 1))
 
 
+def slots(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Both places of each key in a filter of any power of two: the key and the key turned by 32 bits, modulo ``bits``.
+
+    The places in a smaller filter are these modulo its size, so a large filter can be folded into a small one.
+    """
+    keys = keys.view(np.uint64)
+    turned = (keys >> np.uint64(32)) | (keys << np.uint64(32))
+    return np.concatenate([keys, turned]) & np.uint64(bits - 1)
+
+
 def bitmap(keys: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
     """Filter of all keys (well-mixed bigint). Bits are gathered as 64-bit words, so at most ``bits / 64`` rows meet the driver."""
     a, b = positions(F.col(column), bits)

@@ -3,7 +3,9 @@
 Items are partitioned by the number of their shingles, sizes of one power of two together. Each partition has one sketch
 length, set from its largest size so that a document holding the wanted share of an item must hold at least one shingle
 of the item's sketch, its smallest hashes; documents are never sketched, so however long one is, no small item is missed.
-A document without a sketch shingle sends nothing; of the others only shingles of items travel, to be counted exactly.
+A document without a sketch shingle sends nothing. Partition by partition, sketch shingles that a document shares with an
+item make the two a candidate pair once there are as many as the wanted share leaves no way around; only candidate
+pairs are then counted on all shingles.
 """
 
 from __future__ import annotations
@@ -24,6 +26,11 @@ def sketch_length(n: int, percent: int = PERCENT) -> int:
     return min(n, largest - -(-largest * percent // 100) + 1)
 
 
+def sketch_share(n: int, percent: int = PERCENT) -> int:
+    """Shingles of its sketch that a document with ``percent`` of an item's ``n`` shingles holds at least; one or more."""
+    return sketch_length(n, percent) - (n - -(-n * percent // 100))
+
+
 def _grams(raw: np.ndarray, offsets: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
     """Each document's distinct shingles of all the sizes; those of different sizes have different hashes."""
     w = tx.words(raw, offsets, tx.PUNCTUATION)
@@ -36,7 +43,8 @@ def _grams(raw: np.ndarray, offsets: np.ndarray, sizes: list[int]) -> list[np.nd
 
 
 def item_shingles(items: DataFrame, id_column: str, text: str, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """``item, n, width, part, shingle, sketch``: an item with fewer than ``size`` words is one shingle of that many words."""
+    """``item, n, width, part, share, shingle, sketch``: an item with fewer than ``size`` words is one shingle of that many
+    words. ``part`` is the partition by size, ``share`` the least number of sketch shingles in a document that holds the item."""
     id_type = items.schema[id_column].dataType.simpleString()
 
     def cut(batches):
@@ -49,18 +57,18 @@ def item_shingles(items: DataFrame, id_column: str, text: str, size: int = SIZE,
                 for d, c in enumerate(counts):
                     if c:
                         own = np.sort(by_size[min(c, size)][d])
-                        k = sketch_length(len(own), percent)
+                        k, share = sketch_length(len(own), percent), sketch_share(len(own), percent)
                         rows += [
-                            (ids[i + d], len(own), int(min(c, size)), len(own).bit_length(), int(x), r < k)
+                            (ids[i + d], len(own), int(min(c, size)), len(own).bit_length(), share, int(x), r < k)
                             for r, x in enumerate(own.view(np.int64))
                         ]
             yield pa.RecordBatch.from_pylist(
-                [dict(zip(("item", "n", "width", "part", "shingle", "sketch"), r)) for r in rows],
-                pa.schema([("item", batch.column(0).type), ("n", pa.int64()), ("width", pa.int32()), ("part", pa.int32()), ("shingle", pa.int64()), ("sketch", pa.bool_())]),
+                [dict(zip(("item", "n", "width", "part", "share", "shingle", "sketch"), r)) for r in rows],
+                pa.schema([("item", batch.column(0).type), ("n", pa.int64()), ("width", pa.int32()), ("part", pa.int32()), ("share", pa.int64()), ("shingle", pa.int64()), ("sketch", pa.bool_())]),
             )
 
     lowered = items.select(id_column, F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_text"))
-    return lowered.mapInArrow(cut, f"item {id_type}, n bigint, width int, part int, shingle bigint, sketch boolean")
+    return lowered.mapInArrow(cut, f"item {id_type}, n bigint, width int, part int, share bigint, shingle bigint, sketch boolean")
 
 
 def contained_items(
@@ -86,22 +94,27 @@ def contained_items(
         for batch in batches:
             keys = batch.column(0).to_numpy()
             for i, _, raw, offsets in tx.slices(batch.column(1)):
-                found, whose = [], []
+                found, whose, marked = [], [], []
                 for d, own in enumerate(_grams(raw, offsets, widths)):
                     if len(own) and bloom.hits(in_sketch.value, own).any():
                         own = own[bloom.hits(in_items.value, own)]
                         found.append(own)
                         whose.append(np.full(len(own), keys[i + d]))
+                        marked.append(bloom.hits(in_sketch.value, own))
                 if found:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(whose)), pa.array(tx.signed(np.concatenate(found)))], names=["_key", "shingle"]
+                        [pa.array(np.concatenate(whose)), pa.array(tx.signed(np.concatenate(found))), pa.array(np.concatenate(marked))],
+                        names=["_key", "shingle", "_marked"],
                     )
 
-    seen = keyed.mapInArrow(find, "_key bigint, shingle bigint").distinct()
-    counted = seen.join(rows, "shingle").groupBy("_key", "item").agg(
-        F.count("*").alias("common"), F.max("n").alias("n"), F.max("sketch").alias("candidate")
-    ).filter("candidate").filter(100 * F.col("common") >= percent * F.col("n"))
-    return counted.join(classes.withColumnRenamed("head", "item"), "item").select(
+    # Equal rows send equal shingles, which count once.
+    seen = stored(keyed.mapInArrow(find, "_key bigint, shingle bigint, _marked boolean").distinct(), "shingles")
+    sketches = rows.filter("sketch").select("part", "item", "n", "share", "shingle")
+    candidates = seen.filter("_marked").join(sketches, "shingle").groupBy("_key", "part", "item", "n", "share").agg(F.count("*").alias("held")).filter("held >= share")
+    # Every candidate brings each shingle of its item once, however many documents and items share that shingle.
+    wanted = candidates.select("_key", "item", "n").join(rows.select("item", "shingle"), "item")
+    counted = wanted.join(seen.select("_key", "shingle"), ["_key", "shingle"]).groupBy("_key", "item", "n").agg(F.count("*").alias("common"))
+    return counted.filter(100 * F.col("common") >= percent * F.col("n")).join(classes.withColumnRenamed("head", "item"), "item").select(
         "_key", F.explode("items").alias("item"), "n", "common"
     )
 

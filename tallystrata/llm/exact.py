@@ -1,8 +1,10 @@
 """Exact duplicates by two-pass Bloom filtering.
 
-First pass: every document's normalised text is hashed and two filter slots of the hash are counted; a slot that two
-documents hit is marked. Second pass: a document with an unmarked slot is certainly alone and passes straight through;
-only the others are grouped by their SHA-256, so texts of single documents never move.
+First pass: every document's normalised text is hashed and two slots of the hash are counted in a filter that grows with the
+table and stays distributed; a slot that two documents hit is marked. Second pass: the marked slots, folded into a filter of
+bounded size, are sent to all tasks; a document with an unmarked slot is certainly alone and passes straight through; only
+the others are grouped by their SHA-256, so texts of single documents never move. How full the bounded filter gets depends
+on the number of repeated texts and not on the number of rows.
 """
 
 from __future__ import annotations
@@ -15,7 +17,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tallystrata.llm import bloom, text as tx
 
-#: Slots per row; the filter never has more than ``bloom.BITS`` of them.
+#: Slots per row of the first filter, whatever the number of rows: at most an eighth of the slots of one key is hit by others,
+#: so one single document in 64 has both marked.
 SLOTS_PER_ROW = 16
 
 
@@ -29,21 +32,28 @@ def _keys(digests: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 4)[:, 0].copy()
 
 
-def repeated_slots(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Filter of the slots that at least two documents hit. Only slot numbers move, summed within each task first."""
-    bits = min(bloom.BITS, max(64, 1 << int(SLOTS_PER_ROW * docs.count()).bit_length()))
+def slots_for(docs: DataFrame) -> int:
+    """Size of the first filter: a power of two above ``SLOTS_PER_ROW`` for each row."""
+    return max(64, 1 << int(SLOTS_PER_ROW * docs.count()).bit_length())
 
-    def slots(batches):
+
+def slot_counts(docs: DataFrame, bits: int, text: str = "text") -> DataFrame:
+    """``slot, n`` of a filter of ``bits``: how many hits each slot has. Only slot numbers move, summed within tasks first."""
+
+    def count(batches):
         for batch in batches:
-            keys = _keys(_digests(batch.column(0))).view(np.uint64)
-            last = np.uint64(bits - 1)
-            both = np.concatenate([keys & last, (keys >> np.uint64(32)) & last])
-            slot, n = np.unique(both, return_counts=True)
             # One document may hit the same slot with both parts of its key; that is not a repetition, but harmless.
+            slot, n = np.unique(bloom.slots(_keys(_digests(batch.column(0))), bits), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(slot.view(np.int64)), pa.array(n.astype(np.int64))], names=["slot", "n"])
 
-    hit = docs.select(text).mapInArrow(slots, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
-    return bloom.words_to_bits(hit.filter("n > 1").select("slot"), bits)
+    return docs.select(text).mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+
+
+def repeated_slots(docs: DataFrame, text: str = "text", most: int = bloom.BITS) -> np.ndarray:
+    """The slots that at least two documents hit, folded into a filter of at most ``most`` bits."""
+    bits = slots_for(docs)
+    repeated, small = slot_counts(docs, bits, text).filter("n > 1"), min(bits, most)
+    return bloom.words_to_bits(repeated.select(F.col("slot").bitwiseAND(F.lit(small - 1)).alias("slot")), small)
 
 
 def digested(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str, str]:

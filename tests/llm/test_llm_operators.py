@@ -9,10 +9,11 @@ import zlib
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tallystrata.llm import contamination, exact, language, mixing, near, pii, pitman_yor, repeats, text, tokens, urls
+from tallystrata.llm import bloom, contamination, exact, language, mixing, near, pii, pitman_yor, repeats, text, tokens, urls
 from tallystrata.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -204,6 +205,7 @@ def test_contamination(spark, docs):
 def test_sketches_cannot_miss():
     for n in range(1, 300):
         assert contamination.sketch_length(n) >= min(n, n - -(-n * 80 // 100) + 1)
+        assert 1 <= contamination.sketch_share(n) <= contamination.sketch_length(n)
 
 
 def test_language_model(spark, docs):
@@ -346,6 +348,37 @@ def test_surrogates(spark, nothing):
     assert pii.pseudonymise(nothing, "key").collect() == []
 
 
+def test_contamination_at_the_threshold(spark):
+    """Items that share shingles, documents that hold any share of them: the same pairs as sets give."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=4))
+    common = [word() for _ in range(12)]
+    items = [[word() for _ in range(rng.randint(5, 90))] for _ in range(40)] + [common + [word() for _ in range(k)] for k in (0, 1, 2, 3, 30)]
+    texts = []
+    for _ in range(150):
+        held = rng.choice(items)
+        begin = rng.randint(0, len(held) // 3)
+        texts.append([word() for _ in range(rng.randint(0, 40))] + held[begin:] + [word() for _ in range(rng.randint(0, 400))])
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    table = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
+    grams = lambda t: {tuple(t[k : k + 5]) for k in range(len(t) - 4)}
+    own = [grams(t) for t in items]
+    want = {k: [i for i, g in enumerate(own) if 100 * len(g & grams(t)) >= 80 * len(g)] for k, t in enumerate(texts)}
+    found = by_id(contamination.contamination(docs, table))
+    assert {k: r.item_ids for k, r in found.items()} == want and 20 < sum(map(bool, want.values())) < 150
+
+
+def test_repeated_slots_grow_with_the_rows(spark):
+    """A filter folded to few bits misses no repeated text, and single texts do not fill it."""
+    docs = spark.range(4000).select("id", F.when(F.col("id") < 20, F.col("id") % 10).otherwise(F.col("id")).cast("string").alias("text"))
+    small = exact.repeated_slots(docs, most=1 << 12)
+    keys = exact._keys(exact._digests(pa.array([str(k) for k in range(4000)])))
+    hit = bloom.hits(small, keys)
+    assert hit[:10].all() and hit.mean() < 0.2
+    counted = exact.slot_counts(docs, exact.slots_for(docs))
+    assert counted.agg(F.sum("n")).first()[0] == 8000 and counted.agg(F.max("slot")).first()[0] > 1 << 15
+
+
 def test_surrogates_search(spark):
     """Entities that touch, texts that hold the mark, and clashing column names; the pieces are those of a plain search."""
     texts = [
