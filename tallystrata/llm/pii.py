@@ -1,8 +1,9 @@
 """Personal data replaced by surrogates: keyed, of the same type and format, distinct, and the same wherever an entity recurs.
 
 Native functions only. One expression finds all entities of a text; the pieces between them stay as they are. Surrogates
-are made per distinct entity, so they agree across documents, and a check over all of them gives another one to every
-entity but the first where two would share theirs.
+are made for what an entity is made of, whatever its spelling: digits, address, given and family name. So they agree across
+documents and formats, and a check over all of them gives another one to every part but the first where two would share
+theirs. Numbers go through a keyed permutation of all numbers of their form, so that a form cannot run out of them.
 """
 
 from __future__ import annotations
@@ -40,6 +41,16 @@ NAMES = {
     ("greek", "any"): ("Αγαθή", "Άρης", "Χάρις", "Φώτις", "Σάκης"),
     ("greek", "family"): ("Αγγέλου", "Γεωργίου", "Δημητρίου", "Ιωάννου", "Νικολάου"),
 }
+# Syllables that make names longer, by script.
+SYLLABLES = {
+    "latin": ("ber", "den", "lis", "mor", "nav", "ros", "tal", "ven", "kor", "zan", "del", "fin", "gar", "hol", "jas", "wen"),
+    "cyrillic": ("бер", "ден", "лис", "мор", "нав", "рос", "тал", "вен", "кор", "зан", "дел", "фин", "гар", "хол", "яс", "вил"),
+    "greek": ("βερ", "δεν", "λισ", "μορ", "ναβ", "ροσ", "ταλ", "βεν", "κορ", "ζαν", "δελ", "φιν", "γαρ", "χολ", "ιασ", "βιλ"),
+}
+# Calling codes of countries. The public numbering plan; all others have three digits.
+CALLING_CODE = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
+#: Kinds whose replacements come from a permutation.
+PERMUTED = ("ip", "card", "ssn", "phone", "iban")
 SURNAME = r"\p{Lu}[\p{L}'-]+"
 TITLE = r"\b(?=\p{Lu})(?:" + "|".join(t for group in TITLES.values() for t in group) + r")\.? "
 NAME = TITLE + SURNAME + "(?: " + SURNAME + ")?"
@@ -70,20 +81,19 @@ def _number(stream: Column, at: Column | int, below: int) -> Column:
     return F.pmod(F.conv(digits, 16, 10).cast("bigint"), F.lit(below))
 
 
-def _shaped(value: Column, stream: Column, first_free: Column | int = 0) -> Column:
-    """Each digit by a digit, each letter by a letter of its case, the rest as it is; the first characters may stay.
+def _shaped(value: Column, stream: Column) -> Column:
+    """Each digit by a digit, each letter by a letter of its case, the rest as it is.
 
     Characters of another script become letters of that script's own range.
     """
     chars = F.split(value, "")
-    free = F.lit(first_free) if isinstance(first_free, int) else first_free
 
     def one(c, i):
         long_stream = F.sha2(F.concat(stream, F.floor(i / 15).cast("string")), 256)
         n = F.pmod(F.conv(F.substring(long_stream, (i % 15 * 4 + 1).cast("int"), F.lit(4)), 16, 10).cast("bigint"), F.lit(2600)).cast("int")
         pick = lambda letters: F.substring(F.lit(letters), n % len(letters) + 1, F.lit(1))
         return (
-            F.when(i < free, c).when(c.rlike("[0-9]"), pick("0123456789")).when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz"))
+            F.when(c.rlike("[0-9]"), pick("0123456789")).when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz"))
             .when(c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
             .when(c.rlike(r"\p{IsCyrillic}"), F.when(c.rlike(r"\p{Lu}"), pick("АБВГДЕЖЗИКЛМНОПРСТУФ")).otherwise(pick("абвгдежзиклмнопрстуф")))
             .when(c.rlike(r"\p{IsGreek}"), F.when(c.rlike(r"\p{Lu}"), pick("ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦ")).otherwise(pick("αβγδεζηθικλμνξοπρστυφ")))
@@ -94,95 +104,187 @@ def _shaped(value: Column, stream: Column, first_free: Column | int = 0) -> Colu
     return F.array_join(F.transform(chars, one), "")
 
 
-def _card(value: Column, shaped: Column) -> Column:
-    """The digits drawn, the last one set so that the Luhn sum is a multiple of ten."""
-    digits = F.regexp_replace(shaped, "[^0-9]", "")
-    body = F.substring(digits, F.lit(1), F.length(digits) - 1)
-    total = F.aggregate(
-        F.transform(F.split(body, ""), lambda c, i: F.when((F.length(body) - i) % 2 == 1, F.when(c.cast("int") > 4, c.cast("int") * 2 - 9).otherwise(c.cast("int") * 2)).otherwise(c.cast("int"))),
-        F.lit(0), lambda a, x: a + x,
+def _luhn(body: Column) -> Column:
+    """The digit that follows ``body`` so that the Luhn sum is a multiple of ten."""
+    digit = lambda c: c.cast("int")
+    doubled = lambda c: F.when(digit(c) > 4, digit(c) * 2 - 9).otherwise(digit(c) * 2)
+    summands = F.transform(F.split(body, ""), lambda c, i: F.when((F.length(body) - i) % 2 == 1, doubled(c)).otherwise(digit(c)))
+    return F.pmod(-F.aggregate(summands, F.lit(0), lambda total, x: total + x), F.lit(10))
+
+
+def _placed(pattern: Column, symbols: Column, places: str) -> Column:
+    """``pattern`` with the characters that match ``places`` replaced by ``symbols``, one after the other."""
+    before = lambda i: F.length(F.regexp_replace(F.substring(pattern, F.lit(1), i + 1), f"[^{places}]", ""))
+    return F.array_join(
+        F.transform(F.split(pattern, ""), lambda c, i: F.when(c.rlike(f"[{places}]"), F.substring(symbols, before(i), F.lit(1))).otherwise(c)), ""
     )
-    check = F.pmod(-total, F.lit(10)).cast("string")
-    return F.concat(F.substring(shaped, F.lit(1), F.length(shaped) - 1), check)
+
+
+def _permute(table: DataFrame, secret: str) -> DataFrame:
+    """Adds ``_digits``: a keyed permutation of the numbers of one kind, prefix and length, as a Feistel network of four rounds.
+
+    Being a permutation, it gives different numbers to different ones however many of them there are.
+    """
+    body = F.col("_body")
+    half = F.floor(F.length(body) / 2).cast("int")
+    is_ip = F.col("kind") == "ip"
+    octet = lambda k: F.element_at(F.split("canon", r"\."), k).cast("bigint")
+    below = lambda n: F.when(is_ip, F.lit(65536)).otherwise(F.pow(F.lit(10.0), n)).cast("bigint")
+    out = table.withColumns({
+        "_left": F.when(is_ip, octet(1) * 256 + octet(2)).otherwise(F.substring(body, F.lit(1), half).try_cast("bigint")),
+        "_right": F.when(is_ip, octet(3) * 256 + octet(4)).otherwise(F.substring(body, half + 1, F.length(body)).try_cast("bigint")),
+        "_m": below(half), "_n": below(F.length(body) - half),
+    })
+    for k in range(4):
+        one, other, size = ("_left", "_right", "_m") if k % 2 == 0 else ("_right", "_left", "_n")
+        seed = F.concat_ws("\n", "kind", "_prefix", F.length(body).cast("string"), F.col(other).cast("string"))
+        drawn = F.conv(F.substring(_draw(secret, seed, F.col("turn"), f"round {k}"), 1, 14), 16, 10).cast("bigint")
+        out = out.withColumn(one, F.pmod(F.col(one) + F.pmod(drawn, F.col(size)), F.col(size)))
+    left, right = F.col("_left"), F.col("_right")
+    octets = F.concat_ws(".", *[x.cast("bigint").cast("string") for c in (left, right) for x in (F.floor(c / 256), c % 256)])
+    digits = F.concat(F.lpad(left.cast("string"), half, F.lit("0")), F.lpad(right.cast("string"), F.length(body) - half, F.lit("0")))
+    return out.withColumn("_digits", F.when(is_ip, octets).otherwise(digits)).drop("_left", "_right", "_m", "_n")
 
 
 def _choose(names: tuple[str, ...], stream: Column, at: int) -> Column:
     return F.element_at(F.array(*map(F.lit, names)), (_number(stream, at, len(names)) + 1).cast("int"))
 
 
-def _name(value: Column, stream: Column, turn: Column) -> Column:
-    """Title kept; as many names as there were, of the title's gender and the name's script; longer with each turn."""
-    title = F.regexp_extract(value, r"^(\S+) ", 1)
-    names = F.split(F.regexp_extract(value, r"^\S+ (.*)$", 1), " ")
-    bare = F.regexp_replace(title, r"\.$", "")
-    gender = F.when(bare.isin(*TITLES["male"]), "male").when(bare.isin(*TITLES["female"]), "female").otherwise("any")
-    script = F.when(value.rlike(r" \p{IsCyrillic}"), "cyrillic").when(value.rlike(r" \p{IsGreek}"), "greek").otherwise("latin")
-
+def _name(stream: Column, turn: Column) -> Column:
+    """A lower-case name of the part's script and gender; longer with each turn."""
     def pick(which):
         out = F.lit(None).cast("string")
-        for (s, g), names_of in NAMES.items():
-            if (g == "family") == (which == "family"):
-                out = F.when((script == s) & (F.lit(True) if g == "family" else gender == g), _choose(names_of, stream, 0 if g == "family" else 1)).otherwise(out)
+        for (script, gender), names in NAMES.items():
+            if (gender == "family") == (which == "family"):
+                out = F.when((F.col("script") == script) & (F.lit(True) if gender == "family" else F.col("gender") == gender), _choose(names, stream, 0)).otherwise(out)
         return out
 
-    # Family names get three further syllables of the stream, as a list of names alone could not keep many entities apart, and
-    # one more with each turn, so that there are sixteen times as many for those that still share theirs.
-    syllables = ("ber", "den", "lis", "mor", "nav", "ros", "tal", "ven", "kor", "zan", "del", "fin", "gar", "hol", "jas", "wen")
-    cyrillic = ("бер", "ден", "лис", "мор", "нав", "рос", "тал", "вен", "кор", "зан", "дел", "фин", "гар", "хол", "яс", "вил")
-    greek = ("βερ", "δεν", "λισ", "μορ", "ναβ", "ροσ", "ταλ", "βεν", "κορ", "ζαν", "δελ", "φιν", "γαρ", "χολ", "ιασ", "βιλ")
-    tails = {"latin": syllables, "cyrillic": cyrillic, "greek": greek}
-    more = lambda s: F.array_join(
-        F.transform(F.sequence(F.lit(0), turn), lambda k: F.when(k == 0, "").otherwise(_choose(tails[s], F.sha2(F.concat_ws("\n", stream, k.cast("string")), 256), 0))), ""
+    # Family names get three syllables of the stream, as a list of names alone could not keep many entities apart, and one
+    # more with each turn, so that there are sixteen times as many for those that still share theirs. Given names get
+    # syllables from the second turn on.
+    tail = lambda names, n: F.array_join(
+        F.transform(F.sequence(F.lit(0), n), lambda k: F.when(k == 0, "").otherwise(_choose(names, F.sha2(F.concat_ws("\n", stream, k.cast("string")), 256), 0))), ""
+    )
+    n = F.when(F.col("kind") == "family", turn + 3).otherwise(turn)
+    tails = reduce(lambda rest, s: F.when(F.col("script") == s, tail(SYLLABLES[s], n)).otherwise(rest), SYLLABLES, F.lit(""))
+    return F.lower(F.concat(F.when(F.col("kind") == "family", pick("family")).otherwise(pick("given")), tails))
+
+
+def parts(entity: Column) -> Column:
+    """What an entity is made of, as an array of ``kind, canon, gender, script``: spellings of one thing have equal parts.
+
+    Numbers are compared by their digits (and a leading plus), accounts without blanks, addresses and names without regard
+    to case, names apart from their title and family names apart from given names.
+    """
+    found = kind(entity)
+    names = F.split(F.lower(F.regexp_extract(entity, r"^\S+ (.*)$", 1)), " ")
+    bare = F.regexp_replace(F.regexp_extract(entity, r"^(\S+) ", 1), r"\.$", "")
+    gender = F.when(bare.isin(*TITLES["male"]), "male").when(bare.isin(*TITLES["female"]), "female")
+    script = lambda c: F.when(c.rlike(r"\p{IsCyrillic}"), "cyrillic").when(c.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
+    part = lambda k, canon, g=None: F.struct(
+        (k if isinstance(k, Column) else F.lit(k)).alias("kind"), canon.alias("canon"), (F.lit(None).cast("string") if g is None else g).alias("gender"), script(canon).alias("script")
     )
-    tail = reduce(
-        lambda rest, s: F.when(script == s, F.concat(*[_choose(tails[s], stream, k) for k in (2, 3, 4)], more(s))).otherwise(rest), tails, F.lit("")
+    family = part("family", F.element_at(names, -1))
+    canon = (
+        F.when(found == "email", F.lower(entity)).when(found == "ip", entity).when(found == "iban", F.replace(entity, F.lit(" ")))
+        .otherwise(F.concat(F.regexp_extract(entity, r"^\+?", 0), F.regexp_replace(entity, "[^0-9]", "")))
     )
-    family = F.concat(pick("family"), tail)
-    return F.concat_ws(" ", title, F.when(F.size(names) > 1, F.concat_ws(" ", pick("given"), family)).otherwise(family))
-
-
-def surrogate(secret: str, entity: Column, entity_kind: Column, turn: Column) -> Column:
-    """Replacement of the entity; another ``turn`` gives another one."""
-    stream = _draw(secret, entity, turn, "surrogate")
-    shaped = _shaped(entity, stream)
-    local = F.regexp_extract(entity, "^([^@]*)@", 1)
-    email = F.concat(_shaped(local, stream), F.lit("@"), F.concat(F.lit("host"), F.substring(_draw(secret, F.regexp_extract(entity, "@(.*)$", 1), turn, "domain"), 1, 10), F.lit(".example.org")))
-    octets = F.array_join(F.array(F.lit("10"), *[_number(stream, k, 256).cast("string") for k in range(1, 4)]), ".")
-    # Numbers of the country, the check digits of an account and fictional ranges keep their places.
-    iban = F.concat(F.substring(entity, F.lit(1), F.lit(2)), F.substring(_shaped(entity, stream), F.lit(3), F.length(entity)))
-    phone = F.concat(F.regexp_extract(entity, r"^(\+[0-9]{1,3})?", 0), _shaped(F.regexp_replace(entity, r"^\+[0-9]{1,3}", ""), stream))
-    return (
-        F.when(entity_kind == "email", email).when(entity_kind == "ip", octets).when(entity_kind == "card", _card(entity, shaped))
-        .when(entity_kind == "iban", iban).when(entity_kind == "phone", phone).when(entity_kind == "name", _name(entity, stream, turn)).otherwise(shaped)
+    return F.when(found != "name", F.array(part(found, canon))).when(F.size(names) > 1, F.array(part("given", names[0], gender), family)).otherwise(F.array(family))
+
+
+def cores(table: DataFrame, secret: str) -> DataFrame:
+    """``table`` (``kind, canon, gender, script, turn``) with ``core``, the replacement of ``canon``; another turn gives another one."""
+    canon, turn = F.col("canon"), F.col("turn")
+    is_ = lambda *kinds: F.col("kind").isin(*kinds)
+    stream = _draw(secret, F.concat_ws("\n", "kind", "canon"), turn, "surrogate")
+    host = F.substring(_draw(secret, F.regexp_extract(canon, "@(.*)$", 1), turn, "domain"), 1, 10)
+    email = F.concat(_shaped(F.regexp_extract(canon, "^([^@]*)@", 1), stream), F.lit("@host"), host, F.lit(".example.org"))
+    # Codes of countries keep their places; the last digit of a card follows from the others and from whether it was right.
+    prefix = F.when(is_("phone"), F.regexp_extract(canon, rf"^(?:\+(?:{CALLING_CODE}))?", 0)).when(is_("iban"), F.substring(canon, 1, 2)).otherwise("")
+    digits = F.regexp_replace(F.substring(canon, F.length("_prefix") + 1, F.length(canon)), "[^0-9]", "")
+    table = table.withColumn("_prefix", prefix).withColumn("_body", F.when(is_("card"), F.substring(canon, 1, 15)).when(is_("ip"), "").otherwise(digits))
+    table = _permute(table, secret)
+    off = F.substring(canon, 16, 1).cast("int") - _luhn(F.col("_body"))
+    card = F.concat("_digits", F.pmod(_luhn(F.col("_digits")) + off, F.lit(10)).cast("string"))
+    # Letters of an account move along the alphabet by what the new digits say, which keeps different accounts different.
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    moved = lambda c, i: F.pmod(F.ascii(c) - 65 + _number(_draw(secret, F.concat_ws("\n", "_prefix", "_digits"), i, "letter"), 0, 26), F.lit(26))
+    rest = F.substring(canon, F.length("_prefix") + 1, F.length(canon))
+    lettered = F.array_join(
+        F.transform(F.split(rest, ""), lambda c, i: F.when(c.rlike("[A-Z]"), F.substring(F.lit(letters), moved(c, i).cast("int") + 1, F.lit(1))).otherwise(c)), ""
+    )
+    core = (
+        F.when(is_("family", "given"), _name(stream, turn)).when(is_("email"), email).when(is_("ip"), F.col("_digits")).when(is_("card"), card)
+        .when(is_("iban"), F.concat("_prefix", _placed(lettered, F.col("_digits"), "0-9"))).otherwise(F.concat("_prefix", "_digits"))
     )
+    return table.withColumn("core", core).drop("_prefix", "_body", "_digits")
 
 
-def surrogates(entities: DataFrame, secret: str, rounds: int = 20) -> DataFrame:
-    """``entity, kind, surrogate`` for distinct ``entity`` values: no two share a surrogate, and none is an entity itself.
+def distinct_cores(listed: DataFrame, secret: str, rounds: int = 20) -> DataFrame:
+    """``kind, canon, core`` for the distinct parts of ``listed``: no two of one kind share a core, and none is a part itself.
 
-    Each round checks all of them: of those that share one the smallest entity keeps it, the others and whatever equals an
-    entity draw anew, names from a space that grows with each round. Raises if ``rounds`` do not suffice, which means that a
-    format of fixed length has fewer values than entities.
+    Each round checks all of them: of those that share one the smallest part keeps it, the others and whatever equals a part
+    draw anew, names and addresses from a space that grows with each round. Numbers of fixed length have none that grows: a
+    kind of them that is still not settled after ``rounds`` goes back to its first draw, a permutation, where no two share
+    one, but a core may be the number of someone else.
     """
-    # Drawing costs far more than the few bytes of an entity suggest, so the number of tasks is not left to their size.
-    tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    table = entities.select("entity").distinct().repartition(tasks, "entity").withColumns({"kind": kind(F.col("entity")), "turn": F.lit(0)})
-    table = stored(table.withColumn("surrogate", surrogate(secret, F.col("entity"), F.col("kind"), F.col("turn"))), "surrogates")
-    for _ in range(rounds):
-        owner = table.groupBy("surrogate").agg(F.min("entity").alias("owner"), F.count("*").alias("n"))
-        taken = table.select(F.col("entity").alias("surrogate"), F.lit(True).alias("taken"))
-        # Owners of a surrogate that nobody else has and that is no entity stay as they are.
-        wrong = owner.join(taken, "surrogate", "left").filter("n > 1 or taken").select(
-            "surrogate", F.when(F.col("taken"), None).otherwise(F.col("owner")).alias("owner")
-        )
+    # Drawing costs far more than the few bytes of a part suggest. Asked for by another expression than the grouping's own
+    # keys, the exchange stays one of its own, which adaptive execution does not merge.
+    tasks = int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    table = listed.groupBy("kind", "canon", "script").agg(F.min("gender").alias("least"), F.max("gender").alias("most"))
+    # A given name has the gender that all titles before it agree on.
+    gender = F.when(F.col("least") == F.col("most"), F.col("least")).otherwise("any")
+    table = table.select("kind", "canon", gender.alias("gender"), "script").repartition(tasks, F.xxhash64("kind", "canon"))
+    table = stored(cores(table.withColumn("turn", F.lit(0)), secret), "cores")
+    settled: list[str] = []
+    done = 0
+    while True:
+        owner = table.filter(~F.col("kind").isin(*settled)) if settled else table
+        owner = owner.groupBy("kind", "core").agg(F.min("canon").alias("owner"), F.count("*").alias("n"))
+        taken = table.select("kind", F.col("canon").alias("core"), F.lit(True).alias("taken"))
+        # Owners of a core that nobody else has and that is no part stay as they are.
+        wrong = stored(owner.join(taken, ["kind", "core"], "left").filter("n > 1 or taken").select(
+            "kind", "core", F.when(F.col("taken"), None).otherwise(F.col("owner")).alias("owner")
+        ), "wrong")
         if wrong.isEmpty():
-            return table.drop("turn")
-        again = table.join(wrong, "surrogate", "left_semi")
-        moved = table.join(wrong, "surrogate").filter(~F.col("entity").eqNullSafe(F.col("owner"))).select("entity", "kind", (F.col("turn") + 1).alias("turn"))
-        kept = table.join(moved.select("entity"), "entity", "left_anti")
-        drawn = moved.withColumn("surrogate", surrogate(secret, F.col("entity"), F.col("kind"), F.col("turn")))
-        table = stored(kept.unionByName(drawn.select(*kept.columns)), "surrogates")
-    raise ValueError("too few surrogates of one format for its entities")
+            return table.select("kind", "canon", "core")
+        done += 1
+        if done > rounds:
+            fixed = [r["kind"] for r in wrong.select("kind").distinct().collect() if r["kind"] in PERMUTED]
+            if fixed:
+                settled += fixed
+                first = table.filter(F.col("kind").isin(*fixed) & (F.col("turn") > 0)).withColumn("turn", F.lit(0))
+                table = stored(table.filter(~F.col("kind").isin(*fixed) | (F.col("turn") == 0)).unionByName(cores(first.drop("core"), secret)), "cores")
+                continue
+        moved = table.join(wrong, ["kind", "core"]).filter(~F.col("canon").eqNullSafe(F.col("owner"))).drop("core", "owner").withColumn("turn", F.col("turn") + 1)
+        kept = table.join(moved.select("kind", "canon"), ["kind", "canon"], "left_anti")
+        table = stored(kept.unionByName(cores(moved, secret)), "cores")
+
+
+def _rendered(entity: Column, entity_kind: Column, core: Column, given: Column) -> Column:
+    """The cores of an entity's parts in the format of this mention: its separators, its title, its case."""
+    title, names = F.regexp_extract(entity, r"^(\S+) ", 1), F.split(F.regexp_extract(entity, r"^\S+ (.*)$", 1), " ")
+    cased = lambda new, old: F.when((old == F.upper(old)) & (F.length(old) > 1), F.upper(new)).otherwise(F.initcap(new))
+    name = F.concat_ws(" ", title, F.when(F.size(names) > 1, cased(given, names[0])), cased(core, F.element_at(names, -1)))
+    local = F.regexp_extract(core, "^([^@]*)@", 1)
+    is_upper = lambda i: F.substring(entity, i + 1, F.lit(1)).rlike(r"\p{Lu}")
+    email = F.concat(F.array_join(F.transform(F.split(local, ""), lambda c, i: F.when(is_upper(i), F.upper(c)).otherwise(c)), ""), F.regexp_extract(core, "@.*$", 0))
+    return (
+        F.when(entity_kind == "name", name).when(entity_kind == "email", email).when(entity_kind == "ip", core)
+        .when(entity_kind == "iban", _placed(entity, core, "A-Z0-9")).otherwise(_placed(entity, F.regexp_replace(core, "[^0-9]", ""), "0-9"))
+    )
+
+
+def surrogates(entities: DataFrame, secret: str, rounds: int = 20) -> DataFrame:
+    """``entity, kind, surrogate`` for distinct ``entity`` values: different entities have different surrogates, spellings of
+    one entity the same one in their own format, and none is an entity itself (see :func:`distinct_cores` for the one exception)."""
+    tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mentions = entities.select("entity").distinct().repartition(tasks, F.xxhash64("entity"))
+    mentions = stored(mentions.select("entity", kind(F.col("entity")).alias("kind"), parts(F.col("entity")).alias("parts")), "mentions")
+    known = distinct_cores(mentions.select(F.inline("parts")), secret, rounds)
+    one = mentions.select("entity", F.col("kind").alias("whole"), F.inline("parts")).drop("gender", "script").join(known, ["kind", "canon"])
+    both = one.groupBy("entity", "whole").agg(F.max(F.when(F.col("kind") != "given", F.col("core"))).alias("core"), F.max(F.when(F.col("kind") == "given", F.col("core"))).alias("given"))
+    return both.select("entity", F.col("whole").alias("kind"), _rendered(F.col("entity"), F.col("whole"), F.col("core"), F.col("given")).alias("surrogate"))
 
 
 def _pieces(text: Column) -> Column:
@@ -201,7 +303,7 @@ def pseudonymise(docs: DataFrame, secret: str, text: str = "text") -> DataFrame:
     """``docs`` with ``text`` rewritten and ``n_entities``, the number of replaced places; null stays null, with 0.
 
     E-mail addresses, IBANs, IPv4 addresses, card, social-security and telephone numbers, and names after a title are
-    replaced. Equal entities have equal surrogates in all rows. A column of ``docs`` named ``n_entities`` is replaced.
+    replaced. Spellings of one entity have the same surrogate in all rows, each in its own format. A column of ``docs`` named ``n_entities`` is replaced.
     The texts are searched once and stored in pieces, as the search is the costly part.
     """
     docs = docs.drop("n_entities")

@@ -408,11 +408,49 @@ def test_surrogates_stay_distinct(spark):
 def test_surrogates_of_more_names_than_short_ones(spark):
     """There are 40,960 surrogates of a title and one name without further syllables."""
     letters = F.translate(F.format_string("%05d", F.col("id")), "0123456789", "abcdefghij")
-    found = pii.surrogates(spark.range(60_000).select(F.concat(F.lit("Mr X"), letters).alias("entity")), "key")
+    found = pii.surrogates(spark.range(60_000).select(F.concat(F.lit("Mr X"), letters).alias("entity")), "key").cache()
     total, distinct, names = found.agg(F.count("*"), F.countDistinct("surrogate"), F.count_if(F.col("surrogate").rlike(f"^(?:{pii.NAME})$"))).first()
     assert total == distinct == names == 60_000 and found.join(found.select(F.col("entity").alias("surrogate")), "surrogate").isEmpty()
 
 
+def test_surrogates_of_spellings(spark):
+    """Spellings of one entity get one surrogate in their own formats; other entities get others."""
+    groups = {
+        "weber": ["Mr Weber", "Mr. Weber", "Mr WEBER", "Herr Weber"], "anna keller": ["Dr. Anna Keller", "Frau Anna Keller"], "keller": ["Dr. Keller"],
+        "mail": ["a.b@x.com", "A.b@x.com", "A.B@X.COM"], "phone": ["+1 612 555 5827", "+1 (612) 555-5827", "+1.612.555.5827"],
+        "card": ["4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111"], "odd card": ["4111 1111 1111 1112"],
+        "iban": ["DE44 5001 0517 5407 3249 31", "DE44500105175407324931"], "iban with letters": ["GB29 NWBK 6016 1331 9268 19"],
+        "greek": ["Κύριος Νίκος Παπαδόπουλος", "Κύριος Παπαδόπουλος"], "ssn": ["123-45-6789"],
+    }
+    mentions = [(m,) for ms in groups.values() for m in ms]
+    found = {r.entity: r.surrogate for r in pii.surrogates(spark.createDataFrame(mentions, "entity string"), "key").collect()}
+    assert len(found) == len(mentions) and not set(found) & set(found.values())
+    bare = lambda m: re.sub(r"^[^\W\d]+\.? | |-|[().+]", "", found[m]).lower()
+    family = lambda m: found[m].split(" ")[-1].lower()
+    assert len({family(m) for m in groups["weber"]}) == 1 and found["Mr WEBER"].split(" ")[1].isupper()
+    assert {family(m) for m in groups["anna keller"] + groups["keller"]} == {family("Dr. Keller")} != {family("Mr Weber")}
+    given = {found[m].split(" ")[1] for m in groups["anna keller"]}
+    assert len(given) == 1 and any(g.startswith(n) for g in given for n in pii.NAMES["latin", "female"])
+    for g in ("mail", "phone", "card", "iban"):
+        assert len({bare(m) for m in groups[g]}) == 1, g
+    assert family("Κύριος Παπαδόπουλος") == family("Κύριος Νίκος Παπαδόπουλος") and re.fullmatch(r"Κύριος [Ͱ-Ͽ ά-ώ]+", found["Κύριος Παπαδόπουλος"])
+    shape = lambda x: re.sub("[A-Z]", "A", re.sub("[0-9]", "0", x))
+    for m in groups["phone"] + groups["card"] + groups["iban"] + groups["iban with letters"] + groups["ssn"]:
+        assert shape(m) == shape(found[m])
+    assert found["A.b@x.com"][0].isupper() and found["DE44500105175407324931"][:2] == "DE" and found["+1 612 555 5827"][:3] == "+1 "
+    luhn = lambda x: sum(int(c) if k % 2 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(re.sub("[^0-9]", "", x))) % 10
+    assert luhn(found["4111 1111 1111 1111"]) == 0 and luhn(found["4111 1111 1111 1112"]) == 1
+
+
+def test_surrogates_of_a_full_format(spark):
+    """More numbers of one form than random draws could keep apart from each other and from the numbers themselves."""
+    full = spark.range(300).select(F.lit("ssn").alias("kind"), F.format_string("%02d", F.col("id") % 100).alias("canon"), F.lit(None).cast("string").alias("gender"), F.lit("latin").alias("script"))
+    found = pii.distinct_cores(full, "key", rounds=1).collect()
+    assert len(found) == 100 == len({r.core for r in found}) and {len(r.core) for r in found} == {2}
+    addresses = spark.range(50_000).select(F.concat_ws(".", F.lit("192"), F.lit("168"), F.floor(F.col("id") / 256).cast("string"), (F.col("id") % 256).cast("string")).alias("entity"))
+    assert pii.surrogates(addresses, "key").filter(F.col("surrogate").rlike(f"^(?:{pii.IP})$")).select("surrogate").distinct().count() == 50_000
+
+
 def test_clashing_names_and_repeated_weights(spark):
     names = ["_row", "_rows", "_s", "_i", "_start", "_in", "_range", "_place", "_sha", "_maybe", "_keep", "_digest", "_SHA_", "a.b", "_doc", "_id"]
     shape = "doc_id long, text string, source string, " + ", ".join(f"`{n}` int" for n in names)
