@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallystrata.llm import contamination, exact, language, mixing, near
 from tallystrata.sources.scratch import stored
 
-#: A prediction that is hardly better than a guess among four languages.
-LEAST_SCORE = 0.3
+#: How far from a guess among the languages (0) to certainty (1) a prediction must be.
+LEAST_CERTAINTY = 1 / 15
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,7 +17,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows are judged by themselves, whether ids are null or recur; without a labelled row nothing can be told, and all go.
     """
     found = language.identify(docs, F.lit(True))
-    return found.filter((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    guess = 1 / max(docs.agg(F.countDistinct("lang")).first()[0], 1)
+    least = guess + (1 - guess) * LEAST_CERTAINTY - 1e-9
+    return found.filter((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= least)).select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
