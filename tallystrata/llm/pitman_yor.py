@@ -1,15 +1,15 @@
-"""Language-model scores from a hierarchical Pitman-Yor process.
-
-The model reads symbols: the ``head`` most frequent tokens, the end of a text, and one symbol for all other tokens. Each
-previous symbol has a restaurant of its own whose customers are the symbols that followed it; all of them share one
-parent restaurant, whose customers are the tables of its children and whose base is uniform. A Gibbs sweep lets all
-customers of one dish in one restaurant stand up and seats them anew, one after the other, by the Chinese-restaurant
-rule, with everything else as it is; the sampled tables then are the parent's customers. Predictive probabilities are
-averaged over the sweeps after burn-in. Within the symbol for other tokens a Pitman-Yor restaurant with a diffuse base
-holds the tokens themselves, each on a table of its own, and leaves the rest of its mass to all unknown ones together.
-
-Counts cover the whole corpus. Only the head and its table of (head + 2) squared probabilities, whose size does not
-depend on the corpus, are sent to every task; the counts of all other tokens are joined.
+"""Language-model scores from a hierarchical Pitman-Yor process over the whole vocabulary.
+
+Each token has a restaurant of its own whose customers are the tokens that followed it; all of them share one parent
+restaurant, whose customers are the tables of its children and whose base is uniform over the training tokens and one
+outcome for all unknown ones. A Gibbs sweep lets all customers of one dish in one restaurant stand up and seats them
+anew, one after the other, by the Chinese-restaurant rule, with everything else as it is; the sampled tables then are the
+parent's customers. Predictive probabilities are averaged over the sweeps after burn-in.
+
+A dish with one customer always has one table, so seats are kept for pairs that occur twice or more; with N customers in
+a restaurant, its tables are N less the sum of (customers - tables) over those pairs. A training document's pair that is
+not among them has one customer. The ``NEAR`` most frequent tokens travel to every task with their probabilities, and so
+do at most ``PAIRS`` of the most frequent pairs, both only to save joins; all other tokens and pairs are joined.
 """
 
 from __future__ import annotations
@@ -21,25 +21,28 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallystrata.llm import text as tx
-from tallystrata.sources.scratch import stored
+from tallystrata.sources import files
+from tallystrata.sources.scratch import scratch_path, stored
 
-HEAD = 1000
 DISCOUNT, STRENGTH = 0.6, 1.0
 BURN_IN, SAMPLES, SEED = 2, 4, 17
 #: Hash of the end of a text, which no word has but by chance.
 END = np.uint64(0x0E0F0E0F0E0F0E0F)
-#: Tokens outside the head whose counts travel with the model, so that they need no join.
-NEAR = 1 << 17
+#: Tokens and pairs that travel with the model, so that they need no join. The result does not depend on them.
+NEAR, PAIRS = 1 << 20, 1 << 20
+#: Tokens whose pairs are counted together within a task.
+PIECE = 1 << 21
+_FAR = np.uint64(1 << 63)
 
 
 class Model(NamedTuple):
-    head: np.ndarray       # sorted hashes of the symbols; the symbol of a token is its index, other tokens have len(head)
-    log_table: np.ndarray  # log10 probability [previous symbol, symbol]
-    near: np.ndarray       # sorted hashes of the most frequent tokens, the head included
-    near_count: np.ndarray
-    tail_total: int        # training tokens that are not in the head
-    tail_kinds: int
-    total: int             # training tokens
+    near: np.ndarray    # sorted hashes of the most frequent tokens; the number of a token is its index, of others the negative hash
+    count: np.ndarray   # training occurrences of the near tokens
+    share: np.ndarray   # [sample, near token] weight of the parent in the token's restaurant
+    parent: np.ndarray  # [sample, near token] probability in the parent restaurant
+    once: np.ndarray    # [sample] probability in the parent restaurant of a token that occurs once
+    unseen: np.ndarray  # [sample] the same of all unknown tokens together
+    total: int          # training tokens
     kinds: int
 
 
@@ -56,11 +59,21 @@ def _tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, first
 
 
-def _symbols(head: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(head, tokens)
-    known = at < len(head)
-    known[known] = head[at[known]] == tokens[known]
-    return np.where(known, at, len(head))
+def _numbers(near: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Each token's index in ``near``, or its hash as a negative number."""
+    at = np.searchsorted(near, tokens)
+    known = at < len(near)
+    known[known] = near[at[known]] == tokens[known]
+    return np.where(known, at, (tokens | _FAR).view(np.int64))
+
+
+def _distinct_pairs(u: np.ndarray, w: np.ndarray, group: np.ndarray | None = None):
+    """Index of one occurrence of each distinct pair (of each group), and how often it occurs."""
+    key = tx.mix(u.view(np.uint64) * np.uint64(tx.BASE) + tx.mix(w.view(np.uint64) + np.uint64(1)))
+    if group is not None:
+        key = tx.mix(key + tx.mix(group.astype(np.uint64) + np.uint64(1)))
+    _, index, n = np.unique(key, return_index=True, return_counts=True)
+    return index, n
 
 
 def token_counts(train: DataFrame, text: str) -> DataFrame:
@@ -75,210 +88,378 @@ def token_counts(train: DataFrame, text: str) -> DataFrame:
     return train.select(text).mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def _pair_counts(train: DataFrame, text: str, head: np.ndarray) -> DataFrame:
-    """``u, w, n``: how often symbol w follows symbol u; a text begins after an end."""
-    known = train.sparkSession.sparkContext.broadcast(head)
-    size = len(head) + 1
+def pair_counts(docs: DataFrame, near: np.ndarray) -> DataFrame:
+    """``u, w, n``: token w follows token u n times in training; pairs with n = 1 only where a document outside has them too.
 
-    def count(batches):
-        for batch in batches:
-            found = [np.zeros(0, np.int64)]
-            for _, _, raw, offsets in tx.slices(batch.column(0)):
-                tokens, _ = _tokens(raw, offsets)
-                s = _symbols(known.value, tokens)
-                # Every text ends with the end symbol, so the symbol before a first token is the previous text's end.
-                before = np.concatenate([_symbols(known.value, np.array([END], np.uint64)), s[:-1]])
-                found.append(before * size + s)
-            pair, n = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n.astype(np.int64))], names=["pair", "n"])
-
-    counted = train.select(text).mapInArrow(count, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
-    return counted.select(F.floor(F.col("pair") / size).cast("int").alias("u"), (F.col("pair") % size).cast("int").alias("w"), "n")
+    ``docs`` has the columns ``_text`` and ``_train``; a text begins after an end.
+    """
+    known = docs.sparkSession.sparkContext.broadcast(near)
 
+    def piece(found):
+        u, w, train = (np.concatenate(x) for x in zip(*found))
+        index, n = _distinct_pairs(u, w, train)
+        inside = train[index]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(u[index]), pa.array(w[index]), pa.array(np.where(inside, n, 0)), pa.array(~inside)], names=["u", "w", "n", "out"]
+        )
 
-def seat(customers: np.ndarray, others: float, parent: np.ndarray, discount: float, strength: float, rng) -> np.ndarray:
+    def count(batches):
+        found, size = [], 0
+        for batch in batches:
+            train = batch.column(1).to_numpy(zero_copy_only=False)
+            for i, j, raw, offsets in tx.slices(batch.column(0)):
+                tokens, first = _tokens(raw, offsets)
+                s = _numbers(known.value, tokens)
+                before = np.concatenate([_numbers(known.value, np.array([END])), s[:-1]])
+                found.append((before, s, np.repeat(train[i:j], np.diff(first))))
+                size += len(s)
+                if size >= PIECE:
+                    yield piece(found)
+                    found, size = [], 0
+        if found:
+            yield piece(found)
+
+    rows = docs.select("_text", "_train").mapInArrow(count, "u bigint, w bigint, n bigint, out boolean")
+    # Pieces are distinct already: summing them once more before the exchange would only fill memory.
+    counted = rows.repartition("u", "w").groupBy("u", "w").agg(F.sum("n").alias("n"), F.max("out").alias("out"))
+    return counted.filter("n > 1 or (n = 1 and out)").select("u", "w", "n")
+
+
+def _uniform(key: np.ndarray, number: int, step: int) -> np.ndarray:
+    salt = np.uint64((SEED * 1_000_003 + number) * 1_000_003 + step)
+    return (tx.mix(key + tx.mix(np.array([salt]))) >> np.uint64(11)).astype(np.float64) / 2.0**53
+
+
+def _binomial(n: np.ndarray, p: np.ndarray, uniform: np.ndarray) -> np.ndarray:
+    """Binomial quantiles; from a mean of 50 on by a logistic curve of equal mean and variance."""
+    with np.errstate(divide="ignore", invalid="ignore", over="ignore", under="ignore"):
+        p = np.clip(p, 0.0, 1.0)
+        out = np.where(p >= 1, n, 0)
+        mean = n * p
+        large = (mean >= 50) & (p < 1)
+        z = np.log(uniform[large] / (1 - uniform[large])) * np.sqrt(3) / np.pi
+        out[large] = np.clip(np.rint(mean[large] + z * np.sqrt(mean[large] * (1 - p[large]))), 0, n[large])
+        at = np.flatnonzero((mean > 0) & (mean < 50) & (p < 1))
+        mass = np.exp(n[at] * np.log1p(-p[at]))
+        left = uniform[at] - mass
+        k = 0
+        while len(at):
+            go = (left >= 0) & (k < n[at])
+            at, mass, left = at[go], mass[go], left[go]
+            mass = mass * (n[at] - k) / (k + 1) * p[at] / (1 - p[at])
+            left = left - mass
+            k += 1
+            out[at] = k
+    return out
+
+
+def seat(customers: np.ndarray, others: np.ndarray, parent: np.ndarray, discount: float, strength: float, key: np.ndarray, number: int) -> np.ndarray:
     """Tables after each dish's customers sit down one after the other; ``others``: the restaurant's remaining tables.
 
     A new table is opened with weight (strength + discount * tables) * parent probability, against customers seated less
     discount for each of the dish's tables. From 16 customers on they come in groups of a sixteenth of those seated,
-    for which the weights stay as they are, so the work grows with the logarithm of a count.
+    for which the weights stay as they are, so the work grows with the logarithm of a count. Draws depend on ``key`` and
+    the ``number`` of the sweep alone, so a task that runs again seats them the same way.
     """
     tables = np.minimum(customers, 1).astype(np.int64)
     seated = tables.copy()
     open_dishes = np.flatnonzero(customers > seated)
+    step = 0
     while len(open_dishes):
         n, t = seated[open_dishes], tables[open_dishes]
         group = np.minimum(np.maximum(n // 16, 1), customers[open_dishes] - n)
         new = (strength + discount * (others[open_dishes] + t)) * parent[open_dishes]
-        tables[open_dishes] += rng.binomial(group, np.clip(new / (new + n - discount * t), 0, 1))
+        tables[open_dishes] += _binomial(group, new / (new + n - discount * t), _uniform(key[open_dishes], number, step))
         seated[open_dishes] += group
         open_dishes = open_dishes[customers[open_dishes] > seated[open_dishes]]
+        step += 1
     return tables
 
 
-def predictive(customers: np.ndarray, tables: np.ndarray, parent: np.ndarray, discount: float, strength: float) -> np.ndarray:
-    """Probability of every dish; a restaurant without customers follows its parent."""
-    total = customers.sum()
-    if not total:
-        return parent.copy()
-    return (customers - discount * tables + (strength + discount * tables.sum()) * parent) / (strength + total)
+def _key(u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return tx.mix(u.astype(np.int64).view(np.uint64) * np.uint64(tx.BASE) + w.astype(np.int64).view(np.uint64))
+
+
+def _spread(token: str, *others: str) -> Column:
+    """Join key of a token: near ones are dealt out to all partitions by keys that meet nothing."""
+    return F.when(F.col(token) < 0, F.col(token)).otherwise(F.xxhash64(token, *others).bitwiseAND(F.lit(2**63 - 1)))
+
+
+def _far(token: str) -> Column:
+    return F.col(token) < 0
 
 
-def _sweep(state: DataFrame, parent: np.ndarray, number: int, size: int, discount: float, strength: float, keep: bool) -> DataFrame:
-    """Seats every restaurant of ``state`` (u, w, n, t arrays) anew; ``p``: its predictive probabilities, null during burn-in."""
-    shared = state.sparkSession.sparkContext.broadcast(parent)
+def _sweep(state: DataFrame, far: DataFrame, tables: np.ndarray, parent: np.ndarray, number: int, discount: float, strength: float, keep: bool) -> DataFrame:
+    """Seats all pairs anew; ``tables, parent``: near tokens' tables as contexts and probabilities as dishes, ``far`` the others'."""
+    shared = state.sparkSession.sparkContext.broadcast((tables, parent))
 
     def seat_all(batches):
+        near_tables, near_parent = shared.value
         for batch in batches:
-            tables, probabilities = [], []
-            for u, w, n, t in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                w, n, t = np.array(w, np.int64), np.array(n, np.int64), np.array(t, np.int64)
-                # A fixed seed for each restaurant and sweep, so that a task that runs again seats them the same way.
-                rng = np.random.default_rng([SEED, number, u])
-                t = seat(n, t.sum() - t, shared.value[w], discount, strength, rng)
-                tables.append(t.tolist())
-                if keep:
-                    full_n, full_t = np.zeros(size), np.zeros(size)
-                    full_n[w], full_t[w] = n, t
-                    probabilities.append(predictive(full_n, full_t, shared.value, discount, strength).astype(np.float32).tolist())
-                else:
-                    probabilities.append(None)
+            u, w, n, t, kept = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
+            total = batch.column(5).fill_null(0).to_numpy(zero_copy_only=False).copy()
+            p = batch.column(6).fill_null(0.0).to_numpy(zero_copy_only=False).copy()
+            total[u >= 0] = near_tables[u[u >= 0]]
+            p[w >= 0] = near_parent[w[w >= 0]]
+            t = seat(n, total - t, p, discount, strength, _key(u, w), number)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(tables, pa.list_(pa.int64())), pa.array(probabilities, pa.list_(pa.float32()))],
-                names=["u", "w", "n", "t", "p"],
+                [*batch.columns[:3], pa.array(t), pa.array(kept + t if keep else kept)], names=["u", "w", "n", "t", "kept"]
             )
 
-    return stored(state.mapInArrow(seat_all, "u int, w array<int>, n array<bigint>, t array<bigint>, p array<float>"), "seats")
+    both = state.filter(~_far("u") & ~_far("w")).withColumns({"total": F.lit(None).cast("bigint"), "p": F.lit(None).cast("double")})
+    rest = state.filter(_far("u") | _far("w")).withColumns({"ku": _spread("u", "w"), "kw": _spread("w", "u")})
+    rest = rest.join(far.select(F.col("token").alias("ku"), "total"), "ku", "left").join(far.select(F.col("token").alias("kw"), "p"), "kw", "left")
+    return both.unionByName(rest.select(both.columns)).mapInArrow(seat_all, "u bigint, w bigint, n bigint, t bigint, kept bigint")
 
 
 def train(
-    docs: DataFrame, text: str = "text", head: int = HEAD, discount: float = DISCOUNT, strength: float = STRENGTH,
-    burn_in: int = BURN_IN, samples: int = SAMPLES,
-) -> tuple[Model, DataFrame]:
-    """(model, ``token, n`` of all training tokens); the counts stay distributed."""
-    counts = stored(token_counts(docs, text), "tokens")
+    docs: DataFrame, discount: float = DISCOUNT, strength: float = STRENGTH, burn_in: int = BURN_IN, samples: int = SAMPLES,
+    near: int = NEAR,
+) -> tuple[Model, DataFrame, DataFrame]:
+    """(model, far tokens, pairs) from ``docs`` (``_text, _train``).
+
+    Far tokens: ``token, n, share, parent``, the arrays by sample and null where n = 1; pairs: ``u, w, n, mass``, mass being
+    the customers less discounted tables, averaged.
+    """
+    counts = stored(token_counts(docs.filter("_train"), "_text"), "tokens")
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "token").limit(max(NEAR, head)).toArrow()
+    # Whole groups of equal counts, as many as fit: no order over the vocabulary is needed.
+    least = _least(counts, near)
+    end = int(tx.signed(np.array([END]))[0])
+    top = counts.filter((F.col("n") >= least) | (F.col("token") == end)).toArrow()
     token, n = top["token"].to_numpy().view(np.uint64), top["n"].to_numpy()
-    # The end is a symbol however rare it is.
-    symbols = np.unique(np.append(token[:head], END))
+    if END not in token:
+        token, n = np.append(token, END), np.append(n, 0)
     order = np.argsort(token)
-    near, near_count = token[order], n[order]
-    size = len(symbols) + 1
-    head_total = int(near_count[np.isin(near, symbols)].sum())
-    head_kinds = int(np.isin(symbols, near).sum())
-    state = stored(
-        _pair_counts(docs, text, symbols).groupBy("u").agg(F.array_sort(F.collect_list(F.struct("w", "n"))).alias("s"))
-        .select("u", F.col("s.w").alias("w"), F.col("s.n").alias("n"), F.transform("s", lambda x: F.lit(1).cast("bigint")).alias("t"), F.lit(None).cast("array<float>").alias("p")),
-        "pairs",
+    token, n = token[order], n[order]
+    far_counts = counts.filter((F.col("n") < least) & (F.col("token") != end)).select(
+        F.col("token").bitwiseOR(F.lit(-(2**63))).alias("token"), "n"
+    )
+    one = F.lit(1).cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    pairs = stored(pair_counts(docs, token), "pairs")
+    state = pairs.filter("n > 1").select("u", "w", "n", one.alias("t"), zero.alias("kept"))
+    base = 1 / (kinds + 1)
+    root = np.minimum(n, 1)
+    far = far_counts.filter("n > 1").select(
+        "token", "n", one.alias("root"), F.array().cast("array<double>").alias("share"), F.array().cast("array<double>").alias("parent")
     )
-    base = np.full(size, 1 / size)
-    parent, root_tables = base, np.zeros(size, np.int64)
-    table = np.zeros((size, size), dtype=np.float64)
+    root_total = int(kinds)
+    shares, parents, once, unseen = [], [], [], []
+    written = []
+
+    def cut(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(df.sparkSession, name)
+        df.write.parquet(path)
+        written.append(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def follow(number: int, keep: bool):
+        """Tables of every context, customers and tables of the parent restaurant, and its probabilities."""
+        nonlocal far, root, root_total
+        gap = F.col("n") - F.col("t")
+        ends = state.select(F.explode(F.array(
+            F.struct(F.col("u").alias("token"), gap.alias("as_u"), zero.alias("as_w")),
+            F.struct(F.col("w").alias("token"), zero.alias("as_u"), gap.alias("as_w")),
+        )).alias("x")).select("x.*")
+        gaps = cut(ends.groupBy("token").agg(F.sum("as_u").alias("as_u"), F.sum("as_w").alias("as_w")), "gaps")
+        mine = gaps.filter(~_far("token")).toArrow()
+        tables, customers = n.copy(), n.copy()
+        at = mine["token"].to_numpy()
+        tables[at] -= mine["as_u"].to_numpy()
+        customers[at] -= mine["as_w"].to_numpy()
+        root = seat(customers, root_total - root, np.full(len(n), base), discount, strength, token, 1000 + number)
+        seated = far.join(gaps.filter(_far("token")), "token", "left").select(
+            "token", "n", "root", "share", "parent", (F.col("n") - F.coalesce("as_u", zero)).alias("total"),
+            (F.col("n") - F.coalesce("as_w", zero)).alias("customers"),
+        )
+        before = root_total
+
+        def seat_far(batches):
+            for batch in batches:
+                key, own, c = (batch.column(k).to_numpy() for k in (0, 2, 6))
+                new = seat(c, before - own, np.full(len(c), base), discount, strength, key.astype(np.int64).view(np.uint64), 1000 + number)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(new), *batch.columns[3:]], names=batch.schema.names)
+
+        moved = cut(seated.mapInArrow(seat_far, seated.schema), "words")
+        far_root, far_customers, far_kinds = moved.agg(
+            F.coalesce(F.sum("root"), zero), F.coalesce(F.sum("customers"), zero), F.count("*")
+        ).first()
+        single = int(kinds) - far_kinds - int((n > 0).sum())
+        root_total = int(root.sum()) + far_root + single
+        scale = strength + int(customers.sum()) + far_customers + single
+        spare = (strength + discount * root_total) * base
+        p = (customers - discount * root + spare) / scale
+        far = moved.withColumn("p", (F.col("customers") - discount * F.col("root") + spare) / scale)
+        if keep:
+            share = (strength + discount * F.col("total")) / (strength + F.col("n"))
+            far = far.withColumns({"share": F.concat("share", F.array(share)), "parent": F.concat("parent", F.array("p"))})
+            shares.append((strength + discount * tables) / (strength + n))
+            parents.append(p)
+            once.append((1 - discount + spare) / scale)
+            unseen.append(spare / scale)
+        return tables, p
+
+    tables, p = follow(-1, False)
     for number in range(burn_in + samples):
         keep = number >= burn_in
-        state = _sweep(state, parent, number, size, discount, strength, keep)
-        seats = state.select(F.explode(F.arrays_zip("w", "t")).alias("x")).groupBy("x.w").agg(F.sum("x.t").alias("t")).toArrow()
-        customers = np.zeros(size, np.int64)
-        customers[seats["w"].to_numpy()] = seats["t"].to_numpy()
-        rng = np.random.default_rng([SEED, number])
-        root_tables = seat(customers, root_tables.sum() - root_tables, base, discount, strength, rng)
-        if keep:
-            rows = state.select("u", "p").toArrow()
-            one = np.tile(parent, (size, 1))
-            if rows.num_rows:
-                one[rows["u"].to_numpy()] = rows["p"].combine_chunks().flatten().to_numpy().reshape(-1, size)
-            table += one
-        parent = predictive(customers.astype(float), root_tables.astype(float), base, discount, strength)
-    with np.errstate(divide="ignore"):
-        log_table = np.log10(table / samples).astype(np.float32)
-    return Model(symbols, log_table, near, near_count, int(total) - head_total, int(kinds) - head_kinds, int(total), int(kinds)), counts
+        before = list(written)
+        state = cut(_sweep(state, far, tables, p, number, discount, strength, keep), "seats")
+        tables, p = follow(number, keep)
+        # Nothing reads the sweep before any more.
+        for path in before:
+            files.remove(docs.sparkSession, path)
+            written.remove(path)
+    model = Model(token, n, *(np.array(x, dtype=np.float32) for x in (shares, parents, once, unseen)), int(total), int(kinds))
+    mass = F.col("n") - discount * F.col("kept") / samples
+    seen = state.select("u", "w", "n", mass.alias("mass")).unionByName(
+        pairs.filter("n = 1").select("u", "w", "n", F.lit(1 - discount).alias("mass"))
+    )
+    return model, far_counts.join(far.select("token", "share", "parent"), "token", "left"), seen
 
 
-def tail_log(n: np.ndarray, model: Model, discount: float, strength: float) -> np.ndarray:
-    """log10 probability of a token outside the head among such tokens, by its count (0: all unknown ones together)."""
-    if not model.tail_total:
-        return np.zeros(len(n))
-    mass = np.where(n > 0, n - discount, strength + discount * model.tail_kinds)
-    return np.log10(mass / (strength + model.tail_total))
+def _least(counted: DataFrame, most: int) -> int:
+    """The smallest count n for which at most ``most`` rows have it or a larger one; found among at most 64 powers of a half."""
+    step = F.floor(F.log2("n") * 2).cast("int")
+    rows = sorted(counted.groupBy(step.alias("step")).agg(F.count("*").alias("rows"), F.min("n").alias("n")).collect(), reverse=True)
+    least, seen = 2**62, 0
+    for row in rows:
+        seen += row["rows"]
+        if seen > most:
+            break
+        least = row["n"]
+    return least
+
+
+def _mean_of_products(share: np.ndarray, parent: np.ndarray) -> np.ndarray:
+    return sum(a * b for a, b in zip(share, parent)) / len(share)
 
 
 def score(
-    docs: DataFrame, train_on: Column, id_column: str = "doc_id", text: str = "text", head: int = HEAD,
-    discount: float = DISCOUNT, strength: float = STRENGTH, burn_in: int = BURN_IN, samples: int = SAMPLES,
+    docs: DataFrame, train_on: Column, id_column: str = "doc_id", text: str = "text", discount: float = DISCOUNT,
+    strength: float = STRENGTH, burn_in: int = BURN_IN, samples: int = SAMPLES, near: int = NEAR, pairs: int = PAIRS,
 ) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score, perplexity`` for every row.
 
     ``train_on`` picks the rows to learn from. Tokens are runs without ASCII white space, A-Z lowered, and one end for each
-    text; a null text is empty and has the end only. Without any training text every token is unknown. Rows that share id
-    and text have equal results; ids may be null.
+    text; a null text is empty and has the end only. All unknown tokens share one outcome; without any training text every
+    token is unknown. Rows that share id and text have equal results; ids may be null.
     """
+    spark = docs.sparkSession
     plain = docs.select(F.col(id_column).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"), train_on.alias("_train"))
-    model, counts = train(plain.filter("_train"), "_text", head, discount, strength, burn_in, samples)
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
+    model, far, seen = train(plain, discount, strength, burn_in, samples, near)
+    inner = seen.filter(~_far("u") & ~_far("w"))
+    top = inner.filter(F.col("n") >= _least(inner, pairs)).select("u", "w", "mass").toArrow()
+    packed = top["u"].to_numpy() * len(model.near) + top["w"].to_numpy()
+    order = np.argsort(packed)
+    shared = spark.sparkContext.broadcast((tuple(model), packed[order], top["mass"].to_numpy()[order].astype(np.float32)))
     scale = np.log10(model.total + model.kinds + 1) if model.total else 0.0
-    id_type = plain.schema["_id"].dataType.simpleString()
-
-    def read(batches):
-        m = Model(*shared.value)
-        order_of_head = _symbols(m.head, m.near)
-        tail_near = np.where(order_of_head == len(m.head), tail_log(m.near_count, m, discount, strength), 0.0)
-        base_near = np.log10(m.near_count + 1.0) - scale
-        end = int(_symbols(m.head, np.array([END], np.uint64))[0])
+    columns = "_key bigint, u bigint, w bigint, times int, train boolean, n_tokens bigint, n_known bigint, base double, value double, own int"
+    names = [c.split()[0] for c in columns.split(", ")]
+
+    def read(inside: bool):
+        """Near pairs and each document's own row, or the pairs with a far token: one row for each that needs a join."""
+
+        def rows(batches):
+            values, packed, mass = shared.value
+            m = Model(*values)
+            base_near = np.where(m.count > 0, np.log10(m.count + 1.0) - scale, 0.0 - scale)
+            for batch in batches:
+                train = batch.column(2).to_numpy(zero_copy_only=False)
+                keys = batch.column(1).to_numpy()
+                for i, j, raw, offsets in tx.slices(batch.column(0)):
+                    tokens, first = _tokens(raw, offsets)
+                    w = _numbers(m.near, tokens)
+                    u = np.concatenate([_numbers(m.near, np.array([END])), w[:-1]])
+                    doc = np.repeat(np.arange(j - i), np.diff(first))
+                    local = (u >= 0) & (w >= 0)
+                    ask = ~local
+                    own = 0
+                    if inside:
+                        own = j - i
+                        at = np.flatnonzero(local)
+                        pair = u[at] * len(m.near) + w[at]
+                        place = np.minimum(np.searchsorted(packed, pair), max(len(packed) - 1, 0))
+                        found = packed[place] == pair if len(packed) else np.zeros(len(at), bool)
+                        hit = at[found]
+                        p = mass[place[found]] / (strength + m.count[u[hit]]) + _mean_of_products(m.share[:, u[hit]], m.parent[:, w[hit]])
+                        value = np.zeros(len(tokens))
+                        value[hit] = np.log10(p)
+                        base, known = np.zeros(len(tokens)), np.zeros(len(tokens), np.int64)
+                        is_near = w >= 0
+                        base[is_near] = base_near[w[is_near]]
+                        known[is_near] = m.count[w[is_near]] > 0
+                        sums = [np.add.reduceat(x, first[:-1]) for x in (known, base, value)]
+                        ask = np.zeros(len(tokens), bool)
+                        ask[at[~found]] = True
+                    ask = np.flatnonzero(ask)
+                    index, times = _distinct_pairs(u[ask], w[ask], doc[ask])
+                    # In text order, so that a document's rows stay together.
+                    order = np.argsort(index)
+                    index, times = ask[index[order]], times[order]
+                    more = len(index)
+                    zeros = np.zeros(more, np.int64)
+                    join = lambda a, b: np.concatenate([a, b]) if own else b
+                    none = np.zeros(own, np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(join(keys[i:j], keys[i:j][doc[index]])),
+                            # A document's own row carries tokens that no pair has.
+                            pa.array(join(none - 1, u[index])), pa.array(join(keys[i:j], w[index])),
+                            pa.array(join(none, times).astype(np.int32)), pa.array(join(train[i:j], train[i:j][doc[index]])),
+                            pa.array(join(np.diff(first), zeros)),
+                            pa.array(join(sums[0], zeros) if own else zeros), pa.array(join(sums[1], zeros * 0.0) if own else zeros * 0.0),
+                            pa.array(join(sums[2], zeros * 0.0) if own else zeros * 0.0), pa.array(join(none + 1, zeros).astype(np.int32)),
+                        ],
+                        names=names,
+                    )
+
+        return keyed.select("_text", "_key", "_train").mapInArrow(rows, columns)
+
+    def value(batches):
+        """Adds the looked-up pairs, of which ``mass`` and for far tokens ``n_u, n_w`` and the samples are given."""
+        values, _, _ = shared.value
+        m = Model(*values)
         for batch in batches:
-            for i, j, raw, offsets in tx.slices(batch.column(1)):
-                tokens, first = _tokens(raw, offsets)
-                s = _symbols(m.head, tokens)
-                at = np.minimum(np.searchsorted(m.near, tokens), max(len(m.near) - 1, 0))
-                near = m.near[at] == tokens if len(m.near) else np.zeros(len(tokens), bool)
-                value = m.log_table[np.concatenate([[end], s[:-1]]), s].astype(np.float64)
-                base = np.zeros(len(tokens))
-                value[near] += tail_near[at[near]]
-                base[near] = base_near[at[near]]
-                starts = first[:-1]
-                sums = [np.add.reduceat(x, starts) for x in (value, base, near.astype(np.int64))]
-                rows = j - i
-                keys = batch.column(2).slice(i, rows)
-                # The rest is looked up: one row for each document and token that is not near.
-                far = np.flatnonzero(~near)
-                doc = np.searchsorted(first, far, side="right") - 1
-                order = np.lexsort((tokens[far], doc))
-                d, t = doc[order], tokens[far][order]
-                new = np.ones(len(d), dtype=bool)
-                new[1:] = (d[1:] != d[:-1]) | (t[1:] != t[:-1])
-                begin = np.flatnonzero(new)
-                times = np.diff(np.append(begin, len(d)))
-                n_tokens = np.diff(first)
-                d, t = d[begin], t[begin]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.concat_arrays([keys, keys.take(pa.array(d))]),
-                        # A document's own row carries a key that no token has a count for.
-                        pa.concat_arrays([pa.nulls(rows, pa.int64()), pa.array(tx.signed(t))]),
-                        pa.array(np.concatenate([np.zeros(rows, np.int64), times])),
-                        pa.array(np.concatenate([n_tokens, np.zeros(len(d), np.int64)])),
-                        pa.array(np.concatenate([sums[2], np.zeros(len(d), np.int64)])),
-                        pa.array(np.concatenate([sums[1], np.zeros(len(d))])),
-                        pa.array(np.concatenate([sums[0], np.zeros(len(d))])),
-                    ],
-                    names=["_key", "token", "times", "n_tokens", "n_known", "base", "value"],
-                )
-
-    keyed = plain.select("_id", "_text", F.xxhash64("_id", "_text").alias("_key"))
-    rows = keyed.mapInArrow(read, "_key bigint, token bigint, times bigint, n_tokens bigint, n_known bigint, base double, value double")
-    # Own rows have no token; their join key is spread over all partitions and meets nothing.
-    rows = rows.withColumn("token", F.coalesce("token", F.xxhash64("_key", F.lit("own"))))
-    far_counts = counts.select("token", F.col("n").alias("c"))
-    c = F.coalesce("c", F.lit(0))
-    tail_scale = float(np.log10(strength + model.tail_total)) if model.tail_total else 0.0
-    unseen = float(np.log10(strength + discount * model.tail_kinds)) if model.tail_total else 0.0
-    tail = F.when(F.col("c").isNull(), F.lit(unseen)).otherwise(F.log10(F.col("c") - discount)) - tail_scale
-    looked = rows.join(far_counts, "token", "left").select(
-        "_key", "n_tokens",
-        (F.col("n_known") + F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("n_known"),
-        (F.col("base") + F.when(F.col("times") > 0, F.col("times") * (F.log10(c + 1.0) - scale)).otherwise(0.0)).alias("base"),
-        (F.col("value") + F.when(F.col("times") > 0, F.col("times") * (tail if model.tail_total else F.lit(0.0))).otherwise(0.0)).alias("value"),
-        F.when(F.col("times") == 0, 1).otherwise(0).alias("own"),
+            col = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
+            as_numpy = lambda name, empty: col[name].fill_null(empty).to_numpy(zero_copy_only=False)
+            u, w, times, train = (col[x].to_numpy(zero_copy_only=False) for x in ("u", "w", "times", "train"))
+            pair = times > 0
+            mass = np.where(col["mass"].is_null().to_numpy(zero_copy_only=False), np.where(train, 1 - discount, 0.0), as_numpy("mass", 0.0))
+            near_u, near_w = pair & (u >= 0), pair & (w >= 0)
+            far_w = pair & (w < 0)
+            n_u, n_w = as_numpy("n_u", 0).copy(), as_numpy("n_w", 0)
+            n_u[near_u] = m.count[u[near_u]]
+            p = np.zeros(len(u))
+            for k in range(samples):
+                share = np.where(n_u > 1, as_numpy(f"share{k}", 0.0), np.where(n_u == 1, (strength + discount) / (strength + 1), 1.0))
+                share[near_u] = m.share[k][u[near_u]]
+                parent = np.where(n_w > 1, as_numpy(f"parent{k}", 0.0), np.where(n_w == 1, m.once[k], m.unseen[k]))
+                parent[near_w] = m.parent[k][w[near_w]]
+                p += share * parent / samples
+            p += mass / (strength + n_u)
+            logs = np.where(pair, times * np.log10(np.where(pair, p, 1.0)), 0.0)
+            base = np.where(far_w, times * (np.log10(n_w + 1.0) - scale), 0.0)
+            known = np.where(far_w & (n_w > 0), times, 0).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    col["_key"], col["n_tokens"], pa.array(col["n_known"].to_numpy() + known), pa.array(col["base"].to_numpy() + base),
+                    pa.array(col["value"].to_numpy() + logs), col["own"],
+                ],
+                names=["_key", "n_tokens", "n_known", "base", "value", "own"],
+            )
+
+    keyed = plain.withColumn("_key", F.xxhash64("_id", "_text"))
+    masses = seen.select("u", "w", "mass")
+    none = {f"{x}{k}": F.lit(None).cast("double") for x in ("share", "parent") for k in range(samples)}
+    none |= {x: F.lit(None).cast("bigint") for x in ("n_u", "n_w")}
+    inner = read(True).join(masses.filter(~_far("u") & ~_far("w")), ["u", "w"], "left").withColumns(none)
+    outer = read(False).join(masses.filter(_far("u") | _far("w")), ["u", "w"], "left")
+    outer = outer.withColumns({"ku": _spread("u", "w", "_key"), "kw": _spread("w", "u", "_key")})
+    outer = outer.join(far.select(F.col("token").alias("ku"), F.col("n").alias("n_u"), *[F.col("share")[k].alias(f"share{k}") for k in range(samples)]), "ku", "left")
+    outer = outer.join(far.select(F.col("token").alias("kw"), F.col("n").alias("n_w"), *[F.col("parent")[k].alias(f"parent{k}") for k in range(samples)]), "kw", "left")
+    looked = inner.unionByName(outer.select(inner.columns)).mapInArrow(
+        value, "_key bigint, n_tokens bigint, n_known bigint, base double, value double, own int"
     )
     # Equal rows have equal keys, so their sums are shared out again.
     summed = looked.groupBy("_key").agg(*[F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "value", "own")])

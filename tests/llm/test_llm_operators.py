@@ -208,34 +208,97 @@ def test_sketches_cannot_miss():
         assert 1 <= contamination.sketch_share(n) <= contamination.sketch_length(n)
 
 
-def test_language_model(spark, docs):
-    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
-    found = by_id(pitman_yor.score(docs, ~held, head=20, samples=2, burn_in=1))
-    count = collections.Counter()
+def _sit(customers, others, parent, key, number, discount=0.6, strength=1.0):
+    """Tables of one dish, seated in the documented groups with the sampler's own draws."""
+    tables = seated = min(customers, 1)
+    step = 0
+    while seated < customers:
+        group = min(max(seated // 16, 1), customers - seated)
+        new = (strength + discount * (others + tables)) * parent
+        p = new / (new + seated - discount * tables)
+        draw = pitman_yor._uniform(np.array([key], np.uint64), number, step)
+        tables += int(pitman_yor._binomial(np.array([group]), np.array([p]), draw)[0])
+        seated += group
+        step += 1
+    return tables
+
+
+def _plain_model(near, burn_in, samples, d=0.6, s=1.0):
+    """Whole restaurants in dictionaries: (P(w | u) averaged, counts, hashes of words); None stands for the end of a text."""
+    pair, count, hashed = collections.Counter(), collections.Counter(), {None: pitman_yor.END}
     for i, t in corpus():
+        w = [*WORD.findall(low(t)), None]
+        for x in w[:-1]:
+            if x not in hashed:
+                raw = np.frombuffer(x.encode(), np.uint8)
+                hashed[x] = text.words(raw, np.array([0, len(raw)])).hash[0]
         if zlib.crc32(str(i).encode()) % 7 != 2:
-            count.update([*WORD.findall(low(t)), None])
+            count.update(w)
+            pair.update(zip([None, *w[:-1]], w))
+    number = {x: pitman_yor._numbers(near, np.array([h], np.uint64))[0] for x, h in hashed.items()}
+    base = 1 / (len(count) + 1)
+    t, root, root_total = dict.fromkeys(pair, 1), dict.fromkeys(count, 1), len(count)
+    found = []
+    for k in range(-1, burn_in + samples):
+        if k >= 0:
+            t = {
+                (u, w): _sit(n, tables[u] - t[u, w], p[w], pitman_yor._key(np.array([number[u]]), np.array([number[w]]))[0], k)
+                for (u, w), n in pair.items()
+            }
+        tables, customers = collections.Counter(), collections.Counter()
+        for (u, w), x in t.items():
+            tables[u] += x
+            customers[w] += x
+        keys = {w: hashed[w] if number[w] >= 0 else np.array([number[w]]).view(np.uint64)[0] for w in count}
+        root = {w: _sit(customers[w], root_total - root[w], base, keys[w], 1000 + k) for w in count}
+        root_total = sum(root.values())
+        spare, scale = (s + d * root_total) * base, s + sum(customers.values())
+        p = {w: (customers[w] - d * root[w] + spare) / scale for w in count}
+        if k >= burn_in:
+            found.append((t, tables, p, spare / scale))
+
+    def probability(u, w):
+        one = [
+            (pair[u, w] - d * t.get((u, w), 0) + (s + d * tables[u]) * p.get(w, unknown)) / (s + count[u])
+            for t, tables, p, unknown in found
+        ]
+        return sum(one) / samples
+
+    return probability, count
+
+
+@pytest.mark.parametrize("near, pairs", [(1 << 20, 1 << 20), (40, 30), (0, 0)])
+def test_language_model(spark, docs, near, pairs):
+    """Whatever travels with the model or is joined, the score is that of whole restaurants."""
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    found = by_id(pitman_yor.score(docs, ~held, samples=2, burn_in=1, near=near, pairs=pairs))
+    kept = docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("_text"), (~held).alias("_train"))
+    model, _, _ = pitman_yor.train(kept, samples=1, burn_in=0, near=near)
+    probability, count = _plain_model(model.near, 1, 2)
+    assert len(model.near) <= near + 1
     total, kinds = sum(count.values()), len(count)
     for i, t in corpus():
         w = [*WORD.findall(low(t)), None]
         r = found[i]
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(count[x] > 0 for x in w), total)
         assert r.base_score == pytest.approx(sum(math.log10((count[x] + 1) / (total + kinds + 1)) for x in w))
-        assert r.score < 0 and math.isfinite(r.score)
+        assert r.score == pytest.approx(sum(math.log10(probability(*x)) for x in zip([None, *w[:-1]], w)), rel=1e-5)
+    for u in [None, *list(count)[:3], "never seen"]:
+        assert sum(probability(u, w) for w in count) + probability(u, "never seen") == pytest.approx(1)
 
 
-def test_language_model_is_a_distribution(docs):
-    model, _ = pitman_yor.train(docs, head=20, samples=2, burn_in=1)
-    assert np.allclose((10.0 ** model.log_table).sum(axis=1), 1, atol=1e-4)
-    tail = ~np.isin(model.near, model.head)
-    known = 10 ** pitman_yor.tail_log(model.near_count[tail], model, 0.6, 1.0)
-    assert known.sum() + 10 ** pitman_yor.tail_log(np.array([0]), model, 0.6, 1.0)[0] == pytest.approx(1)
+def test_binomial_quantiles():
+    rng = np.random.default_rng(3)
+    for n, p in ((1, 0.3), (12, 0.02), (40, 0.9), (4000, 0.2), (100_000, 1e-5)):
+        drawn = pitman_yor._binomial(np.full(20_000, n), np.full(20_000, p), rng.random(20_000))
+        assert drawn.min() >= 0 and drawn.max() <= n
+        assert drawn.mean() == pytest.approx(n * p, rel=0.05) and drawn.var() == pytest.approx(n * p * (1 - p), rel=0.12)
+    assert pitman_yor._binomial(np.array([5, 5]), np.array([1.0, 0.0]), np.array([0.5, 0.5])).tolist() == [5, 0]
 
 
 def test_seating_follows_the_restaurant_rule():
-    rng = np.random.default_rng(0)
     n, zero = np.full(4000, 6), np.zeros(4000)
-    tables = pitman_yor.seat(n, zero, np.ones(4000), 0.5, 1.0, rng)
+    tables = pitman_yor.seat(n, zero, np.ones(4000), 0.5, 1.0, np.arange(4000, dtype=np.uint64), 0)
     expected = 1.0
     dist = {1: 1.0}
     for seated in range(1, 6):
