@@ -9,7 +9,8 @@ parent's customers. Predictive probabilities are averaged over the sweeps after
 A dish with one customer always has one table, so seats are kept for pairs that occur twice or more; with N customers in
 a restaurant, its tables are N less the sum of (customers - tables) over those pairs. A training document's pair that is
 not among them has one customer. The ``NEAR`` most frequent tokens travel to every task with their probabilities, and so
-do at most ``PAIRS`` of the most frequent pairs, both only to save joins; all other tokens and pairs are joined.
+do at most ``PAIRS`` of the most frequent pairs and a filter of the others, only to save joins; all that they do not settle
+is joined.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallystrata.llm import text as tx
+from tallystrata.llm import bloom, text as tx
 from tallystrata.sources import files
 from tallystrata.sources.scratch import scratch_path, stored
 
@@ -98,6 +99,9 @@ def pair_counts(docs: DataFrame, near: np.ndarray) -> DataFrame:
     def piece(found):
         u, w, train = (np.concatenate(x) for x in zip(*found))
         index, n = _distinct_pairs(u, w, train)
+        # Neighbours that share their context take less room in the exchange.
+        order = np.lexsort((w[index], u[index]))
+        index, n = index[order], n[order]
         inside = train[index]
         return pa.RecordBatch.from_arrays(
             [pa.array(u[index]), pa.array(w[index]), pa.array(np.where(inside, n, 0)), pa.array(~inside)], names=["u", "w", "n", "out"]
@@ -349,10 +353,17 @@ def score(
     plain = docs.select(F.col(id_column).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"), train_on.alias("_train"))
     model, far, seen = train(plain, discount, strength, burn_in, samples, near)
     inner = seen.filter(~_far("u") & ~_far("w"))
-    top = inner.filter(F.col("n") >= _least(inner, pairs)).select("u", "w", "mass").toArrow()
+    least = _least(inner, pairs)
+    top = inner.filter(F.col("n") >= least).select("u", "w", "mass").toArrow()
     packed = top["u"].to_numpy() * len(model.near) + top["w"].to_numpy()
     order = np.argsort(packed)
-    shared = spark.sparkContext.broadcast((tuple(model), packed[order], top["mass"].to_numpy()[order].astype(np.float32)))
+
+    def keyed_pairs(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(tx.signed(_key(batch.column(0).to_numpy(), batch.column(1).to_numpy())))], names=["key"])
+
+    others = bloom.bitmap(inner.filter(F.col("n") < least).select("u", "w").mapInArrow(keyed_pairs, "key bigint"), "key")
+    shared = spark.sparkContext.broadcast((tuple(model), packed[order], top["mass"].to_numpy()[order].astype(np.float32), others))
     scale = np.log10(model.total + model.kinds + 1) if model.total else 0.0
     columns = "_key bigint, u bigint, w bigint, times int, train boolean, n_tokens bigint, n_known bigint, base double, value double, own int"
     names = [c.split()[0] for c in columns.split(", ")]
@@ -361,7 +372,7 @@ def score(
         """Near pairs and each document's own row, or the pairs with a far token: one row for each that needs a join."""
 
         def rows(batches):
-            values, packed, mass = shared.value
+            values, packed, mass, others = shared.value
             m = Model(*values)
             base_near = np.where(m.count > 0, np.log10(m.count + 1.0) - scale, 0.0 - scale)
             for batch in batches:
@@ -381,8 +392,12 @@ def score(
                         pair = u[at] * len(m.near) + w[at]
                         place = np.minimum(np.searchsorted(packed, pair), max(len(packed) - 1, 0))
                         found = packed[place] == pair if len(packed) else np.zeros(len(at), bool)
+                        # A pair that is nowhere has one customer in training, the document's own, and none outside.
+                        own_mass = np.where(train[i:j][doc[at]], 1 - discount, 0.0)
+                        own_mass[found] = mass[place[found]]
+                        found[~found] = ~bloom.hits(others, _key(u[at[~found]], w[at[~found]]))
                         hit = at[found]
-                        p = mass[place[found]] / (strength + m.count[u[hit]]) + _mean_of_products(m.share[:, u[hit]], m.parent[:, w[hit]])
+                        p = own_mass[found] / (strength + m.count[u[hit]]) + _mean_of_products(m.share[:, u[hit]], m.parent[:, w[hit]])
                         value = np.zeros(len(tokens))
                         value[hit] = np.log10(p)
                         base, known = np.zeros(len(tokens)), np.zeros(len(tokens), np.int64)
@@ -418,7 +433,7 @@ def score(
 
     def value(batches):
         """Adds the looked-up pairs, of which ``mass`` and for far tokens ``n_u, n_w`` and the samples are given."""
-        values, _, _ = shared.value
+        values, *_ = shared.value
         m = Model(*values)
         for batch in batches:
             col = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
@@ -450,7 +465,7 @@ def score(
             )
 
     keyed = plain.withColumn("_key", F.xxhash64("_id", "_text"))
-    masses = seen.select("u", "w", "mass")
+    masses = seen.filter((F.col("n") < least) | _far("u") | _far("w")).select("u", "w", "mass")
     none = {f"{x}{k}": F.lit(None).cast("double") for x in ("share", "parent") for k in range(samples)}
     none |= {x: F.lit(None).cast("bigint") for x in ("n_u", "n_w")}
     inner = read(True).join(masses.filter(~_far("u") & ~_far("w")), ["u", "w"], "left").withColumns(none)
