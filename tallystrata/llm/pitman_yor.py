@@ -95,6 +95,7 @@ def pair_counts(docs: DataFrame, near: np.ndarray) -> DataFrame:
     ``docs`` has the columns ``_text`` and ``_train``; a text begins after an end.
     """
     known = docs.sparkSession.sparkContext.broadcast(near)
+    size_of_near = len(near)
 
     def piece(found):
         u, w, train = (np.concatenate(x) for x in zip(*found))
@@ -102,9 +103,11 @@ def pair_counts(docs: DataFrame, near: np.ndarray) -> DataFrame:
         # Neighbours that share their context take less room in the exchange.
         order = np.lexsort((w[index], u[index]))
         index, n = index[order], n[order]
-        inside = train[index]
+        u, w = u[index], w[index]
+        both = (u >= 0) & (w >= 0)
         return pa.RecordBatch.from_arrays(
-            [pa.array(u[index]), pa.array(w[index]), pa.array(np.where(inside, n, 0)), pa.array(~inside)], names=["u", "w", "n", "out"]
+            [pa.array(np.where(both, u * size_of_near + w, u)), pa.array(w, mask=both), pa.array(np.where(train[index], n, 0))],
+            names=["u", "w", "n"],
         )
 
     def count(batches):
@@ -123,10 +126,15 @@ def pair_counts(docs: DataFrame, near: np.ndarray) -> DataFrame:
         if found:
             yield piece(found)
 
-    rows = docs.select("_text", "_train").mapInArrow(count, "u bigint, w bigint, n bigint, out boolean")
+    # A pair of near tokens is one number in u, without w; documents outside give n = 0.
+    rows = docs.select("_text", "_train").mapInArrow(count, "u bigint, w bigint, n bigint")
     # Pieces are distinct already: summing them once more before the exchange would only fill memory.
-    counted = rows.repartition("u", "w").groupBy("u", "w").agg(F.sum("n").alias("n"), F.max("out").alias("out"))
-    return counted.filter("n > 1 or (n = 1 and out)").select("u", "w", "n")
+    counted = rows.repartition("u", "w").groupBy("u", "w").agg(F.sum("n").alias("n"), F.min("n").alias("least"))
+    both, size = F.col("w").isNull(), F.lit(size_of_near)
+    return counted.filter("n > 1 or (n = 1 and least = 0)").select(
+        F.when(both, F.expr(f"u div {size_of_near}")).otherwise(F.col("u")).alias("u"),
+        F.when(both, F.col("u") % size).otherwise(F.col("w")).alias("w"), "n",
+    )
 
 
 def _uniform(key: np.ndarray, number: int, step: int) -> np.ndarray:
@@ -189,6 +197,19 @@ def _spread(token: str, *others: str) -> Column:
     return F.when(F.col(token) < 0, F.col(token)).otherwise(F.xxhash64(token, *others).bitwiseAND(F.lit(2**63 - 1)))
 
 
+def _merged(batches, rows: int = 1 << 17):
+    """Larger batches of the same rows, as each one costs a fixed number of steps."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _far(token: str) -> Column:
     return F.col(token) < 0
 
@@ -199,7 +220,7 @@ def _sweep(state: DataFrame, far: DataFrame, tables: np.ndarray, parent: np.ndar
 
     def seat_all(batches):
         near_tables, near_parent = shared.value
-        for batch in batches:
+        for batch in _merged(batches):
             u, w, n, t, kept = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
             total = batch.column(5).fill_null(0).to_numpy(zero_copy_only=False).copy()
             p = batch.column(6).fill_null(0.0).to_numpy(zero_copy_only=False).copy()
@@ -280,7 +301,7 @@ def train(
         before = root_total
 
         def seat_far(batches):
-            for batch in batches:
+            for batch in _merged(batches):
                 key, own, c = (batch.column(k).to_numpy() for k in (0, 2, 6))
                 new = seat(c, before - own, np.full(len(c), base), discount, strength, key.astype(np.int64).view(np.uint64), 1000 + number)
                 yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(new), *batch.columns[3:]], names=batch.schema.names)
