@@ -1,8 +1,8 @@
 """Language-model scores from a hierarchical Pitman-Yor process over the whole vocabulary.
 
 Each token has a restaurant of its own whose customers are the tokens that followed it; all of them share one parent
-restaurant, whose customers are the tables of its children and whose base is uniform over the training tokens and one
-outcome for all unknown ones. A Gibbs sweep lets all customers of one dish in one restaurant stand up and seats them
+restaurant, whose customers are the tables of its children and whose base is diffuse: each
+token has one table there, and what the base keeps belongs to all unknown tokens together. A Gibbs sweep lets all customers of one dish in one restaurant stand up and seats them
 anew, one after the other, by the Chinese-restaurant rule, with everything else as it is; the sampled tables then are the
 parent's customers. Predictive probabilities are averaged over the sweeps after burn-in.
 
@@ -264,7 +264,6 @@ def train(
     zero = F.lit(0).cast("bigint")
     pairs = stored(pair_counts(docs, token), "pairs")
     state = pairs.filter("n > 1").select("u", "w", "n", one.alias("t"), zero.alias("kept"))
-    base = 1 / (kinds + 1)
     root = np.minimum(n, 1)
     far = far_counts.filter("n > 1").select(
         "token", "n", one.alias("root"), F.array().cast("array<double>").alias("share"), F.array().cast("array<double>").alias("parent")
@@ -293,7 +292,7 @@ def train(
         at = mine["token"].to_numpy()
         tables[at] -= mine["as_u"].to_numpy()
         customers[at] -= mine["as_w"].to_numpy()
-        root = seat(customers, root_total - root, np.full(len(n), base), discount, strength, token, 1000 + number)
+        root = seat(customers, root_total - root, np.zeros(len(n)), discount, strength, token, 1000 + number)
         seated = far.join(gaps.filter(_far("token")), "token", "left").select(
             "token", "n", "root", "share", "parent", (F.col("n") - F.coalesce("as_u", zero)).alias("total"),
             (F.col("n") - F.coalesce("as_w", zero)).alias("customers"),
@@ -303,7 +302,7 @@ def train(
         def seat_far(batches):
             for batch in _merged(batches):
                 key, own, c = (batch.column(k).to_numpy() for k in (0, 2, 6))
-                new = seat(c, before - own, np.full(len(c), base), discount, strength, key.astype(np.int64).view(np.uint64), 1000 + number)
+                new = seat(c, before - own, np.zeros(len(c)), discount, strength, key.astype(np.int64).view(np.uint64), 1000 + number)
                 yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(new), *batch.columns[3:]], names=batch.schema.names)
 
         moved = cut(seated.mapInArrow(seat_far, seated.schema), "words")
@@ -313,16 +312,16 @@ def train(
         single = int(kinds) - far_kinds - int((n > 0).sum())
         root_total = int(root.sum()) + far_root + single
         scale = strength + int(customers.sum()) + far_customers + single
-        spare = (strength + discount * root_total) * base
-        p = (customers - discount * root + spare) / scale
-        far = moved.withColumn("p", (F.col("customers") - discount * F.col("root") + spare) / scale)
+        spare = (strength + discount * root_total) / scale
+        p = np.where(n > 0, (customers - discount * root) / scale, spare)
+        far = moved.withColumn("p", (F.col("customers") - discount * F.col("root")) / scale)
         if keep:
             share = (strength + discount * F.col("total")) / (strength + F.col("n"))
             far = far.withColumns({"share": F.concat("share", F.array(share)), "parent": F.concat("parent", F.array("p"))})
             shares.append((strength + discount * tables) / (strength + n))
             parents.append(p)
-            once.append((1 - discount + spare) / scale)
-            unseen.append(spare / scale)
+            once.append((1 - discount) / scale)
+            unseen.append(spare)
         return tables, p
 
     tables, p = follow(-1, False)

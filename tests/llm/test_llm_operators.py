@@ -236,7 +236,6 @@ def _plain_model(near, burn_in, samples, d=0.6, s=1.0):
             count.update(w)
             pair.update(zip([None, *w[:-1]], w))
     number = {x: pitman_yor._numbers(near, np.array([h], np.uint64))[0] for x, h in hashed.items()}
-    base = 1 / (len(count) + 1)
     t, root, root_total = dict.fromkeys(pair, 1), dict.fromkeys(count, 1), len(count)
     found = []
     for k in range(-1, burn_in + samples):
@@ -250,10 +249,10 @@ def _plain_model(near, burn_in, samples, d=0.6, s=1.0):
             tables[u] += x
             customers[w] += x
         keys = {w: hashed[w] if number[w] >= 0 else np.array([number[w]]).view(np.uint64)[0] for w in count}
-        root = {w: _sit(customers[w], root_total - root[w], base, keys[w], 1000 + k) for w in count}
+        root = {w: _sit(customers[w], root_total - root[w], 0.0, keys[w], 1000 + k) for w in count}
         root_total = sum(root.values())
-        spare, scale = (s + d * root_total) * base, s + sum(customers.values())
-        p = {w: (customers[w] - d * root[w] + spare) / scale for w in count}
+        spare, scale = s + d * root_total, s + sum(customers.values())
+        p = {w: (customers[w] - d * root[w]) / scale for w in count}
         if k >= burn_in:
             found.append((t, tables, p, spare / scale))
 
