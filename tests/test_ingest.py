@@ -5,14 +5,15 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tallystrata.plans import load, silver
-from tallystrata.sources import files
+from tallystrata.plans import load, quality, silver
+from tallystrata.sources import delimited, files, records
 from tallystrata.sources.delimited import (
     BAD_KEY, CORRUPT, OPEN_QUOTE, REASON, TOO_SHORT, TOO_WIDE, file_encodings, header_of, read_raw, read_typed, with_row_index,
 )
 from tallystrata.sources.layers import Lake, without_lineage
 from tallystrata.sources.scratch import stored
 from tallystrata.sources.tables import BY_NAME, INDEX_SERIES, unique_names
+from workload import raw
 
 
 def put(path, text, encoding="utf-8"):
@@ -274,3 +275,44 @@ def test_load_is_all_or_nothing(spark, tmp_path):
     assert {r.table: r.rows for r in load.load_counts(again).collect()} == {"transactions": 2, "index_series": 1}
     assert sorted(r.tx_id for r in again.read("staging", "transactions").collect()) == [1, 2]
     assert files.names(spark, f"{root}/staging") == files.names(spark, f"{root}/_published/staging")
+
+
+@pytest.mark.parametrize("lines, size", [(1, 1), (3, 40), (1 << 14, 1 << 24)])
+def test_records_do_not_depend_on_pieces(spark, tmp_path, monkeypatch, lines, size):
+    """What one task sorts is set by the size of the pieces, not by that of a block."""
+    monkeypatch.setattr(records, "PIECE_LINES", lines)
+    monkeypatch.setattr(delimited, "TOUCHED_BYTES", size)
+    text, want = "k,v\n", []
+    for i in range(60):
+        value = f"a{i}" + "\nb" * (i % 4) if i % 3 else f"c{i}"
+        text += f'{i},"{value}"\n' if i % 3 else (f'{i},"{value}\n' if i % 15 == 0 else f"{i},{value}\n")
+        want.append((str(i), value) if i % 15 or i % 3 else ("set aside", f'{i},"{value}'))
+    got = read_raw(spark, put(tmp_path / "t.csv", text))
+    assert sorted((OPEN_QUOTE == r[REASON] and "set aside" or r.k, r[CORRUPT] or r.v) for r in got.collect()) == sorted(want)
+    parts = records.assemble(delimited._lines(spark, str(tmp_path / "t.csv")).withColumn("_text", F.col("_raw")).drop("_raw"), 2, 7)
+    assert parts.filter("not _stray").count() == len(want) - 4 + 1   # and the header
+
+
+def test_faulty_rows_are_written_by_ranges(spark, tmp_path, monkeypatch):
+    """Each range of keys is a file of its own, with a header; no task sorts all rows."""
+    bank, one = raw.Bank(spark, "/root/testdata/sf0.001"), None
+    for coalesced, files_least in (("true", 1), ("false", 3)):
+        path = str(tmp_path / coalesced)
+        monkeypatch.setattr(raw, "scratch_path", lambda spark, name: f"{path}/{name}")  # noqa: B023
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesced)
+        found = sorted(tuple(r) for r in raw.rejects(bank).collect())
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        written = list((tmp_path / coalesced).glob("raw/*/part-*"))
+        assert len(written) >= files_least and all(f.read_text().startswith("cod_transacao,") for f in written)
+        one = one or found
+        assert found == one
+
+
+def test_scanned_measures_are_kept_with_the_observed(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.write(spark.range(5), "bronze", "t", {"rows": F.count(F.lit(1))}, {"last": F.max("id")})
+    assert lake.measured("bronze") == {"t": {"rows": 5, "last": 4}}
+    table = BY_NAME["proposals"]
+    rows = spark.createDataFrame([("1.5", False, None)], f"valor_proposta string, _rejected boolean, {REASON} string")
+    assert not [m for m in quality.bronze_measures(rows, table) if m.startswith("digits")]
+    assert quality.amount_measures(rows, table).keys() == {"digits:valor_proposta", "places:valor_proposta"}
