@@ -25,6 +25,21 @@ def test_dedup_reduces_before_the_exchange(rows):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+@pytest.mark.parametrize("few", [0, 1, 2, 20_000])
+def test_first_of_few_equals_first(rows, few):
+    data = [(k, i % 4, i) for i, k in enumerate([1, 2, None, 3, 1, 4, None, 5, 1, 6, 7])]
+    df = rows("k int, v int, pos int", *data)
+    want = tuples(dedup.keep_first(df, ["k"], ["pos"]))
+    assert tuples(dedup.keep_first_of_few(df, "k", ["pos"], few)) == want
+    assert tuples(dedup.keep_first_of_few(df.filter("pos = 2"), "k", ["pos"], few)) == [(None, 2, 2)]
+
+
+def test_rows_stay_where_no_key_repeats(rows):
+    df = rows("k int, v string, pos int", (1, "b", 2), (2, "a", 1), (None, "c", 3))
+    plan = dedup.keep_first_of_few(df, "k", ["pos"])._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
 def test_distinct_rows(rows):
     df = rows("a int, b int", (1, 2), (1, 2), (1, None), (1, None))
     assert tuples(dedup.distinct_rows(df)) == [(1, 2), (1, None)]
