@@ -12,6 +12,7 @@ from tallystrata.sources.layers import Lake
 from tallystrata.sources.report_store import manifest, read_section
 from tallystrata.sources.tables import Field, Table
 from workload import raw
+from tallystrata.sources.tables import BY_NAME
 from workload.bank import Bank
 
 SF = "/root/testdata/sf0.001"
@@ -35,6 +36,11 @@ def section(lake, name):
     return [json.loads(line) for part in parts for line in part.read_text().splitlines()]
 
 
+def test_raw_files_are_small_and_compressed(raw_root):
+    files = [f for table in ("transactions", "proposals") for f in Path(raw_root, BY_NAME[table].file).glob("part-*")]
+    assert files and all(f.name.endswith(".csv.gz") for f in files)
+
+
 def test_all_checks_pass(finished, spark):
     outcome, lake = finished
     assert [c for c in outcome.checks if not c.passed] == []
