@@ -19,6 +19,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallystrata.llm import bloom, text as tx
@@ -33,6 +34,8 @@ END = np.uint64(0x0E0F0E0F0E0F0E0F)
 NEAR, PAIRS = 1 << 20, 1 << 20
 #: Tokens whose pairs are counted together within a task.
 PIECE = 1 << 21
+#: Near tokens that the driver seats at once.
+SLICE = 1 << 16
 _FAR = np.uint64(1 << 63)
 
 
@@ -89,13 +92,12 @@ def token_counts(train: DataFrame, text: str) -> DataFrame:
     return train.select(text).mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def pair_counts(docs: DataFrame, near: np.ndarray) -> DataFrame:
+def pair_counts(docs: DataFrame, known: Broadcast) -> DataFrame:
     """``u, w, n``: token w follows token u n times in training; pairs with n = 1 only where a document outside has them too.
 
-    ``docs`` has the columns ``_text`` and ``_train``; a text begins after an end.
+    ``docs`` has the columns ``_text`` and ``_train``; a text begins after an end. ``known`` are the near tokens.
     """
-    known = docs.sparkSession.sparkContext.broadcast(near)
-    size_of_near = len(near)
+    size_of_near = len(known.value)
 
     def piece(found):
         u, w, train = (np.concatenate(x) for x in zip(*found))
@@ -188,6 +190,15 @@ def seat(customers: np.ndarray, others: np.ndarray, parent: np.ndarray, discount
     return tables
 
 
+def _seat_roots(customers: np.ndarray, others: np.ndarray, discount: float, strength: float, key: np.ndarray, number: int) -> np.ndarray:
+    """``seat`` in the parent restaurant, a slice at a time: it needs a dozen arrays as long as its input."""
+    out = np.empty(len(customers), dtype=np.int64)
+    for i in range(0, len(customers), SLICE):
+        j = min(i + SLICE, len(customers))
+        out[i:j] = seat(customers[i:j], others[i:j], np.zeros(j - i), discount, strength, key[i:j], number)
+    return out
+
+
 def _key(u: np.ndarray, w: np.ndarray) -> np.ndarray:
     return tx.mix(u.astype(np.int64).view(np.uint64) * np.uint64(tx.BASE) + w.astype(np.int64).view(np.uint64))
 
@@ -214,9 +225,8 @@ def _far(token: str) -> Column:
     return F.col(token) < 0
 
 
-def _sweep(state: DataFrame, far: DataFrame, tables: np.ndarray, parent: np.ndarray, number: int, discount: float, strength: float, keep: bool) -> DataFrame:
-    """Seats all pairs anew; ``tables, parent``: near tokens' tables as contexts and probabilities as dishes, ``far`` the others'."""
-    shared = state.sparkSession.sparkContext.broadcast((tables, parent))
+def _sweep(state: DataFrame, far: DataFrame, shared: Broadcast, number: int, discount: float, strength: float, keep: bool) -> DataFrame:
+    """Seats all pairs anew; ``shared``: near tokens' tables as contexts and probabilities as dishes, ``far`` the others'."""
 
     def seat_all(batches):
         near_tables, near_parent = shared.value
@@ -257,12 +267,16 @@ def train(
         token, n = np.append(token, END), np.append(n, 0)
     order = np.argsort(token)
     token, n = token[order], n[order]
+    del top, order
     far_counts = counts.filter((F.col("n") < least) & (F.col("token") != end)).select(
         F.col("token").bitwiseOR(F.lit(-(2**63))).alias("token"), "n"
     )
     one = F.lit(1).cast("bigint")
     zero = F.lit(0).cast("bigint")
-    pairs = stored(pair_counts(docs, token), "pairs")
+    # Each broadcast goes when what reads it is written, so that the driver never holds more than one.
+    known = docs.sparkSession.sparkContext.broadcast(token)
+    pairs = stored(pair_counts(docs, known), "pairs")
+    known.destroy()
     state = pairs.filter("n > 1").select("u", "w", "n", one.alias("t"), zero.alias("kept"))
     root = np.minimum(n, 1)
     far = far_counts.filter("n > 1").select(
@@ -289,10 +303,12 @@ def train(
         gaps = cut(ends.groupBy("token").agg(F.sum("as_u").alias("as_u"), F.sum("as_w").alias("as_w")), "gaps")
         mine = gaps.filter(~_far("token")).toArrow()
         tables, customers = n.copy(), n.copy()
-        at = mine["token"].to_numpy()
-        tables[at] -= mine["as_u"].to_numpy()
-        customers[at] -= mine["as_w"].to_numpy()
-        root = seat(customers, root_total - root, np.zeros(len(n)), discount, strength, token, 1000 + number)
+        for batch in mine.to_batches():
+            at = batch.column("token").to_numpy()
+            tables[at] -= batch.column("as_u").to_numpy()
+            customers[at] -= batch.column("as_w").to_numpy()
+        del mine
+        root = _seat_roots(customers, root_total - root, discount, strength, token, 1000 + number)
         seated = far.join(gaps.filter(_far("token")), "token", "left").select(
             "token", "n", "root", "share", "parent", (F.col("n") - F.coalesce("as_u", zero)).alias("total"),
             (F.col("n") - F.coalesce("as_w", zero)).alias("customers"),
@@ -318,8 +334,8 @@ def train(
         if keep:
             share = (strength + discount * F.col("total")) / (strength + F.col("n"))
             far = far.withColumns({"share": F.concat("share", F.array(share)), "parent": F.concat("parent", F.array("p"))})
-            shares.append((strength + discount * tables) / (strength + n))
-            parents.append(p)
+            shares.append(((strength + discount * tables) / (strength + n)).astype(np.float32))
+            parents.append(p.astype(np.float32))
             once.append((1 - discount) / scale)
             unseen.append(spare)
         return tables, p
@@ -328,7 +344,10 @@ def train(
     for number in range(burn_in + samples):
         keep = number >= burn_in
         before = list(written)
-        state = cut(_sweep(state, far, tables, p, number, discount, strength, keep), "seats")
+        shared = docs.sparkSession.sparkContext.broadcast((tables, p))
+        del tables, p
+        state = cut(_sweep(state, far, shared, number, discount, strength, keep), "seats")
+        shared.destroy()
         tables, p = follow(number, keep)
         # Nothing reads the sweep before any more.
         for path in before:
@@ -377,14 +396,18 @@ def score(
     top = inner.filter(F.col("n") >= least).select("u", "w", "mass").toArrow()
     packed = top["u"].to_numpy() * len(model.near) + top["w"].to_numpy()
     order = np.argsort(packed)
+    packed, heavy = packed[order], top["mass"].to_numpy()[order].astype(np.float32)
+    del top, order
 
     def keyed_pairs(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(tx.signed(_key(batch.column(0).to_numpy(), batch.column(1).to_numpy())))], names=["key"])
 
     others = bloom.bitmap(inner.filter(F.col("n") < least).select("u", "w").mapInArrow(keyed_pairs, "key bigint"), "key")
-    shared = spark.sparkContext.broadcast((tuple(model), packed[order], top["mass"].to_numpy()[order].astype(np.float32), others))
+    shared = spark.sparkContext.broadcast((tuple(model), packed, heavy, others))
     scale = np.log10(model.total + model.kinds + 1) if model.total else 0.0
+    total = model.total
+    del packed, heavy, others, model
     columns = "_key bigint, u bigint, w bigint, times int, train boolean, n_tokens bigint, n_known bigint, base double, value double, own int"
     names = [c.split()[0] for c in columns.split(", ")]
 
@@ -502,7 +525,7 @@ def score(
     whole = lambda x: F.floor(each(x)).cast("bigint")
     results = summed.select(
         "_key", whole("n_tokens").alias("n_tokens"), whole("n_known").alias("n_known"),
-        F.lit(model.total).cast("bigint").alias("train_tokens"), each("base").alias("base_score"), each("value").alias("score"),
+        F.lit(total).cast("bigint").alias("train_tokens"), each("base").alias("base_score"), each("value").alias("score"),
         F.pow(F.lit(10.0), -F.col("value") / F.col("n_tokens")).alias("perplexity"),
     )
     ids = keyed.select(F.col("_id").alias("doc_id"), "_key")

@@ -295,6 +295,24 @@ def test_binomial_quantiles():
     assert pitman_yor._binomial(np.array([5, 5]), np.array([1.0, 0.0]), np.array([0.5, 0.5])).tolist() == [5, 0]
 
 
+def test_roots_are_seated_alike_in_slices(monkeypatch):
+    rng = np.random.default_rng(5)
+    customers, others, key = rng.integers(0, 90, 50), rng.integers(0, 9, 50), np.arange(50, dtype=np.uint64)
+    whole = pitman_yor.seat(customers, others, np.zeros(50), 0.6, 1.0, key, 3)
+    for size in (1, 7, 50, 1 << 16):
+        monkeypatch.setattr(pitman_yor, "SLICE", size)
+        assert pitman_yor._seat_roots(customers, others, 0.6, 1.0, key, 3).tolist() == whole.tolist()
+    assert len(pitman_yor._seat_roots(customers[:0], others[:0], 0.6, 1.0, key[:0], 3)) == 0
+
+
+def test_broadcasts_of_the_sweeps_are_destroyed(spark, docs, monkeypatch):
+    gone = []
+    monkeypatch.setattr(pitman_yor.Broadcast, "destroy", lambda self, blocking=False, end=pitman_yor.Broadcast.destroy: (gone.append(1), end(self, blocking)))
+    kept = docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("_text"), F.lit(True).alias("_train"))
+    pitman_yor.train(kept, samples=1, burn_in=1)
+    assert len(gone) == 3
+
+
 def test_seating_follows_the_restaurant_rule():
     n, zero = np.full(4000, 6), np.zeros(4000)
     tables = pitman_yor.seat(n, zero, np.ones(4000), 0.5, 1.0, np.arange(4000, dtype=np.uint64), 0)
