@@ -9,6 +9,12 @@ from tallystrata.sources.scratch import stored
 
 #: How far from a guess among the languages (0) to certainty (1) a prediction must be.
 LEAST_CERTAINTY = 1 / 15
+#: Bytes of rows that travel to Python at once; rows alone (10,000) are no bound where texts are long.
+BATCH = "8m"
+
+
+def _bounded(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,6 +22,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows are judged by themselves, whether ids are null or recur; without a labelled row nothing can be told, and all go.
     """
+    _bounded(spark)
     found = language.identify(docs, F.lit(True))
     guess = 1 / max(docs.agg(F.countDistinct("lang")).first()[0], 1)
     least = guess + (1 - guess) * LEAST_CERTAINTY - 1e-9
@@ -25,6 +32,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (but for the case of A-Z) the one with the largest id stays; null ids come last, and null texts count as
     empty. Of rows equal in text and id one stays."""
+    _bounded(spark)
     return exact.drop_duplicates(docs)
 
 
@@ -34,12 +42,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts are linked with nothing and stay. Rows with the same id are told apart by their texts; of rows equal
     in both one stays.
     """
+    _bounded(spark)
     return near.keep_first(docs, size=5, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go that hold 0.8 of a benchmark item's five-word shingles; null and empty texts hold none and stay, rows with
     null or repeated ids are judged by their own texts, and an empty benchmark drops nothing."""
+    _bounded(spark)
     return contamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
 
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallystrata.llm.text import free_name
+
 #: 2 ** 26 bits are 8 MB, the most that is broadcast whatever the input. A full filter lets everything pass.
 BITS = 1 << 26
 
@@ -48,3 +51,19 @@ def hits(bitmap_words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     for slot in (keys & last, (keys >> np.uint64(32)) & last):
         out &= (words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
     return out
+
+
+def apart(rows: DataFrame, key: Column, keys: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """(the rows whose 64-bit ``key`` is certainly not among ``keys``, all others), both with the columns of ``rows``.
+
+    Only the others have to meet ``keys`` in a join, and only key values go through Python: most rows never move.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap(keys, column))
+
+    @F.arrow_udf("boolean")
+    def may(values: pa.Array) -> pa.Array:
+        return pa.array(hits(shared.value, values.to_numpy(zero_copy_only=False)))
+
+    maybe = free_name(rows.columns, "_maybe")
+    marked = rows.withColumn(maybe, may(key))
+    return marked.filter(~F.col(maybe)).drop(maybe), marked.filter(F.col(maybe)).drop(maybe)

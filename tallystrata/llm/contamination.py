@@ -136,6 +136,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that hold no item."""
-    found = contained_items(docs, items, id_column, text, **options).select(F.col("_key").alias("_bad")).distinct()
-    return docs.join(found, F.xxhash64(docs[id_column], docs[text]) == found["_bad"], "left_anti")
+    """The rows of ``docs`` that hold no item. Texts are exchanged only where a filter of the found keys lets them pass."""
+    found = stored(contained_items(docs, items, id_column, text, **options).select(F.col("_key").alias("_bad")).distinct(), "contaminated")
+    clean, maybe = bloom.apart(docs, F.xxhash64(id_column, text), found, "_bad")
+    return clean.unionByName(maybe.join(found, F.xxhash64(maybe[id_column], maybe[text]) == found["_bad"], "left_anti"))

@@ -292,10 +292,12 @@ def keep_first(docs: DataFrame, id_column: str = "doc_id", text: str = "text", s
             F.col("id").alias("_id"), F.col("h").alias("_h"), F.col("k").alias("_k"), F.col("first").alias("_first")
         ), "told",
     )
-    h, k = _marks(docs[text])
-    same = docs[id_column].eqNullSafe(told["_id"]) & (h == told["_h"]) & (k == told["_k"])
-    passing = docs.join(told, same, "left_anti")
+    # Most rows are told by their hash alone to stay, and do not move.
+    alone, maybe = bloom.apart(docs, _marks(docs[text])[0], told, "_h")
+    h, k = _marks(maybe[text])
+    same = maybe[id_column].eqNullSafe(told["_id"]) & (h == told["_h"]) & (k == told["_k"])
+    passing = alone.unionByName(maybe.join(told, same, "left_anti"))
     repeated = told.filter("_first")
     if repeated.isEmpty():
         return passing
-    return passing.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates([id_column, text]))
+    return passing.unionByName(maybe.join(repeated, same, "left_semi").dropDuplicates([id_column, text]))

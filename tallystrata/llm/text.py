@@ -1,7 +1,7 @@
 """Vectorised reading of Arrow text columns: slices of whole documents, word borders and 64-bit word hashes.
 
-Everything here works on one slice of an Arrow batch, so memory follows the slice (about a megabyte, or one document if
-that is longer) and not the partition.
+Everything here works on one slice of an Arrow batch, so memory follows the slice (a quarter of a megabyte, or one document if
+that is longer; some forty bytes are held for each of its bytes) and not the partition.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 _U = np.uint64
 
 

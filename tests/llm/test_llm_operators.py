@@ -628,3 +628,30 @@ def test_word_hashes_do_not_depend_on_the_slice():
                 hashes, bounds = text.shingles(text.words(raw, offsets), size)
                 out += [hashes[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
         assert whole == parts
+
+
+def test_rows_apart_from_keys_do_not_move(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") > 9, F.col("id")).alias("a"), F.lit("x").alias("_maybe"))
+    keys = spark.range(500, 600).select(F.xxhash64("id").alias("k"))
+    alone, others = bloom.apart(rows, F.xxhash64("a"), keys, "k")
+    assert alone.columns == others.columns == rows.columns and alone.count() + others.count() == 3000
+    assert {r["a"] for r in others.collect()} >= set(range(500, 600)) and others.count() < 150
+    plan = alone._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert bloom.apart(rows, F.xxhash64("a"), keys.limit(0), "k")[1].isEmpty()
+
+
+def test_clean_documents_pass_without_an_exchange(spark):
+    item = " ".join(f"w{k}" for k in range(20))
+    docs = spark.createDataFrame([(1, f"a b {item} c"), (1, "a b c"), (None, item), (None, None), (2, "a b c")], "doc_id int, text string")
+    items = spark.createDataFrame([(1, item)], "item_id int, text string")
+    left = contamination.drop_contaminated(docs, items)
+    assert sorted(left.collect(), key=str) == sorted([(1, "a b c"), (None, None), (2, "a b c")], key=str)
+    union = left._jdf.queryExecution().optimizedPlan()
+    assert union.nodeName() == "Union" and "Join" not in union.children().apply(0).toString()
+
+
+def test_slices_hold_a_quarter_of_a_megabyte():
+    column = pa.array(["x" * 100_000] * 9 + ["y" * 600_000, None])
+    sizes = [(j - i, len(raw)) for i, j, raw, _ in text.slices(column)]
+    assert [n for n, _ in sizes] == [2, 2, 2, 2, 1, 1, 1] and max(b for n, b in sizes if n > 1) <= 1 << 18
