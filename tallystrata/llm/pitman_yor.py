@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallystrata.llm import bloom, text as tx
 from tallystrata.sources import files
-from tallystrata.sources.scratch import scratch_path, stored
+from tallystrata.sources.scratch import scratch_path, shuffles_let_go, stored
 
 DISCOUNT, STRENGTH = 0.6, 1.0
 BURN_IN, SAMPLES, SEED = 2, 4, 17
@@ -288,7 +288,8 @@ def train(
 
     def cut(df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(df.sparkSession, name)
-        df.write.parquet(path)
+        with shuffles_let_go(df.sparkSession):
+            df.write.parquet(path)
         written.append(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -516,11 +517,16 @@ def score(
     outer = outer.withColumns({"ku": _spread("u", "w", "_key"), "kw": _spread("w", "u", "_key")})
     outer = outer.join(far.select(F.col("token").alias("ku"), F.col("n").alias("n_u"), *[F.col("share")[k].alias(f"share{k}") for k in range(samples)]), "ku", "left")
     outer = outer.join(far.select(F.col("token").alias("kw"), F.col("n").alias("n_w"), *[F.col("parent")[k].alias(f"parent{k}") for k in range(samples)]), "kw", "left")
-    looked = inner.unionByName(outer.select(inner.columns)).mapInArrow(
-        value, "_key bigint, n_tokens bigint, n_known bigint, base double, value double, own int"
-    )
+    sums = [F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "value", "own")]
+
+    def looked(rows: DataFrame, name: str) -> DataFrame:
+        found = rows.select(inner.columns).mapInArrow(value, "_key bigint, n_tokens bigint, n_known bigint, base double, value double, own int")
+        return stored(found.groupBy("_key").agg(*sums), name)
+
+    # One after the other, so that the exchanged pairs of only one of them are on the disks.
+    parts = looked(inner, "inner").unionByName(looked(outer, "outer"))
     # Equal rows have equal keys, so their sums are shared out again.
-    summed = looked.groupBy("_key").agg(*[F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "value", "own")])
+    summed = parts.groupBy("_key").agg(*sums)
     each = lambda x: F.col(x) / F.col("own")
     whole = lambda x: F.floor(each(x)).cast("bigint")
     results = summed.select(

@@ -655,3 +655,12 @@ def test_slices_hold_a_quarter_of_a_megabyte():
     column = pa.array(["x" * 100_000] * 9 + ["y" * 600_000, None])
     sizes = [(j - i, len(raw)) for i, j, raw, _ in text.slices(column)]
     assert [n for n, _ in sizes] == [2, 2, 2, 2, 1, 1, 1] and max(b for n, b in sizes if n > 1) <= 1 << 18
+
+
+def test_pairs_of_scores_are_gone_when_results_are_read(spark):
+    few = spark.createDataFrame([(1, "a b a b"), (2, "a b c"), (3, None)], "doc_id int, text string")
+    scored = pitman_yor.score(few, F.col("doc_id") != 2, samples=1, burn_in=0, near=2)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan and scored.count() == 3
+    values = {r["doc_id"]: r for r in scored.collect()}
+    assert [values[k]["n_tokens"] for k in (1, 2, 3)] == [5, 4, 1] and values[2]["n_known"] == 3
