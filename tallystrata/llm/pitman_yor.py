@@ -11,6 +11,9 @@ a restaurant, its tables are N less the sum of (customers - tables) over those p
 not among them has one customer. The ``NEAR`` most frequent tokens travel to every task with their probabilities, and so
 do at most ``PAIRS`` of the most frequent pairs and a filter of the others, only to save joins; all that they do not settle
 is joined.
+
+Pairs of two near tokens, which are most, are dealt out by hash to buckets that hold some ``BUCKET`` training tokens each,
+and are exchanged, stored and met as one row of arrays for each bucket. Pairs with another token are rows of their own.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,7 +38,9 @@ END = np.uint64(0x0E0F0E0F0E0F0E0F)
 NEAR, PAIRS = 1 << 20, 1 << 20
 #: Tokens whose pairs are counted together within a task.
 PIECE = 1 << 21
-#: Near tokens that the driver seats at once.
+#: Training tokens for each bucket of pairs, so the number of buckets follows the input.
+BUCKET = 1 << 20
+#: Near tokens that the driver seats at once, and whose seats are summed together.
 SLICE = 1 << 16
 _FAR = np.uint64(1 << 63)
 
@@ -63,14 +69,74 @@ def _tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, first
 
 
-def _numbers(near: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """Each token's index in ``near``, or its hash as a negative number."""
-    at = np.searchsorted(near, tokens)
-    known = at < len(near)
-    known[known] = near[at[known]] == tokens[known]
+class Pairs(NamedTuple):
+    near: DataFrame    # bucket, pair, n, t, kept: the pairs of two near tokens, arrays in the order of pair
+    far: DataFrame     # u, w, mass: the others
+    buckets: int
+
+
+def _starts(values: np.ndarray) -> np.ndarray:
+    """For each value of the leading bits, where it begins among ``values``: sorted 64-bit hashes."""
+    bits = max(len(values), 1).bit_length()
+    return np.searchsorted(values, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+
+
+def _places(values: np.ndarray, starts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of each key in ``values``, any where it is not there, and whether it is."""
+    if not len(values):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    last = len(values) - 1
+    at = np.minimum(starts[keys >> np.uint64(65 - len(starts).bit_length())], last)
+    # Hashes are spread evenly, so few steps lead from the first with the same leading bits to the key.
+    go = np.flatnonzero(values[at] < keys)
+    while len(go):
+        go = go[at[go] < last]
+        at[go] += 1
+        go = go[values[at[go]] < keys[go]]
+    return at, values[at] == keys
+
+
+def _numbers(near: np.ndarray, tokens: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
+    """Each token's index in ``near``, or its hash as a negative number; ``starts`` is that of ``near``."""
+    at, known = _places(near, _starts(near) if starts is None else starts, tokens)
     return np.where(known, at, (tokens | _FAR).view(np.int64))
 
 
+def _hash(pair: np.ndarray) -> np.ndarray:
+    """Hash of the number of a near pair; different for different pairs."""
+    return tx.mix(pair.view(np.uint64))
+
+
+def _bucket(hashed: np.ndarray, buckets: int) -> np.ndarray:
+    return ((hashed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _flat(table: pa.Table, name: str) -> np.ndarray:
+    """All entries of an array column, row by row."""
+    return pc.list_flatten(table[name]).to_numpy()
+
+
+def _by_cut(schema: pa.Schema, at: str, cuts: np.ndarray, **values) -> pa.RecordBatch:
+    """A row for each stretch of ``values`` between two ``cuts`` that is not empty; ``at`` names its number. Other columns are null."""
+    some = np.flatnonzero(np.diff(cuts))
+    bounds = np.append(cuts[some], cuts[-1])
+    columns = [
+        pa.array(some, type=field.type) if field.name == at
+        else tx.lists(values[field.name], bounds, field.type.value_type) if field.name in values
+        else pa.nulls(len(some), field.type)
+        for field in schema
+    ]
+    return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+def _rows_of(batches, *names: str):
+    """The arrays of one row after the other, and a function that puts its row together with new arrays."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1)
+            yield row, *(pc.list_flatten(row.column(batch.schema.get_field_index(x))).to_numpy(zero_copy_only=False) for x in names)
+
+
 def _distinct_pairs(u: np.ndarray, w: np.ndarray, group: np.ndarray | None = None):
     """Index of one occurrence of each distinct pair (of each group), and how often it occurs."""
     key = tx.mix(u.view(np.uint64) * np.uint64(tx.BASE) + tx.mix(w.view(np.uint64) + np.uint64(1)))
@@ -92,51 +158,89 @@ def token_counts(train: DataFrame, text: str) -> DataFrame:
     return train.select(text).mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def pair_counts(docs: DataFrame, known: Broadcast) -> DataFrame:
-    """``u, w, n``: token w follows token u n times in training; pairs with n = 1 only where a document outside has them too.
+def _schema(number: str, **columns: pa.DataType) -> tuple[pa.Schema, str]:
+    """A number and arrays of these types, for Arrow and for Spark."""
+    names = {pa.int64(): "bigint", pa.int32(): "int", pa.float64(): "double", pa.bool_(): "boolean"}
+    ddl = ", ".join([f"{number} int", *(f"{x} array<{names[t]}>" for x, t in columns.items())])
+    return pa.schema([(number, pa.int32()), *((x, pa.list_(t)) for x, t in columns.items())]), ddl
 
-    ``docs`` has the columns ``_text`` and ``_train``; a text begins after an end. ``known`` are the near tokens.
+
+_LONG, _DOUBLE = pa.int64(), pa.float64()
+_COUNTED, _COUNTED_DDL = _schema("bucket", pair=_LONG, n=_LONG, far_u=_LONG, far_w=_LONG, far_n=_LONG)
+
+
+def pair_counts(docs: DataFrame, known: Broadcast, buckets: int) -> DataFrame:
+    """A row of arrays for each bucket: token w follows token u n times in training; pairs with n = 1 only where a document outside
+    has them too.
+
+    ``docs`` has the columns ``_text`` and ``_train``; a text begins after an end. ``known`` are the near tokens: ``pair`` is the
+    number of u times their count and the number of w; pairs with another token have both.
     """
     size_of_near = len(known.value)
+    span = size_of_near**2
 
     def piece(found):
         u, w, train = (np.concatenate(x) for x in zip(*found))
+        both = (u >= 0) & (w >= 0)
+        pair = u[both] * size_of_near + w[both]
+        pair += _bucket(_hash(pair), buckets) * span
+        for inside in (True, False):
+            keys, n = np.unique(pair[train[both] == inside], return_counts=True)
+            # Documents outside give n = 0.
+            yield _by_cut(
+                _COUNTED, "bucket", np.searchsorted(keys, np.arange(buckets + 1) * span), pair=keys % span, n=n if inside else n * 0
+            )
+        u, w, train = u[~both], w[~both], train[~both]
         index, n = _distinct_pairs(u, w, train)
-        # Neighbours that share their context take less room in the exchange.
-        order = np.lexsort((w[index], u[index]))
+        at = _bucket(_key(u[index], w[index]), buckets)
+        order = np.argsort(at, kind="stable")
         index, n = index[order], n[order]
-        u, w = u[index], w[index]
-        both = (u >= 0) & (w >= 0)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.where(both, u * size_of_near + w, u)), pa.array(w, mask=both), pa.array(np.where(train[index], n, 0))],
-            names=["u", "w", "n"],
+        yield _by_cut(
+            _COUNTED, "bucket", np.searchsorted(at[order], np.arange(buckets + 1)), far_u=u[index], far_w=w[index],
+            far_n=np.where(train[index], n, 0),
         )
 
     def count(batches):
         found, size = [], 0
+        near = known.value
+        starts = _starts(near)
+        end = _numbers(near, np.array([END]), starts)
         for batch in batches:
             train = batch.column(1).to_numpy(zero_copy_only=False)
             for i, j, raw, offsets in tx.slices(batch.column(0)):
                 tokens, first = _tokens(raw, offsets)
-                s = _numbers(known.value, tokens)
-                before = np.concatenate([_numbers(known.value, np.array([END])), s[:-1]])
-                found.append((before, s, np.repeat(train[i:j], np.diff(first))))
+                s = _numbers(near, tokens, starts)
+                found.append((np.concatenate([end, s[:-1]]), s, np.repeat(train[i:j], np.diff(first))))
                 size += len(s)
                 if size >= PIECE:
-                    yield piece(found)
+                    yield from piece(found)
                     found, size = [], 0
         if found:
-            yield piece(found)
-
-    # A pair of near tokens is one number in u, without w; documents outside give n = 0.
-    rows = docs.select("_text", "_train").mapInArrow(count, "u bigint, w bigint, n bigint")
-    # Pieces are distinct already: summing them once more before the exchange would only fill memory.
-    counted = rows.repartition("u", "w").groupBy("u", "w").agg(F.sum("n").alias("n"), F.min("n").alias("least"))
-    both, size = F.col("w").isNull(), F.lit(size_of_near)
-    return counted.filter("n > 1 or (n = 1 and least = 0)").select(
-        F.when(both, F.expr(f"u div {size_of_near}")).otherwise(F.col("u")).alias("u"),
-        F.when(both, F.col("u") % size).otherwise(F.col("w")).alias("w"), "n",
-    )
+            yield from piece(found)
+
+    def summed(n, *sorted_by):
+        """Where each pair that stays begins, and its count."""
+        if not len(n):
+            return np.zeros(0, np.int64), n
+        new = np.ones(len(n), bool)
+        new[1:] = np.any([x[1:] != x[:-1] for x in sorted_by], axis=0)
+        first = np.flatnonzero(new)
+        total, least = np.add.reduceat(n, first), np.minimum.reduceat(n, first)
+        stays = (total > 1) | ((total == 1) & (least == 0))
+        return first[stays], total[stays]
+
+    def together(table):
+        pair, n, u, w, far_n = (_flat(table, x) for x in _COUNTED.names[1:])
+        order = np.argsort(pair)
+        pair = pair[order]
+        first, n = summed(n[order], pair)
+        order = np.lexsort((w, u))
+        u, w = u[order], w[order]
+        far, far_n = summed(far_n[order], u, w)
+        values = pair[first], n, u[far], w[far], far_n
+        return pa.Table.from_arrays([table["bucket"].slice(0, 1), *(tx.lists(x, np.array([0, len(x)])) for x in values)], schema=_COUNTED)
+
+    return docs.select("_text", "_train").mapInArrow(count, _COUNTED_DDL).groupBy("bucket").applyInArrow(together, _COUNTED_DDL)
 
 
 def _uniform(key: np.ndarray, number: int, step: int) -> np.ndarray:
@@ -183,7 +287,9 @@ def seat(customers: np.ndarray, others: np.ndarray, parent: np.ndarray, discount
         n, t = seated[open_dishes], tables[open_dishes]
         group = np.minimum(np.maximum(n // 16, 1), customers[open_dishes] - n)
         new = (strength + discount * (others[open_dishes] + t)) * parent[open_dishes]
-        tables[open_dishes] += _binomial(group, new / (new + n - discount * t), _uniform(key[open_dishes], number, step))
+        p, draw = new / (new + n - discount * t), _uniform(key[open_dishes], number, step)
+        # Single customers first: every dish has the same number seated until there are 32.
+        tables[open_dishes] += draw >= np.exp(np.log1p(-p)) if step < 31 else _binomial(group, p, draw)
         seated[open_dishes] += group
         open_dishes = open_dishes[customers[open_dishes] > seated[open_dishes]]
         step += 1
@@ -225,8 +331,57 @@ def _far(token: str) -> Column:
     return F.col(token) < 0
 
 
-def _sweep(state: DataFrame, far: DataFrame, shared: Broadcast, number: int, discount: float, strength: float, keep: bool) -> DataFrame:
-    """Seats all pairs anew; ``shared``: near tokens' tables as contexts and probabilities as dishes, ``far`` the others'."""
+_, _BLOCKS_DDL = _schema("bucket", pair=_LONG, n=_LONG, t=_LONG, kept=_LONG)
+_GAPS, _GAPS_DDL = _schema("slice", token=_LONG, as_u=_LONG, as_w=_LONG)
+
+
+def _sweep_near(blocks: DataFrame, shared: Broadcast, number: int, discount: float, strength: float, keep: bool) -> DataFrame:
+    """Seats the pairs of near tokens anew; ``shared``: near tokens' tables as contexts and probabilities as dishes."""
+
+    def seat_all(batches):
+        near_tables, near_parent = shared.value
+        for row, pair, n, t, kept in _rows_of(batches, "pair", "n", "t", "kept"):
+            many = np.flatnonzero(n > 1)
+            u, w = np.divmod(pair[many], len(near_tables))
+            t = t.copy()
+            t[many] = seat(n[many], near_tables[u] - t[many], near_parent[w], discount, strength, _key(u, w), number)
+            bounds = np.array([0, len(pair)])
+            yield pa.RecordBatch.from_arrays([*row.columns[:3], tx.lists(t, bounds), tx.lists(kept + t if keep else kept, bounds)], names=row.schema.names)
+
+    return blocks.mapInArrow(seat_all, _BLOCKS_DDL)
+
+
+def _gaps_near(blocks: DataFrame, size: int) -> DataFrame:
+    """``slice, token, as_u, as_w``, arrays for each slice: customers less tables of each of ``size`` near tokens, as context and as dish."""
+    cuts = np.arange(0, size + SLICE, SLICE)
+
+    def found(tokens, as_u, as_w):
+        some = np.flatnonzero(as_u | as_w)
+        return _by_cut(_GAPS, "slice", np.searchsorted(some + tokens, cuts), token=some + tokens, as_u=as_u[some], as_w=as_w[some])
+
+    def add(batches):
+        as_u, as_w = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        for _, pair, n, t in _rows_of(batches, "pair", "n", "t"):
+            gap = n - t
+            at = np.flatnonzero(gap)
+            u, w = np.divmod(pair[at], size)
+            np.add.at(as_u, u, gap[at])
+            np.add.at(as_w, w, gap[at])
+        yield found(0, as_u, as_w)
+
+    def together(table):
+        first = int(cuts[table["slice"][0].as_py()])
+        token = _flat(table, "token") - first
+        as_u, as_w = np.zeros(SLICE, np.int64), np.zeros(SLICE, np.int64)
+        np.add.at(as_u, token, _flat(table, "as_u"))
+        np.add.at(as_w, token, _flat(table, "as_w"))
+        return pa.Table.from_batches([found(first, as_u, as_w)])
+
+    return blocks.select("pair", "n", "t").mapInArrow(add, _GAPS_DDL).groupBy("slice").applyInArrow(together, _GAPS_DDL)
+
+
+def _sweep_far(state: DataFrame, far: DataFrame, shared: Broadcast, number: int, discount: float, strength: float, keep: bool) -> DataFrame:
+    """Seats all other pairs anew; ``shared``: near tokens' tables as contexts and probabilities as dishes, ``far`` the others'."""
 
     def seat_all(batches):
         near_tables, near_parent = shared.value
@@ -241,20 +396,19 @@ def _sweep(state: DataFrame, far: DataFrame, shared: Broadcast, number: int, dis
                 [*batch.columns[:3], pa.array(t), pa.array(kept + t if keep else kept)], names=["u", "w", "n", "t", "kept"]
             )
 
-    both = state.filter(~_far("u") & ~_far("w")).withColumns({"total": F.lit(None).cast("bigint"), "p": F.lit(None).cast("double")})
-    rest = state.filter(_far("u") | _far("w")).withColumns({"ku": _spread("u", "w"), "kw": _spread("w", "u")})
+    rest = state.withColumns({"ku": _spread("u", "w"), "kw": _spread("w", "u")})
     rest = rest.join(far.select(F.col("token").alias("ku"), "total"), "ku", "left").join(far.select(F.col("token").alias("kw"), "p"), "kw", "left")
-    return both.unionByName(rest.select(both.columns)).mapInArrow(seat_all, "u bigint, w bigint, n bigint, t bigint, kept bigint")
+    return rest.select("u", "w", "n", "t", "kept", "total", "p").mapInArrow(seat_all, "u bigint, w bigint, n bigint, t bigint, kept bigint")
 
 
 def train(
     docs: DataFrame, discount: float = DISCOUNT, strength: float = STRENGTH, burn_in: int = BURN_IN, samples: int = SAMPLES,
     near: int = NEAR,
-) -> tuple[Model, DataFrame, DataFrame]:
+) -> tuple[Model, DataFrame, Pairs]:
     """(model, far tokens, pairs) from ``docs`` (``_text, _train``).
 
-    Far tokens: ``token, n, share, parent``, the arrays by sample and null where n = 1; pairs: ``u, w, n, mass``, mass being
-    the customers less discounted tables, averaged.
+    Far tokens: ``token, n, share, parent``, the arrays by sample and null where n = 1. A pair's mass is its customers less
+    discounted tables, averaged; of near pairs, ``kept`` is the sum of the tables.
     """
     counts = stored(token_counts(docs.filter("_train"), "_text"), "tokens")
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -275,9 +429,15 @@ def train(
     zero = F.lit(0).cast("bigint")
     # Each broadcast goes when what reads it is written, so that the driver never holds more than one.
     known = docs.sparkSession.sparkContext.broadcast(token)
-    pairs = stored(pair_counts(docs, known), "pairs")
+    size = len(token)
+    buckets = max(1, min(-(-int(total) // BUCKET), 2**62 // size**2))
+    pairs = stored(pair_counts(docs, known, buckets), "pairs")
     known.destroy()
-    state = pairs.filter("n > 1").select("u", "w", "n", one.alias("t"), zero.alias("kept"))
+    blocks = pairs.select("bucket", "pair", "n", F.transform("n", lambda _: one).alias("t"), F.transform("n", lambda _: zero).alias("kept"))
+    far_pairs = pairs.select(F.explode(F.arrays_zip("far_u", "far_w", "far_n")).alias("x")).select(
+        F.col("x.far_u").alias("u"), F.col("x.far_w").alias("w"), F.col("x.far_n").alias("n")
+    )
+    state = far_pairs.filter("n > 1").select("u", "w", "n", one.alias("t"), zero.alias("kept"))
     root = np.minimum(n, 1)
     far = far_counts.filter("n > 1").select(
         "token", "n", one.alias("root"), F.array().cast("array<double>").alias("share"), F.array().cast("array<double>").alias("parent")
@@ -302,13 +462,13 @@ def train(
             F.struct(F.col("w").alias("token"), zero.alias("as_u"), gap.alias("as_w")),
         )).alias("x")).select("x.*")
         gaps = cut(ends.groupBy("token").agg(F.sum("as_u").alias("as_u"), F.sum("as_w").alias("as_w")), "gaps")
-        mine = gaps.filter(~_far("token")).toArrow()
         tables, customers = n.copy(), n.copy()
-        for batch in mine.to_batches():
-            at = batch.column("token").to_numpy()
-            tables[at] -= batch.column("as_u").to_numpy()
-            customers[at] -= batch.column("as_w").to_numpy()
-        del mine
+        inside = _gaps_near(blocks, size).select(F.explode(F.arrays_zip("token", "as_u", "as_w")).alias("x")).select("x.*")
+        for mine in (gaps.filter(~_far("token")), inside):
+            for batch in mine.toArrow().to_batches():
+                at = batch.column("token").to_numpy()
+                tables[at] -= batch.column("as_u").to_numpy()
+                customers[at] -= batch.column("as_w").to_numpy()
         root = _seat_roots(customers, root_total - root, discount, strength, token, 1000 + number)
         seated = far.join(gaps.filter(_far("token")), "token", "left").select(
             "token", "n", "root", "share", "parent", (F.col("n") - F.coalesce("as_u", zero)).alias("total"),
@@ -347,7 +507,8 @@ def train(
         before = list(written)
         shared = docs.sparkSession.sparkContext.broadcast((tables, p))
         del tables, p
-        state = cut(_sweep(state, far, shared, number, discount, strength, keep), "seats")
+        blocks = cut(_sweep_near(blocks, shared, number, discount, strength, keep), "blocks")
+        state = cut(_sweep_far(state, far, shared, number, discount, strength, keep), "seats")
         shared.destroy()
         tables, p = follow(number, keep)
         # Nothing reads the sweep before any more.
@@ -356,10 +517,8 @@ def train(
             written.remove(path)
     model = Model(token, n, *(np.array(x, dtype=np.float32) for x in (shares, parents, once, unseen)), int(total), int(kinds))
     mass = F.col("n") - discount * F.col("kept") / samples
-    seen = state.select("u", "w", "n", mass.alias("mass")).unionByName(
-        pairs.filter("n = 1").select("u", "w", "n", F.lit(1 - discount).alias("mass"))
-    )
-    return model, far_counts.join(far.select("token", "share", "parent"), "token", "left"), seen
+    seen = state.select("u", "w", mass.alias("mass")).unionByName(far_pairs.filter("n = 1").select("u", "w", F.lit(1 - discount).alias("mass")))
+    return model, far_counts.join(far.select("token", "share", "parent"), "token", "left"), Pairs(blocks, seen, buckets)
 
 
 def _least(counted: DataFrame, most: int) -> int:
@@ -379,6 +538,16 @@ def _mean_of_products(share: np.ndarray, parent: np.ndarray) -> np.ndarray:
     return sum(a * b for a, b in zip(share, parent)) / len(share)
 
 
+_ASKED, _ASKED_DDL = _schema(
+    "bucket", pair=_LONG, key=_LONG, times=pa.int32(), train=pa.bool_(),
+    own_key=_LONG, n_tokens=_LONG, n_known=_LONG, base=_DOUBLE, value=_DOUBLE,
+)
+_ANSWERED, _ANSWERED_DDL = _schema(
+    "part", key=_LONG, value=_DOUBLE, own_key=_LONG, n_tokens=_LONG, n_known=_LONG, base=_DOUBLE, own_value=_DOUBLE
+)
+_SUMS_DDL = "_key bigint, n_tokens bigint, n_known bigint, base double, value double, own int"
+
+
 def score(
     docs: DataFrame, train_on: Column, id_column: str = "doc_id", text: str = "text", discount: float = DISCOUNT,
     strength: float = STRENGTH, burn_in: int = BURN_IN, samples: int = SAMPLES, near: int = NEAR, pairs: int = PAIRS,
@@ -392,88 +561,174 @@ def score(
     spark = docs.sparkSession
     plain = docs.select(F.col(id_column).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"), train_on.alias("_train"))
     model, far, seen = train(plain, discount, strength, burn_in, samples, near)
-    inner = seen.filter(~_far("u") & ~_far("w"))
-    least = _least(inner, pairs)
-    top = inner.filter(F.col("n") >= least).select("u", "w", "mass").toArrow()
-    packed = top["u"].to_numpy() * len(model.near) + top["w"].to_numpy()
+    size, buckets = len(model.near), seen.buckets
+    least = _least(seen.near.select(F.explode("n").alias("n")), pairs)
+
+    def masses(n, kept):
+        return n - discount * kept / samples
+
+    def most(batches):
+        for _, pair, n, kept in _rows_of(batches, "pair", "n", "kept"):
+            top = n >= least
+            yield pa.RecordBatch.from_arrays([pa.array(tx.signed(_hash(pair[top]))), pa.array(masses(n[top], kept[top]))], names=["key", "mass"])
+
+    def less(batches):
+        for _, pair, n in _rows_of(batches, "pair", "n"):
+            yield pa.RecordBatch.from_arrays([pa.array(tx.signed(_hash(pair[n < least])))], names=["key"])
+
+    top = seen.near.select("pair", "n", "kept").mapInArrow(most, "key bigint, mass double").toArrow()
+    packed = top["key"].to_numpy().view(np.uint64)
     order = np.argsort(packed)
     packed, heavy = packed[order], top["mass"].to_numpy()[order].astype(np.float32)
     del top, order
-
-    def keyed_pairs(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(tx.signed(_key(batch.column(0).to_numpy(), batch.column(1).to_numpy())))], names=["key"])
-
-    others = bloom.bitmap(inner.filter(F.col("n") < least).select("u", "w").mapInArrow(keyed_pairs, "key bigint"), "key")
+    others = bloom.bitmap(seen.near.select("pair", "n").mapInArrow(less, "key bigint"), "key")
     shared = spark.sparkContext.broadcast((tuple(model), packed, heavy, others))
     scale = np.log10(model.total + model.kinds + 1) if model.total else 0.0
     total = model.total
     del packed, heavy, others, model
-    columns = "_key bigint, u bigint, w bigint, times int, train boolean, n_tokens bigint, n_known bigint, base double, value double, own int"
-    names = [c.split()[0] for c in columns.split(", ")]
-
-    def read(inside: bool):
-        """Near pairs and each document's own row, or the pairs with a far token: one row for each that needs a join."""
-
-        def rows(batches):
-            values, packed, mass, others = shared.value
-            m = Model(*values)
-            base_near = np.where(m.count > 0, np.log10(m.count + 1.0) - scale, 0.0 - scale)
-            for batch in batches:
-                train = batch.column(2).to_numpy(zero_copy_only=False)
-                keys = batch.column(1).to_numpy()
-                for i, j, raw, offsets in tx.slices(batch.column(0)):
-                    tokens, first = _tokens(raw, offsets)
-                    w = _numbers(m.near, tokens)
-                    u = np.concatenate([_numbers(m.near, np.array([END])), w[:-1]])
-                    doc = np.repeat(np.arange(j - i), np.diff(first))
-                    local = (u >= 0) & (w >= 0)
-                    ask = ~local
-                    own = 0
-                    if inside:
-                        own = j - i
-                        at = np.flatnonzero(local)
-                        pair = u[at] * len(m.near) + w[at]
-                        place = np.minimum(np.searchsorted(packed, pair), max(len(packed) - 1, 0))
-                        found = packed[place] == pair if len(packed) else np.zeros(len(at), bool)
-                        # A pair that is nowhere has one customer in training, the document's own, and none outside.
-                        own_mass = np.where(train[i:j][doc[at]], 1 - discount, 0.0)
-                        own_mass[found] = mass[place[found]]
-                        found[~found] = ~bloom.hits(others, _key(u[at[~found]], w[at[~found]]))
-                        hit = at[found]
-                        p = own_mass[found] / (strength + m.count[u[hit]]) + _mean_of_products(m.share[:, u[hit]], m.parent[:, w[hit]])
-                        value = np.zeros(len(tokens))
-                        value[hit] = np.log10(p)
-                        base, known = np.zeros(len(tokens)), np.zeros(len(tokens), np.int64)
-                        is_near = w >= 0
-                        base[is_near] = base_near[w[is_near]]
-                        known[is_near] = m.count[w[is_near]] > 0
-                        sums = [np.add.reduceat(x, first[:-1]) for x in (known, base, value)]
-                        ask = np.zeros(len(tokens), bool)
-                        ask[at[~found]] = True
-                    ask = np.flatnonzero(ask)
-                    index, times = _distinct_pairs(u[ask], w[ask], doc[ask])
-                    # In text order, so that a document's rows stay together.
-                    order = np.argsort(index)
-                    index, times = ask[index[order]], times[order]
-                    more = len(index)
-                    zeros = np.zeros(more, np.int64)
-                    join = lambda a, b: np.concatenate([a, b]) if own else b
-                    none = np.zeros(own, np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(join(keys[i:j], keys[i:j][doc[index]])),
-                            # A document's own row carries tokens that no pair has.
-                            pa.array(join(none - 1, u[index])), pa.array(join(keys[i:j], w[index])),
-                            pa.array(join(none, times).astype(np.int32)), pa.array(join(train[i:j], train[i:j][doc[index]])),
-                            pa.array(join(np.diff(first), zeros)),
-                            pa.array(join(sums[0], zeros) if own else zeros), pa.array(join(sums[1], zeros * 0.0) if own else zeros * 0.0),
-                            pa.array(join(sums[2], zeros * 0.0) if own else zeros * 0.0), pa.array(join(none + 1, zeros).astype(np.int32)),
-                        ],
-                        names=names,
-                    )
-
-        return keyed.select("_text", "_key", "_train").mapInArrow(rows, columns)
+
+    def ask(batches):
+        """Each document's own sums, and the near pairs that have to meet their bucket, a row of arrays for each bucket."""
+        values, packed, mass, others = shared.value
+        m = Model(*values)
+        base_near = np.where(m.count > 0, np.log10(m.count + 1.0) - scale, 0.0 - scale)
+        starts, starts_packed = _starts(m.near), _starts(packed)
+        end = _numbers(m.near, np.array([END]), starts)
+        held, length = [], 0
+
+        def piece():
+            key, train, n_tokens, n_known, base, value = (np.concatenate([x[k] for x in held]) for k in range(6))
+            pair, count = np.concatenate([x[6] for x in held]), np.concatenate([x[7] for x in held])
+            doc = np.repeat(np.arange(len(key)), count)
+            at = _bucket(_hash(pair), buckets)
+            order = np.argsort(at.astype(np.uint16) if buckets < 1 << 16 else at, kind="stable")
+            pair, doc, at = pair[order], doc[order], at[order]
+            new = np.ones(len(pair), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])
+            first = np.flatnonzero(new)
+            times = np.diff(np.append(first, len(pair)))
+            numbers = np.arange(buckets + 1)
+            cuts, runs = np.searchsorted(at, numbers), np.searchsorted(at[first], numbers)
+            asked = _by_cut(_ASKED, "bucket", cuts, pair=pair)
+            by_run = _by_cut(_ASKED, "bucket", runs, key=key[doc[first]], times=times, train=train[doc[first]])
+            yield pa.RecordBatch.from_arrays([*asked.columns[:2], *by_run.columns[2:]], schema=_ASKED)
+            # The documents' own rows go to any bucket.
+            bounds = np.array([0, len(key)])
+            own = {"own_key": key, "n_tokens": n_tokens, "n_known": n_known, "base": base, "value": value}
+            where = pa.array([int(key[0]) % buckets], type=pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [where if f.name == "bucket" else tx.lists(own[f.name], bounds) if f.name in own else pa.nulls(1, f.type) for f in _ASKED],
+                schema=_ASKED,
+            )
+
+        for batch in batches:
+            train = batch.column(2).to_numpy(zero_copy_only=False)
+            keys = batch.column(1).to_numpy()
+            for i, j, raw, offsets in tx.slices(batch.column(0)):
+                tokens, first = _tokens(raw, offsets)
+                w = _numbers(m.near, tokens, starts)
+                u = np.concatenate([end, w[:-1]])
+                doc = np.repeat(np.arange(j - i), np.diff(first))
+                at = np.flatnonzero((u >= 0) & (w >= 0))
+                pair = u[at] * size + w[at]
+                hashed = _hash(pair)
+                place, found = _places(packed, starts_packed, hashed)
+                # A pair that is nowhere has one customer in training, the document's own, and none outside.
+                own_mass = np.where(train[i:j][doc[at]], 1 - discount, 0.0)
+                own_mass[found] = mass[place[found]]
+                missing = np.flatnonzero(~found)
+                unsure = missing[bloom.hits(others, hashed[missing])]
+                found[missing] = True
+                found[unsure] = False
+                hit = at[found]
+                p = own_mass[found] / (strength + m.count[u[hit]]) + _mean_of_products(m.share[:, u[hit]], m.parent[:, w[hit]])
+                value = np.zeros(len(tokens))
+                value[hit] = np.log10(p)
+                base, known = np.zeros(len(tokens)), np.zeros(len(tokens), np.int64)
+                is_near = w >= 0
+                base[is_near] = base_near[w[is_near]]
+                known[is_near] = m.count[w[is_near]] > 0
+                sums = [np.add.reduceat(x, first[:-1]) for x in (known, base, value)]
+                asked = np.bincount(doc[at[unsure]], minlength=j - i)
+                held.append((keys[i:j], train[i:j], np.diff(first), *sums, pair[unsure], asked))
+                length += len(tokens)
+                if length >= PIECE:
+                    yield from piece()
+                    held, length = [], 0
+        if held:
+            yield from piece()
+
+    parts = buckets // 8 + 1
+
+    def answer(asked, known):
+        """Sums of the looked-up pairs, a row of arrays for each part of the documents."""
+        values, *_ = shared.value
+        m = Model(*values)
+        if not asked.num_rows:
+            return _ANSWERED.empty_table()
+        pair, key, times, train = (_flat(asked, x) for x in ("pair", "key", "times", "train"))
+        sums = np.zeros(0)
+        if len(pair):
+            have, n, kept = (_flat(known, x) for x in ("pair", "n", "kept"))
+            mass = np.where(np.repeat(train, times), 1 - discount, 0.0)
+            if len(have):
+                place = np.minimum(np.searchsorted(have, pair), len(have) - 1)
+                found = have[place] == pair
+                mass[found] = masses(n, kept)[place[found]]
+            u, w = np.divmod(pair, size)
+            p = np.zeros(len(pair))
+            for k in range(samples):
+                p += m.share[k][u].astype(np.float64) * m.parent[k][w] / samples
+            sums = np.add.reduceat(np.log10(p + mass / (strength + m.count[u])), np.cumsum(times) - times)
+        out = []
+        own = {x: _flat(asked, x) for x in ("n_tokens", "n_known", "base")}
+        for key, columns in ((key, {"value": sums}), (_flat(asked, "own_key"), own | {"own_value": _flat(asked, "value")})):
+            at = key % parts
+            order = np.argsort(at, kind="stable")
+            cuts = np.searchsorted(at[order], np.arange(parts + 1))
+            name = "key" if "value" in columns else "own_key"
+            out.append(_by_cut(_ANSWERED, "part", cuts, **{name: key[order]}, **{x: v[order] for x, v in columns.items()}))
+        return pa.Table.from_batches(out)
+
+    def together(table):
+        key, own_key = _flat(table, "key"), _flat(table, "own_key")
+        # Rows that share id and text share a key: sums go to all of them.
+        keys, at = np.unique(own_key, return_inverse=True)
+        own = np.bincount(at, minlength=len(keys))
+        sums = {x: np.bincount(at, _flat(table, x), len(keys)) for x in ("n_tokens", "n_known", "base", "own_value")}
+        value = sums["own_value"] + np.bincount(np.searchsorted(keys, key), _flat(table, "value"), len(keys))
+        return pa.Table.from_arrays(
+            [
+                pa.array(keys), pa.array(sums["n_tokens"].astype(np.int64)), pa.array(sums["n_known"].astype(np.int64)),
+                pa.array(sums["base"]), pa.array(value), pa.array(own.astype(np.int32)),
+            ],
+            names=["_key", "n_tokens", "n_known", "base", "value", "own"],
+        )
+
+    def ask_far(batches):
+        """Pairs with a far token, one row for each of a document."""
+        values, *_ = shared.value
+        m = Model(*values)
+        starts = _starts(m.near)
+        end = _numbers(m.near, np.array([END]), starts)
+        for batch in batches:
+            train = batch.column(2).to_numpy(zero_copy_only=False)
+            keys = batch.column(1).to_numpy()
+            for i, j, raw, offsets in tx.slices(batch.column(0)):
+                tokens, first = _tokens(raw, offsets)
+                w = _numbers(m.near, tokens, starts)
+                u = np.concatenate([end, w[:-1]])
+                at = np.flatnonzero((u < 0) | (w < 0))
+                doc = np.searchsorted(first, at, side="right") - 1
+                index, times = _distinct_pairs(u[at], w[at], doc)
+                # In text order, so that a document's rows stay together.
+                order = np.argsort(index)
+                index, times = index[order], times[order]
+                at, doc = at[index], i + doc[index]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[doc]), pa.array(u[at]), pa.array(w[at]), pa.array(times.astype(np.int32)), pa.array(train[doc])],
+                    names=["_key", "u", "w", "times", "train"],
+                )
 
     def value(batches):
         """Adds the looked-up pairs, of which ``mass`` and for far tokens ``n_u, n_w`` and the samples are given."""
@@ -483,10 +738,8 @@ def score(
             col = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
             as_numpy = lambda name, empty: col[name].fill_null(empty).to_numpy(zero_copy_only=False)
             u, w, times, train = (col[x].to_numpy(zero_copy_only=False) for x in ("u", "w", "times", "train"))
-            pair = times > 0
             mass = np.where(col["mass"].is_null().to_numpy(zero_copy_only=False), np.where(train, 1 - discount, 0.0), as_numpy("mass", 0.0))
-            near_u, near_w = pair & (u >= 0), pair & (w >= 0)
-            far_w = pair & (w < 0)
+            near_u, near_w, far_w = u >= 0, w >= 0, w < 0
             n_u, n_w = as_numpy("n_u", 0).copy(), as_numpy("n_w", 0)
             n_u[near_u] = m.count[u[near_u]]
             p = np.zeros(len(u))
@@ -497,34 +750,30 @@ def score(
                 parent[near_w] = m.parent[k][w[near_w]]
                 p += share * parent / samples
             p += mass / (strength + n_u)
-            logs = np.where(pair, times * np.log10(np.where(pair, p, 1.0)), 0.0)
-            base = np.where(far_w, times * (np.log10(n_w + 1.0) - scale), 0.0)
-            known = np.where(far_w & (n_w > 0), times, 0).astype(np.int64)
+            none = np.zeros(len(u), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    col["_key"], col["n_tokens"], pa.array(col["n_known"].to_numpy() + known), pa.array(col["base"].to_numpy() + base),
-                    pa.array(col["value"].to_numpy() + logs), col["own"],
+                    col["_key"], pa.array(none), pa.array(np.where(far_w & (n_w > 0), times, 0).astype(np.int64)),
+                    pa.array(np.where(far_w, times * (np.log10(n_w + 1.0) - scale), 0.0)), pa.array(times * np.log10(p)),
+                    pa.array(none.astype(np.int32)),
                 ],
                 names=["_key", "n_tokens", "n_known", "base", "value", "own"],
             )
 
     keyed = plain.withColumn("_key", F.xxhash64("_id", "_text"))
-    masses = seen.filter((F.col("n") < least) | _far("u") | _far("w")).select("u", "w", "mass")
-    none = {f"{x}{k}": F.lit(None).cast("double") for x in ("share", "parent") for k in range(samples)}
-    none |= {x: F.lit(None).cast("bigint") for x in ("n_u", "n_w")}
-    inner = read(True).join(masses.filter(~_far("u") & ~_far("w")), ["u", "w"], "left").withColumns(none)
-    outer = read(False).join(masses.filter(_far("u") | _far("w")), ["u", "w"], "left")
+    read = keyed.select("_text", "_key", "_train")
+    met = read.mapInArrow(ask, _ASKED_DDL).groupBy("bucket").cogroup(seen.near.select("bucket", "pair", "n", "kept").groupBy("bucket"))
+    inner = met.applyInArrow(answer, _ANSWERED_DDL).groupBy("part").applyInArrow(together, _SUMS_DDL)
+    outer = read.mapInArrow(ask_far, "_key bigint, u bigint, w bigint, times int, train boolean").join(seen.far, ["u", "w"], "left")
     outer = outer.withColumns({"ku": _spread("u", "w", "_key"), "kw": _spread("w", "u", "_key")})
     outer = outer.join(far.select(F.col("token").alias("ku"), F.col("n").alias("n_u"), *[F.col("share")[k].alias(f"share{k}") for k in range(samples)]), "ku", "left")
     outer = outer.join(far.select(F.col("token").alias("kw"), F.col("n").alias("n_w"), *[F.col("parent")[k].alias(f"parent{k}") for k in range(samples)]), "kw", "left")
     sums = [F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "value", "own")]
 
-    def looked(rows: DataFrame, name: str) -> DataFrame:
-        found = rows.select(inner.columns).mapInArrow(value, "_key bigint, n_tokens bigint, n_known bigint, base double, value double, own int")
-        return stored(found.groupBy("_key").agg(*sums), name)
-
     # One after the other, so that the exchanged pairs of only one of them are on the disks.
-    parts = looked(inner, "inner").unionByName(looked(outer, "outer"))
+    inner = stored(inner, "inner")
+    outer = stored(outer.drop("ku", "kw").mapInArrow(value, _SUMS_DDL).groupBy("_key").agg(*sums), "outer")
+    parts = inner.unionByName(outer)
     # Equal rows have equal keys, so their sums are shared out again.
     summed = parts.groupBy("_key").agg(*sums)
     each = lambda x: F.col(x) / F.col("own")
