@@ -146,18 +146,6 @@ def _distinct_pairs(u: np.ndarray, w: np.ndarray, group: np.ndarray | None = Non
     return index, n
 
 
-def token_counts(train: DataFrame, text: str) -> DataFrame:
-    """``token, n`` over all of ``train``; each task sums its batches first."""
-
-    def count(batches):
-        for batch in batches:
-            found = [_tokens(raw, offsets)[0] for _, _, raw, offsets in tx.slices(batch.column(0))]
-            token, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(tx.signed(token)), pa.array(n.astype(np.int64))], names=["token", "n"])
-
-    return train.select(text).mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
-
-
 def _schema(number: str, **columns: pa.DataType) -> tuple[pa.Schema, str]:
     """A number and arrays of these types, for Arrow and for Spark."""
     names = {pa.int64(): "bigint", pa.int32(): "int", pa.float64(): "double", pa.bool_(): "boolean"}
@@ -169,6 +157,31 @@ _LONG, _DOUBLE = pa.int64(), pa.float64()
 _COUNTED, _COUNTED_DDL = _schema("bucket", pair=_LONG, n=_LONG, far_u=_LONG, far_w=_LONG, far_n=_LONG)
 
 
+_TOKENS, _TOKENS_DDL = _schema("bucket", token=_LONG, n=_LONG)
+
+
+def token_counts(train: DataFrame, text: str) -> DataFrame:
+    """``token, n`` over all of ``train``; each task sums its batches first, and its tokens go to buckets as arrays."""
+    buckets = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Tokens are hashes in order, so each bucket has a range of them.
+    borders = np.array([((k << 64) // buckets) for k in range(buckets)], dtype=np.uint64)
+
+    def count(batches):
+        for batch in batches:
+            found = [_tokens(raw, offsets)[0] for _, _, raw, offsets in tx.slices(batch.column(0))]
+            token, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            cuts = np.append(np.searchsorted(token, borders), len(token))
+            yield _by_cut(_TOKENS, "bucket", cuts, token=tx.signed(token), n=n)
+
+    def together(table):
+        token, at = np.unique(_flat(table, "token"), return_inverse=True)
+        n = np.zeros(len(token), np.int64)
+        np.add.at(n, at, _flat(table, "n"))
+        return pa.Table.from_arrays([pa.array(token), pa.array(n)], names=["token", "n"])
+
+    return train.select(text).mapInArrow(count, _TOKENS_DDL).groupBy("bucket").applyInArrow(together, "token bigint, n bigint")
+
+
 def pair_counts(docs: DataFrame, known: Broadcast, buckets: int) -> DataFrame:
     """A row of arrays for each bucket: token w follows token u n times in training; pairs with n = 1 only where a document outside
     has them too.
@@ -465,10 +478,13 @@ def train(
         tables, customers = n.copy(), n.copy()
         inside = _gaps_near(blocks, size).select(F.explode(F.arrays_zip("token", "as_u", "as_w")).alias("x")).select("x.*")
         for mine in (gaps.filter(~_far("token")), inside):
-            for batch in mine.toArrow().to_batches():
+            with shuffles_let_go(docs.sparkSession):
+                here = mine.toArrow()
+            for batch in here.to_batches():
                 at = batch.column("token").to_numpy()
                 tables[at] -= batch.column("as_u").to_numpy()
                 customers[at] -= batch.column("as_w").to_numpy()
+            del here
         root = _seat_roots(customers, root_total - root, discount, strength, token, 1000 + number)
         seated = far.join(gaps.filter(_far("token")), "token", "left").select(
             "token", "n", "root", "share", "parent", (F.col("n") - F.coalesce("as_u", zero)).alias("total"),
@@ -540,10 +556,11 @@ def _mean_of_products(share: np.ndarray, parent: np.ndarray) -> np.ndarray:
 
 _ASKED, _ASKED_DDL = _schema(
     "bucket", pair=_LONG, key=_LONG, times=pa.int32(), train=pa.bool_(),
+    far=_LONG, other=_LONG, far_key=_LONG, far_times=pa.int32(), far_train=pa.bool_(),
     own_key=_LONG, n_tokens=_LONG, n_known=_LONG, base=_DOUBLE, value=_DOUBLE,
 )
 _ANSWERED, _ANSWERED_DDL = _schema(
-    "part", key=_LONG, value=_DOUBLE, own_key=_LONG, n_tokens=_LONG, n_known=_LONG, base=_DOUBLE, own_value=_DOUBLE
+    "part", key=_LONG, value=_DOUBLE, own_key=_LONG, own=_LONG, n_tokens=_LONG, n_known=_LONG, base=_DOUBLE, own_value=_DOUBLE
 )
 _SUMS_DDL = "_key bigint, n_tokens bigint, n_known bigint, base double, value double, own int"
 
@@ -562,7 +579,8 @@ def score(
     plain = docs.select(F.col(id_column).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"), train_on.alias("_train"))
     model, far, seen = train(plain, discount, strength, burn_in, samples, near)
     size, buckets = len(model.near), seen.buckets
-    least = _least(seen.near.select(F.explode("n").alias("n")), pairs)
+    with shuffles_let_go(spark):
+        least = _least(seen.near.select(F.explode("n").alias("n")), pairs)
 
     def masses(n, kept):
         return n - discount * kept / samples
@@ -581,14 +599,15 @@ def score(
     order = np.argsort(packed)
     packed, heavy = packed[order], top["mass"].to_numpy()[order].astype(np.float32)
     del top, order
-    others = bloom.bitmap(seen.near.select("pair", "n").mapInArrow(less, "key bigint"), "key")
+    with shuffles_let_go(spark):
+        others = bloom.bitmap(seen.near.select("pair", "n").mapInArrow(less, "key bigint"), "key")
     shared = spark.sparkContext.broadcast((tuple(model), packed, heavy, others))
     scale = np.log10(model.total + model.kinds + 1) if model.total else 0.0
     total = model.total
     del packed, heavy, others, model
 
     def ask(batches):
-        """Each document's own sums, and the near pairs that have to meet their bucket, a row of arrays for each bucket."""
+        """Each document's own sums, and the pairs that have to meet their bucket, a row of arrays for each bucket; none of two far tokens."""
         values, packed, mass, others = shared.value
         m = Model(*values)
         base_near = np.where(m.count > 0, np.log10(m.count + 1.0) - scale, 0.0 - scale)
@@ -596,22 +615,25 @@ def score(
         end = _numbers(m.near, np.array([END]), starts)
         held, length = [], 0
 
-        def piece():
-            key, train, n_tokens, n_known, base, value = (np.concatenate([x[k] for x in held]) for k in range(6))
-            pair, count = np.concatenate([x[6] for x in held]), np.concatenate([x[7] for x in held])
-            doc = np.repeat(np.arange(len(key)), count)
-            at = _bucket(_hash(pair), buckets)
+        def dealt(at, doc, key, train, kind, **values):
+            """A row for each bucket: the values, and in how many of them each document has a share."""
             order = np.argsort(at.astype(np.uint16) if buckets < 1 << 16 else at, kind="stable")
-            pair, doc, at = pair[order], doc[order], at[order]
-            new = np.ones(len(pair), bool)
+            at, doc = at[order], doc[order]
+            new = np.ones(len(at), bool)
             new[1:] = (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])
             first = np.flatnonzero(new)
-            times = np.diff(np.append(first, len(pair)))
+            runs = {"key": key[doc[first]], "times": np.diff(np.append(first, len(at))), "train": train[doc[first]]}
             numbers = np.arange(buckets + 1)
-            cuts, runs = np.searchsorted(at, numbers), np.searchsorted(at[first], numbers)
-            asked = _by_cut(_ASKED, "bucket", cuts, pair=pair)
-            by_run = _by_cut(_ASKED, "bucket", runs, key=key[doc[first]], times=times, train=train[doc[first]])
-            yield pa.RecordBatch.from_arrays([*asked.columns[:2], *by_run.columns[2:]], schema=_ASKED)
+            asked = _by_cut(_ASKED, "bucket", np.searchsorted(at, numbers), **{x: v[order] for x, v in values.items()})
+            by_run = _by_cut(_ASKED, "bucket", np.searchsorted(at[first], numbers), **{kind + x: v for x, v in runs.items()})
+            return pa.RecordBatch.from_arrays([a if f.name in values else b for f, a, b in zip(_ASKED, asked, by_run)], schema=_ASKED)
+
+        def piece():
+            key, train, n_tokens, n_known, base, value = (np.concatenate([x[k] for x in held]) for k in range(6))
+            pair, count, alone, other, alone_count = (np.concatenate([x[k] for x in held]) for k in range(6, 11))
+            doc = np.arange(len(key))
+            yield dealt(_bucket(_hash(pair), buckets), np.repeat(doc, count), key, train, "", pair=pair)
+            yield dealt(_bucket(alone.view(np.uint64), buckets), np.repeat(doc, alone_count), key, train, "far_", far=alone, other=other)
             # The documents' own rows go to any bucket.
             bounds = np.array([0, len(key)])
             own = {"own_key": key, "n_tokens": n_tokens, "n_known": n_known, "base": base, "value": value}
@@ -650,7 +672,13 @@ def score(
                 known[is_near] = m.count[w[is_near]] > 0
                 sums = [np.add.reduceat(x, first[:-1]) for x in (known, base, value)]
                 asked = np.bincount(doc[at[unsure]], minlength=j - i)
-                held.append((keys[i:j], train[i:j], np.diff(first), *sums, pair[unsure], asked))
+                # One far token: with the near one behind it, or with the complement of the one before it.
+                alone = np.flatnonzero((u < 0) != (w < 0))
+                us, ws = u[alone], w[alone]
+                held.append((
+                    keys[i:j], train[i:j], np.diff(first), *sums, pair[unsure], asked, np.where(us < 0, us, ws), np.where(us < 0, ws, ~us),
+                    np.bincount(doc[alone], minlength=j - i),
+                ))
                 length += len(tokens)
                 if length >= PIECE:
                     yield from piece()
@@ -660,6 +688,40 @@ def score(
 
     parts = buckets // 8 + 1
 
+    def far_sums(asked, known, m):
+        """By document: known tokens, base and score of the pairs with one far token, whose bucket has that token."""
+        alone, other, times, train = (_flat(asked, x) for x in ("far", "other", "far_times", "far_train"))
+        if not len(alone):
+            return np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+        token, n = _flat(known, "token"), _flat(known, "count")
+        # Without a place among them: a token that training does not have.
+        n = np.append(n, 0)
+        share, parent = np.ones((samples, len(n))), np.repeat(m.unseen.astype(np.float64)[:, None], len(n), axis=1)
+        share[:, n == 1], parent[:, n == 1] = (strength + discount) / (strength + 1), m.once[:, None]
+        many = n > 1
+        share[:, many], parent[:, many] = (_flat(known, x).reshape(-1, samples).T for x in ("share", "parent"))
+        order = np.argsort(token)
+        place = np.append(order, len(token))[np.searchsorted(token[order], alone)]
+        place[np.append(token, 0)[place] != alone] = len(token)
+        as_context = other >= 0
+        near = np.where(as_context, other, ~other)
+        have = [_flat(known, x) for x in ("alone", "other", "mass")]
+        keys = _key(have[0], have[1])
+        order = np.argsort(keys)
+        have = [x[order] for x in have]
+        mass = np.where(np.repeat(train, times), 1 - discount, 0.0)
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys[order], _key(alone, other)), len(keys) - 1)
+            found = (have[0][at] == alone) & (have[1][at] == other)
+            mass[found] = have[2][at[found]]
+        p = np.zeros(len(alone))
+        for k in range(samples):
+            p += np.where(as_context, share[k][place], m.share[k][near]) * np.where(as_context, m.parent[k][near], parent[k][place]) / samples
+        p += mass / (strength + np.where(as_context, n[place], m.count[near]))
+        base = np.where(as_context, 0.0, np.log10(n[place] + 1.0) - scale)
+        first = np.cumsum(times) - times
+        return tuple(np.add.reduceat(x, first) for x in ((~as_context & (n[place] > 0)).astype(np.int64), base, np.log10(p)))
+
     def answer(asked, known):
         """Sums of the looked-up pairs, a row of arrays for each part of the documents."""
         values, *_ = shared.value
@@ -680,33 +742,35 @@ def score(
             for k in range(samples):
                 p += m.share[k][u].astype(np.float64) * m.parent[k][w] / samples
             sums = np.add.reduceat(np.log10(p + mass / (strength + m.count[u])), np.cumsum(times) - times)
+        own_key, far_key = _flat(asked, "own_key"), _flat(asked, "far_key")
+        far_known, far_base, far_value = far_sums(asked, known, m)
+        none = np.zeros(len(far_key), np.int64)
+        own = {"own_key": (own_key, far_key), "own": (np.ones(len(own_key), np.int64), none), "n_tokens": (_flat(asked, "n_tokens"), none)}
+        own |= {"n_known": (_flat(asked, "n_known"), far_known), "base": (_flat(asked, "base"), far_base), "own_value": (_flat(asked, "value"), far_value)}
         out = []
-        own = {x: _flat(asked, x) for x in ("n_tokens", "n_known", "base")}
-        for key, columns in ((key, {"value": sums}), (_flat(asked, "own_key"), own | {"own_value": _flat(asked, "value")})):
-            at = key % parts
+        for at, columns in ((key, {"key": key, "value": sums}), (np.concatenate(own["own_key"]), {x: np.concatenate(v) for x, v in own.items()})):
+            at = at % parts
             order = np.argsort(at, kind="stable")
             cuts = np.searchsorted(at[order], np.arange(parts + 1))
-            name = "key" if "value" in columns else "own_key"
-            out.append(_by_cut(_ANSWERED, "part", cuts, **{name: key[order]}, **{x: v[order] for x, v in columns.items()}))
+            out.append(_by_cut(_ANSWERED, "part", cuts, **{x: v[order] for x, v in columns.items()}))
         return pa.Table.from_batches(out)
 
     def together(table):
         key, own_key = _flat(table, "key"), _flat(table, "own_key")
         # Rows that share id and text share a key: sums go to all of them.
         keys, at = np.unique(own_key, return_inverse=True)
-        own = np.bincount(at, minlength=len(keys))
-        sums = {x: np.bincount(at, _flat(table, x), len(keys)) for x in ("n_tokens", "n_known", "base", "own_value")}
+        sums = {x: np.bincount(at, _flat(table, x), len(keys)) for x in ("own", "n_tokens", "n_known", "base", "own_value")}
         value = sums["own_value"] + np.bincount(np.searchsorted(keys, key), _flat(table, "value"), len(keys))
         return pa.Table.from_arrays(
             [
                 pa.array(keys), pa.array(sums["n_tokens"].astype(np.int64)), pa.array(sums["n_known"].astype(np.int64)),
-                pa.array(sums["base"]), pa.array(value), pa.array(own.astype(np.int32)),
+                pa.array(sums["base"]), pa.array(value), pa.array(sums["own"].astype(np.int32)),
             ],
             names=["_key", "n_tokens", "n_known", "base", "value", "own"],
         )
 
     def ask_far(batches):
-        """Pairs with a far token, one row for each of a document."""
+        """Pairs of two far tokens, one row for each of a document."""
         values, *_ = shared.value
         m = Model(*values)
         starts = _starts(m.near)
@@ -718,7 +782,7 @@ def score(
                 tokens, first = _tokens(raw, offsets)
                 w = _numbers(m.near, tokens, starts)
                 u = np.concatenate([end, w[:-1]])
-                at = np.flatnonzero((u < 0) | (w < 0))
+                at = np.flatnonzero((u < 0) & (w < 0))
                 doc = np.searchsorted(first, at, side="right") - 1
                 index, times = _distinct_pairs(u[at], w[at], doc)
                 # In text order, so that a document's rows stay together.
@@ -739,22 +803,18 @@ def score(
             as_numpy = lambda name, empty: col[name].fill_null(empty).to_numpy(zero_copy_only=False)
             u, w, times, train = (col[x].to_numpy(zero_copy_only=False) for x in ("u", "w", "times", "train"))
             mass = np.where(col["mass"].is_null().to_numpy(zero_copy_only=False), np.where(train, 1 - discount, 0.0), as_numpy("mass", 0.0))
-            near_u, near_w, far_w = u >= 0, w >= 0, w < 0
-            n_u, n_w = as_numpy("n_u", 0).copy(), as_numpy("n_w", 0)
-            n_u[near_u] = m.count[u[near_u]]
+            n_u, n_w = as_numpy("n_u", 0), as_numpy("n_w", 0)
             p = np.zeros(len(u))
             for k in range(samples):
                 share = np.where(n_u > 1, as_numpy(f"share{k}", 0.0), np.where(n_u == 1, (strength + discount) / (strength + 1), 1.0))
-                share[near_u] = m.share[k][u[near_u]]
                 parent = np.where(n_w > 1, as_numpy(f"parent{k}", 0.0), np.where(n_w == 1, m.once[k], m.unseen[k]))
-                parent[near_w] = m.parent[k][w[near_w]]
                 p += share * parent / samples
             p += mass / (strength + n_u)
             none = np.zeros(len(u), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    col["_key"], pa.array(none), pa.array(np.where(far_w & (n_w > 0), times, 0).astype(np.int64)),
-                    pa.array(np.where(far_w, times * (np.log10(n_w + 1.0) - scale), 0.0)), pa.array(times * np.log10(p)),
+                    col["_key"], pa.array(none), pa.array(np.where(n_w > 0, times, 0).astype(np.int64)),
+                    pa.array(times * (np.log10(n_w + 1.0) - scale)), pa.array(times * np.log10(p)),
                     pa.array(none.astype(np.int32)),
                 ],
                 names=["_key", "n_tokens", "n_known", "base", "value", "own"],
@@ -762,17 +822,35 @@ def score(
 
     keyed = plain.withColumn("_key", F.xxhash64("_id", "_text"))
     read = keyed.select("_text", "_key", "_train")
-    met = read.mapInArrow(ask, _ASKED_DDL).groupBy("bucket").cogroup(seen.near.select("bucket", "pair", "n", "kept").groupBy("bucket"))
+    # The buckets of far tokens follow from their own hashes, as in _bucket.
+    bucket = lambda token: (F.shiftrightunsigned(token, 32) % F.lit(buckets)).cast("int")
+    with_one = seen.far.filter(_far("u") != _far("w")).select(
+        F.when(_far("u"), F.col("u")).otherwise(F.col("w")).alias("alone"), F.when(_far("u"), F.col("w")).otherwise(F.bitwise_not("u")).alias("other"), "mass"
+    )
+
+    def gathered(rows, token, *columns):
+        """A row of arrays for each bucket."""
+        found = rows.groupBy(bucket(token).alias("bucket")).agg(F.collect_list(F.struct(*columns)).alias("x"))
+        lists = found.select("bucket", *[F.col("x")[c].alias(c) for c in columns])
+        # Only tokens that occur twice or more have shares.
+        return lists.withColumns({c: F.flatten(c) for c in columns if c in ("share", "parent")})
+
+    empty = F.array().cast("array<double>")
+    tokens = far.select("token", F.col("n").alias("count"), F.coalesce("share", empty).alias("share"), F.coalesce("parent", empty).alias("parent"))
+    known = seen.near.select("bucket", "pair", "n", "kept")
+    known = known.unionByName(gathered(tokens, "token", "token", "count", "share", "parent"), allowMissingColumns=True)
+    known = known.unionByName(gathered(with_one, "alone", "alone", "other", "mass"), allowMissingColumns=True)
+    met = read.mapInArrow(ask, _ASKED_DDL).groupBy("bucket").cogroup(known.groupBy("bucket"))
     inner = met.applyInArrow(answer, _ANSWERED_DDL).groupBy("part").applyInArrow(together, _SUMS_DDL)
-    outer = read.mapInArrow(ask_far, "_key bigint, u bigint, w bigint, times int, train boolean").join(seen.far, ["u", "w"], "left")
-    outer = outer.withColumns({"ku": _spread("u", "w", "_key"), "kw": _spread("w", "u", "_key")})
-    outer = outer.join(far.select(F.col("token").alias("ku"), F.col("n").alias("n_u"), *[F.col("share")[k].alias(f"share{k}") for k in range(samples)]), "ku", "left")
-    outer = outer.join(far.select(F.col("token").alias("kw"), F.col("n").alias("n_w"), *[F.col("parent")[k].alias(f"parent{k}") for k in range(samples)]), "kw", "left")
+    outer = read.mapInArrow(ask_far, "_key bigint, u bigint, w bigint, times int, train boolean")
+    outer = outer.join(seen.far.filter(_far("u") & _far("w")), ["u", "w"], "left")
+    outer = outer.join(far.select(F.col("token").alias("u"), F.col("n").alias("n_u"), *[F.col("share")[k].alias(f"share{k}") for k in range(samples)]), "u", "left")
+    outer = outer.join(far.select(F.col("token").alias("w"), F.col("n").alias("n_w"), *[F.col("parent")[k].alias(f"parent{k}") for k in range(samples)]), "w", "left")
     sums = [F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "value", "own")]
 
     # One after the other, so that the exchanged pairs of only one of them are on the disks.
     inner = stored(inner, "inner")
-    outer = stored(outer.drop("ku", "kw").mapInArrow(value, _SUMS_DDL).groupBy("_key").agg(*sums), "outer")
+    outer = stored(outer.mapInArrow(value, _SUMS_DDL).groupBy("_key").agg(*sums), "outer")
     parts = inner.unionByName(outer)
     # Equal rows have equal keys, so their sums are shared out again.
     summed = parts.groupBy("_key").agg(*sums)

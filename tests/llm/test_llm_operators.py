@@ -664,3 +664,37 @@ def test_pairs_of_scores_are_gone_when_results_are_read(spark):
     assert "MapInArrow" not in plan and scored.count() == 3
     values = {r["doc_id"]: r for r in scored.collect()}
     assert [values[k]["n_tokens"] for k in (1, 2, 3)] == [5, 4, 1] and values[2]["n_known"] == 3
+
+
+@pytest.mark.parametrize("near", [0, 4, 1 << 10])
+def test_near_pairs_are_one_row_a_bucket(spark, near, monkeypatch):
+    """Counts are those of plain dictionaries, whatever is near and however small the pieces are."""
+    monkeypatch.setattr(text, "SLICE_BYTES", 16)
+    lines = [("a b a b c", True), ("a b a b c", True), ("c d", False), ("e c", True), ("", True), ("d e c", False), ("zz yy", False)]
+    docs = spark.createDataFrame(lines, "_text string, _train boolean").repartition(3)
+    tokens = {x: text.words(np.frombuffer(x.encode(), np.uint8), np.array([0, len(x)])).hash[0] for x in "a b c d e zz yy".split()}
+    tokens[None] = pitman_yor.END
+    known = np.sort(np.array([tokens[x] for x in (None, "a", "b", "c", "d")[: max(near, 1)]], np.uint64))
+    counted = pitman_yor.pair_counts(docs, spark.sparkContext.broadcast(known), 3).collect()
+    assert len(counted) == len({r["bucket"] for r in counted}) and {r["bucket"] for r in counted} <= {0, 1, 2}
+    inside, outside = collections.Counter(), set()
+    for line, train in lines:
+        words = [None, *line.split(), None]
+        (inside.update if train else outside.update)(zip(words, words[1:]))
+    number = {x: int(pitman_yor._numbers(known, np.array([h], np.uint64))[0]) for x, h in tokens.items()}
+    expected = {(number[u], number[w]): n for (u, w), n in inside.items() if n > 1 or (u, w) in outside}
+    found = {divmod(pair, len(known)): n for r in counted for pair, n in zip(r["pair"], r["n"])}
+    found |= {(u, w): n for r in counted for u, w, n in zip(r["far_u"], r["far_w"], r["far_n"])}
+    assert found == expected
+    assert all(r["pair"] == sorted(set(r["pair"])) for r in counted)
+
+
+def test_hashes_are_found_by_their_leading_bits():
+    rng = np.random.default_rng(8)
+    hashes = text.mix(np.arange(1000, dtype=np.uint64))
+    crowded = np.concatenate([np.arange(60, dtype=np.uint64), [np.uint64(2**64 - 1)]])
+    for values in (hashes[:0], hashes[:1], hashes[:700], crowded):
+        values = np.sort(values)
+        keys = np.concatenate([hashes, crowded, rng.permutation(values)])
+        at, found = pitman_yor._places(values, pitman_yor._starts(values), keys)
+        assert found.tolist() == np.isin(keys, values).tolist() and (values[at[found]] == keys[found]).all()
